@@ -12,16 +12,19 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pitfeat.limits import largest_key, limit, not_null
+from pitfeat.limits import limit, not_null
 from pitfeat.operators.median import before_medians
 from pitfeat.operators.slices import (
     count_of,
     group_transform,
+    largest_rows,
     max_of,
     min_of,
+    place_of,
+    placed,
     plan_slices,
     running,
-    spread_nulls,
+    slices_for,
     sum_of,
 )
 
@@ -81,11 +84,12 @@ def prior_agg(
     Equal times never see each other. Rows with a null key or time have no
     history and are nobody's history: counts 0, the rest null.
     """
-    d = df.withColumn("_o", F.unix_micros(t))
+    d, keys, _ = placed(df, by, t)
+    d = d.withColumn("_o", F.unix_micros(t))
     # a row with null time must not contribute
     seen = F.col("_o").isNotNull()
     d = d.withColumns({f"_x_{n}": F.when(seen, a.x) for n, a in aggs.items()})
-    slices = plan_slices(d, by, "_o", slice_rows)
+    slices = slices_for(d, by, "_o", slice_rows)
     folds, done = {}, {}
     for n, a in aggs.items():
         x = F.col(f"_x_{n}")
@@ -109,12 +113,13 @@ def prior_agg(
     big = False
     if medians:
         frame_rows = frame_rows or limit(df.sparkSession, "frame.rows")
-        big = largest_key(d, by) > frame_rows
+        big = largest_rows(d, by) > frame_rows
     if distincts and slices is None:
         # both windows below need rows placed by key only: one shuffle, two sorts
-        d = d.repartition(*spread_nulls(by, "_o"))
+        if place_of(df, by) is None:
+            d = d.repartition(*keys)
         for n in distincts:
-            first = Window.partitionBy(*spread_nulls(by, "_o"), f"_x_{n}").orderBy("_o")
+            first = Window.partitionBy(*keys, f"_x_{n}").orderBy("_o")
             d = d.withColumn(
                 f"_f_{n}",
                 F.when(F.col(f"_x_{n}").isNotNull() & (F.row_number().over(first) == 1), 1),
@@ -134,7 +139,7 @@ def prior_agg(
         d = d.unionByName(marks, allowMissingColumns=True)
     if medians and not big:
         w = (
-            Window.partitionBy(*spread_nulls(by, "_o"))
+            Window.partitionBy(*keys)
             .orderBy("_o")
             .rangeBetween(Window.unboundedPreceding, -1)
         )
@@ -209,13 +214,14 @@ def trailing_agg(
     event that adds it and a later one that takes it away, and sum those.
     """
     width = seconds * MICROS_PER_SECOND
-    d = df.withColumn("_o", F.unix_micros(t))
+    d, keys, _ = placed(df, by, t)
+    d = d.withColumn("_o", F.unix_micros(t))
     d = d.withColumns({f"_x_{n}": a.x for n, a in aggs.items()})
     frame_rows = frame_rows or limit(df.sparkSession, "frame.rows")
     ok = not_null([*by, "_o"])
-    if largest_key(d, by) <= frame_rows:
+    if largest_rows(d, by) <= frame_rows:
         w = (
-            Window.partitionBy(*spread_nulls(by, "_o"))
+            Window.partitionBy(*keys)
             .orderBy("_o")
             .rangeBetween(-width, Window.currentRow)
         )
@@ -327,12 +333,12 @@ def last_n(
     """
     item = F.struct(F.col(t).alias("t"), *values)
     ok = not_null([*by, t])
-    d = df.withColumns({"_o": F.unix_micros(t), "_item": F.when(F.col(t).isNotNull(), item)})
-    slices = plan_slices(d, by, "_o", slice_rows)
-    keys = [*spread_nulls(by, t)]
+    d, keys, _ = placed(df, by, t)
+    d = d.withColumns({"_o": F.unix_micros(t), "_item": F.when(F.col(t).isNotNull(), item)})
+    slices = slices_for(d, by, "_o", slice_rows)
     if slices is not None:
         d = slices.assign(d)
-        keys = [*keys, F.col("_slice")]
+        keys = [*keys, "_slice"]
     w = Window.partitionBy(*keys).orderBy(t, *tie)
     d = d.withColumn("_back", F.collect_list("_item").over(w.rowsBetween(-n, -1)))
     if slices is not None:
@@ -383,15 +389,16 @@ def gap_seconds(
     slice_rows: int | None = None,
 ) -> DataFrame:
     """Whole seconds since the previous row of the key; null for the first."""
-    o = df.withColumn("_o", F.unix_micros(t))
-    slices = plan_slices(o, by, "_o", slice_rows)
+    d, keys, helpers = placed(df, by, t)
+    o = d.withColumn("_o", F.unix_micros(t))
+    slices = slices_for(o, by, "_o", slice_rows)
     ok = not_null([*by, t])
     second = F.unix_seconds(t)
     if slices is None:
-        w = Window.partitionBy(*spread_nulls(by, t)).orderBy(t, *tie)
-        return df.withColumn(name, F.when(ok, second - F.lag(second).over(w)))
+        w = Window.partitionBy(*keys).orderBy(t, *tie)
+        return d.withColumn(name, F.when(ok, second - F.lag(second).over(w))).drop(*helpers)
     cut = slices.assign(o)
-    w = Window.partitionBy(*spread_nulls(by, t), "_slice").orderBy(t, *tie)
+    w = Window.partitionBy(*keys, "_slice").orderBy(t, *tie)
     ends = cut.where("_hot").groupBy(*by, "_slice").agg(F.max(t).alias("_end"))
     before = Window.partitionBy(*by).orderBy("_slice")
     carry = ends.select(*by, "_slice", F.lag("_end").over(before).alias("_end"))

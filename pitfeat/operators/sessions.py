@@ -5,14 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pitfeat.limits import is_small, largest_key, limit, not_null
+from pitfeat.limits import largest_key, not_null
 from pitfeat.operators.slices import (
     Slices,
     group_transform,
     max_of,
+    place_of,
+    placed,
     plan_slices,
     running,
-    spread_nulls,
+    slices_for,
     steps_of,
 )
 
@@ -35,11 +37,12 @@ def sessionize(
     session.
     """
     ok = not_null([*by, t])
-    d = df.withColumns({"_o": F.unix_micros(t)})
-    slices = plan_slices(d, by, "_o", slice_rows)
+    d, keys, helpers = placed(df, by, t)
+    d = d.withColumn("_o", F.unix_micros(t))
+    slices = slices_for(d, by, "_o", slice_rows)
     second = F.unix_seconds(t)
     if slices is None:
-        w = Window.partitionBy(*spread_nulls(by, t)).orderBy(t)
+        w = Window.partitionBy(*keys).orderBy(t)
         pause = second - F.lag(second).over(w)
         d = d.withColumn("_new", F.coalesce((pause > gap_s).cast("long"), F.lit(0)))
         d = d.withColumn(number, F.when(ok, F.sum("_new").over(w)))
@@ -50,7 +53,7 @@ def sessionize(
         d = running(
             d, by, "_o", {number: steps_of(F.col("_new"), "_o")}, slices, inclusive=True
         ).withColumn(number, F.when(ok, F.col(number)))
-    d = d.drop("_o", "_new", "_prev")
+    d = d.drop("_o", "_new", "_prev", *helpers)
     if session_id:
         d = d.withColumn(
             session_id, F.when(ok, F.concat_ws("_", *by, F.col(number).cast("string")))
@@ -91,18 +94,10 @@ def session_transform(
 ) -> DataFrame:
     """Put per-session aggregates on each row.
 
-    The window repeats the partition expressions of `sessionize`, so Spark finds
-    the rows already placed by key and adds no shuffle.
+    After `place` on the session's key columns the rows already lie where the
+    window needs them, so no shuffle is added.
     """
-    if hot is None:
-        hot = not is_small(df) and largest_key(df, session) > limit(
-            df.sparkSession, "slice.rows"
-        )
-    if hot:
-        return group_transform(df, session, aggs, t, hot=True)
-    w = Window.partitionBy(*spread_nulls(session[:-1], t), session[-1])
-    ok = not_null(session)
-    return df.withColumns({n: F.when(ok, a.over(w)) for n, a in aggs.items()})
+    return group_transform(df, session, aggs, t, hot)
 
 
 def number_rows(
@@ -115,23 +110,30 @@ def number_rows(
 ) -> DataFrame:
     """Row number per key in time order, ties settled by ``tie``."""
     ok = not_null(by)
-    d = df.withColumn("_o", F.unix_micros(t))
-    slices = plan_slices(d, by, "_o", slice_rows)
+    d, keys, helpers = placed(df, by, t)
+    known = place_of(df, by)
+    if known and slice_rows is None:
+        # cut points of the leading key columns cut every group of the full key
+        slices = known[1].slices
+    else:
+        slices = plan_slices(d.withColumn("_o", F.unix_micros(t)), by, "_o", slice_rows)
     if slices is None:
-        w = Window.partitionBy(*spread_nulls(by[:-1] or by, t), *by).orderBy(t, *tie)
-        return df.withColumn(name, F.when(ok, F.row_number().over(w)))
-    d = slices.assign(d)
-    place = Window.partitionBy(*spread_nulls(by, t), "_slice").orderBy(t, *tie)
+        w = Window.partitionBy(*keys).orderBy(t, *tie)
+        return d.withColumn(name, F.when(ok, F.row_number().over(w))).drop(*helpers)
+    d = slices.assign(d.withColumn("_o", F.unix_micros(t)))
+    here = Window.partitionBy(*keys, "_slice").orderBy(t, *tie)
     sizes = d.where("_hot").groupBy(*by, "_slice").agg(F.count("*").alias("_n"))
     before = Window.partitionBy(*by).orderBy("_slice").rowsBetween(
         Window.unboundedPreceding, -1
     )
+    # only a group that began in an earlier slice needs a carry: few rows remain
     carry = sizes.select(*by, "_slice", F.sum("_n").over(before).alias("_before"))
-    d = d.withColumn("_here", F.row_number().over(place))
+    carry = carry.where("_before is not null")
+    d = d.withColumn("_here", F.row_number().over(here))
     d = d.join(F.broadcast(carry), [*by, "_slice"], "left")
     rank = F.col("_here") + F.coalesce("_before", F.lit(0))
     return d.withColumn(name, F.when(ok, rank.cast("int"))).drop(
-        "_o", "_hot", "_slice", "_salt", "_here", "_before"
+        "_o", "_hot", "_slice", "_salt", "_here", "_before", *helpers
     )
 
 

@@ -14,6 +14,7 @@ part of all rows.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -70,9 +71,87 @@ def steps_of(flag: Column, order: str) -> Fold:
     )
 
 
-def spread_nulls(by: list[str], order: str) -> list[Column]:
-    """Partition expressions; rows with a null key match nothing, so they are scattered."""
-    return [F.col(c) for c in by] + [F.when(any_null(by), F.xxhash64(order))]
+class Place:
+    """What was measured when a frame was placed by key; valid for all that derives from it.
+
+    Windows, filters and joins to one row never add rows to a key, so operators
+    further down need not measure again.
+    """
+
+    def __init__(self, df: DataFrame, by: list[str], slices: Slices | None):
+        self.by, self.slices, self._df, self._largest = by, slices, df, None
+
+    def largest(self) -> int:
+        if self._largest is None:
+            self._largest = largest_key(self._df, self.by)
+        return self._largest
+
+
+_places: dict[str, Place] = {}
+_numbers = itertools.count()
+
+
+def place(df: DataFrame, by: list[str], t: str, slice_rows: int | None = None) -> DataFrame:
+    """Measure the keys once and put rows by key, so that a chain of operators shuffles once.
+
+    Adds a helper column that `unplace` drops. With hot keys the rows stay where
+    they are; each operator then places its own slices.
+    """
+    timed = df.withColumn("_o", F.unix_micros(t))
+    slices = plan_slices(timed, by, "_o", slice_rows)
+    helper = f"_spread_{next(_numbers)}"
+    _places[helper] = Place(df, by, slices)
+    d = df.withColumn(helper, F.when(any_null(by), F.xxhash64(t)))
+    return d.repartition(*by, helper) if slices is None else d
+
+
+def unplace(df: DataFrame) -> DataFrame:
+    return df.drop(*[c for c in df.columns if c in _places])
+
+
+def place_of(df: DataFrame, by: list[str]) -> tuple[str, Place] | None:
+    """Helper column and measurements for ``by`` or for leading columns of it."""
+    for i in range(len(by), 0, -1):
+        for c in df.columns:
+            if c in _places and _places[c].by == by[:i]:
+                return c, _places[c]
+    return None
+
+
+def placed(df: DataFrame, by: list[str], order: str) -> tuple[DataFrame, list[str], list[str]]:
+    """Frame, partition columns and helper columns to drop.
+
+    Rows with a null key match nothing, so a helper column scatters them instead
+    of leaving them in one partition. The helper of `place` is used again where
+    present: Spark then sees the same placement and adds no shuffle.
+    """
+    known = place_of(df, by)
+    if known:
+        return df, [*by, known[0]], []
+    scattered = F.when(any_null(by), F.xxhash64(order))
+    return df.withColumn("_spread", scattered), [*by, "_spread"], ["_spread"]
+
+
+def slices_for(
+    df: DataFrame, by: list[str], order: str, rows: int | None = None
+) -> Slices | None:
+    """Cut points for an operator on (by, order), measured only if not known already.
+
+    Cut points decide about balance, never about results, so those of one time
+    column serve another time column of the same key.
+    """
+    known = place_of(df, by)
+    if known and rows is None and known[1].by == by:
+        return known[1].slices
+    if known and rows is None and known[1].slices is None:
+        return None
+    return plan_slices(df, by, order, rows)
+
+
+def largest_rows(df: DataFrame, by: list[str]) -> int:
+    """Most rows of one key, or a bound on it from where the frame was placed."""
+    known = place_of(df, by)
+    return known[1].largest() if known else largest_key(df, by)
 
 
 class Slices:
@@ -180,18 +259,16 @@ def running(
         return w.rangeBetween(Window.unboundedPreceding, last)
 
     ok = not_null([*by, order])
+    d, keys, helpers = placed(df, by, order)
     if slices is None:
-        place = Window.partitionBy(*spread_nulls(by, order)).orderBy(order)
-        d = df
+        w = Window.partitionBy(*keys).orderBy(order)
     else:
-        d = slices.assign(df)
-        place = Window.partitionBy(
-            *spread_nulls(by, order), "_slice", "_salt"
-        ).orderBy(order)
+        d = slices.assign(d)
+        w = Window.partitionBy(*keys, "_slice", "_salt").orderBy(order)
     if any(f.counts_steps for f in folds.values()):
-        prev = F.lag(order).over(place)
+        prev = F.lag(order).over(w)
         d = d.withColumn("_first_peer", prev.isNull() | (prev != F.col(order)))
-    local = d.withColumns({f"_l_{n}": f.local.over(frame(place)) for n, f in folds.items()})
+    local = d.withColumns({f"_l_{n}": f.local.over(frame(w)) for n, f in folds.items()})
     if slices is None:
         done = {
             n: F.when(ok, F.col(f"_l_{n}")).otherwise(f.empty) for n, f in folds.items()
@@ -209,7 +286,7 @@ def running(
             f"_{p}_{n}" for n in folds for p in ("c", "p")
         ]
     out = local.withColumns(done)
-    return out.drop(*extra, "_first_peer", *[f"_l_{n}" for n in folds])
+    return out.drop(*extra, *helpers, "_first_peer", *[f"_l_{n}" for n in folds])
 
 
 def slice_carry(d: DataFrame, by: list[str], folds: dict[str, Fold]) -> DataFrame:
@@ -239,14 +316,18 @@ def group_transform(
     key. Rows with a null key get nulls.
     """
     if hot is None:
-        spark = df.sparkSession
-        hot = not is_small(df) and bool(
-            largest_key(df, by) > limit(spark, "slice.rows")
-        )
+        known = place_of(df, by)
+        if known:
+            hot = known[1].slices is not None
+        else:
+            rows = limit(df.sparkSession, "slice.rows")
+            hot = not is_small(df) and largest_key(df, by) > rows
     ok = not_null(by)
     if not hot:
-        w = Window.partitionBy(*spread_nulls(by, salt))
-        return df.withColumns({n: F.when(ok, a.over(w)) for n, a in aggs.items()})
+        d, keys, helpers = placed(df, by, salt)
+        w = Window.partitionBy(*keys)
+        d = d.withColumns({n: F.when(ok, a.over(w)) for n, a in aggs.items()})
+        return d.drop(*helpers)
     totals = df.where(ok).groupBy(*by).agg(*[a.alias(n) for n, a in aggs.items()])
     return df.join(totals, by, "left")
 
