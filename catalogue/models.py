@@ -1 +1,126 @@
-QUERIES = {}
+"""Preparation, name matching and model queries."""
+
+from pyspark.sql import functions as F
+
+from catalogue.profiles import lines
+from catalogue.tables import lineitem, orders, rounded, table
+from pitfeat.functions import columns as c
+from pitfeat.operators import model, prep
+from pitfeat.operators.sampling import undersample
+
+NUMERIC = ["l_quantity", "l_extendedprice", "l_tax"]
+CATEGORICAL = ["l_linestatus", "o_orderpriority"]
+
+
+def power_transform(spark, sf):
+    """Fixed lambdas on both sides of 1 and 2, and on negative values."""
+    price = F.col("o_totalprice") / 1000
+    return orders(spark, sf).select(
+        "o_orderkey",
+        F.round(c.yeo_johnson(price, 0.25), 6).alias("quarter"),
+        F.round(c.yeo_johnson(price, 0.0), 6).alias("log"),
+        F.round(c.yeo_johnson(price - 150, 0.5), 6).alias("mixed"),
+        F.round(c.yeo_johnson(-price, 2.0), 6).alias("negative"),
+    )
+
+
+def fitted_power(spark, sf):
+    """Fitted on the table itself, then centred and scaled."""
+    d = orders(spark, sf).select("o_orderkey", "o_totalprice")
+    lambdas = prep.fit_power(d, ["o_totalprice"])
+    return prep.power_transform(d, lambdas).select("o_orderkey", *rounded(6, "o_totalprice"))
+
+
+def standardised(spark, sf):
+    d = prep.standardise(lineitem(spark, sf).select("l_orderkey", "l_quantity", "l_tax"),
+                         ["l_quantity", "l_tax"])
+    return d.select("l_orderkey", *rounded(6, "l_quantity", "l_tax"))
+
+
+def with_gaps(spark, sf):
+    gap = F.col("l_linenumber") % 3 == 0
+    return lineitem(spark, sf).select(
+        "l_orderkey", "l_linenumber", "l_returnflag",
+        F.when(~gap, F.col("l_quantity")).alias("quantity"),
+        F.when(~gap, F.col("l_tax")).alias("tax"),
+    )
+
+
+def imputed(spark, sf):
+    d = prep.impute_group_median(with_gaps(spark, sf), ["quantity"], ["l_returnflag"])
+    d = prep.impute_mean(d, ["tax"])
+    return d.select("l_orderkey", "l_linenumber", *rounded(6, "quantity", "tax"))
+
+
+def filled(spark, sf):
+    d = c.fill(with_gaps(spark, sf), {"quantity": 0.0, "tax": -1.0})
+    return d.groupBy("l_returnflag").agg(
+        F.round(F.sum("quantity"), 2).alias("quantity"), F.round(F.sum("tax"), 2).alias("tax")
+    )
+
+
+def names(spark, sf):
+    """Payer and payee of each line, as words with the serial number last."""
+    o = orders(spark, sf).select("o_orderkey", "o_custkey")
+    n = lineitem(spark, sf).select("l_orderkey", "l_suppkey")
+    cu = table(spark, sf, "customer").select("c_custkey", "c_name")
+    su = table(spark, sf, "supplier").select("s_suppkey", "s_name")
+    d = n.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
+    d = d.join(cu, F.col("o_custkey") == F.col("c_custkey"))
+    d = d.join(su, F.col("l_suppkey") == F.col("s_suppkey"))
+    return d.select("l_orderkey", F.regexp_replace("c_name", "#0*", " ").alias("payer"),
+                    F.regexp_replace("s_name", "#0*", " ").alias("payee"))
+
+
+def fuzzy_name_match(spark, sf):
+    return c.name_match(names(spark, sf), "payer", "payee", "is_self")
+
+
+def training_set(spark, sf):
+    o = orders(spark, sf).select("o_orderkey", "o_orderpriority")
+    d = lines(spark, sf).join(o, F.col("l_orderkey") == F.col("o_orderkey"))
+    return d.select("l_orderkey", "l_linenumber", "l_partkey", *NUMERIC, *CATEGORICAL, "label")
+
+
+def gbt_scores(spark, sf):
+    """Fit on a balanced sample, score every line, decide at the base rate."""
+    d = training_set(spark, sf)
+    fitted = model.fit(undersample(d, "label", 1.0, 42), NUMERIC, CATEGORICAL, "label",
+                       maxIter=3, maxDepth=3)
+    out = model.score(d, fitted, [0.5])
+    return out.select("l_orderkey", "l_linenumber", "l_partkey", "ml_probability", "payout_decision")
+
+
+QUERIES = {
+    "power_transform": (power_transform, """
+      WITH d AS (SELECT o_orderkey, o_totalprice / 1000 AS p FROM orders),
+      m AS (SELECT *, p - 150 AS q FROM d)
+      SELECT o_orderkey, round((pow(p + 1, 0.25) - 1) / 0.25, 6) AS quarter,
+             round(ln(1 + p), 6) AS log,
+             round(CASE WHEN q >= 0 THEN (pow(q + 1, 0.5) - 1) / 0.5
+                        ELSE -(pow(1 - q, 1.5) - 1) / 1.5 END, 6) AS mixed,
+             round(-ln(1 + p), 6) AS negative
+      FROM m"""),
+    "fitted_power": (fitted_power, None),
+    "standardised": (standardised, """
+      WITH m AS (SELECT avg(l_quantity) AS mq, stddev_pop(l_quantity) AS sq,
+                        avg(l_tax) AS mt, stddev_pop(l_tax) AS st FROM lineitem)
+      SELECT l_orderkey, round((l_quantity - mq) / sq, 6) AS l_quantity,
+             round((l_tax - mt) / st, 6) AS l_tax
+      FROM lineitem, m"""),
+    "imputed": (imputed, """
+      WITH g AS (SELECT l_returnflag, median(l_quantity) AS half FROM lineitem
+                 WHERE l_linenumber % 3 <> 0 GROUP BY l_returnflag),
+      m AS (SELECT avg(l_tax) AS mean FROM lineitem WHERE l_linenumber % 3 <> 0)
+      SELECT l_orderkey, l_linenumber,
+             round(CASE WHEN l_linenumber % 3 = 0 THEN half ELSE l_quantity END, 6) AS quantity,
+             round(CASE WHEN l_linenumber % 3 = 0 THEN mean ELSE l_tax END, 6) AS tax
+      FROM lineitem JOIN g USING (l_returnflag), m"""),
+    "filled": (filled, """
+      SELECT l_returnflag,
+             round(sum(CASE WHEN l_linenumber % 3 = 0 THEN 0 ELSE l_quantity END), 2) AS quantity,
+             round(sum(CASE WHEN l_linenumber % 3 = 0 THEN -1 ELSE l_tax END), 2) AS tax
+      FROM lineitem GROUP BY l_returnflag"""),
+    "fuzzy_name_match": (fuzzy_name_match, None),
+    "gbt_scores": (gbt_scores, None),
+}

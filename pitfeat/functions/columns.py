@@ -110,7 +110,7 @@ def contract(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.select(*columns)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def word_similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     """Matching-blocks ratio of two words, as difflib defines it."""
     known: dict[tuple[str, str], float] = {}
@@ -149,6 +149,9 @@ def name_match(
         .select(a, b, F.explode("_a").alias("_x"), "_b")
         .select(a, b, "_x", F.explode("_b").alias("_y"))
     )
+    # the ratio is at most 2 x the shorter length over the summed length
+    a_len, b_len = F.length("_x"), F.length("_y")
+    open_pairs = open_pairs.where(2 * F.least(a_len, b_len) >= threshold * (a_len + b_len))
     scored = (
         open_pairs.withColumn("_r", word_similarity("_x", "_y"))
         .groupBy(a, b)

@@ -26,7 +26,8 @@ def latest_before(
     Both sides go into one time line per key and a running maximum carries the
     latest right row forward: no row pairs are formed, whatever the densities.
     """
-    found = F.struct(of.alias("_at"), *tie, *[F.col(c) for c in payload])
+    order = [F.col(c).alias(f"_tie{i}") for i, c in enumerate(tie)]
+    found = F.struct(of.alias("_at"), *order, *[F.col(c) for c in payload])
     facts = right.where(not_null(by) & of.isNotNull()).select(
         *by, of.alias("_o"), found.alias("_right")
     )
