@@ -18,6 +18,8 @@ DEFAULTS = {
     "spark.pitfeat.small.bytes": 128 * 1024 * 1024,
     # rows per key up to which a frame that costs rows x rows may be used
     "spark.pitfeat.frame.rows": 4_096,
+    # input up to which a group's distinct values may be held in one buffer
+    "spark.pitfeat.percentile.bytes": 4 * 1024 * 1024,
     # largest side that is broadcast by request
     "spark.pitfeat.broadcast.rows": 1_000_000,
 }
@@ -48,6 +50,16 @@ def largest_key(df: DataFrame, by: list[str]) -> int:
     return rows_per_key(df, by).agg(F.max("_n")).first()[0] or 0
 
 
+def broadcast_checked(df: DataFrame) -> DataFrame:
+    """Ask for a broadcast only after counting that the rows are few.
+
+    The count stops one row beyond the limit. A larger side is left to Catalyst,
+    which shuffles it.
+    """
+    most = limit(df.sparkSession, "broadcast.rows")
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+
+
 def not_null(cols: list[str]) -> Column:
     ok = F.lit(True)
     for c in cols:

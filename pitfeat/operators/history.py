@@ -26,6 +26,7 @@ from pitfeat.operators.slices import (
     running,
     slices_for,
     sum_of,
+    timed,
 )
 
 MICROS_PER_SECOND = 1_000_000
@@ -85,11 +86,11 @@ def prior_agg(
     history and are nobody's history: counts 0, the rest null.
     """
     d, keys, _ = placed(df, by, t)
-    d = d.withColumn("_o", F.unix_micros(t))
+    d, o, _ = timed(d, by, t)
     # a row with null time must not contribute
-    seen = F.col("_o").isNotNull()
+    seen = F.col(o).isNotNull()
     d = d.withColumns({f"_x_{n}": F.when(seen, a.x) for n, a in aggs.items()})
-    slices = slices_for(d, by, "_o", slice_rows)
+    slices = slices_for(d, by, o, slice_rows)
     folds, done = {}, {}
     for n, a in aggs.items():
         x = F.col(f"_x_{n}")
@@ -119,7 +120,7 @@ def prior_agg(
         if place_of(df, by) is None:
             d = d.repartition(*keys)
         for n in distincts:
-            first = Window.partitionBy(*keys, f"_x_{n}").orderBy("_o")
+            first = Window.partitionBy(*keys, f"_x_{n}").orderBy(o)
             d = d.withColumn(
                 f"_f_{n}",
                 F.when(F.col(f"_x_{n}").isNotNull() & (F.row_number().over(first) == 1), 1),
@@ -131,7 +132,7 @@ def prior_agg(
         for n in distincts:
             v = f"_x_{n}"
             first = d.where(F.col(v).isNotNull() & not_null(by)).groupBy(*by, v)
-            m = first.agg(F.min("_o").alias("_o")).groupBy(*by, "_o")
+            m = first.agg(F.min(o).alias(o)).groupBy(*by, o)
             m = m.agg(F.count("*").alias(f"_f_{n}")).withColumn("_mark", F.lit(True))
             marks = m if marks is None else marks.unionByName(m, allowMissingColumns=True)
             folds[n] = sum_of(F.col(f"_f_{n}"))
@@ -140,31 +141,31 @@ def prior_agg(
     if medians and not big:
         w = (
             Window.partitionBy(*keys)
-            .orderBy("_o")
+            .orderBy(o)
             .rangeBetween(Window.unboundedPreceding, -1)
         )
-        ok = not_null([*by, "_o"])
+        ok = not_null([*by, o])
         for n in medians:
             half = F.percentile(F.col(f"_x_{n}").cast("double"), F.lit(0.5))
             d = d.withColumn(f"_m_{n}", F.when(ok, half.over(w)))
             done[n] = F.col(f"_m_{n}")
     if folds:
-        d = running(d, by, "_o", folds, slices)
+        d = running(d, by, o, folds, slices)
     if distincts and slices is not None:
         d = d.where(F.col("_mark").isNull()).drop("_mark")
     if big:
         for n in medians:
             facts = d.select(
                 *by,
-                (F.col("_o") * 2 + 1).alias("_at"),
+                (F.col(o) * 2 + 1).alias("_at"),
                 F.col(f"_x_{n}").cast("double").alias("_x"),
                 F.lit(1).alias("_w"),
             )
-            probes = d.select(*by, (F.col("_o") * 2).alias("_at")).distinct()
+            probes = d.select(*by, (F.col(o) * 2).alias("_at")).distinct()
             half = before_medians(facts, probes, by, slice_rows).select(
-                *by, (F.col("_at") / 2).cast("long").alias("_o"), F.col("_median").alias(n)
+                *by, (F.col("_at") / 2).cast("long").alias(o), F.col("_median").alias(n)
             )
-            d = d.join(half, [*by, "_o"], "left")
+            d = d.join(half, [*by, o], "left")
     d = d.withColumns(done)
     return d.select(*[F.col(c) for c in df.columns], *[F.col(n) for n in aggs])
 
@@ -334,12 +335,13 @@ def last_n(
     item = F.struct(F.col(t).alias("t"), *values)
     ok = not_null([*by, t])
     d, keys, _ = placed(df, by, t)
-    d = d.withColumns({"_o": F.unix_micros(t), "_item": F.when(F.col(t).isNotNull(), item)})
-    slices = slices_for(d, by, "_o", slice_rows)
+    d, o, _ = timed(d, by, t)
+    d = d.withColumn("_item", F.when(F.col(t).isNotNull(), item))
+    slices = slices_for(d, by, o, slice_rows)
     if slices is not None:
-        d = slices.assign(d)
+        d = slices.assign(d, o)
         keys = [*keys, "_slice"]
-    w = Window.partitionBy(*keys).orderBy(t, *tie)
+    w = Window.partitionBy(*keys).orderBy(o, *tie)
     d = d.withColumn("_back", F.collect_list("_item").over(w.rowsBetween(-n, -1)))
     if slices is not None:
         # the last n rows of each slice, then those of the n slices before it
@@ -390,15 +392,16 @@ def gap_seconds(
 ) -> DataFrame:
     """Whole seconds since the previous row of the key; null for the first."""
     d, keys, helpers = placed(df, by, t)
-    o = d.withColumn("_o", F.unix_micros(t))
-    slices = slices_for(o, by, "_o", slice_rows)
+    d, o, extra = timed(d, by, t)
+    slices = slices_for(d, by, o, slice_rows)
     ok = not_null([*by, t])
     second = F.unix_seconds(t)
     if slices is None:
-        w = Window.partitionBy(*keys).orderBy(t, *tie)
-        return d.withColumn(name, F.when(ok, second - F.lag(second).over(w))).drop(*helpers)
-    cut = slices.assign(o)
-    w = Window.partitionBy(*keys, "_slice").orderBy(t, *tie)
+        w = Window.partitionBy(*keys).orderBy(o, *tie)
+        d = d.withColumn(name, F.when(ok, second - F.lag(second).over(w)))
+        return d.drop(*helpers, *extra)
+    cut = slices.assign(d, o)
+    w = Window.partitionBy(*keys, "_slice").orderBy(o, *tie)
     ends = cut.where("_hot").groupBy(*by, "_slice").agg(F.max(t).alias("_end"))
     before = Window.partitionBy(*by).orderBy("_slice")
     carry = ends.select(*by, "_slice", F.lag("_end").over(before).alias("_end"))

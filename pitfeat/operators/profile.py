@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pitfeat.limits import is_small
+from pitfeat.limits import estimated_bytes, limit
 from pitfeat.operators.slices import plan_slices, running, sum_of
 
 
@@ -16,12 +16,12 @@ def exact_quantiles(
     """Interpolated quantiles per group, exact, without gathering a group's values.
 
     Values are counted first, then a running count along the sorted values finds
-    the two around each position. Input below the small-size limit uses the
-    built-in percentile, which gives the same numbers.
+    the two around each position. Input of a few MB uses the built-in percentile,
+    which gives the same numbers but holds all distinct values of a group.
     """
     d = df.where(F.col(x).isNotNull()).withColumn("_x", F.col(x).cast("double"))
     if spread is None:
-        spread = not is_small(df)
+        spread = estimated_bytes(df) > limit(df.sparkSession, "percentile.bytes")
     if not spread:
         return d.groupBy(*by).agg(
             *[F.percentile("_x", F.lit(p)).alias(n) for n, p in probs.items()]

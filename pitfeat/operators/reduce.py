@@ -5,10 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pitfeat.limits import not_null
+from pitfeat.operators.slices import place_of, placed
+
 
 def latest_per_key(df: DataFrame, by: list[str], t: str, tie: list[str]) -> DataFrame:
-    """The row with the largest time per key; ties go to the largest ``tie``."""
-    return dedup(df, by, [F.desc(c) for c in (t, *tie)])
+    """The row with the largest time per key; ties go to the largest ``tie``.
+
+    Rows with a null key or time are nobody's latest and are left out.
+    """
+    known = df.where(not_null([*by, t]))
+    return dedup(known, placed(known, by, t)[1] if place_of(known, by) else by,
+                 [F.desc(c) for c in (t, *tie)])
 
 
 def dedup(df: DataFrame, by: list[str], order: list[Column | str]) -> DataFrame:

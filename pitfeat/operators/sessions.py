@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pitfeat.limits import largest_key, not_null
+from pitfeat.limits import broadcast_checked, largest_key, not_null
 from pitfeat.operators.slices import (
     Slices,
     group_transform,
@@ -16,6 +16,7 @@ from pitfeat.operators.slices import (
     running,
     slices_for,
     steps_of,
+    timed,
 )
 
 SESSION_GAP_S = 1800
@@ -38,22 +39,22 @@ def sessionize(
     """
     ok = not_null([*by, t])
     d, keys, helpers = placed(df, by, t)
-    d = d.withColumn("_o", F.unix_micros(t))
-    slices = slices_for(d, by, "_o", slice_rows)
+    d, o, extra = timed(d, by, t)
+    slices = slices_for(d, by, o, slice_rows)
     second = F.unix_seconds(t)
     if slices is None:
-        w = Window.partitionBy(*keys).orderBy(t)
+        w = Window.partitionBy(*keys).orderBy(o)
         pause = second - F.lag(second).over(w)
         d = d.withColumn("_new", F.coalesce((pause > gap_s).cast("long"), F.lit(0)))
         d = d.withColumn(number, F.when(ok, F.sum("_new").over(w)))
     else:
-        d = running(d, by, "_o", {"_prev": max_of(F.col("_o"))}, slices)
+        d = running(d, by, o, {"_prev": max_of(F.col(o))}, slices)
         pause = second - F.floor(F.col("_prev") / 1_000_000)
         d = d.withColumn("_new", F.coalesce(pause > gap_s, F.lit(False)))
         d = running(
-            d, by, "_o", {number: steps_of(F.col("_new"), "_o")}, slices, inclusive=True
+            d, by, o, {number: steps_of(F.col("_new"), o)}, slices, inclusive=True
         ).withColumn(number, F.when(ok, F.col(number)))
-    d = d.drop("_o", "_new", "_prev", *helpers)
+    d = d.drop("_new", "_prev", *extra, *helpers)
     if session_id:
         d = d.withColumn(
             session_id, F.when(ok, F.concat_ws("_", *by, F.col(number).cast("string")))
@@ -111,17 +112,20 @@ def number_rows(
     """Row number per key in time order, ties settled by ``tie``."""
     ok = not_null(by)
     d, keys, helpers = placed(df, by, t)
+    d, o, extra = timed(d, by, t)
     known = place_of(df, by)
     if known and slice_rows is None:
         # cut points of the leading key columns cut every group of the full key
         slices = known[1].slices
     else:
-        slices = plan_slices(d.withColumn("_o", F.unix_micros(t)), by, "_o", slice_rows)
+        slices = plan_slices(d, by, o, slice_rows)
     if slices is None:
-        w = Window.partitionBy(*keys).orderBy(t, *tie)
-        return d.withColumn(name, F.when(ok, F.row_number().over(w))).drop(*helpers)
-    d = slices.assign(d.withColumn("_o", F.unix_micros(t)))
-    here = Window.partitionBy(*keys, "_slice").orderBy(t, *tie)
+        w = Window.partitionBy(*keys).orderBy(o, *tie)
+        return d.withColumn(name, F.when(ok, F.row_number().over(w))).drop(
+            *helpers, *extra
+        )
+    d = slices.assign(d, o)
+    here = Window.partitionBy(*keys, "_slice").orderBy(o, *tie)
     sizes = d.where("_hot").groupBy(*by, "_slice").agg(F.count("*").alias("_n"))
     before = Window.partitionBy(*by).orderBy("_slice").rowsBetween(
         Window.unboundedPreceding, -1
@@ -133,7 +137,7 @@ def number_rows(
     d = d.join(F.broadcast(carry), [*by, "_slice"], "left")
     rank = F.col("_here") + F.coalesce("_before", F.lit(0))
     return d.withColumn(name, F.when(ok, rank.cast("int"))).drop(
-        "_o", "_hot", "_slice", "_salt", "_here", "_before", *helpers
+        "_hot", "_slice", "_salt", "_here", "_before", *extra, *helpers
     )
 
 
@@ -185,7 +189,11 @@ def after_intent_measures(df: DataFrame, t: str) -> DataFrame:
 
 
 def keep_events(df: DataFrame, rules: DataFrame, on: list[str]) -> DataFrame:
-    """Keep rows whose (category, action) pair is in the rules table."""
+    """Keep rows whose (category, action) pair is in the rules table.
+
+    Categories are few and very uneven, so shuffling events by them would end in
+    a handful of tasks: the rules, a short list, travel instead.
+    """
     return semi_join(df, rules, on)
 
 
@@ -198,5 +206,6 @@ def sessions_touching(
 
 
 def semi_join(df: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
+    """Rows whose key is in ``keys``; a short key list is broadcast after counting it."""
     wanted = keys.select(*on).distinct()
-    return df.join(wanted, on, "left_semi")
+    return df.join(broadcast_checked(wanted), on, "left_semi")

@@ -78,8 +78,9 @@ class Place:
     further down need not measure again.
     """
 
-    def __init__(self, df: DataFrame, by: list[str], slices: Slices | None):
-        self.by, self.slices, self._df, self._largest = by, slices, df, None
+    def __init__(self, df: DataFrame, by: list[str], t: str, micros: str, slices: Slices | None):
+        self.by, self.t, self.micros, self.slices = by, t, micros, slices
+        self._df, self._largest = df, None
 
     def largest(self) -> int:
         if self._largest is None:
@@ -94,19 +95,31 @@ _numbers = itertools.count()
 def place(df: DataFrame, by: list[str], t: str, slice_rows: int | None = None) -> DataFrame:
     """Measure the keys once and put rows by key, so that a chain of operators shuffles once.
 
-    Adds a helper column that `unplace` drops. With hot keys the rows stay where
-    they are; each operator then places its own slices.
+    Adds two helper columns that `unplace` drops: one scatters null keys, the
+    other holds the time as a number, so that operators share one sort order.
+    With hot keys the rows stay where they are; each operator then places its
+    own slices.
     """
-    timed = df.withColumn("_o", F.unix_micros(t))
-    slices = plan_slices(timed, by, "_o", slice_rows)
-    helper = f"_spread_{next(_numbers)}"
-    _places[helper] = Place(df, by, slices)
-    d = df.withColumn(helper, F.when(any_null(by), F.xxhash64(t)))
+    n = next(_numbers)
+    helper, micros = f"_spread_{n}", f"_micros_{n}"
+    d = df.withColumn(micros, F.unix_micros(t))
+    slices = plan_slices(d, by, micros, slice_rows)
+    _places[helper] = Place(df, by, t, micros, slices)
+    d = d.withColumn(helper, F.when(any_null(by), F.xxhash64(t)))
     return d.repartition(*by, helper) if slices is None else d
 
 
 def unplace(df: DataFrame) -> DataFrame:
-    return df.drop(*[c for c in df.columns if c in _places])
+    helpers = [c for c in df.columns if c in _places]
+    return df.drop(*helpers, *[_places[c].micros for c in helpers])
+
+
+def timed(df: DataFrame, by: list[str], t: str) -> tuple[DataFrame, str, list[str]]:
+    """Frame, name of the column with the time in microseconds, columns to drop."""
+    known = place_of(df, by)
+    if known and known[1].t == t and known[1].micros in df.columns:
+        return df, known[1].micros, []
+    return df.withColumn("_o", F.unix_micros(t)), "_o", ["_o"]
 
 
 def place_of(df: DataFrame, by: list[str]) -> tuple[str, Place] | None:
@@ -128,8 +141,11 @@ def placed(df: DataFrame, by: list[str], order: str) -> tuple[DataFrame, list[st
     known = place_of(df, by)
     if known:
         return df, [*by, known[0]], []
+    keys = [*by, "_spread"]
+    if "_spread" in df.columns:  # put there by the operator that calls this one
+        return df, keys, []
     scattered = F.when(any_null(by), F.xxhash64(order))
-    return df.withColumn("_spread", scattered), [*by, "_spread"], ["_spread"]
+    return df.withColumn("_spread", scattered), keys, ["_spread"]
 
 
 def slices_for(
@@ -157,15 +173,15 @@ def largest_rows(df: DataFrame, by: list[str]) -> int:
 class Slices:
     """Cut points of the hot keys of one (key, order) pair."""
 
-    def __init__(self, table: DataFrame, by: list[str], order: str, width: int):
-        self.table, self.by, self.order, self.width = table, by, order, width
+    def __init__(self, table: DataFrame, by: list[str], width: int):
+        self.table, self.by, self.width = table, by, width
 
-    def assign(self, df: DataFrame) -> DataFrame:
+    def assign(self, df: DataFrame, order: str) -> DataFrame:
         """Add ``_hot``, ``_slice`` (increasing with the order column) and ``_salt``.
 
         ``_slice`` is odd for a slice made of one order value, -1 for a null order.
         """
-        o, cuts = F.col(self.order), F.col("_cuts")
+        o, cuts = F.col(order), F.col("_cuts")
         steps = [1 << i for i in reversed(range(self.width.bit_length()))]
         below = F.aggregate(
             F.array(*[F.lit(s) for s in steps]),
@@ -232,7 +248,7 @@ def plan_slices(
     if not cuts:
         return None
     width = max(len(r["_cuts"]) for r in cuts)
-    return Slices(spark.createDataFrame(cuts, found.schema), by, order, width)
+    return Slices(spark.createDataFrame(cuts, found.schema), by, width)
 
 
 def running(
@@ -263,7 +279,7 @@ def running(
     if slices is None:
         w = Window.partitionBy(*keys).orderBy(order)
     else:
-        d = slices.assign(d)
+        d = slices.assign(d, order)
         w = Window.partitionBy(*keys, "_slice", "_salt").orderBy(order)
     if any(f.counts_steps for f in folds.values()):
         prev = F.lag(order).over(w)

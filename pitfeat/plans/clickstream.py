@@ -77,6 +77,10 @@ def non_anchor_history(df: DataFrame, by: list[str], t: str, anchor: Column) ->
 
 def click_features(df: DataFrame, c: Clicks) -> DataFrame:
     """All session features of every kept event."""
+    return unplace(placed_features(df, c))
+
+
+def placed_features(df: DataFrame, c: Clicks) -> DataFrame:
     by, session = [c.visitor], [c.visitor, "session_n"]
     d = session_history(click_sessions(df, c), by)
     zero = ["mean_number_of_sessions", "median_number_of_sessions",
@@ -86,9 +90,9 @@ def click_features(df: DataFrame, c: Clicks) -> DataFrame:
     d = s.first_session(d, by)
     d = non_anchor_history(d, by, c.time, c.anchor)
     d = s.after_intent_measures(d, c.time)
-    return unplace(s.session_flags(d, session, c.time, c.flags) if c.flags else d)
+    return s.session_flags(d, session, c.time, c.flags) if c.flags else d
 
 
 def latest_features(df: DataFrame, c: Clicks) -> DataFrame:
     """The newest feature row of each visitor."""
-    return latest_per_key(click_features(df, c), [c.visitor], c.time, c.tie)
+    return unplace(latest_per_key(placed_features(df, c), [c.visitor], c.time, c.tie))

@@ -28,7 +28,8 @@ class Transactions:
 def transaction_history(df: DataFrame, c: Transactions) -> DataFrame:
     """Add every history feature of the entity as of each transaction.
 
-    All of it runs on one placement by entity; nothing is joined to itself.
+    All of it runs on one placement by entity; nothing is joined to itself. The
+    placement helpers stay in the result; `unplace` drops them.
     """
     by, t = [c.entity], c.time
     aggs = {
@@ -55,7 +56,7 @@ def transaction_history(df: DataFrame, c: Transactions) -> DataFrame:
     )
     d = h.last_n(d, by, t, [c.id], 3, [c.amount], "_recent")
     d = h.recent_stats(d, c.amount, "last_3", "_recent").drop("_recent")
-    return unplace(h.user_flag(d, by, t, c.success))
+    return h.user_flag(d, by, t, c.success)
 
 
 def transaction_features(df: DataFrame, c: Transactions, utc_offset=(5, 30)) -> DataFrame:
@@ -65,7 +66,7 @@ def transaction_features(df: DataFrame, c: Transactions, utc_offset=(5, 30)) ->
     local = F.col(c.time) + F.make_dt_interval(
         hours=F.lit(utc_offset[0]), mins=F.lit(utc_offset[1])
     )
-    return d.withColumns(
+    return unplace(d).withColumns(
         {
             "local_time": local,
             "time_hour_utc": F.hour(c.time),
