@@ -7,7 +7,7 @@ from pitfeat.operators import history as h
 from pitfeat.operators import sessions as s
 from pitfeat.operators.joins import union_sources
 from pitfeat.operators.reduce import latest_per_key
-from pitfeat.operators.slices import place
+from pitfeat.operators.slices import run_placed
 from pitfeat.plans import clickstream as plan
 from pitfeat.sources.sinks import VersionedTable
 from pitfeat.checkpoints import shared_dir
@@ -23,10 +23,13 @@ def is_type(*kinds):
     return F.col("event_type").isin(*kinds)
 
 
-def sessions(spark, sf, gap=GAP):
-    d = place(events(spark, sf), BY, T)
-    d = s.sessionize(d, BY, T, gap)
-    return s.session_stats(d, BY, T, tie=TIE)
+def on_sessions(spark, sf, chain=lambda d: d):
+    """Sessions of the events and a chain of operators on top, by user."""
+    def whole(d):
+        d = s.sessionize(d, BY, T, GAP)
+        return chain(s.session_stats(d, BY, T, tie=TIE))
+
+    return run_placed(events(spark, sf), BY, T, whole)
 
 
 def cte(gap=GAP):
@@ -64,17 +67,18 @@ def sessionize_sql(gap):
 
 
 def session_stats(spark, sf):
-    return sessions(spark, sf).select(
+    return on_sessions(spark, sf).select(
         "event_id", *us("session_start", "session_end"), "session_time",
         "number_of_hits", "hit_number",
     )
 
 
 def session_intent_success(spark, sf):
-    d = sessions(spark, sf)
-    d = s.intent_and_success(d, SESSION, T, is_type("click"), is_type("purchase"))
-    d = s.after_intent_measures(s.first_session(d, BY), T)
-    return d.select(
+    def chain(d):
+        d = s.intent_and_success(d, SESSION, T, is_type("click"), is_type("purchase"))
+        return s.after_intent_measures(s.first_session(d, BY), T)
+
+    return on_sessions(spark, sf, chain).select(
         "event_id", *us("first_transaction_time", "transaction_success_time"),
         "seconds_since_first_session", "seconds_after_transaction",
         "hits_after_transaction", "seconds_on_payment_gateway",
@@ -104,17 +108,19 @@ def session_flags(spark, sf):
         "checked_offers": is_type("view"),
         "reached_homepage_first": is_type("error"),
     }
-    d = s.session_flags(sessions(spark, sf), SESSION, T, flags)
+    d = on_sessions(spark, sf, lambda d: s.session_flags(d, SESSION, T, flags))
     return d.select("event_id", *flags)
 
 
 def first_session(spark, sf):
-    d = s.first_session(sessions(spark, sf), BY)
+    d = on_sessions(spark, sf, lambda d: s.first_session(d, BY))
     return d.select("event_id", *us("first_session_start"))
 
 
 def anchor_sessions(spark, sf):
-    d = s.sessions_touching(sessions(spark, sf), SESSION, T, is_type("purchase"))
+    d = on_sessions(
+        spark, sf, lambda d: s.sessions_touching(d, SESSION, T, is_type("purchase"))
+    )
     return d.select("event_id", "user_id", "session_n")
 
 
@@ -138,7 +144,7 @@ def whitelisted_events(spark, sf):
 
 
 def prior_sessions(spark, sf, per="event"):
-    d = plan.session_history(sessions(spark, sf), BY, per)
+    d = on_sessions(spark, sf, lambda d: plan.session_history(d, BY, per))
     return d.select(
         "event_id", "number_of_sessions",
         *rounded(6, "mean_number_of_sessions", "median_number_of_sessions",
@@ -169,21 +175,20 @@ def prior_sessions_sql(per):
 
 
 def prior_nonanchor_counts(spark, sf):
-    d = plan.non_anchor_history(sessions(spark, sf), BY, T, is_type("purchase"))
+    d = on_sessions(
+        spark, sf, lambda d: plan.non_anchor_history(d, BY, T, is_type("purchase"))
+    )
     return d.select("event_id", "number_of_non_anchor_actions", "number_of_non_anchor_sessions")
 
 
 def prior_value_sums_and_kinds(spark, sf):
-    d = sessions(spark, sf)
-    d = h.prior_agg(
-        d, BY, T,
-        {
-            "number_of_sessions": h.distinct("session_n"),
-            "number_of_page_views": h.total("value"),
-            "number_of_devices_used": h.distinct("event_type"),
-            "number_of_app_sessions": h.distinct(F.when(parity() == 1, F.col("session_n"))),
-        },
-    )
+    aggs = {
+        "number_of_sessions": h.distinct("session_n"),
+        "number_of_page_views": h.total("value"),
+        "number_of_devices_used": h.distinct("event_type"),
+        "number_of_app_sessions": h.distinct(F.when(parity() == 1, F.col("session_n"))),
+    }
+    d = on_sessions(spark, sf, lambda d: h.prior_agg(d, BY, T, aggs))
     share = F.try_divide(F.col("hit_number"), F.col("number_of_hits"))
     return d.select(
         "event_id", "number_of_sessions", *rounded(2, "number_of_page_views"),
@@ -216,15 +221,19 @@ TRAILING_SQL = """
 
 def trailing_session_history(spark, sf):
     """Sessions of the last 7 days, the current one included, and means over them."""
-    d, start, width = sessions(spark, sf), "session_start", 7 * 86_400
-    d = h.trailing_agg(d, BY, start, width, {"number_of_sessions": h.distinct(start)})
-    d = h.trailing_agg(
-        d, BY, start, width,
-        {
-            "mean_number_of_sessions": h.mean("number_of_sessions"),
-            "median_session_time": h.median("session_time"),
-        },
-    )
+    start, width = "session_start", 7 * 86_400
+
+    def chain(d):
+        d = h.trailing_agg(d, BY, start, width, {"number_of_sessions": h.distinct(start)})
+        return h.trailing_agg(
+            d, BY, start, width,
+            {
+                "mean_number_of_sessions": h.mean("number_of_sessions"),
+                "median_session_time": h.median("session_time"),
+            },
+        )
+
+    d = on_sessions(spark, sf, chain)
     return d.select("event_id", "number_of_sessions",
                     *rounded(6, "mean_number_of_sessions", "median_session_time"))
 

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from catalogue.tables import lineitem, orders, rounded, table, us
 from pitfeat.operators import history as h
 from pitfeat.operators.reduce import distinct_counts, leads_per_entity, time_bounds
+from pitfeat.operators.slices import run_placed
 from pitfeat.plans import transactions as plan
 
 BY, T, ID = ["o_custkey"], "o_orderdate", "o_orderkey"
@@ -67,11 +68,14 @@ def txn_prior_median_long(spark, sf):
 
 
 def txn_prior_means_of_counts(spark, sf):
-    d = h.prior_agg(orders(spark, sf), BY, T, {"n": h.count()})
-    d = h.gap_seconds(d, BY, T, [ID], "gap")
-    d = h.prior_agg(
-        d, BY, T, {"average_number_of_transactions": h.mean("n"), "average_gap": h.mean("gap")}
-    )
+    means = {"average_number_of_transactions": h.mean("n"), "average_gap": h.mean("gap")}
+
+    def chain(d):
+        d = h.prior_agg(d, BY, T, {"n": h.count()})
+        d = h.gap_seconds(d, BY, T, [ID], "gap")
+        return h.prior_agg(d, BY, T, means)
+
+    d = run_placed(orders(spark, sf), BY, T, chain)
     return d.select(ID, "n", "gap", *rounded(6, "average_number_of_transactions", "average_gap"))
 
 

@@ -24,6 +24,7 @@ from pitfeat.operators.slices import (
     placed,
     plan_slices,
     running,
+    settled,
     slices_for,
     sum_of,
     timed,
@@ -85,7 +86,7 @@ def prior_agg(
     Equal times never see each other. Rows with a null key or time have no
     history and are nobody's history: counts 0, the rest null.
     """
-    d, keys, _ = placed(df, by, t)
+    d, keys, _ = placed(settled(df, by), by, t)
     d, o, _ = timed(d, by, t)
     # a row with null time must not contribute
     seen = F.col(o).isNotNull()
@@ -334,7 +335,7 @@ def last_n(
     """
     item = F.struct(F.col(t).alias("t"), *values)
     ok = not_null([*by, t])
-    d, keys, _ = placed(df, by, t)
+    d, keys, _ = placed(settled(df, by), by, t)
     d, o, _ = timed(d, by, t)
     d = d.withColumn("_item", F.when(F.col(t).isNotNull(), item))
     slices = slices_for(d, by, o, slice_rows)
@@ -391,7 +392,7 @@ def gap_seconds(
     slice_rows: int | None = None,
 ) -> DataFrame:
     """Whole seconds since the previous row of the key; null for the first."""
-    d, keys, helpers = placed(df, by, t)
+    d, keys, helpers = placed(settled(df, by), by, t)
     d, o, extra = timed(d, by, t)
     slices = slices_for(d, by, o, slice_rows)
     ok = not_null([*by, t])

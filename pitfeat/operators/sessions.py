@@ -14,6 +14,7 @@ from pitfeat.operators.slices import (
     placed,
     plan_slices,
     running,
+    settled,
     slices_for,
     steps_of,
     timed,
@@ -38,7 +39,7 @@ def sessionize(
     session.
     """
     ok = not_null([*by, t])
-    d, keys, helpers = placed(df, by, t)
+    d, keys, helpers = placed(settled(df, by), by, t)
     d, o, extra = timed(d, by, t)
     slices = slices_for(d, by, o, slice_rows)
     second = F.unix_seconds(t)
@@ -54,7 +55,7 @@ def sessionize(
         d = running(
             d, by, o, {number: steps_of(F.col("_new"), o)}, slices, inclusive=True
         ).withColumn(number, F.when(ok, F.col(number)))
-    d = d.drop("_new", "_prev", *extra, *helpers)
+    d = d.select(*df.columns, number)
     if session_id:
         d = d.withColumn(
             session_id, F.when(ok, F.concat_ws("_", *by, F.col(number).cast("string")))
@@ -111,7 +112,7 @@ def number_rows(
 ) -> DataFrame:
     """Row number per key in time order, ties settled by ``tie``."""
     ok = not_null(by)
-    d, keys, helpers = placed(df, by, t)
+    d, keys, helpers = placed(settled(df, by), by, t)
     d, o, extra = timed(d, by, t)
     known = place_of(df, by)
     if known and slice_rows is None:
@@ -136,15 +137,15 @@ def number_rows(
     d = d.withColumn("_here", F.row_number().over(here))
     d = d.join(F.broadcast(carry), [*by, "_slice"], "left")
     rank = F.col("_here") + F.coalesce("_before", F.lit(0))
-    return d.withColumn(name, F.when(ok, rank.cast("int"))).drop(
-        "_hot", "_slice", "_salt", "_here", "_before", *extra, *helpers
-    )
+    d = d.withColumn(name, F.when(ok, rank.cast("int")))
+    return d.select(*df.columns, name)
 
 
-def intent_and_success(
-    df: DataFrame, session: list[str], t: str, intent: Column, success: Column
+def session_facts(
+    df: DataFrame, session: list[str], t: str, intent: Column, success: Column,
+    flags: dict[str, Column],
 ) -> DataFrame:
-    """Add the session's first intent time and first success time."""
+    """Add first intent time, first success time and 0/1 flags of the session at once."""
     return session_transform(
         df,
         session,
@@ -152,10 +153,18 @@ def intent_and_success(
         {
             "first_transaction_time": F.min(F.when(intent, F.col(t))),
             "transaction_success_time": F.min(F.when(success, F.col(t))),
+            **{n: F.max(F.when(c, 1).otherwise(0)) for n, c in flags.items()},
         },
     )
 
 
+def intent_and_success(
+    df: DataFrame, session: list[str], t: str, intent: Column, success: Column
+) -> DataFrame:
+    """Add the session's first intent time and first success time."""
+    return session_facts(df, session, t, intent, success, {})
+
+
 def session_flags(
     df: DataFrame, session: list[str], t: str, flags: dict[str, Column]
 ) -> DataFrame:
@@ -208,4 +217,4 @@ def sessions_touching(
 def semi_join(df: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
     """Rows whose key is in ``keys``; a short key list is broadcast after counting it."""
     wanted = keys.select(*on).distinct()
-    return df.join(broadcast_checked(wanted), on, "left_semi")
+    return df.join(broadcast_checked(wanted), on, "left_semi").select(*df.columns)

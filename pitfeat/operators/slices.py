@@ -21,6 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pitfeat.checkpoints import cut_lineage
 from pitfeat.limits import any_null, is_small, largest_key, limit, not_null, rows_per_key
 
 SAMPLES_PER_SLICE = 32
@@ -80,7 +81,7 @@ class Place:
 
     def __init__(self, df: DataFrame, by: list[str], t: str, micros: str, slices: Slices | None):
         self.by, self.t, self.micros, self.slices = by, t, micros, slices
-        self._df, self._largest = df, None
+        self._df, self._largest, self.operators = df, None, 0
 
     def largest(self) -> int:
         if self._largest is None:
@@ -100,15 +101,58 @@ def place(df: DataFrame, by: list[str], t: str, slice_rows: int | None = None) -
     With hot keys the rows stay where they are; each operator then places its
     own slices.
     """
+    timed_df = df.withColumn("_o", F.unix_micros(t))
+    return _place(df, by, t, plan_slices(timed_df, by, "_o", slice_rows))
+
+
+def _place(df: DataFrame, by: list[str], t: str, slices: Slices | None) -> DataFrame:
     n = next(_numbers)
     helper, micros = f"_spread_{n}", f"_micros_{n}"
-    d = df.withColumn(micros, F.unix_micros(t))
-    slices = plan_slices(d, by, micros, slice_rows)
     _places[helper] = Place(df, by, t, micros, slices)
-    d = d.withColumn(helper, F.when(any_null(by), F.xxhash64(t)))
+    d = df.withColumns(
+        {micros: F.unix_micros(t), helper: F.when(any_null(by), F.xxhash64(t))}
+    )
     return d.repartition(*by, helper) if slices is None else d
 
 
+def run_placed(
+    df: DataFrame,
+    by: list[str],
+    t: str,
+    chain: Callable[[DataFrame], DataFrame],
+    slice_rows: int | None = None,
+) -> DataFrame:
+    """Run a chain of operators on the same key.
+
+    Keys that fit a task share one shuffle and need nothing else. Only the rows
+    of hot keys take the way through slices, where each operator reads its input
+    twice and so settles it first.
+    """
+    slices = plan_slices(df.withColumn("_o", F.unix_micros(t)), by, "_o", slice_rows)
+    if slices is None:
+        return unplace(chain(_place(df, by, t, None)))
+    keys = F.broadcast(slices.table.select(*by))
+    cold, hot = (
+        df.join(keys, by, how).select(*df.columns) for how in ("left_anti", "left_semi")
+    )
+    cold, hot = chain(_place(cold, by, t, None)), chain(_place(hot, by, t, slices))
+    return unplace(cold).unionByName(unplace(hot))
+
+
+def settled(df: DataFrame, by: list[str]) -> DataFrame:
+    """Input of an operator that reads it twice because keys are hot.
+
+    In a chain every such reading would repeat all operators before it, twice
+    as many at each step. A reliable checkpoint stops that; the first operator
+    of a chain reads its source again instead.
+    """
+    known = place_of(df, by)
+    if known is None or known[1].slices is None:
+        return df
+    known[1].operators += 1
+    return cut_lineage(df) if known[1].operators > 1 else df
+
+
 def unplace(df: DataFrame) -> DataFrame:
     helpers = [c for c in df.columns if c in _places]
     return df.drop(*helpers, *[_places[c].micros for c in helpers])
@@ -275,7 +319,7 @@ def running(
         return w.rangeBetween(Window.unboundedPreceding, last)
 
     ok = not_null([*by, order])
-    d, keys, helpers = placed(df, by, order)
+    d, keys, _ = placed(df, by, order)
     if slices is None:
         w = Window.partitionBy(*keys).orderBy(order)
     else:
@@ -289,7 +333,6 @@ def running(
         done = {
             n: F.when(ok, F.col(f"_l_{n}")).otherwise(f.empty) for n, f in folds.items()
         }
-        extra: list[str] = []
     else:
         carry = slice_carry(d, by, folds)
         local = local.join(F.broadcast(carry), [*by, "_slice"], "left")
@@ -298,11 +341,10 @@ def running(
             own = F.col(f"_p_{n}") if inclusive else F.lit(None)
             here = F.when(is_spread(), own).otherwise(F.col(f"_l_{n}"))
             done[n] = F.when(ok, f.join(F.col(f"_c_{n}"), here)).otherwise(f.empty)
-        extra = ["_hot", "_slice", "_salt"] + [
-            f"_{p}_{n}" for n in folds for p in ("c", "p")
-        ]
-    out = local.withColumns(done)
-    return out.drop(*extra, *helpers, "_first_peer", *[f"_l_{n}" for n in folds])
+    return local.select(
+        *[F.col(c) for c in df.columns if c not in folds],
+        *[value.alias(n) for n, value in done.items()],
+    )
 
 
 def slice_carry(d: DataFrame, by: list[str], folds: dict[str, Fold]) -> DataFrame:
@@ -344,7 +386,8 @@ def group_transform(
         w = Window.partitionBy(*keys)
         d = d.withColumns({n: F.when(ok, a.over(w)) for n, a in aggs.items()})
         return d.drop(*helpers)
-    totals = df.where(ok).groupBy(*by).agg(*[a.alias(n) for n, a in aggs.items()])
-    return df.join(totals, by, "left")
+    d = settled(df, by)
+    totals = d.where(ok).groupBy(*by).agg(*[a.alias(n) for n, a in aggs.items()])
+    return d.join(totals, by, "left").select(*df.columns, *aggs)
 
 

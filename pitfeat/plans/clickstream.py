@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pitfeat.operators import history as h
 from pitfeat.operators import sessions as s
 from pitfeat.operators.reduce import latest_per_key
-from pitfeat.operators.slices import place, unplace
+from pitfeat.operators.slices import run_placed
 
 
 @dataclass(frozen=True)
@@ -32,11 +32,9 @@ class Clicks:
 def click_sessions(df: DataFrame, c: Clicks) -> DataFrame:
     """Sessions with bounds and hits, then the sessions and events worth keeping.
 
-    Bounds and hit counts come before the event filter, histories after it. The
-    placement helper stays in the result; `unplace` drops it.
+    Bounds and hit counts come before the event filter, histories after it.
     """
-    d = place(df, [c.visitor], c.time)
-    d = s.sessionize(d, [c.visitor], c.time, c.gap_s)
+    d = s.sessionize(df, [c.visitor], c.time, c.gap_s)
     d = s.session_stats(d, [c.visitor], c.time, tie=c.tie)
     d = s.sessions_touching(d, [c.visitor, "session_n"], c.time, c.anchor)
     return d if c.rules is None else s.keep_events(d, c.rules, c.rule_columns)
@@ -77,22 +75,24 @@ def non_anchor_history(df: DataFrame, by: list[str], t: str, anchor: Column) ->
 
 def click_features(df: DataFrame, c: Clicks) -> DataFrame:
     """All session features of every kept event."""
-    return unplace(placed_features(df, c))
+    return run_placed(df, [c.visitor], c.time, lambda d: _features(d, c))
 
 
-def placed_features(df: DataFrame, c: Clicks) -> DataFrame:
+def _features(df: DataFrame, c: Clicks) -> DataFrame:
     by, session = [c.visitor], [c.visitor, "session_n"]
     d = session_history(click_sessions(df, c), by)
     zero = ["mean_number_of_sessions", "median_number_of_sessions",
             "mean_session_time", "median_session_time"]
     d = d.na.fill(0, zero)
-    d = s.intent_and_success(d, session, c.time, c.intent, c.success)
+    d = s.session_facts(d, session, c.time, c.intent, c.success, c.flags)
     d = s.first_session(d, by)
     d = non_anchor_history(d, by, c.time, c.anchor)
-    d = s.after_intent_measures(d, c.time)
-    return s.session_flags(d, session, c.time, c.flags) if c.flags else d
+    return s.after_intent_measures(d, c.time)
 
 
 def latest_features(df: DataFrame, c: Clicks) -> DataFrame:
     """The newest feature row of each visitor."""
-    return unplace(latest_per_key(placed_features(df, c), [c.visitor], c.time, c.tie))
+    def chain(d):
+        return latest_per_key(_features(d, c), [c.visitor], c.time, c.tie)
+
+    return run_placed(df, [c.visitor], c.time, chain)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pitfeat.operators import history as h
-from pitfeat.operators.slices import place, unplace
+from pitfeat.operators.slices import run_placed
 
 
 @dataclass(frozen=True)
@@ -28,8 +28,7 @@ class Transactions:
 def transaction_history(df: DataFrame, c: Transactions) -> DataFrame:
     """Add every history feature of the entity as of each transaction.
 
-    All of it runs on one placement by entity; nothing is joined to itself. The
-    placement helpers stay in the result; `unplace` drops them.
+    Nothing is joined to itself. `run_placed` lets all of it share one shuffle.
     """
     by, t = [c.entity], c.time
     aggs = {
@@ -43,7 +42,7 @@ def transaction_history(df: DataFrame, c: Transactions) -> DataFrame:
         aggs["number_of_banks"] = h.distinct(c.account)
     if c.location:
         aggs["number_of_different_locations"] = h.distinct(c.location)
-    d = h.prior_agg(place(df, by, t), by, t, aggs)
+    d = h.prior_agg(df, by, t, aggs)
     d = h.gap_seconds(d, by, t, [c.id], "seconds_since_last_transaction")
     d = h.prior_agg(
         d, by, t,
@@ -61,12 +60,15 @@ def transaction_history(df: DataFrame, c: Transactions) -> DataFrame:
 
 def transaction_features(df: DataFrame, c: Transactions, utc_offset=(5, 30)) -> DataFrame:
     """History, then rows up to the first success, with local time and hours."""
-    d = transaction_history(df, c)
-    d = h.until_first(d, [c.entity], c.time, c.success, cutoff="cutoff_time")
+    def chain(d):
+        d = transaction_history(d, c)
+        return h.until_first(d, [c.entity], c.time, c.success, cutoff="cutoff_time")
+
+    d = run_placed(df, [c.entity], c.time, chain)
     local = F.col(c.time) + F.make_dt_interval(
         hours=F.lit(utc_offset[0]), mins=F.lit(utc_offset[1])
     )
-    return unplace(d).withColumns(
+    return d.withColumns(
         {
             "local_time": local,
             "time_hour_utc": F.hour(c.time),

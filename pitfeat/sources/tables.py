@@ -43,6 +43,18 @@ def read_csv(spark: SparkSession, path: str, schema: str | T.StructType) -> Data
     return spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(path)
 
 
+def snapshot_query(
+    table: str, part_col: str, highest: int | None,
+    columns: list[str] | None = None, predicate: str | None = None,
+) -> str:
+    """Subquery with the rows up to the largest key seen at the start; none if there was none."""
+    picked = ", ".join(columns) if columns else "*"
+    where = "1 = 0" if highest is None else f"{part_col} <= {highest}"
+    if predicate:
+        where += f" AND ({predicate})"
+    return f"(SELECT {picked} FROM {table} WHERE {where}) t"
+
+
 def read_jdbc(
     spark: SparkSession, url: str, table: str, part_col: str, partitions: int,
     columns: list[str] | None = None, predicate: str | None = None,
@@ -50,31 +62,23 @@ def read_jdbc(
 ) -> DataFrame:
     """Parallel read of a database table up to the largest key at the start.
 
-    The bounds come from one min/max query on this table. Rows added later are
-    beyond the upper bound and are left out, so all partitions see the same
-    table. Credentials and driver belong in ``options``, supplied by the caller.
+    The bounds come from one min/max query on this very table. Rows added later
+    lie beyond them and are left out, so all partitions see the same table.
+    ``predicate`` runs in the database. Credentials and driver belong in
+    ``options``, supplied by the caller.
     """
     reader = spark.read.format("jdbc").option("url", url).options(**(options or {}))
     where = f" WHERE {predicate}" if predicate else ""
-    bounds = reader.option(
-        "dbtable",
-        f"(SELECT MIN({part_col}) AS LO, MAX({part_col}) AS HI FROM {table}{where}) b",
-    ).load().first()
-    picked = ", ".join(columns) if columns else "*"
-    lo, hi = bounds[0], bounds[1]
-    if hi is None:
-        limit = f"({predicate}) AND 1 = 0" if predicate else "1 = 0"
-        lo = hi = 0
-    else:
-        limit = f"{part_col} <= {hi}" + (f" AND ({predicate})" if predicate else "")
+    span = f"(SELECT MIN({part_col}) AS LO, MAX({part_col}) AS HI FROM {table}{where}) b"
+    lo, hi = reader.option("dbtable", span).load().first()
     return (
         spark.read.format("jdbc")
         .option("url", url)
         .options(**(options or {}))
-        .option("dbtable", f"(SELECT {picked} FROM {table} WHERE {limit}) t")
+        .option("dbtable", snapshot_query(table, part_col, hi, columns, predicate))
         .option("partitionColumn", part_col)
-        .option("lowerBound", lo)
-        .option("upperBound", max(hi, lo + 1))
+        .option("lowerBound", 0 if lo is None else lo)
+        .option("upperBound", 1 if hi is None else max(hi, lo + 1))
         .option("numPartitions", partitions)
         .load()
     )
