@@ -12,9 +12,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pitfeat.limits import limit, not_null
+from pitfeat.checkpoints import cut_lineage
+from pitfeat.limits import limit, not_null, rows_per_key
 from pitfeat.operators.median import before_medians
 from pitfeat.operators.slices import (
+    Slices,
     count_of,
     group_transform,
     largest_rows,
@@ -139,38 +141,63 @@ def prior_agg(
             folds[n] = sum_of(F.col(f"_f_{n}"))
             done[n] = F.coalesce(n, F.lit(0))
         d = d.unionByName(marks, allowMissingColumns=True)
-    if medians and not big:
+    if medians:
+        d, scatter = mark_long(d, by, keys, o, slices, frame_rows) if big else (d, keys)
         w = (
-            Window.partitionBy(*keys)
+            Window.partitionBy(*scatter)
             .orderBy(o)
             .rangeBetween(Window.unboundedPreceding, -1)
         )
-        ok = not_null([*by, o])
+        short = not_null([*by, o])
+        if big:
+            short = short & ~F.col("_long")
         for n in medians:
-            half = F.percentile(F.col(f"_x_{n}").cast("double"), F.lit(0.5))
-            d = d.withColumn(f"_m_{n}", F.when(ok, half.over(w)))
-            done[n] = F.col(f"_m_{n}")
+            # values of long keys never enter the frame
+            half = F.percentile(F.when(short, F.col(f"_x_{n}").cast("double")), F.lit(0.5))
+            d = d.withColumn(f"_m_{n}", F.when(short, half.over(w)))
+            done[n] = F.coalesce(f"_m_{n}", f"_h_{n}") if big else F.col(f"_m_{n}")
     if folds:
         d = running(d, by, o, folds, slices)
     if distincts and slices is not None:
         d = d.where(F.col("_mark").isNull()).drop("_mark")
     if big:
+        d = cut_lineage(d)
+        long = d.where("_long")
         for n in medians:
-            facts = d.select(
+            facts = long.select(
                 *by,
                 (F.col(o) * 2 + 1).alias("_at"),
                 F.col(f"_x_{n}").cast("double").alias("_x"),
                 F.lit(1).alias("_w"),
             )
-            probes = d.select(*by, (F.col(o) * 2).alias("_at")).distinct()
+            probes = long.select(*by, (F.col(o) * 2).alias("_at")).distinct()
             half = before_medians(facts, probes, by, slice_rows).select(
-                *by, (F.col("_at") / 2).cast("long").alias(o), F.col("_median").alias(n)
+                *by, F.expr("_at div 2").alias(o), F.col("_median").alias(f"_h_{n}")
             )
             d = d.join(half, [*by, o], "left")
     d = d.withColumns(done)
     return d.select(*[F.col(c) for c in df.columns], *[F.col(n) for n in aggs])
 
 
+def mark_long(
+    d: DataFrame, by: list[str], keys: list[str], o: str, slices: Slices | None, frame_rows: int
+) -> tuple[DataFrame, list[str]]:
+    """Add ``_long``: does the key have more rows than a quadratic frame may take?
+
+    Returns the partition columns of such frames as well. Without hot keys a
+    count over the placed rows is free. With hot keys the counts are joined, and
+    rows of long keys are scattered, as no frame will look at them.
+    """
+    if slices is None:
+        size = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+        return d.withColumn("_long", not_null(by) & (size > frame_rows)), keys
+    long = rows_per_key(d, by).where(F.col("_n") > frame_rows)
+    d = d.join(long.select(*by, F.lit(True).alias("_long")), by, "left")
+    d = d.withColumn("_long", F.coalesce("_long", F.lit(False)))
+    d = d.withColumn("_scatter", F.when(F.col("_long"), F.xxhash64(o)))
+    return d, [*keys, "_scatter"]
+
+
 def prior_agg_other(
     left: DataFrame,
     right: DataFrame,
@@ -212,38 +239,45 @@ def trailing_agg(
     """Add aggregates over the rows of the same key in [time - seconds, time].
 
     Both ends and the row itself count. A sliding frame costs rows x frame, so
-    it is used only while keys are short. Longer keys turn each row into an
-    event that adds it and a later one that takes it away, and sum those.
+    it serves only short keys. For longer ones each row becomes an event that
+    adds it and a later one that takes it away, and those are summed.
     """
     width = seconds * MICROS_PER_SECOND
     d, keys, _ = placed(df, by, t)
     d = d.withColumn("_o", F.unix_micros(t))
     d = d.withColumns({f"_x_{n}": a.x for n, a in aggs.items()})
     frame_rows = frame_rows or limit(df.sparkSession, "frame.rows")
-    ok = not_null([*by, "_o"])
+    names = [*df.columns, *aggs]
     if largest_rows(d, by) <= frame_rows:
-        w = (
-            Window.partitionBy(*keys)
-            .orderBy("_o")
-            .rangeBetween(-width, Window.currentRow)
-        )
-        done = {}
-        for n, a in aggs.items():
-            x = F.col(f"_x_{n}")
-            plain = {
-                "count": F.count(x),
-                "total": F.sum(x),
-                "mean": F.avg(x),
-                "median": F.percentile(x.cast("double"), F.lit(0.5)),
-                "distinct": F.size(F.collect_set(x).over(w)).cast("long"),
-            }[a.kind]
-            value = plain if a.kind == "distinct" else plain.over(w)
-            zero = F.lit(0) if a.kind in ("count", "distinct") else F.lit(None)
-            done[n] = F.when(ok, value).otherwise(zero)
-        d = d.withColumns(done)
-    else:
-        d = _trailing_by_events(d, by, width, aggs, slice_rows)
-    return d.select(*[F.col(c) for c in df.columns], *[F.col(n) for n in aggs])
+        return _trailing_by_frame(d, by, keys, width, aggs).select(*names)
+    slices = slices_for(d, by, "_o", slice_rows)
+    d, _ = mark_long(d, by, keys, "_o", slices, frame_rows)
+    d = cut_lineage(d)
+    short = _trailing_by_frame(d.where("not _long"), by, keys, width, aggs).select(*names)
+    long = _trailing_by_events(d.where("_long"), by, width, aggs, slice_rows).select(*names)
+    return short.unionByName(long)
+
+
+def _trailing_by_frame(d, by, keys, width, aggs):
+    ok = not_null([*by, "_o"])
+    w = (
+        Window.partitionBy(*keys)
+        .orderBy("_o")
+        .rangeBetween(-width, Window.currentRow)
+    )
+    done = {}
+    for n, a in aggs.items():
+        x = F.col(f"_x_{n}")
+        value = {
+            "count": lambda x=x: F.count(x).over(w),
+            "total": lambda x=x: F.sum(x).over(w),
+            "mean": lambda x=x: F.avg(x).over(w),
+            "median": lambda x=x: F.percentile(x.cast("double"), F.lit(0.5)).over(w),
+            "distinct": lambda x=x: F.size(F.collect_set(x).over(w)).cast("long"),
+        }[a.kind]()
+        zero = F.lit(0) if a.kind in ("count", "distinct") else F.lit(None)
+        done[n] = F.when(ok, value).otherwise(zero)
+    return d.withColumns(done)
 
 
 def _trailing_by_events(d, by, width, aggs, slice_rows):

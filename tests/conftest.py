@@ -12,7 +12,10 @@ def spark():
     session = (
         SparkSession.builder.master("local[8]")
         .appName("pitfeat-tests")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "4")
+        # the frames are tiny: compiling code would take longer than running it
+        .config("spark.sql.codegen.wholeStage", "false")
+        .config("spark.sql.codegen.factoryMode", "NO_CODEGEN")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")

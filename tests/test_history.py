@@ -79,7 +79,7 @@ def test_prior_agg(spark, slice_rows, frame_rows):
         assert mine == pytest.approx(list(want[r.id])), (r, want[r.id])
 
 
-@pytest.mark.parametrize("frame_rows,slice_rows", [(None, None), (1, None), (1, 30)])
+@pytest.mark.parametrize("frame_rows,slice_rows", [(None, None), (25, None), (1, 30)])
 def test_trailing_agg(spark, frame_rows, slice_rows):
     data, width = rows(300, 2), 1200
     aggs = {
