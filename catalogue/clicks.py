@@ -253,6 +253,29 @@ TRAILING_SESSION_SQL = cte() + """,
       GROUP BY a.event_id, a.n"""
 
 
+def trailing_nonanchor_counts(spark, sf):
+    """Non-anchor events and their sessions of the last 7 days, the event included."""
+    other = ~is_type("purchase")
+    aggs = {
+        "actions": h.count(other),
+        "sessions": h.distinct(F.when(other, F.col("session_n"))),
+    }
+    d = on_sessions(spark, sf, lambda d: h.trailing_agg(d, BY, T, 7 * 86_400, aggs))
+    return d.select("event_id", "actions", "sessions")
+
+
+def trailing_long(spark, sf):
+    """The last day of all events of a kind: histories too long for a frame."""
+    aggs = {
+        "n": h.count(), "total": h.total("value"), "half": h.median("value"),
+        "users": h.distinct("user_id"),
+    }
+    d = h.trailing_agg(
+        events(spark, sf), ["event_type"], T, 86_400, aggs, frame_rows=500
+    )
+    return d.select("event_id", "n", *rounded(2, "total"), *rounded(6, "half"), "users")
+
+
 def union_web_app(spark, sf):
     e = events(spark, sf)
     web = e.where(parity() == 0).select("user_id", F.col("event_id").alias("order_id"), T)
@@ -477,6 +500,17 @@ QUERIES = {
       GROUP BY a.event_id, a.hit_number, a.number_of_hits"""),
     "trailing_7d_activity": (trailing_7d_activity, TRAILING_SQL),
     "trailing_session_history": (trailing_session_history, TRAILING_SESSION_SQL),
+    "trailing_nonanchor_counts": (trailing_nonanchor_counts, cte() + """
+      SELECT a.event_id, count(b.event_id) AS actions, count(DISTINCT b.session_n) AS sessions
+      FROM s a LEFT JOIN s b ON b.user_id = a.user_id AND b.event_type <> 'purchase'
+        AND b.ts BETWEEN a.ts - INTERVAL 7 DAY AND a.ts
+      GROUP BY a.event_id"""),
+    "trailing_long": (trailing_long, """
+      SELECT a.event_id, count(b.event_id) AS n, round(sum(b.value), 2) AS total,
+             round(median(b.value), 6) AS half, count(DISTINCT b.user_id) AS users
+      FROM events a JOIN events b ON b.event_type = a.event_type
+        AND b.ts BETWEEN a.ts - INTERVAL 1 DAY AND a.ts
+      GROUP BY a.event_id"""),
     "union_web_app": (union_web_app, """
       SELECT CASE WHEN CAST(json_extract(props, '$.k') AS INT) % 2 = 0
                   THEN 'web' ELSE 'app' END AS source,

@@ -172,7 +172,7 @@ def array_dimension(spark, sf):
     return dims.select("l_orderkey", c.dimension_value("dims", 3).alias("value"))
 
 
-PAYLOAD = ("struct<data:struct<mlPayoutHoldParams:array<struct<"
+PAYLOAD = ("struct<data:struct<waitingOrders:array<struct<"
            "orderId:bigint,gaId:bigint,transactionTime:bigint>>>>")
 
 
@@ -184,10 +184,10 @@ def json_payload_inline(spark, sf):
             F.unix_millis("ts").alias("transactionTime"),
         )
 
-    params = F.struct(F.array(item(0), item(1)).alias("mlPayoutHoldParams"))
+    params = F.struct(F.array(item(0), item(1)).alias("waitingOrders"))
     landed = events(spark, sf).select(F.to_json(F.struct(params.alias("data"))).alias("body"))
     d = explode_payload(
-        landed, "body", PAYLOAD, "data.mlPayoutHoldParams",
+        landed, "body", PAYLOAD, "data.waitingOrders",
         {"orderId": "order_id", "gaId": "ga_id", "transactionTime": "transaction_time"},
         {"transaction_time": "transaction_timestamp"},
     )

@@ -96,3 +96,33 @@ def latest_features(df: DataFrame, c: Clicks) -> DataFrame:
         return latest_per_key(_features(d, c), [c.visitor], c.time, c.tie)
 
     return run_placed(df, [c.visitor], c.time, chain)
+
+
+def hit_history(df: DataFrame, by: list[str], t: str) -> DataFrame:
+    """Earlier sessions, views and devices of a visitor, from analytics hits.
+
+    Means and medians of the session count and of the time on site run over the
+    earlier hits. A hit in a session without hits has no share.
+    """
+    def chain(d):
+        d = h.prior_agg(
+            d, by, t,
+            {
+                "number_of_sessions": h.distinct("session_id"),
+                "number_of_page_views": h.total("page_views"),
+                "number_of_screen_views": h.total("screen_views"),
+                "number_of_devices_used": h.distinct("brand"),
+            },
+        )
+        return h.prior_agg(
+            d, by, t,
+            {
+                "mean_number_of_sessions": h.mean("number_of_sessions"),
+                "mean_session_time": h.mean("time_on_site"),
+                "median_number_of_sessions": h.median("number_of_sessions"),
+                "median_session_time": h.median("time_on_site"),
+            },
+        )
+
+    share = F.try_divide(F.col("hit_number"), F.col("no_hits"))
+    return run_placed(df, by, t, chain).withColumn("hit_occurence_wrt_total_hits", share)
