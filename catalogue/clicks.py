@@ -50,8 +50,8 @@ def cte(gap=GAP):
         FROM numbered GROUP BY user_id, session_n),
       s AS (
         SELECT n.*, b.session_start, b.session_end, b.number_of_hits, b.session_time,
-               row_number() OVER (PARTITION BY n.user_id, n.session_n
-                                  ORDER BY n.ts, n.event_id) AS hit_number
+               CAST(row_number() OVER (PARTITION BY n.user_id, n.session_n
+                                       ORDER BY n.ts, n.event_id) AS INT) AS hit_number
         FROM numbered n JOIN bounds b USING (user_id, session_n))
     """
 

@@ -86,7 +86,8 @@ REPORT = """,
 CURVE = SCORED + """,
       cuts AS (SELECT DISTINCT score AS threshold FROM d),
       curve AS (
-        SELECT threshold, sum(label) AS tp, count(*) - sum(label) AS fp,
+        SELECT threshold, CAST(sum(label) AS BIGINT) AS tp,
+               CAST(count(*) - sum(label) AS BIGINT) AS fp,
                sum(label) / count(*) AS precision,
                sum(label) / (SELECT sum(label) FROM d) AS recall
         FROM cuts JOIN d ON score >= threshold GROUP BY threshold)"""

@@ -313,8 +313,8 @@ QUERIES = {
              CAST(json_extract(props, '$.k') AS INT) AS k_struct,
              CAST(json_extract(props, '$.k') AS INT) AS k_clean FROM events"""),
     "json_lists": (json_lists, """
-      SELECT l_orderkey, count(DISTINCT l_linenumber) FILTER (l_returnflag = 'R')
-             + count(DISTINCT l_linenumber) FILTER (l_returnflag = 'A') AS n_seen
+      SELECT l_orderkey, CAST(count(DISTINCT l_linenumber) FILTER (l_returnflag = 'R')
+             + count(DISTINCT l_linenumber) FILTER (l_returnflag = 'A') AS INT) AS n_seen
       FROM lineitem GROUP BY l_orderkey"""),
     "array_dimension": (array_dimension, """
       SELECT l_orderkey, min(l_suppkey) FILTER (l_linenumber = 3) AS value
@@ -331,8 +331,8 @@ QUERIES = {
              substr(o_orderpriority, 1, 4) AS account_bank,
              CASE WHEN o_orderstatus <> 'P' THEN 'web' END AS medium,
              round(ln(greatest(1, o_totalprice)), 6) AS log_price,
-             hour(o_orderdate + INTERVAL 330 MINUTE) AS local_hour,
-             month(o_orderdate) AS month, TRY_CAST(o_orderpriority AS INT) AS as_number,
+             CAST(hour(o_orderdate + INTERVAL 330 MINUTE) AS INT) AS local_hour,
+             CAST(month(o_orderdate) AS INT) AS month, TRY_CAST(o_orderpriority AS INT) AS as_number,
              CASE WHEN o_totalprice > 100000 THEN 'yes' ELSE 'no' END AS large
       FROM orders"""),
     "top_parts": (top_parts, """

@@ -151,11 +151,11 @@ QUERIES = {
       SELECT l_linenumber, count(*) AS n, round(avg(label) * 100, 9) AS rate
       FROM d GROUP BY l_linenumber"""),
     "lift_ratio": (lift_ratio, LINES + """
-      SELECT l_suppkey, sum(label) AS positives, count(*) - sum(label) AS negatives,
+      SELECT l_suppkey, CAST(sum(label) AS BIGINT) AS positives, CAST(count(*) - sum(label) AS BIGINT) AS negatives,
              round(sum(label) * 100 / (count(*) - sum(label)), 9) AS lift
       FROM d GROUP BY l_suppkey HAVING sum(label) > 0 AND sum(label) < count(*)"""),
     "lift_top_k": (lift_top_k, LINES + """
-      SELECT l_partkey, sum(label) AS positives, count(*) - sum(label) AS negatives,
+      SELECT l_partkey, CAST(sum(label) AS BIGINT) AS positives, CAST(count(*) - sum(label) AS BIGINT) AS negatives,
              round(sum(label) * 100 / count(*), 9) AS lift
       FROM d GROUP BY l_partkey HAVING sum(label) > 0 AND sum(label) < count(*)
       ORDER BY sum(label) * 100 / count(*) DESC, l_partkey LIMIT 30"""),
@@ -169,8 +169,8 @@ QUERIES = {
     "box_stats_spread": (lambda sp, sf: box_stats(sp, sf, True), BOX_SQL),
     "month_rate": (month_rate, """
       WITH d AS (SELECT *, CAST(o_orderstatus = 'O' AS INT) AS label FROM orders)
-      SELECT o_orderpriority, month(o_orderdate) AS month, sum(label) AS positives,
-             count(*) - sum(label) AS negatives,
+      SELECT o_orderpriority, CAST(month(o_orderdate) AS INT) AS month, CAST(sum(label) AS BIGINT) AS positives,
+             CAST(count(*) - sum(label) AS BIGINT) AS negatives,
              round(sum(label) * 100 / (count(*) - sum(label)), 9) AS lift
       FROM d GROUP BY 1, 2 HAVING sum(label) > 0 AND sum(label) < count(*)"""),
     "share_below": (share_below, LINES + """

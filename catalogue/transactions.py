@@ -311,8 +311,8 @@ QUERIES = {
       SELECT o_orderkey, city,
              CASE WHEN o_orderdate > first THEN 'RU' ELSE 'NU' END AS user_flag,
              CASE WHEN o_orderpriority = '1-URGENT' THEN 'yes' ELSE 'no' END AS referral_code,
-             hour(o_orderdate) AS time_hour_utc,
-             hour(o_orderdate + INTERVAL 330 MINUTE) AS time_hour_local,
+             CAST(hour(o_orderdate) AS INT) AS time_hour_utc,
+             CAST(hour(o_orderdate + INTERVAL 330 MINUTE) AS INT) AS time_hour_local,
              epoch_us(cutoff_time) AS cutoff_time_us,
              number_of_failed_transactions, total_number_of_transactions,
              seconds_since_last_transaction, number_of_banks, number_of_different_locations,
