@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,8 +29,24 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: survives the loss of executors, unlike a local one."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint()
+    """Write the frame to the shared folder and read it back.
+
+    The files survive the loss of executors. Unlike a checkpointed RDD they are
+    computed once, read column by column, and have a known size, so the plans
+    that follow can tell small from large without measuring.
+    """
+    spark = df.sparkSession
+    path = f"{_folder(spark)}/cut-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_cuts(spark: SparkSession) -> None:
+    """Delete this application's intermediate tables, once no frame needs them."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(_folder(spark))
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.delete(root, True)
+
+
+def _folder(spark: SparkSession) -> str:
+    return f"{shared_dir(spark).rstrip('/')}/{spark.sparkContext.applicationId}"

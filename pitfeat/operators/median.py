@@ -79,21 +79,16 @@ def _descend(ranked, asks, by, level, slice_rows):
     )
     line = asks.unionByName(facts, allowMissingColumns=True)
     node = [*by, "_node"]
-    counts = {
-        f"_n{i}": sum_of(F.when(F.col("_digit") == i, F.col("_w"))) for i in range(DIGITS)
+    # earlier facts whose digit is at most i
+    upto = {
+        f"_n{i}": sum_of(F.when(F.col("_digit") <= i, F.col("_w"))) for i in range(DIGITS - 1)
     }
-    line = running(line, node, "_at", counts, plan_slices(line, node, "_at", slice_rows))
+    line = running(line, node, "_at", upto, plan_slices(line, node, "_at", slice_rows))
     line = line.where(F.col("_digit").isNull())
-    child, skipped, taken = F.lit(None), F.lit(None), F.lit(0)
-    ends = []
-    for i in range(DIGITS):
-        before = taken
-        taken = taken + F.coalesce(F.col(f"_n{i}"), F.lit(0))
-        ends.append((i, before, taken))
-    for i, before, upto in reversed(ends):
-        here = upto > F.col("_k")
-        child = F.when(here, F.lit(i)).otherwise(child)
-        skipped = F.when(here, before).otherwise(skipped)
+    counts = F.array(*[F.coalesce(F.col(c), F.lit(0)) for c in upto])
+    line = line.withColumn("_below", F.filter(counts, lambda n: n <= F.col("_k")))
+    child = F.size("_below")
+    skipped = F.coalesce(F.get("_below", child - 1), F.lit(0))
     return line.select(
         *by,
         "_at",
