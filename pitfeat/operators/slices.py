@@ -143,8 +143,8 @@ def settled(df: DataFrame, by: list[str]) -> DataFrame:
     """Input of an operator that reads it twice because keys are hot.
 
     In a chain every such reading would repeat all operators before it, twice
-    as many at each step. A reliable checkpoint stops that; the first operator
-    of a chain reads its source again instead.
+    as many at each step. A written table stops that; the first operator of a
+    chain reads its source again instead.
     """
     known = place_of(df, by)
     if known is None or known[1].slices is None:

@@ -25,3 +25,18 @@ def test_contract(spark):
 @pytest.mark.parametrize("name", SOME)
 def test_query_equals_sql(spark, name):
     assert compare(spark, connect(SF), SF, name) is None
+
+
+@pytest.mark.parametrize("name", [
+    "sessionize_events_6h", "txn_prior_counts", "txn_last3", "prior_distinct_accounts",
+    "asof_click_before_purchase", "pr_points",
+])
+def test_query_equals_sql_in_slices(spark, name):
+    """Every key with more than 40 rows is cut; the result stays the same."""
+    spark.conf.set("spark.pitfeat.small.bytes", "0")
+    spark.conf.set("spark.pitfeat.slice.rows", "40")
+    try:
+        assert compare(spark, connect(SF), SF, name) is None
+    finally:
+        spark.conf.unset("spark.pitfeat.small.bytes")
+        spark.conf.unset("spark.pitfeat.slice.rows")

@@ -168,3 +168,11 @@ def test_model_round_trip(spark, tmp_path):
     assert a == b
     unknown = d.withColumn("e", F.lit("never seen"))
     assert model.score(unknown, again, [0.5]).count() == 200
+
+
+def test_tuning_picks_from_the_grid(spark):
+    d = events(spark, 200)
+    best = model.tune(d, ["s"], ["e"], "y", {"maxDepth": [1, 2], "maxIter": [1]})
+    trees = best.stages[-1]
+    assert trees.getOrDefault("maxIter") == 1 and trees.getOrDefault("maxDepth") in (1, 2)
+    assert model.score(d, best, [0.5]).count() == 200
