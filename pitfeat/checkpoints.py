@@ -36,11 +36,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     that follow can tell small from large without measuring.
     """
     spark = df.sparkSession
-    path = f"{_folder(spark)}/cut-{uuid.uuid4().hex}"
+    path = scratch_folder(spark, "cut")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def scratch_folder(spark: SparkSession, kind: str) -> str:
+    """A new, empty folder name under the shared folder."""
+    return f"{_folder(spark)}/{kind}-{uuid.uuid4().hex}"
+
+
 def drop_cuts(spark: SparkSession) -> None:
     """Delete this application's intermediate tables, once no frame needs them."""
     root = spark._jvm.org.apache.hadoop.fs.Path(_folder(spark))
