@@ -11,6 +11,7 @@ from pitfeat.llm import (
     decontaminate,
     html_text,
     language_id,
+    ngram_join,
     quality_net,
     quality_rules,
     token_counts,
@@ -57,6 +58,11 @@ def op5_warc(spark, sf_dir):
     return warc.page_report(warc.read_archives(spark, folder), pages.schema["page_id"].dataType)
 
 
+def op6_ngram_join(spark, sf_dir):
+    found = ngram_join.similar_groups(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
 def op7_language_id(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     held_out = id_bucket("doc_id", 4) == 2
@@ -182,6 +188,7 @@ QUERIES = {
     "op2_token_counts": (op2_token_counts, None),
     "op3_html_text": (op3_html_text, None),
     "op5_warc": (op5_warc, OP5_SQL),
+    "op6_ngram_join": (op6_ngram_join, None),
     "op7_language_id": (op7_language_id, None),
     "op8_quality_net": (op8_quality_net, None),
     "op9_bpe_codec": (op9_bpe_codec, None),
