@@ -22,6 +22,7 @@ import struct
 from functools import lru_cache
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -166,18 +167,30 @@ def codec(path: str) -> Codec:
 
 
 def encode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id and ids (array<long>) of every row."""
+    """doc_id, ids (array<int>), n_tokens and exact of every row.
+
+    ``exact`` says that decoding the ids gives the text again.
+    """
     kind = docs.schema[doc_id].dataType.simpleString()
 
     def run(batches):
         c = codec(path)
         for b in batches:
-            ids = [c.encode(t) for t in b.column("_text").to_pylist()]
+            ids, exact = [], []
+            for t in b.column("_text"):
+                text = t.as_py()
+                data = c.packed(text)
+                ids.append(np.frombuffer(data, np.int32))
+                exact.append(c.decode(memoryview(data).cast("I")) == text)
+            sizes = np.array([len(i) for i in ids], np.int64)
+            ends = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
+            lists = pa.ListArray.from_arrays(ends, np.concatenate(ids) if ids else np.empty(0, np.int32))
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array(ids, pa.list_(pa.int64()))], ["doc_id", "ids"])
+                [b.column("doc_id"), lists, pa.array(sizes), pa.array(exact, pa.bool_())],
+                ["doc_id", "ids", "n_tokens", "exact"])
 
     return docs.select(F.col(doc_id).alias("doc_id"), whole(text).alias("_text")).mapInArrow(
-        run, f"doc_id {kind}, ids array<long>")
+        run, f"doc_id {kind}, ids array<int>, n_tokens long, exact boolean")
 
 
 def decode(rows: DataFrame, path: str, doc_id: str = "doc_id", ids: str = "ids") -> DataFrame:

@@ -414,7 +414,10 @@ def similar_groups(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", block: int = BLOCK_SHINGLES,
     frequent_share: int = FREQUENT_SHARE, frequent_most: int = FREQUENT, frequent_from: int = FREQUENT_FROM,
 ) -> DataFrame:
-    """doc_id, n_shingles, component_id of every row, and class_id (digest of the set)."""
+    """doc_id, key (MD5 of the text), n_shingles, component_id, root of every row.
+
+    ``root`` is the component's smallest class; rows without words have none.
+    """
     spark = docs.sparkSession
     kind = docs.schema[doc_id].dataType.simpleString()
     rows = docs.select(
@@ -433,7 +436,22 @@ def similar_groups(
     rooted = classes.join(roots.select(F.col("node").alias("digest"), "root"), "digest", "left").withColumn(
         "root", F.coalesce("root", "digest"))
     smallest = rooted.groupBy("root").agg(F.min("_id").alias("component_id"))
-    named = rooted.join(smallest, "root").select(F.col("digest").alias("_g"), "component_id")
+    named = rooted.join(smallest, "root").select(F.col("digest").alias("_g"), "component_id", "root")
     return sets.join(named, F.col("digest") == F.col("_g"), "left").select(
-        "doc_id", F.col("n").alias("n_shingles"),
-        F.coalesce("component_id", "doc_id").alias("component_id"), F.hex("digest").alias("class_id"))
+        "doc_id", "key", F.col("n").alias("n_shingles"),
+        F.coalesce("component_id", "doc_id").alias("component_id"), "root")
+
+
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **settings) -> DataFrame:
+    """One row of each component, that with the smallest id; all rows without words."""
+    found = similar_groups(docs, doc_id, text, **settings)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "key")).alias("m")
+    kept = cut_lineage(found.where("n_shingles > 0").groupBy("root").agg(
+        first, F.count("*").alias("rows")).select(F.col("m.doc_id").alias("_i"), F.col("m.key").alias("_k"), "rows"))
+    wordless = found.where("n_shingles = 0").select(
+        F.col("doc_id").alias("_i"), F.col("key").alias("_k"), F.lit(0).cast("long").alias("rows")).distinct()
+    place = (docs[doc_id].eqNullSafe(F.col("_i"))) & (F.unhex(F.md5(F.coalesce(docs[text], F.lit("")))) == F.col("_k"))
+    # rows of a kept document repeat only in components of several rows
+    alone = docs.join(kept.where("rows = 1").unionByName(wordless), place, "left_semi")
+    several = docs.join(kept.where("rows > 1"), place, "left_semi").dropDuplicates([doc_id, text])
+    return alone.unionByName(several)

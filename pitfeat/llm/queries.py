@@ -11,6 +11,7 @@ from pitfeat.llm import (
     decontaminate,
     html_text,
     language_id,
+    lm_score,
     ngram_join,
     quality_net,
     quality_rules,
@@ -51,6 +52,14 @@ def op3_html_text(spark, sf_dir):
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+def op4_lm_score(spark, sf_dir):
+    training = id_bucket("doc_id", 10) != 0
+    found = lm_score.score(table(spark, sf_dir, "documents"), training)
+    return found.select(
+        "doc_id", (~F.col("training")).alias("held_out"), "n_tokens", "n_known", "train_tokens",
+        "base_score", "score")
+
+
 def op5_warc(spark, sf_dir):
     folder = scratch_folder(spark, "warc")
     pages = table(spark, sf_dir, "pages")
@@ -77,6 +86,12 @@ def op8_quality_net(spark, sf_dir):
     return quality_net.score(docs.withColumn("held_out", held_out), model, keep=["doc_id", "held_out"])
 
 
+def pipeline(spark, sf_dir):
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def op9_bpe_codec(spark, sf_dir):
     return bpe_codec.round_trip(table(spark, sf_dir, "documents"), vocabulary())
 
@@ -183,10 +198,12 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
   coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN covered USING (r) LEFT JOIN named USING (r)"""
 QUERIES = {
+    "pipeline": (pipeline, None),
     "op1_quality_rules": (op1_quality_rules, OP1_SQL),
     "quality_rule_ablations": (quality_rule_ablations, ABLATION_SQL),
     "op2_token_counts": (op2_token_counts, None),
     "op3_html_text": (op3_html_text, None),
+    "op4_lm_score": (op4_lm_score, None),
     "op5_warc": (op5_warc, OP5_SQL),
     "op6_ngram_join": (op6_ngram_join, None),
     "op7_language_id": (op7_language_id, None),
