@@ -77,24 +77,26 @@ class ByteConv:
             pooled.append(np.take_along_axis(out, at[:, None], 1)[:, 0] + self.biases[w])
         return np.concatenate(pooled, 1), places
 
-    def fit(self, texts: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, epochs: int = 4,
+    def fit(self, texts: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, updates: int = 500,
             batch: int = 48, rate: float = 4e-3, seed: int = 11) -> ByteConv:
-        """Cross-entropy with Adam; a text is (windows, bytes in each)."""
+        """Cross-entropy with Adam; a text is (windows, bytes in each).
+
+        The number of updates is fixed, so a small sample is passed more often.
+        """
         r = np.random.default_rng(seed)
         params = self._parameters()
         moments = [(np.zeros_like(p), np.zeros_like(p)) for p in params]
-        step, total = 0, epochs * -(-len(texts) // batch)
-        for _ in range(epochs):
-            order = r.permutation(len(texts))
-            for at in range(0, len(order), batch):
-                rows = order[at:at + batch]
-                step += 1
-                grads = self._gradients([texts[i] for i in rows], labels[rows])
-                now = rate * (1 - step / (total + 1))
-                for p, g, (m, v) in zip(params, grads, moments):
-                    m += 0.1 * (g - m)
-                    v += 0.005 * (g * g - v)
-                    p -= now * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.995**step)) + 1e-7)
+        order = np.empty(0, np.int64)
+        for step in range(1, updates + 1):
+            while len(order) < batch:
+                order = np.concatenate((order, r.permutation(len(texts))))
+            rows, order = order[:batch], order[batch:]
+            grads = self._gradients([texts[i] for i in rows], labels[rows])
+            now = rate * (1 - step / (updates + 1))
+            for p, g, (m, v) in zip(params, grads, moments):
+                m += 0.1 * (g - m)
+                v += 0.005 * (g * g - v)
+                p -= now * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.995**step)) + 1e-7)
         self._table = None
         return self
 

@@ -36,7 +36,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     picked = F.broadcast(share_of_class(marks, "_k", "_y", documents))
     rows = docs.select(F.col(key).alias("_d"), F.col(text).alias("_t")).join(
         picked, F.col("_d") == F.col("_k"))
-    return fitted(sampled_windows(rows, "_t", "_y"), counts, epochs=8)
+    return fitted(sampled_windows(rows, "_t", "_y"), counts, updates=900)
 
 
 def score(docs: DataFrame, model: tuple[ByteConv | None, list], text: str = "text",

@@ -69,14 +69,14 @@ def sampled_windows(rows: DataFrame, text: str, label: str, seed: int = 5) -> li
     return [(r.label, np.frombuffer(r.windows, np.uint8).reshape(-1, LENGTH), np.array(r.sizes, np.float32)) for r in got]
 
 
-def fitted(sample, counts: dict, epochs: int = 4) -> tuple[ByteConv | None, list]:
+def fitted(sample, counts: dict, updates: int = 500) -> tuple[ByteConv | None, list]:
     """A network trained on the sample, its offsets moved to the true class shares."""
     names = sorted({label for label, _, _ in sample}, key=str)
     if not names:
         return None, []
     net = ByteConv.start(len(names))
     labels = np.array([names.index(label) for label, _, _ in sample])
-    net.fit([(v, s) for _, v, s in sample], labels, epochs)
+    net.fit([(v, s) for _, v, s in sample], labels, updates)
     seen = np.bincount(labels, minlength=len(names))
     true = np.array([max(1, counts.get(n, 1)) for n in names])
     net.offset += np.log(true / true.sum()).astype(np.float32) - np.log(seen / seen.sum()).astype(np.float32)
