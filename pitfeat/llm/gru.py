@@ -15,12 +15,26 @@ import numpy as np
 STATE = 32
 WIDTH = 32
 STEPS = 24
-STREAMS = 128
+#: texts side by side in training and in scoring
+STREAMS, SCORED = 128, 1024
 END = 0
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-x))
+    """By tanh, which works in place and cannot overflow."""
+    x = x * np.float32(0.5)
+    np.tanh(x, out=x)
+    x += 1
+    x *= np.float32(0.5)
+    return x
+
+
+def _log_at(x: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Log of the softmax of each row at one place; works in place on x."""
+    x -= x.max(-1, keepdims=True)
+    own = x[np.arange(len(x)), at]
+    np.exp(x, out=x)
+    return own - np.log(x.sum(-1))
 
 
 def _log_softmax(x: np.ndarray) -> np.ndarray:
@@ -114,20 +128,19 @@ class Gru:
     def _emit(self, h: np.ndarray, y: np.ndarray) -> np.ndarray:
         """Natural log-probability of each target, the share inside rare buckets left out."""
         own = self._class_of(y)
-        total = _log_softmax(h @ self.to_class + self.class_bias)[np.arange(len(y)), own]
+        total = _log_at(h @ self.to_class + self.class_bias, own)
         order = np.argsort(own, kind="stable")
         cuts = np.searchsorted(own[order], np.arange(len(self.to_word) + 1))
         for c in range(len(self.to_word)):
             rows = order[cuts[c]:cuts[c + 1]]
             if len(rows):
-                p = _log_softmax(h[rows] @ self.to_word[c] + self.word_bias[c])
-                total[rows] += p[np.arange(len(rows)), y[rows] - c * WIDTH]
+                total[rows] += _log_at(h[rows] @ self.to_word[c] + self.word_bias[c], y[rows] - c * WIDTH)
         return total
 
     def score(self, texts: list[np.ndarray]) -> np.ndarray:
         """Log-likelihood of each whole text, the state carried from window to window."""
         out = np.zeros(len(texts))
-        for own, x, y, inside in streams(texts, 2 * STREAMS):
+        for own, x, y, inside in streams(texts, SCORED):
             h = np.zeros((len(own), STATE), np.float32)
             lengths = inside.sum(0).astype(int)
             total, first = np.zeros(len(own)), 0  # texts are sorted: the finished ones come first

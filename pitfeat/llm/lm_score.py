@@ -126,7 +126,7 @@ def train(texts: DataFrame, lex, share: int = SHARE, trainer: int = TRAINER) ->
         return start
     model = start.unpack(first)
     if trainers > 1:
-        model.unpack(_average(_trained(dealt, model, lex, 2), trainers))
+        model.unpack(_average(_trained(dealt, model, lex, 1), trainers))
     return model
 
 
