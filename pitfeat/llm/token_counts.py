@@ -33,7 +33,7 @@ from pitfeat.llm.pretokens import splitter
 #: most pre-tokens in the table that every task holds; about 40 MB
 HEAD = 1 << 18
 #: one text in so many is read to choose them
-HEAD_SHARE = 32
+HEAD_SHARE = 8
 LIMIT = 512
 
 
@@ -77,7 +77,7 @@ def _head(texts: DataFrame, path: str) -> dict[str, int]:
 
     part = texts.where(F.pmod(F.xxhash64("_text"), F.lit(HEAD_SHARE)) == 0).select("_text")
     often = part.mapInArrow(run, "token string, n long").groupBy("token").agg(F.sum("n").alias("n"))
-    often = often.where("n > 1").orderBy(F.desc("n"), "token").limit(HEAD).select("token")
+    often = often.orderBy(F.desc("n"), "token").limit(HEAD).select("token")
     return {r.token: r.pieces for r in _piece_table(often, path).collect()}
 
 
