@@ -95,7 +95,9 @@ def find_hits(
         F.unhex(F.md5(F.col(text))).alias("key"), F.col(text).alias("_text"))
     split = named.select("key", words("_text").alias("_w"))
     suspects = fingerprints(split, F.col("_w"), short, ["key"]).join(probe, "fp", "left_semi")
-    suspects = suspects.select("key").distinct()
+    suspects = cut_lineage(suspects.select("key").distinct())
+    if bounded(suspects, BROADCAST_ROWS):
+        suspects = F.broadcast(suspects)
     # read twice below, so written once; it holds suspects only, and each text once
     again = cut_lineage(named.join(suspects, "key", "left_semi").groupBy("key").agg(
         F.first("_text").alias("_text")))
