@@ -6,9 +6,10 @@ be: in a global order of shingles, rare ones first, the prefix of a set of n has
 n - ceil(0.8 n) + 1 shingles.
 
 1. Texts with equal sets form a class; one text stands for it from then on.
-2. Prefix shingles lead to blocks. A shingle's pivot is its smallest class; a
-   block holds all classes that share a prefix shingle of one pivot, so two
-   classes with a common prefix shingle always meet in some block. Shingles in
+2. Prefix shingles lead to blocks. The classes with a prefix shingle, in order of
+   size, are cut where sizes are too far apart for any link across; the first
+   class of a part is its pivot. A block holds all classes that share such a part
+   with one pivot, so two classes that can be linked meet in a block. Shingles in
    the bounded table of frequent ones get their pivot from a partial minimum and
    a broadcast, all others by a sort; no pairs within a shingle are formed.
 3. A task stores the sets of a block in a prefix tree, most shared shingles
@@ -49,7 +50,7 @@ from pitfeat.llm.components import connected
 N = 5
 #: most shingles in the table of frequent ones (800 KB), the share of texts it is
 #: taken from, and the count there from which a shingle is frequent
-FREQUENT, FREQUENT_SHARE, FREQUENT_FROM = 100_000, 16, 3
+FREQUENT, FREQUENT_SHARE, FREQUENT_FROM = 100_000, 16, 2
 #: shingles that a task compares at a time
 BLOCK_SHINGLES = 2_000_000
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F],
@@ -311,27 +312,32 @@ def _sets(docs: DataFrame, frequent, kind: str) -> DataFrame:
 def _blocks(sets: DataFrame, frequent: np.ndarray) -> DataFrame:
     """Distinct (p, v): pivot, and a class that shares a prefix shingle with it."""
     spark = sets.sparkSession
-    rows = sets.where(F.col("prefix").isNotNull()).select("v", F.explode("prefix").alias("s"))
+    rows = sets.where(F.col("prefix").isNotNull()).select("v", "n", F.explode("prefix").alias("s"))
     common = spark.createDataFrame(
         pa.table({"s": frequent.view(np.int64)}).to_pandas(), "s long") if len(frequent) else None
 
     def pivots(batches):
-        """Runs of one shingle, sorted by class: the first class is the pivot."""
-        shingle, pivot = None, None
+        """Runs of one shingle, sorted by size: the first class of a run is its pivot.
+
+        A run also ends where the next size is too large to be linked with any
+        before it, so what follows cannot be linked with what came.
+        """
+        shingle, pivot, size = None, 0, 0
         for b in batches:
-            s, v = b.column("s").to_numpy(), b.column("v").to_numpy()
+            s, v, n = (b.column(c).to_numpy() for c in ("s", "v", "n"))
             if not len(s):
                 continue
-            first = np.concatenate(([s[0] != shingle], s[1:] != s[:-1]))
+            before = np.concatenate(([size], n[:-1]))
+            first = np.concatenate(([s[0] != shingle], s[1:] != s[:-1])) | (4 * n > 5 * before)
             at = np.maximum.accumulate(np.where(first, np.arange(len(s)), -1))
-            p = np.where(at >= 0, v[np.maximum(at, 0)], pivot if pivot is not None else 0)
-            shingle, pivot = s[-1], p[-1]
+            p = np.where(at >= 0, v[np.maximum(at, 0)], pivot)
+            shingle, pivot, size = s[-1], p[-1], n[-1]
             keep = p != v
             pairs = np.unique(np.stack((p[keep], v[keep])), axis=1)
             yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["p", "v"])
 
     rare = rows if common is None else rows.join(F.broadcast(common), "s", "left_anti")
-    dealt = rare.repartition(sized_partitions(sets), "s").sortWithinPartitions("s", "v")
+    dealt = rare.repartition(sized_partitions(sets), "s").sortWithinPartitions("s", "n", "v")
     pairs = dealt.mapInArrow(pivots, "p long, v long")
     if common is not None:
         hot = rows.join(F.broadcast(common), "s")
