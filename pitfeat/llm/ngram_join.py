@@ -322,23 +322,42 @@ def _blocks(sets: DataFrame, frequent: np.ndarray) -> DataFrame:
         A run also ends where the next size is too large to be linked with any
         before it, so what follows cannot be linked with what came.
         """
-        shingle, pivot, size = None, 0, 0
+        shingle, pivot, size, last, pivot_size = None, 0, 0, None, 0
         for b in batches:
             s, v, n = (b.column(c).to_numpy() for c in ("s", "v", "n"))
+            if not len(s):
+                continue
+            # the same class may come from several tasks
+            fresh = np.concatenate(([s[0] != shingle or v[0] != last], (s[1:] != s[:-1]) | (v[1:] != v[:-1])))
+            s, v, n = s[fresh], v[fresh], n[fresh]
             if not len(s):
                 continue
             before = np.concatenate(([size], n[:-1]))
             first = np.concatenate(([s[0] != shingle], s[1:] != s[:-1])) | (4 * n > 5 * before)
             at = np.maximum.accumulate(np.where(first, np.arange(len(s)), -1))
-            p = np.where(at >= 0, v[np.maximum(at, 0)], pivot)
-            shingle, pivot, size = s[-1], p[-1], n[-1]
+            inside, of = at >= 0, np.maximum(at, 0)
+            p, np_ = np.where(inside, v[of], pivot), np.where(inside, n[of], pivot_size)
+            # parts of exactly two that lie inside the batch
+            begin = np.flatnonzero(first)
+            pair = begin[:-1][np.diff(begin) == 2] + 1
+            two = np.zeros(len(s), bool)
+            two[pair] = True
+            shingle, pivot, size, last, pivot_size = s[-1], p[-1], n[-1], v[-1], np_[-1]
             keep = p != v
-            pairs = np.unique(np.stack((p[keep], v[keep])), axis=1)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["p", "v"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(p[keep]), pa.array(v[keep]), pa.array(np_[keep]), pa.array(n[keep]), pa.array(two[keep])],
+                ["p", "v", "np", "nv", "two"])
 
     rare = rows if common is None else rows.join(F.broadcast(common), "s", "left_anti")
     dealt = rare.repartition(sized_partitions(sets), "s").sortWithinPartitions("s", "n", "v")
-    pairs = dealt.mapInArrow(pivots, "p long, v long")
+    met = dealt.mapInArrow(pivots, "p long, v long, np long, nv long, two boolean")
+    counted = met.groupBy("p", "v").agg(
+        F.count("*").alias("c"), F.min("two").alias("two"), F.max("np").alias("np"), F.max("nv").alias("nv"))
+    # two classes that meet in parts of their own only have met c times: of the set whose
+    # prefix ends first, at most c of the prefix and all the rest can be shared
+    rest = lambda n: F.floor((4 * F.col(n) + 4) / 5) - 1
+    needed = F.ceil(4 * (F.col("np") + F.col("nv")) / 9) - F.greatest(rest("np"), rest("nv"))
+    pairs = counted.where(~F.col("two") | (F.col("c") >= needed)).select("p", "v")
     if common is not None:
         hot = rows.join(F.broadcast(common), "s")
         first = hot.groupBy("s").agg(F.min("v").alias("p"))
@@ -349,6 +368,7 @@ def _blocks(sets: DataFrame, frequent: np.ndarray) -> DataFrame:
 
 def _members(pairs: DataFrame, sets: DataFrame, most: int) -> DataFrame:
     """p, chunk, chunks, digest, doc_id, key, n: the classes of each block."""
+    pairs = cut_lineage(pairs)
     blocks = pairs.unionByName(pairs.select("p", F.col("p").alias("v")).distinct())
     stand = sets.where("n > 1").groupBy("digest", "v").agg(
         F.min(F.struct("doc_id", "key")).alias("_r"), F.max("n").alias("n")).select(
