@@ -12,11 +12,13 @@ from dataclasses import dataclass
 
 import numpy as np
 
-STATE = 32
+STATE = 24
 WIDTH = 32
 STEPS = 24
 #: texts side by side in training and in scoring
-STREAMS, SCORED = 128, 1024
+STREAMS, SCORED = 128, 512
+#: rows whose class scores are held at a time, so that they stay in the cache
+ROWS = 4096
 END = 0
 
 
@@ -128,7 +130,10 @@ class Gru:
     def _emit(self, h: np.ndarray, y: np.ndarray) -> np.ndarray:
         """Natural log-probability of each target, the share inside rare buckets left out."""
         own = self._class_of(y)
-        total = _log_at(h @ self.to_class + self.class_bias, own)
+        total = np.empty(len(y), np.float32)
+        for at in range(0, len(y), ROWS):
+            rows = slice(at, at + ROWS)
+            total[rows] = _log_at(h[rows] @ self.to_class + self.class_bias, own[rows])
         order = np.argsort(own, kind="stable")
         cuts = np.searchsorted(own[order], np.arange(len(self.to_word) + 1))
         for c in range(len(self.to_word)):

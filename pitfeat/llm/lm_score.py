@@ -39,7 +39,7 @@ from pitfeat.llm.gru import Gru
 #: words in the table that every task holds; about 35 MB
 HEAD = 1 << 18
 #: words the model tells apart, and buckets of the others
-KNOWN, BUCKETS = 1500, 32
+KNOWN, BUCKETS = 1023, 16
 #: one training text in so many trains the network; texts of one trainer; weights averaged at once
 SHARE, TRAINER, FAN = 16, 1000, 16
 
