@@ -23,13 +23,18 @@ def is_type(*kinds):
     return F.col("event_type").isin(*kinds)
 
 
-def on_sessions(spark, sf, chain=lambda d: d):
+def hourly(spark, sf):
+    """Events with times cut to the hour, so that many are equal."""
+    return events(spark, sf).withColumn("ts", F.date_trunc("hour", "ts"))
+
+
+def on_sessions(spark, sf, chain=lambda d: d, read=events):
     """Sessions of the events and a chain of operators on top, by user."""
     def whole(d):
         d = s.sessionize(d, BY, T, GAP)
         return chain(s.session_stats(d, BY, T, tie=TIE))
 
-    return run_placed(events(spark, sf), BY, T, whole)
+    return run_placed(read(spark, sf), BY, T, whole)
 
 
 def cte(gap=GAP):
@@ -143,8 +148,8 @@ def whitelisted_events(spark, sf):
     )
 
 
-def prior_sessions(spark, sf, per="event"):
-    d = on_sessions(spark, sf, lambda d: plan.session_history(d, BY, per))
+def prior_sessions(spark, sf, per="event", read=events):
+    d = on_sessions(spark, sf, lambda d: plan.session_history(d, BY, T, per), read)
     return d.select(
         "event_id", "number_of_sessions",
         *rounded(6, "mean_number_of_sessions", "median_number_of_sessions",
@@ -333,17 +338,18 @@ CLICK_CTE = cte() + f""",
           AND (user_id, session_n) IN (
             SELECT (user_id, session_n) FROM s WHERE event_type = 'purchase')),
       z AS (
-        SELECT a.event_id, a.user_id, a.session_start, a.session_time,
+        SELECT a.event_id, a.user_id, a.ts, a.session_start, a.session_time,
                count(DISTINCT b.session_n) AS n
         FROM k a LEFT JOIN k b ON b.user_id = a.user_id AND b.session_start < a.session_start
         GROUP BY ALL),
+      zt AS (SELECT DISTINCT user_id, ts, session_start, session_time, n FROM z),
       past AS (
         SELECT a.event_id, a.n AS number_of_sessions,
                round(coalesce(avg(b.n), 0), 6) AS mean_number_of_sessions,
                round(coalesce(median(b.n), 0), 6) AS median_number_of_sessions,
                round(coalesce(avg(b.session_time), 0), 6) AS mean_session_time,
                round(coalesce(median(b.session_time), 0), 6) AS median_session_time
-        FROM z a LEFT JOIN z b ON b.user_id = a.user_id AND b.session_start < a.session_start
+        FROM z a LEFT JOIN zt b ON b.user_id = a.user_id AND b.session_start < a.session_start
         GROUP BY a.event_id, a.n),
       other AS (
         SELECT a.event_id, count(b.event_id) AS number_of_non_anchor_actions,
@@ -435,6 +441,15 @@ def stream_distinct_events(spark, sf):
 
 def stream_folded_counters(spark, sf):
     """Per-user counters folded from the stream into a table, batch by batch."""
+    return folded(spark, sf, 1)
+
+
+def fold_two_streams(spark, sf):
+    """Two streams with checkpoints of their own folded into one table: all counts double."""
+    return folded(spark, sf, 2)
+
+
+def folded(spark, sf, times):
     root = run_folder(spark, "stream-fold")
     main = VersionedTable(spark, f"{root}/main")
 
@@ -447,11 +462,16 @@ def stream_folded_counters(spark, sf):
             F.sum("n").alias("n"), F.sum("n_clicks").alias("n_clicks")
         )
 
-    query = incremental.fold_stream(landed_stream(spark, sf), main, fold, f"{root}/checkpoint")
-    query.awaitTermination()
+    for i in range(times):
+        query = incremental.fold_stream(landed_stream(spark, sf), main, fold, f"{root}/checkpoint-{i}")
+        query.awaitTermination()
     return main.read()
 
 
+HOURLY = """
+      WITH hourly AS (SELECT * REPLACE (date_trunc('hour', ts) AS ts) FROM events)"""
+
+
 QUERIES = {
     "sessionize_events": (sessionize_events, sessionize_sql(1800)),
     "sessionize_events_6h": (lambda sp, sf: sessionize_events(sp, sf, GAP), sessionize_sql(GAP)),
@@ -479,6 +499,10 @@ QUERIES = {
                     THEN 'web' ELSE 'app' END AS source FROM events)
       WHERE (event_type, source) IN ({RULES_SQL})"""),
     "prior_sessions": (prior_sessions, prior_sessions_sql("event")),
+    "prior_sessions_hourly": (
+        lambda sp, sf: prior_sessions(sp, sf, read=hourly), HOURLY + prior_sessions_sql("event").replace("WITH", ",", 1).replace(
+            "FROM events", "FROM hourly"),
+    ),
     "prior_sessions_per_session": (
         lambda sp, sf: prior_sessions(sp, sf, "session"), prior_sessions_sql("session"),
     ),
@@ -532,6 +556,9 @@ QUERIES = {
       GROUP BY event_type"""),
     "stream_sessions": (closed_stream_sessions, CLOSED_SQL),
     "stream_distinct_events": (stream_distinct_events, "SELECT event_id, user_id FROM events"),
+    "fold_two_streams": (fold_two_streams, """
+      SELECT user_id, 2 * count(*) AS n, 2 * count(*) FILTER (event_type = 'click') AS n_clicks
+      FROM events GROUP BY user_id"""),
     "stream_folded_counters": (stream_folded_counters, """
       SELECT user_id, count(*) AS n, count(*) FILTER (event_type = 'click') AS n_clicks
       FROM events GROUP BY user_id"""),

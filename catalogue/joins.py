@@ -10,7 +10,7 @@ from pitfeat.operators.asof import asof_join, banded_nearest
 from pitfeat.operators.counters import fold_latest, merge_counters
 from pitfeat.operators.history import age_tag
 from pitfeat.operators.reduce import dedup_last, top_k
-from pitfeat.sources.tables import explode_payload
+from pitfeat.sources.tables import explode_payload, payload_rejects
 
 
 def star_enrich(spark, sf):
@@ -52,7 +52,7 @@ def outer_users(spark, sf):
     """Clickers and buyers, full outer."""
     e = events(spark, sf)
     clicks = e.where(is_type("click")).groupBy("user_id").agg(F.count("*").alias("n_clicks"))
-    errors = e.where(is_type("error") & (F.col("value") > 50)).groupBy("user_id").agg(
+    errors = e.where(is_type("error")).groupBy("user_id").agg(
         F.count("*").alias("n_errors")
     )
     return j.full_outer(clicks, errors, ["user_id"])
@@ -68,7 +68,7 @@ def concat_frames(spark, sf):
     o = orders(spark, sf)
     d = j.concat_frames(
         o.where("o_orderstatus = 'F'").select("o_orderkey", "o_totalprice"),
-        o.where("o_orderstatus = 'P'").select("o_orderkey", "o_orderpriority"),
+        o.where("o_orderstatus <> 'F'").select("o_orderkey", "o_orderpriority"),
     )
     return d.select("o_orderkey", "o_totalprice", "o_orderpriority")
 
@@ -131,11 +131,10 @@ def merge_counters_query(spark, sf):
 
 
 def fold_main_table(spark, sf):
-    """Main table after one increment that touches only the users who bought."""
+    """Main table after one increment."""
     e = events(spark, sf)
     main = counters(e.where(F.col("ts") < MARK))
-    late = e.where(F.col("ts") >= MARK)
-    delta = counters(late.where(is_type("purchase")))
+    delta = counters(e.where(F.col("ts") >= MARK))
     d = fold_latest(main, delta, ["user_id"], "ts", [], ["n_events", "n_clicks"])
     return d.select("user_id", *us("ts"), "event_type", "n_events", "n_clicks")
 
@@ -194,6 +193,18 @@ def json_payload_inline(spark, sf):
     return d.select("order_id", "ga_id", *us("transaction_timestamp"))
 
 
+def payload_with_rejects(spark, sf):
+    """Payloads of which every fifth is cut short: parsed and rejected rows."""
+    e = events(spark, sf).select("event_id", F.when(
+        F.col("event_id") % 5 == 0, F.expr("substr(props, 1, length(props) - 1)")).otherwise(F.col("props")).alias("props"))
+    packed = e.withColumn("payload", F.concat(F.lit('{"rows": ['), "props", F.lit("]}")))
+    schema = "rows array<struct<k:int>>"
+    good = explode_payload(packed, "payload", schema, "rows", {"k": "value"}, keep=["event_id"])
+    bad = payload_rejects(packed, "payload", schema, keep=["event_id"])
+    return good.select("event_id", F.lit(True).alias("parsed")).unionByName(
+        bad.select("event_id", F.lit(False).alias("parsed")))
+
+
 def scalar_functions(spark, sf):
     """Bank from an address or a code, nulls from text, logs, casts, time parts."""
     address = F.when(F.col("o_orderkey") % 3 == 0, F.concat_ws("@", "o_orderstatus", "o_orderpriority")
@@ -228,7 +239,7 @@ SLICES_SQL = """
       b AS (
         SELECT user_id, max(ts) AS ts, arg_max(event_type, ts) AS event_type, count(*) AS n_events,
                count(*) FILTER (event_type = 'click') AS n_clicks
-        FROM events WHERE ts >= TIMESTAMP '2024-01-16 00:00:00' {only} GROUP BY user_id),
+        FROM events WHERE ts >= TIMESTAMP '2024-01-16 00:00:00' GROUP BY user_id),
       merged AS (
         SELECT user_id, b.ts, b.event_type, b.n_events + coalesce(a.n_events, 0) AS n_events,
                b.n_clicks + coalesce(a.n_clicks, 0) AS n_clicks
@@ -254,14 +265,14 @@ QUERIES = {
       FROM (SELECT user_id, count(*) AS n_clicks FROM events
             WHERE event_type = 'click' GROUP BY user_id)
       FULL JOIN (SELECT user_id, count(*) AS n_errors FROM events
-            WHERE event_type = 'error' AND value > 50 GROUP BY user_id) USING (user_id)"""),
+            WHERE event_type = 'error' GROUP BY user_id) USING (user_id)"""),
     "customers_without_success": (customers_without_success, """
       SELECT c_custkey AS o_custkey FROM customer WHERE c_custkey NOT IN (
         SELECT o_custkey FROM orders WHERE o_orderstatus = 'F')"""),
     "concat_frames": (concat_frames, """
       SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN o_totalprice END AS o_totalprice,
-             CASE WHEN o_orderstatus = 'P' THEN o_orderpriority END AS o_orderpriority
-      FROM orders WHERE o_orderstatus IN ('F', 'P')"""),
+             CASE WHEN o_orderstatus <> 'F' THEN o_orderpriority END AS o_orderpriority
+      FROM orders"""),
     "asof_click_before_purchase": (asof_click_before_purchase, """
       SELECT l.event_id,
              CASE WHEN r.ts >= l.ts - INTERVAL 6 HOUR THEN r.event_id END AS click_event_id,
@@ -301,9 +312,9 @@ QUERIES = {
                        l_discount DESC, l_tax DESC, l_returnflag DESC, l_linestatus DESC,
                        l_shipdate DESC) AS rn FROM lineitem)
       WHERE rn = 1"""),
-    "merge_counters": (merge_counters_query, SLICES_SQL.format(only="") + """
+    "merge_counters": (merge_counters_query, SLICES_SQL + """
       SELECT user_id, epoch_us(ts) AS ts_us, event_type, n_events, n_clicks FROM merged"""),
-    "fold_main_table": (fold_main_table, SLICES_SQL.format(only="AND event_type = 'purchase'") + """
+    "fold_main_table": (fold_main_table, SLICES_SQL + """
       SELECT user_id, epoch_us(ts) AS ts_us, event_type, n_events, n_clicks FROM merged
       UNION ALL
       SELECT user_id, epoch_us(ts), event_type, n_events, n_clicks FROM a
@@ -323,6 +334,8 @@ QUERIES = {
       SELECT event_id * 2 + i AS order_id, user_id AS ga_id,
              epoch_us(ts) // 1000 * 1000 AS transaction_timestamp_us
       FROM events, (VALUES (0), (1)) v(i)"""),
+    "payload_with_rejects": (payload_with_rejects, """
+      SELECT event_id, event_id % 5 <> 0 AS parsed FROM events"""),
     "scalar_functions": (scalar_functions, """
       SELECT o_orderkey,
              CASE WHEN o_orderkey % 3 = 0 THEN o_orderpriority ELSE 'other' END AS upi_bank,

@@ -42,8 +42,8 @@ def returned(spark, sf):
 
 
 def undersample_ratio(spark, sf):
-    """Sizes of an undersampled set: all labelled lines of 1998 on, 1.5 others for each."""
-    d = returned(spark, sf).where(F.col("l_shipdate") >= "1998-01-01")
+    """Sizes of an undersampled set: all labelled lines, 1.5 others for each."""
+    d = returned(spark, sf)
     d = sampling.undersample(d, "label", 1.5, 42)
     return d.groupBy("label").agg(F.count("*").alias("n"))
 
@@ -56,7 +56,7 @@ def period_sample(spark, sf):
     """Sizes per period: as many recent others as labelled, and half as many older ones."""
     recent = F.col("l_shipdate") >= "2000-01-01"
     period = F.when(recent, "recent").otherwise("older")
-    d = sampling.sample_by_period(returned(spark, sf).where("l_quantity > 45"), "label", period,
+    d = sampling.sample_by_period(returned(spark, sf), "label", period,
                                   {"recent": 0.2, "older": 0.5})
     d = d.withColumn("period", period)
     return d.where("label = 0").groupBy("period").agg(F.count("*").alias("n"))
@@ -112,14 +112,14 @@ QUERIES = {
     "undersample_ratio": (undersample_ratio, """
       WITH c AS (
         SELECT count(*) FILTER (l_returnflag = 'R') AS p, count(*) FILTER (l_returnflag <> 'R') AS q
-        FROM lineitem WHERE l_shipdate >= TIMESTAMP '1998-01-01')
+        FROM lineitem)
       SELECT 1 AS label, p AS n FROM c
       UNION ALL SELECT 0, least(q, CAST(floor(p * 1.5) AS BIGINT)) FROM c"""),
     "undersampled_rows": (undersampled_rows, None),
     "period_sample": (period_sample, """
       WITH d AS (SELECT *, CASE WHEN l_shipdate >= TIMESTAMP '2000-01-01' THEN 'recent'
                                 ELSE 'older' END AS period
-                 FROM lineitem WHERE l_quantity > 45),
+                 FROM lineitem),
       p AS (SELECT count(*) AS p FROM d WHERE l_returnflag = 'R')
       SELECT period, least(count(*), CAST(floor(max(p) *
              CASE period WHEN 'recent' THEN 0.2 ELSE 0.5 END) AS BIGINT)) AS n

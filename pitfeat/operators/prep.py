@@ -59,11 +59,14 @@ def fit_power(df: DataFrame, columns: list[str], lo: float = -3.0, hi: float = 3
     """Lambda of each column by maximum likelihood, to three decimals.
 
     A pass evaluates a whole grid of lambdas for all columns as one aggregate;
-    three passes narrow the grid. Only the grid's likelihoods reach the driver.
+    three passes narrow the grid, and one more follows while a best point lies on an
+    edge. Only the grid's likelihoods reach the driver.
     """
     best = {c: (lo + hi) / 2 for c in columns}
     reach = (hi - lo) / 2
-    for step in (0.2, 0.02, 0.001):
+    steps, moves = [0.2, 0.02, 0.001], 0
+    while steps:
+        step, edge = steps[0], set()
         points = round(reach / step)
         grid = {
             c: [round(best[c] + i * step, 6) for i in range(-points, points + 1)] for c in columns
@@ -88,7 +91,14 @@ def fit_power(df: DataFrame, columns: list[str], lo: float = -3.0, hi: float = 3
             scores = [likelihood(i) for i in range(len(grid[c]))]
             top = max(range(len(scores)), key=scores.__getitem__)
             best[c] = grid[c][top] if scores[top] > -math.inf else 1.0
-        reach = step
+            if scores[top] > -math.inf and top in (0, len(scores) - 1):
+                edge.add(c)
+        # a best point on the edge of a grid may not be the best: go on from there
+        if edge and moves < 50:
+            moves += 1
+        else:
+            steps.pop(0)
+            reach = step
     return best
 
 

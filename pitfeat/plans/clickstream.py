@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitfeat.operators import history as h
@@ -40,7 +40,7 @@ def click_sessions(df: DataFrame, c: Clicks) -> DataFrame:
     return d if c.rules is None else s.keep_events(d, c.rules, c.rule_columns)
 
 
-def session_history(df: DataFrame, by: list[str], per: str = "event") -> DataFrame:
+def session_history(df: DataFrame, by: list[str], t: str, per: str = "event") -> DataFrame:
     """Earlier sessions of the visitor, and mean and median of their measures.
 
     A session starts at one moment per visitor, so distinct earlier sessions are
@@ -49,14 +49,22 @@ def session_history(df: DataFrame, by: list[str], per: str = "event") -> DataFra
     """
     start = "session_start"
     d = h.prior_agg(df, by, start, {"number_of_sessions": h.distinct(start)})
-    measures = {
-        "mean_number_of_sessions": h.mean("number_of_sessions"),
-        "median_number_of_sessions": h.median("number_of_sessions"),
-        "mean_session_time": h.mean("session_time"),
-        "median_session_time": h.median("session_time"),
-    }
+
+    def measures(n, time):
+        return {
+            "mean_number_of_sessions": h.mean(n),
+            "median_number_of_sessions": h.median(n),
+            "mean_session_time": h.mean(time),
+            "median_session_time": h.median(time),
+        }
+
     if per == "event":
-        return h.prior_agg(d, by, start, measures)
+        # of the rows of one session at one time, only one counts; they are alike
+        alike = Window.partitionBy(*by, start, t).orderBy(start)
+        d = d.withColumn("_once", F.row_number().over(alike) == 1)
+        once = [F.when(F.col("_once"), F.col(c)) for c in ("number_of_sessions", "session_time")]
+        return h.prior_agg(d, by, start, measures(*once)).drop("_once")
+    measures = measures("number_of_sessions", "session_time")
     once = d.select(*by, start, "number_of_sessions", "session_time").distinct()
     past = h.prior_agg(once, by, start, measures).select(*by, start, *measures)
     return d.join(past, [*by, start], "left")
@@ -80,7 +88,7 @@ def click_features(df: DataFrame, c: Clicks) -> DataFrame:
 
 def _features(df: DataFrame, c: Clicks) -> DataFrame:
     by, session = [c.visitor], [c.visitor, "session_n"]
-    d = session_history(click_sessions(df, c), by)
+    d = session_history(click_sessions(df, c), by, c.time)
     zero = ["mean_number_of_sessions", "median_number_of_sessions",
             "mean_session_time", "median_session_time"]
     d = d.na.fill(0, zero)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,18 +45,38 @@ class VersionedTable:
         version = self.current()
         return None if version is None else self.spark.read.parquet(self._folder(version))
 
+    def marks(self) -> dict:
+        """What was noted with the current version."""
+        version, (fs, _) = self.current(), self._files()
+        if version is None or not fs.exists(self.spark._jvm.org.apache.hadoop.fs.Path(self._marks(version))):
+            return {}
+        return json.loads(self.spark.read.text(self._marks(version), wholetext=True).first()[0])
+
+    def _marks(self, version: int) -> str:
+        return f"{self.path}/marks-{version:012d}.json"
+
     def write(
-        self, df: DataFrame, version: int | None = None, files: int | None = None, keep: int = 2
+        self, df: DataFrame, version: int | None = None, files: int | None = None, keep: int = 2,
+        marks: dict | None = None,
     ) -> int:
-        """Write a version (the next one by default) and drop all but ``keep``."""
+        """Write a version (the next one by default) and drop all but ``keep``.
+
+        Marks are written first; they count once the version is complete.
+        """
         if version is None:
             version = (self.current() or 0) + 1
+        if marks is not None:
+            fs, _ = self._files()
+            out = fs.create(self.spark._jvm.org.apache.hadoop.fs.Path(self._marks(version)), True)
+            out.writeBytes(json.dumps(marks))
+            out.close()
         out = df.repartition(files) if files else df
         out.write.mode("overwrite").parquet(self._folder(version))
         fs, _ = self._files()
         path = self.spark._jvm.org.apache.hadoop.fs.Path
         for old in self.versions()[:-keep]:
             fs.delete(path(self._folder(old)), True)
+            fs.delete(path(self._marks(old)), False)
         return version
 
 

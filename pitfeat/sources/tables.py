@@ -84,6 +84,21 @@ def read_jdbc(
     )
 
 
+def payload_rejects(df: DataFrame, column: str, schema: str, keep: list[str] | None = None) -> DataFrame:
+    """Rows whose payload cannot be parsed: kept columns and the payload.
+
+    ``explode_payload`` gives no row for them; the two outputs and the null
+    payloads together account for every input row.
+    """
+    bad = F.from_json(
+        column, _with_broken(schema), {"columnNameOfCorruptRecord": "_broken"})
+    return df.where(F.col(column).isNotNull() & bad["_broken"].isNotNull()).select(*(keep or []), column)
+
+
+def _with_broken(schema: str) -> T.StructType:
+    return T.StructType([*T.StructType.fromDDL(schema).fields, T.StructField("_broken", T.StringType())])
+
+
 def explode_payload(
     df: DataFrame, column: str, schema: str, path: str, renames: dict[str, str],
     epoch_ms: dict[str, str] | None = None, keep: list[str] | None = None,

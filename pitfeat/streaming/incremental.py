@@ -67,16 +67,18 @@ def run_increment(
     delta: DataFrame,
     fold: Callable[[DataFrame | None, DataFrame], DataFrame],
     batch: int,
+    query: str = "",
 ) -> bool:
     """Fold one batch into the table exactly once; False if it was folded before.
 
-    The batch number is the version, so a repeated batch finds its own version
-    complete and does nothing, and one that failed half-way is written again.
+    Each version carries the last batch of every query that was folded into it,
+    so a repeated batch does nothing, one that failed half-way is written again,
+    and a query with a checkpoint of its own starts from its own first batch.
     """
-    current = table.current()
-    if current is not None and current >= batch + 1:
+    folded = table.marks()
+    if folded.get(query, -1) >= batch:
         return False
-    table.write(fold(table.read(), delta), version=batch + 1)
+    table.write(fold(table.read(), delta), marks=folded | {query: batch})
     return True
 
 
@@ -86,10 +88,14 @@ def fold_stream(
     fold: Callable[[DataFrame | None, DataFrame], DataFrame],
     checkpoint: str,
 ):
-    """Start a query that folds each micro-batch of new rows into the table."""
+    """Start a query that folds each micro-batch of new rows into the table.
+
+    The query is known by the id that Spark keeps in its checkpoint.
+    """
 
     def each(batch_df: DataFrame, batch_id: int) -> None:
-        run_increment(table, batch_df, fold, batch_id)
+        query = table.spark.read.text(f"{checkpoint}/metadata").first()[0]
+        run_increment(table, batch_df, fold, batch_id, query)
 
     return (
         stream.writeStream.foreachBatch(each)

@@ -176,3 +176,16 @@ def test_tuning_picks_from_the_grid(spark):
     trees = best.stages[-1]
     assert trees.getOrDefault("maxIter") == 1 and trees.getOrDefault("maxDepth") in (1, 2)
     assert model.score(d, best, [0.5]).count() == 200
+
+
+def test_fold_from_two_queries(spark, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "main"))
+
+    def fold(stored, delta):
+        return delta if stored is None else stored.unionByName(delta)
+
+    one = spark.createDataFrame([(1,)], "k long")
+    assert inc.run_increment(table, one, fold, 0, "a")
+    assert inc.run_increment(table, one, fold, 0, "b")
+    assert not inc.run_increment(table, one, fold, 0, "a")
+    assert table.read().count() == 2
