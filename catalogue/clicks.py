@@ -281,6 +281,19 @@ def trailing_long(spark, sf):
     return d.select("event_id", "n", *rounded(2, "total"), *rounded(6, "half"), "users")
 
 
+def trailing_spikes(spark, sf):
+    """Totals over a day where a few events carry a huge value or none: no trace may stay."""
+    value = F.when(F.col("event_id") % 977 == 0, 1e17).when(
+        F.col("event_id") % 983 == 0, float("inf")).otherwise(F.floor("value"))
+    d = events(spark, sf).withColumn("v", value)
+    aggs = {"n": h.count(), "total": h.total("v"), "least": h.lowest("v"), "most": h.highest("v")}
+    d = h.trailing_agg(d, ["event_type"], T, 86_400, aggs, frame_rows=500)
+    big = F.col("total") >= 1e16
+    # sums that hold a huge value are rounded differently by each engine
+    return d.select("event_id", "n", F.when(~big, F.col("total")).alias("total"), big.alias("big"),
+                    "least", (F.col("most") >= 1e16).alias("spike"))
+
+
 def union_web_app(spark, sf):
     e = events(spark, sf)
     web = e.where(parity() == 0).select("user_id", F.col("event_id").alias("order_id"), T)
@@ -529,6 +542,15 @@ QUERIES = {
       FROM s a LEFT JOIN s b ON b.user_id = a.user_id AND b.event_type <> 'purchase'
         AND b.ts BETWEEN a.ts - INTERVAL 7 DAY AND a.ts
       GROUP BY a.event_id"""),
+    "trailing_spikes": (trailing_spikes, """
+      WITH e AS (SELECT *, CASE WHEN event_id % 977 = 0 THEN 1e17 WHEN event_id % 983 = 0
+                   THEN CAST('inf' AS DOUBLE) ELSE CAST(floor(value) AS DOUBLE) END AS v FROM events)
+      SELECT a.event_id, count(b.event_id) AS n,
+             CASE WHEN max(b.v) < 1e16 THEN sum(b.v) END AS total, max(b.v) >= 1e16 AS big,
+             min(b.v) AS least, max(b.v) >= 1e16 AS spike
+      FROM e a LEFT JOIN e b ON b.event_type = a.event_type
+        AND b.ts BETWEEN a.ts - INTERVAL 1 DAY AND a.ts
+      GROUP BY a.event_id"""),
     "trailing_long": (trailing_long, """
       SELECT a.event_id, count(b.event_id) AS n, round(sum(b.value), 2) AS total,
              round(median(b.value), 6) AS half, count(DISTINCT b.user_id) AS users

@@ -239,8 +239,9 @@ def trailing_agg(
     """Add aggregates over the rows of the same key in [time - seconds, time].
 
     Both ends and the row itself count. A sliding frame costs rows x frame, so
-    it serves only short keys. For longer ones each row becomes an event that
-    adds it and a later one that takes it away, and those are summed.
+    it serves only short keys. Longer ones are summed over cells of time that are as
+    long as the window; their medians and distinct values come from events that
+    add a value and take it away.
     """
     width = seconds * MICROS_PER_SECOND
     d, keys, _ = placed(df, by, t)
@@ -254,8 +255,10 @@ def trailing_agg(
     d, _ = mark_long(d, by, keys, "_o", slices, frame_rows)
     d = cut_lineage(d)
     short = _trailing_by_frame(d.where("not _long"), by, keys, width, aggs).select(*names)
-    long = _trailing_by_events(d.where("_long"), by, width, aggs, slice_rows).select(*names)
-    return short.unionByName(long)
+    long = _trailing_by_events(d.where("_long"), by, width, aggs, slice_rows)
+    # one type, whatever way a key took
+    kinds = {n: short.schema[n].dataType for n in aggs}
+    return short.unionByName(long.select(*df.columns, *[F.col(n).cast(t).alias(n) for n, t in kinds.items()]))
 
 
 def _trailing_by_frame(d, by, keys, width, aggs):
@@ -274,6 +277,8 @@ def _trailing_by_frame(d, by, keys, width, aggs):
             "mean": lambda x=x: F.avg(x).over(w),
             "median": lambda x=x: F.percentile(x.cast("double"), F.lit(0.5)).over(w),
             "distinct": lambda x=x: F.size(F.collect_set(x).over(w)).cast("long"),
+            "lowest": lambda x=x: F.min(x).over(w),
+            "highest": lambda x=x: F.max(x).over(w),
         }[a.kind]()
         zero = F.lit(0) if a.kind in ("count", "distinct") else F.lit(None)
         done[n] = F.when(ok, value).otherwise(zero)
@@ -284,7 +289,7 @@ def _trailing_by_events(d, by, width, aggs, slice_rows):
     rows = d.where(not_null([*by, "_o"]))
     enter, leave = F.col("_o") * 2, (F.col("_o") + width) * 2 + 1
     probes = rows.select(*by, (F.col("_o") * 2 + 1).alias("_at")).distinct()
-    events, done, half = None, {}, {}
+    events, done, half, plain = None, {}, {}, {}
 
     def add(part):
         nonlocal events
@@ -293,25 +298,8 @@ def _trailing_by_events(d, by, width, aggs, slice_rows):
     for n, a in aggs.items():
         x = F.col(f"_x_{n}")
         some = rows.where(x.isNotNull())
-        if a.kind in ("count", "total", "mean"):
-            for at, sign in ((enter, 1), (leave, -1)):
-                add(
-                    some.select(
-                        *by,
-                        at.alias("_at"),
-                        F.lit(sign).alias(f"_n_{n}"),
-                        *([] if a.kind == "count" else [(x * sign).alias(f"_s_{n}")]),
-                    )
-                )
-            done[n] = {
-                "count": F.coalesce(f"_n_{n}", F.lit(0)),
-                "total": F.when(F.col(f"_n_{n}") > 0, F.col(f"_s_{n}"))
-                if a.kind != "count"
-                else None,
-                "mean": F.when(F.col(f"_n_{n}") > 0, F.col(f"_s_{n}") / F.col(f"_n_{n}"))
-                if a.kind != "count"
-                else None,
-            }[a.kind]
+        if a.kind in ("count", "total", "mean", "lowest", "highest"):
+            plain[n] = a.kind
         elif a.kind == "distinct":
             # a value is present during runs of sightings at most `width` apart
             cells = some.select(*by, x.alias("_v"), "_o").distinct()
@@ -349,9 +337,62 @@ def _trailing_by_events(d, by, width, aggs, slice_rows):
         d = d.join(found, [*by, "_at"], "left")
     for n, table in half.items():
         d = d.join(table, [*by, "_at"], "left")
+    if plain:
+        d = d.join(_trailing_by_cells(rows, by, width, plain, slice_rows), [*by, "_o"], "left")
+        done |= {n: F.coalesce(n, F.lit(0)) for n, kind in plain.items() if kind == "count"}
     return d.withColumns(done)
 
 
+def _trailing_by_cells(rows, by, width, kinds, slice_rows):
+    """Aggregates over [time - width, time] for every distinct time of a key.
+
+    Time is cut into cells as long as the window, so a window is the end of one
+    cell and the beginning of the next. Both are running aggregates, one of them
+    from the end of the cell backwards. Nothing is ever subtracted, so a value
+    that has left the window leaves no trace: no rounding, no NaN, no infinity.
+    """
+    size = width + 1
+    cell = F.col("_o") - F.pmod(F.col("_o"), F.lit(size))
+    values = [f"_x_{n}" for n in kinds]
+    probes = rows.select(*by, "_o").distinct().withColumn("_probe", F.lit(True))
+
+    def folded(side, events, asked, inclusive):
+        folds = {}
+        for n, kind in kinds.items():
+            x = F.col(f"_x_{n}")
+            if kind in ("count", "mean"):
+                folds[f"_n_{n}{side}"] = sum_of(F.when(x.isNotNull(), F.lit(1).cast("long")))
+            if kind != "count":
+                fold = {"lowest": min_of, "highest": max_of}.get(kind, sum_of)
+                folds[f"_s_{n}{side}"] = fold(x.cast("double") if kind == "mean" else x)
+        line = events.unionByName(asked, True)
+        key = [*by, "_cell"]
+        slices = plan_slices(line, key, "_at", slice_rows)
+        line = running(line, key, "_at", folds, slices, inclusive=inclusive)
+        return line.where("_probe").select(*by, "_o", *folds)
+
+    here = folded(
+        "_b", rows.select(*by, cell.alias("_cell"), F.col("_o").alias("_at"), *values),
+        probes.select("*", cell.alias("_cell"), F.col("_o").alias("_at")), True)
+    # moved on by one cell, the rows before the window's start are those at or before the probe
+    there = folded(
+        "_a", rows.select(*by, (cell + size).alias("_cell"), (-F.col("_o") - size).alias("_at"), *values),
+        probes.select("*", cell.alias("_cell"), (-F.col("_o")).alias("_at")), False)
+    both = here.join(there, [*by, "_o"])
+    out = {}
+    for n, kind in kinds.items():
+        a, b = F.col(f"_s_{n}_a"), F.col(f"_s_{n}_b")
+        count = lambda n=n: F.coalesce(f"_n_{n}_a", F.lit(0)) + F.coalesce(f"_n_{n}_b", F.lit(0))
+        out[n] = {
+            "count": lambda: count(),
+            "total": lambda a=a, b=b: F.coalesce(a + b, a, b),
+            "mean": lambda a=a, b=b: F.when(count() > 0, F.coalesce(a + b, a, b) / count()),
+            "lowest": lambda a=a, b=b: F.least(a, b),
+            "highest": lambda a=a, b=b: F.greatest(a, b),
+        }[kind]()
+    return both.select(*by, "_o", *[c.alias(n) for n, c in out.items()])
+
+
 def last_n(
     df: DataFrame,
     by: list[str],
