@@ -3,7 +3,9 @@
 A symbol is a known word, the end of a text, or a bucket of rare words. The
 output first picks a class, then a symbol in it: known words lie in classes of
 WIDTH, a rare bucket is a class of its own. Training is by truncated
-backpropagation: gradients stop at the window, the state is carried on.
+backpropagation: gradients stop at the window, the state is carried on. Longer
+texts are cut into pieces for training, so that the texts side by side have
+similar lengths; scoring carries the state through the whole text.
 """
 
 from __future__ import annotations
@@ -15,10 +17,12 @@ import numpy as np
 STATE = 24
 WIDTH = 32
 STEPS = 24
-#: texts side by side in training and in scoring
-STREAMS, SCORED = 128, 512
+#: texts side by side in training and in scoring; symbols of a piece in training
+STREAMS, SCORED, PIECE = 64, 512, 20 * STEPS
 #: rows whose class scores are held at a time, so that they stay in the cache
 ROWS = 4096
+#: scores within this bound need no shift before exp in single precision
+SAFE = 80.0
 END = 0
 
 
@@ -31,12 +35,19 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def _log_at(x: np.ndarray, at: np.ndarray) -> np.ndarray:
+def _log_at(x: np.ndarray, at: np.ndarray, safe: bool) -> np.ndarray:
     """Log of the softmax of each row at one place; works in place on x."""
-    x -= x.max(-1, keepdims=True)
+    if not safe:
+        x -= x.max(-1, keepdims=True)
     own = x[np.arange(len(x)), at]
     np.exp(x, out=x)
-    return own - np.log(x.sum(-1))
+    return own - np.log(x @ np.ones(x.shape[1], np.float32))
+
+
+def _is_safe(weights: np.ndarray, bias: np.ndarray) -> bool:
+    """Whether no state, all in [-1, 1], leads to a score beyond SAFE."""
+    most = np.abs(weights).sum(-2)
+    return bool((most + bias).max() < SAFE and (most - bias)[bias > -SAFE].max() < SAFE)
 
 
 def _log_softmax(x: np.ndarray) -> np.ndarray:
@@ -65,6 +76,27 @@ def streams(texts: list[np.ndarray], size: int = STREAMS):
         yield own, x, y, inside
 
 
+def pieces(texts: list[np.ndarray], size: int = PIECE):
+    """(inputs, targets) of at most ``size`` steps, which together hold each whole text once."""
+    for t in texts:
+        line = np.concatenate(([END], t, [END]))
+        for at in range(0, len(line) - 1, size):
+            part = line[at:at + size + 1]
+            yield part[:-1], part[1:]
+
+
+def piece_groups(texts: list[np.ndarray], size: int = STREAMS):
+    """Groups of pieces of similar length as (inputs, targets, inside), time first."""
+    cut = sorted(pieces(texts), key=lambda p: len(p[0]))
+    for at in range(0, len(cut), size):
+        own = cut[at:at + size]
+        x = np.zeros((len(own[-1][0]), len(own)), np.int32)
+        y, inside = x.copy(), x.astype(np.float32)
+        for k, (a, b) in enumerate(own):
+            x[:len(a), k], y[:len(a), k], inside[:len(a), k] = a, b, 1
+        yield x, y, inside
+
+
 @dataclass
 class Gru:
     known: int  # END and known words
@@ -127,51 +159,91 @@ class Gru:
             out[t] = h
         return out
 
+    def _gate_tables(self) -> list[np.ndarray]:
+        """Inputs and weights of the two gates, halved as sigmoid is taken by tanh, and of the candidate."""
+        s, half = STATE, np.float32(0.5)
+        return [self.inputs[:, :2 * s] * half, self.inner[:, :2 * s] * half,
+                np.ascontiguousarray(self.inputs[:, 2 * s:]), self.inner[:, 2 * s:] * half]
+
+    @staticmethod
+    def _advance(x: np.ndarray, h: np.ndarray, tables: list[np.ndarray]) -> np.ndarray:
+        """States after each step, as `_forward` has them, with fewer passes over memory."""
+        gate_in, gate, new_in, new = tables
+        out = np.empty((len(x), *h.shape), np.float32)
+        for t, symbols in enumerate(x):
+            twice = h @ gate
+            twice += gate_in.take(symbols, 0)
+            np.tanh(twice, out=twice)
+            twice += 1  # twice the sigmoid
+            n = h @ new
+            n *= twice[:, STATE:]
+            n += new_in.take(symbols, 0)
+            np.tanh(n, out=n)
+            state = out[t]
+            np.subtract(h, n, out=state)
+            state *= twice[:, :STATE]
+            state *= np.float32(0.5)
+            state += n
+            h = state
+        return out
+
     def _emit(self, h: np.ndarray, y: np.ndarray) -> np.ndarray:
         """Natural log-probability of each target, the share inside rare buckets left out."""
         own = self._class_of(y)
+        safe = _is_safe(self.to_class, self.class_bias)
+        safe_words = _is_safe(self.to_word, self.word_bias)
         total = np.empty(len(y), np.float32)
         for at in range(0, len(y), ROWS):
             rows = slice(at, at + ROWS)
-            total[rows] = _log_at(h[rows] @ self.to_class + self.class_bias, own[rows])
+            total[rows] = _log_at(h[rows] @ self.to_class + self.class_bias, own[rows], safe)
         order = np.argsort(own, kind="stable")
         cuts = np.searchsorted(own[order], np.arange(len(self.to_word) + 1))
         for c in range(len(self.to_word)):
             rows = order[cuts[c]:cuts[c + 1]]
             if len(rows):
-                total[rows] += _log_at(h[rows] @ self.to_word[c] + self.word_bias[c], y[rows] - c * WIDTH)
+                x = h[rows] @ self.to_word[c] + self.word_bias[c]
+                total[rows] += _log_at(x, y[rows] - c * WIDTH, safe_words)
         return total
 
     def score(self, texts: list[np.ndarray]) -> np.ndarray:
         """Log-likelihood of each whole text, the state carried from window to window."""
-        out = np.zeros(len(texts))
+        out, tables = np.zeros(len(texts)), self._gate_tables()
+        waiting, held = [], 0
+
+        def flush():
+            nonlocal waiting, held
+            if waiting:
+                h, y, owner = (np.concatenate(part) for part in zip(*waiting))
+                out[:] += np.bincount(owner, self._emit(h, y), len(out))
+            waiting, held = [], 0
+
         for own, x, y, inside in streams(texts, SCORED):
             h = np.zeros((len(own), STATE), np.float32)
-            lengths = inside.sum(0).astype(int)
-            total, first = np.zeros(len(own)), 0  # texts are sorted: the finished ones come first
+            own, lengths = np.array(own), inside.sum(0).astype(int)
             for at in range(0, len(x), STEPS):
-                first = int(np.searchsorted(lengths, at, side="right"))
+                first = int(np.searchsorted(lengths, at, side="right"))  # sorted: the finished ones come first
                 part = slice(at, at + STEPS)
-                states = self._forward(x[part, first:], h[first:])
+                states = self._advance(x[part, first:], h[first:], tables)
                 h[first:] = states[-1]
                 real = inside[part, first:] > 0
-                p = np.zeros(real.shape)
-                p[real] = self._emit(states[real], y[part, first:][real])
-                total[first:] += p.sum(0)
-            out[own] = total
+                waiting.append((states[real], y[part, first:][real], own[first:][real.nonzero()[1]]))
+                held += len(waiting[-1][1])
+                if held >= 2 * ROWS:  # few long texts fill many windows
+                    flush()
+        flush()
         return out
 
     def train(self, texts: list[np.ndarray], rate: float = 6e-3, seed: int = 1) -> int:
         """One pass with Adam; returns the tokens seen."""
         r = np.random.default_rng(seed)
-        groups = list(streams(texts))
+        groups = list(piece_groups(texts))
         params = self.parameters()
         moments = [(np.zeros_like(p), np.zeros_like(p)) for p in params]
-        steps = sum(-(-len(g[1]) // STEPS) for g in groups)
+        steps = sum(-(-len(g[0]) // STEPS) for g in groups)
         step, tokens = 0, 0
         for k in r.permutation(len(groups)):
-            own, x, y, inside = groups[k]
-            h = np.zeros((len(own), STATE), np.float32)
+            x, y, inside = groups[k]
+            h = np.zeros((x.shape[1], STATE), np.float32)
             for at in range(0, len(x), STEPS):
                 part = slice(at, at + STEPS)
                 live = inside[part].any(0)
@@ -224,5 +296,9 @@ class Gru:
             d_inner += before.T @ inner
             d = d * z + inner @ self.inner.T
         d_inputs = np.zeros_like(self.inputs)
-        np.add.at(d_inputs, x.ravel(), d_gates.reshape(-1, 3 * s))
+        used = np.flatnonzero(real)
+        used = used[np.argsort(x.ravel()[used], kind="stable")]
+        symbols = x.ravel()[used]
+        starts = np.flatnonzero(np.concatenate(([True], symbols[1:] != symbols[:-1])))
+        d_inputs[symbols[starts]] = np.add.reduceat(d_gates.reshape(-1, 3 * s)[used], starts, 0)
         return [d_inputs, d_inner, d_class, d_class_bias, d_word, d_word_bias], states[-1], n
