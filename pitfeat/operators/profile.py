@@ -26,11 +26,14 @@ def exact_quantiles(
         return d.groupBy(*by).agg(
             *[F.percentile("_x", F.lit(p)).alias(n) for n, p in probs.items()]
         )
+    whole = not by
+    if whole:  # one group, cut like any other hot key
+        d, by = d.withColumn("_all", F.lit(0)), ["_all"]
     cells = d.groupBy(*by, "_x").agg(F.count("*").alias("_n"))
     slices = plan_slices(cells, by, "_x", slice_rows)
     line = running(cells, by, "_x", {"_to": sum_of(F.col("_n"))}, slices, inclusive=True, unique=True)
     sizes = cells.groupBy(*by).agg(F.sum("_n").alias("_size"))
-    line = line.join(sizes, by)
+    line = line.drop("_all").crossJoin(F.broadcast(sizes.drop("_all"))) if whole else line.join(sizes, by)
     out = []
     for n, p in probs.items():
         at = (F.col("_size") - 1) * F.lit(p)
@@ -40,9 +43,10 @@ def exact_quantiles(
             here = (F.col("_to") > rank) & (F.col("_to") - F.col("_n") <= rank)
             return F.max(F.when(here, F.col("_x")))
 
-        part = F.max(at - low)
-        out.append((value(low) + (value(high) - value(low)) * part).alias(n))
-    return line.groupBy(*by).agg(*out)
+        # as the built-in percentile weighs them, so that infinite values stay what they are
+        between = F.max(high - at) * value(low) + F.max(at - low) * value(high)
+        out.append(F.when(value(low) == value(high), value(low)).otherwise(between).alias(n))
+    return line.groupBy(*([] if whole else by)).agg(*out)
 
 
 def describe_by(

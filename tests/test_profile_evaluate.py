@@ -28,6 +28,17 @@ def test_quantiles(spark, slice_rows, spread):
         )
 
 
+def test_quantiles_of_whole_frame_and_infinite_values(spark):
+    """Both ways give the same, also over all rows and without any."""
+    inf = float("inf")
+    d = spark.createDataFrame([(v,) for v in [1.0, 2.0, inf, inf, inf, None]], "x double")
+    probs = {"a": 0.0, "b": 0.25, "c": 0.4, "d": 0.5, "e": 1.0}
+    for frame_ in (d, d.where("x < 3"), d.where("false")):
+        short, spread = (p.exact_quantiles(frame_, [], "x", probs, None, s).collect() for s in (False, True))
+        assert [tuple(r) for r in short] == [tuple(r) for r in spread]
+    assert p.exact_quantiles(d, [], "x", probs, 2, True).first().d == inf
+
+
 @pytest.mark.parametrize("slice_rows", [None, 25])
 def test_pr_curve(spark, slice_rows):
     rows, d = frame(spark)
