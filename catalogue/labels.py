@@ -29,12 +29,10 @@ def label_two_hop(spark, sf, rounds=1):
 
 
 def label_fixpoint(spark, sf):
-    """Until nothing changes, among the lines of the largest quantity."""
-    d = lineitem(spark, sf).where("l_quantity = 50").withColumn(
-        "label", F.when(F.col("l_discount") == 0.1, 1).otherwise(0)
+    """Until nothing changes."""
+    return lab.propagate_two_hop(
+        seeded(spark, sf), "l_orderkey", "l_partkey", "label", rounds=None
     )
-    d = d.select(*KEYS, "label")
-    return lab.propagate_two_hop(d, "l_orderkey", "l_partkey", "label", rounds=None)
 
 
 def returned(spark, sf):
@@ -49,7 +47,16 @@ def undersample_ratio(spark, sf):
 
 
 def undersampled_rows(spark, sf):
-    return sampling.undersample(returned(spark, sf), "label", 0.5, 42).select(*KEYS, "label")
+    d = sampling.undersample(returned(spark, sf), "label", 0.5, 42, KEYS)
+    return d.select(*KEYS, "label")
+
+
+def period_sample_rows(spark, sf):
+    """All labelled lines, and those drawn from each period."""
+    period = F.when(F.col("l_shipdate") >= "2000-01-01", "recent").otherwise("older")
+    d = sampling.sample_by_period(returned(spark, sf), "label", period,
+                                  {"recent": 0.2, "older": 0.5}, 7, KEYS)
+    return d.select(*KEYS, "label")
 
 
 def period_sample(spark, sf):
@@ -90,6 +97,16 @@ MARKED = """
       SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber,
              CAST(l_orderkey IN (SELECT l_orderkey FROM {p}) AS INT) AS label FROM d"""
 
+# lines in the order in which a sample takes them
+DRAWN = """
+      WITH d AS (
+        SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, {period} AS period,
+               CAST(l_returnflag = 'R' AS INT) AS label,
+               md5(concat_ws('|', {seed}, l_orderkey, l_partkey, l_suppkey, l_linenumber)) AS h
+        FROM lineitem),
+      ranked AS (
+        SELECT *, row_number() OVER (PARTITION BY label, period ORDER BY h) AS i FROM d)"""
+
 QUERIES = {
     "label_by_entity": (label_by_entity, ROWS + """
       SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber,
@@ -97,11 +114,9 @@ QUERIES = {
       FROM d"""),
     "label_two_hop": (label_two_hop, ROWS + ONE + MARKED.format(p="p1")),
     "label_two_rounds": (lambda sp, sf: label_two_hop(sp, sf, 2), ROWS + TWO + MARKED.format(p="p2")),
-    "label_fixpoint": (label_fixpoint, """
+    "label_fixpoint": (label_fixpoint, f"""
       WITH RECURSIVE d AS (
-        SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber,
-               CAST(l_discount = 0.1 AS INT) AS label
-        FROM lineitem WHERE l_quantity = 50),
+        SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, {SEED} AS label FROM lineitem),
       reach AS (
         SELECT DISTINCT l_orderkey FROM d WHERE label = 1
         UNION
@@ -115,7 +130,17 @@ QUERIES = {
         FROM lineitem)
       SELECT 1 AS label, p AS n FROM c
       UNION ALL SELECT 0, least(q, CAST(floor(p * 1.5) AS BIGINT)) FROM c"""),
-    "undersampled_rows": (undersampled_rows, None),
+    "undersampled_rows": (undersampled_rows, DRAWN.format(seed=42, period="'all'") + """,
+      want AS (SELECT CAST(floor(count(*) * 0.5) AS BIGINT) AS w FROM d WHERE label = 1)
+      SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, label
+      FROM ranked, want WHERE label = 1 OR i <= w"""),
+    "period_sample_rows": (period_sample_rows, DRAWN.format(
+        seed=7, period="CASE WHEN l_shipdate >= TIMESTAMP '2000-01-01' THEN 'recent' ELSE 'older' END"
+    ) + """,
+      want AS (SELECT count(*) AS w FROM d WHERE label = 1)
+      SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, label
+      FROM ranked, want
+      WHERE label = 1 OR i <= floor(w * CASE period WHEN 'recent' THEN 0.2 ELSE 0.5 END)"""),
     "period_sample": (period_sample, """
       WITH d AS (SELECT *, CASE WHEN l_shipdate >= TIMESTAMP '2000-01-01' THEN 'recent'
                                 ELSE 'older' END AS period

@@ -76,6 +76,11 @@ def fuzzy_name_match(spark, sf):
     return c.name_match(names(spark, sf), "payer", "payee", "is_self")
 
 
+def name_match_levenshtein(spark, sf):
+    """The same by edit distance, which SQL has too."""
+    return c.name_match(names(spark, sf), "payer", "payee", "is_self", 0.3, measure="levenshtein")
+
+
 def training_set(spark, sf):
     o = orders(spark, sf).select("o_orderkey", "o_orderpriority")
     d = lines(spark, sf).join(o, F.col("l_orderkey") == F.col("o_orderkey"))
@@ -122,5 +127,21 @@ QUERIES = {
              round(sum(CASE WHEN l_linenumber % 3 = 0 THEN -1 ELSE l_tax END), 2) AS tax
       FROM lineitem GROUP BY l_returnflag"""),
     "fuzzy_name_match": (fuzzy_name_match, None),
+    "name_match_levenshtein": (name_match_levenshtein, r"""
+      WITH n AS (
+        SELECT l_orderkey, regexp_replace(c_name, '#0*', ' ', 'g') AS payer,
+               regexp_replace(s_name, '#0*', ' ', 'g') AS payee
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+          JOIN customer ON o_custkey = c_custkey JOIN supplier ON l_suppkey = s_suppkey),
+      x AS (
+        SELECT payer, payee, unnest(string_split_regex(lower(trim(payer)), '\s+')) AS x
+        FROM (SELECT DISTINCT payer, payee FROM n)),
+      y AS (SELECT *, unnest(string_split_regex(lower(trim(payee)), '\s+')) AS y FROM x),
+      v AS (
+        SELECT payer, payee,
+               bool_or(contains(x, y) OR contains(y, x)
+                       OR 1 - levenshtein(x, y) / greatest(length(x), length(y)) >= 0.3) AS is_self
+        FROM y GROUP BY payer, payee)
+      SELECT l_orderkey, payer, payee, is_self FROM n JOIN v USING (payer, payee)"""),
     "gbt_scores": (gbt_scores, None),
 }

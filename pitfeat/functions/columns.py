@@ -126,14 +126,19 @@ def word_similarity(a: pd.Series, b: pd.Series) -> pd.Series:
 
 
 def name_match(
-    df: DataFrame, a: str, b: str, name: str, threshold: float = 0.7, tokens: str = "all"
+    df: DataFrame, a: str, b: str, name: str, threshold: float = 0.7, tokens: str = "all",
+    measure: str = "blocks",
 ) -> DataFrame:
-    """Do two names share a word: one contains the other, or their ratio >= threshold?
+    """Do two names share a word: one contains the other, or their likeness >= threshold?
 
     ``tokens='first'`` compares only the first word of ``a``. Containment is
-    settled by built-in functions; only word pairs still open go to Python, once
-    per distinct pair of names.
+    settled by built-in functions. ``measure='blocks'`` is the matching-blocks
+    ratio: word pairs still open go to Python, once per distinct pair of words.
+    ``measure='levenshtein'`` is 1 - distance / longer length, built in.
     """
+    if measure not in ("blocks", "levenshtein"):
+        raise ValueError(measure)
+
     def words(c):
         return F.filter(F.split(F.lower(F.trim(c)), r"\s+"), lambda w: w != "")
 
@@ -149,14 +154,19 @@ def name_match(
         .select(a, b, F.explode("_a").alias("_x"), "_b")
         .select(a, b, "_x", F.explode("_b").alias("_y"))
     )
-    # the ratio is at most 2 x the shorter length over the summed length
     a_len, b_len = F.length("_x"), F.length("_y")
-    open_pairs = open_pairs.where(2 * F.least(a_len, b_len) >= threshold * (a_len + b_len))
-    scored = (
-        open_pairs.withColumn("_r", word_similarity("_x", "_y"))
-        .groupBy(a, b)
-        .agg((F.max("_r") >= threshold).alias("_close"))
-    )
+    if measure == "levenshtein":
+        longer = F.greatest(a_len, b_len)
+        # the distance is at least the difference of the lengths
+        open_pairs = open_pairs.where(F.least(a_len, b_len) >= threshold * longer)
+        open_pairs = open_pairs.withColumn("_r", 1 - F.levenshtein("_x", "_y") / longer)
+    else:
+        # the ratio is at most 2 x the shorter length over the summed length
+        open_pairs = open_pairs.where(2 * F.least(a_len, b_len) >= threshold * (a_len + b_len))
+        ratios = open_pairs.select("_x", "_y").distinct()
+        ratios = ratios.withColumn("_r", word_similarity("_x", "_y"))
+        open_pairs = open_pairs.join(ratios, ["_x", "_y"])
+    scored = open_pairs.groupBy(a, b).agg((F.max("_r") >= threshold).alias("_close"))
     verdict = pairs.select(a, b, "_inside").join(scored, [a, b], "left")
     verdict = verdict.select(
         a, b, (F.col("_inside") | F.coalesce("_close", F.lit(False))).alias(name)

@@ -5,7 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-CELLS = 65_536
+#: leading hex digits of a row's hash that make its cell: a million cells
+DIGITS = 5
+#: most strata whose borders are broadcast, one short row each
+MOST_STRATA = 10_000
+#: copies of a row are written out in parts of this size
+COPIES = 4_096
 
 
 def time_split(
@@ -28,50 +33,64 @@ def time_split(
 
 
 def exact_sample(
-    df: DataFrame, want: DataFrame, by: list[str], seed: int, strata: int
+    df: DataFrame, want: DataFrame, by: list[str], seed: int, strata: int,
+    key: list[str] | None = None, always: Column | None = None,
 ) -> DataFrame:
     """Keep exactly ``_want`` rows per stratum, the same ones on every run.
 
-    Rows are ordered by a hash of all their columns. A histogram of the hash in
-    65,536 cells tells which cells are kept whole, and only the one cell on the
-    border is ranked. Copies of a row share a hash and so a cell: the border
-    cell is counted by distinct row and the kept copies are written out again.
+    Rows are ordered by the md5 of the seed and the ``key`` columns (all by
+    default), joined by '|'; ties by all columns. A histogram of the hash in a
+    million cells tells where each stratum ends: lower cells are kept whole, and
+    only the cell on the border is ranked. Copies of a row share a hash and so a
+    cell: the border cell is counted by distinct row and the kept copies are
+    written out again. Rows for which ``always`` holds are kept and not counted.
     ``strata`` is the number of rows of ``want``.
     """
     columns = df.columns
-    h = F.xxhash64(F.lit(seed), *columns)
-    d = df.withColumn("_cell", F.shiftrightunsigned(h, 48))
-    cells = d.groupBy(*by, "_cell").agg(F.count("*").alias("_n"))
-    before = (
-        Window.partitionBy(*by).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    parts = [F.col(c).cast("string") for c in key or columns]
+    h = F.md5(F.concat_ws("|", F.lit(str(seed)), *parts))
+    free = F.lit(False) if always is None else F.coalesce(always, F.lit(False))
+    d = df.withColumns({"_free": free, "_h": h, "_cell": F.substring(h, 1, DIGITS)})
+    if not by:
+        d, want, by = d.withColumn("_all", F.lit(0)), want.withColumn("_all", F.lit(0)), ["_all"]
+    cells = d.where("not _free").groupBy(*by, "_cell").agg(F.count("*").alias("_n"))
+    upto = Window.partitionBy(*by).orderBy("_cell").rowsBetween(Window.unboundedPreceding, 0)
+    cells = cells.withColumn("_to", F.sum("_n").over(upto)).join(F.broadcast(want), by)
+    # the first cell that does not fit whole; without one the stratum is kept whole
+    need = (F.col("_want") - F.col("_to") + F.col("_n")).alias("_need")
+    borders = cells.where("_to > _want").groupBy(*by).agg(
+        F.min(F.struct(F.col("_cell").alias("_border"), need)).alias("_at")
     )
-    cells = cells.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-    need = F.least(F.col("_n"), F.col("_want") - F.col("_before"))
-    joined = cells.join(want, by) if by else cells.crossJoin(F.broadcast(want))
-    take = joined.withColumn("_need", need).where("_need > 0")
-    take = take.select(*by, "_cell", "_need", (F.col("_need") < F.col("_n")).alias("_cut"))
-    if strata <= 16:
-        take = F.broadcast(take)
-    d = d.join(take, [*by, "_cell"])
-    whole = d.where(~F.col("_cut")).select(*columns)
-    edge = d.where("_cut").groupBy(*columns, "_cell", "_need").agg(F.count("*").alias("_n"))
-    rank = Window.partitionBy(*by, "_cell").orderBy(F.xxhash64(F.lit(seed), *columns), *columns)
+    ends = want.join(borders, by, "left").select(*by, F.lit(True).alias("_asked"), "_at.*")
+    d = d.join(F.broadcast(ends) if strata <= MOST_STRATA else ends, by, "left")
+    whole = d.where("_free or (_asked and (_border is null or _cell < _border))").select(*columns)
+    edge = d.where("not _free and _cell = _border and _need > 0")
+    edge = edge.groupBy(*dict.fromkeys([*columns, *by]), "_h", "_need").agg(F.count("*").alias("_n"))
+    rank = Window.partitionBy(*by).orderBy("_h", *columns)
     so_far = F.sum("_n").over(rank.rowsBetween(Window.unboundedPreceding, -1))
     edge = edge.withColumn(
         "_copies", F.least(F.col("_n"), F.col("_need") - F.coalesce(so_far, F.lit(0)))
     ).where("_copies > 0")
-    edge = edge.select(*columns, F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_i"))
-    return whole.unionByName(edge.drop("_i"))
+    return whole.unionByName(_repeated(edge, "_copies").select(*columns))
 
 
-def undersample(df: DataFrame, label: str, ratio: float, seed: int = 42) -> DataFrame:
+def _repeated(df: DataFrame, n: str) -> DataFrame:
+    """Each row as often as ``n`` says, by way of arrays of bounded size."""
+    part = F.explode(F.expr(f"sequence(0, ({n} - 1) div {COPIES})")).alias("_part")
+    d = df.select("*", part)
+    here = F.expr(f"sequence(1, least({COPIES}, {n} - _part * {COPIES}))")
+    return d.select("*", F.explode(here).alias("_copy"))
+
+
+def undersample(
+    df: DataFrame, label: str, ratio: float, seed: int = 42, key: list[str] | None = None
+) -> DataFrame:
     """All labelled rows and exactly ratio times as many of the others."""
     want = df.agg(
         F.floor(F.coalesce(F.count_if(F.col(label) == 1), F.lit(0)) * ratio)
         .cast("long").alias("_want")
     )
-    rest = df.where(F.coalesce(F.col(label), F.lit(0)) != 1)
-    return df.where(F.col(label) == 1).unionByName(exact_sample(rest, want, [], seed, 1))
+    return exact_sample(df, want, [], seed, 1, key, F.col(label) == 1)
 
 
 def undersample_fast(df: DataFrame, label: str, fractions: dict[int, float], seed: int = 42):
@@ -80,7 +99,8 @@ def undersample_fast(df: DataFrame, label: str, fractions: dict[int, float], see
 
 
 def sample_by_period(
-    df: DataFrame, label: str, period: Column, ratios: dict[str, float], seed: int = 1
+    df: DataFrame, label: str, period: Column, ratios: dict[str, float], seed: int = 1,
+    key: list[str] | None = None,
 ) -> DataFrame:
     """All labelled rows, plus ratio x their number of other rows from each period."""
     columns = df.columns
@@ -90,6 +110,7 @@ def sample_by_period(
     want = n.select(F.explode(sizes).alias("_period", "_ratio"), "_n").select(
         "_period", F.floor(F.col("_n") * F.col("_ratio")).cast("long").alias("_want")
     )
-    rest = d.where((F.coalesce(F.col(label), F.lit(0)) != 1) & F.col("_period").isNotNull())
-    kept = exact_sample(rest, want, ["_period"], seed, len(ratios)).select(*columns)
-    return df.where(F.col(label) == 1).unionByName(kept)
+    kept = exact_sample(
+        d, want, ["_period"], seed, len(ratios), key or columns, F.col(label) == 1
+    )
+    return kept.select(*columns)
