@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from catalogue.tables import lineitem, orders
 from pitfeat.operators import labels as lab
 from pitfeat.operators import sampling
+from pitfeat.plans.training import balanced
 
 KEYS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
 
@@ -51,6 +52,15 @@ def undersampled_rows(spark, sf):
     return d.select(*KEYS, "label")
 
 
+def balanced_rows(spark, sf):
+    """Lines that have a tax: all returned ones, and one other for four of them."""
+    d = lineitem(spark, sf).withColumns({
+        "tax": F.when(F.col("l_linenumber") % 3 != 0, F.col("l_tax")),
+        "label": F.when(F.col("l_returnflag") == "R", 1).otherwise(0),
+    })
+    return balanced(d, "label", ["tax"], 0.25, 3, KEYS).select(*KEYS, "tax", "label")
+
+
 def period_sample_rows(spark, sf):
     """All labelled lines, and those drawn from each period."""
     period = F.when(F.col("l_shipdate") >= "2000-01-01", "recent").otherwise("older")
@@ -134,6 +144,16 @@ QUERIES = {
       want AS (SELECT CAST(floor(count(*) * 0.5) AS BIGINT) AS w FROM d WHERE label = 1)
       SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, label
       FROM ranked, want WHERE label = 1 OR i <= w"""),
+    "balanced_rows": (balanced_rows, """
+      WITH d AS (
+        SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_tax AS tax,
+               CAST(l_returnflag = 'R' AS INT) AS label,
+               md5(concat_ws('|', 3, l_orderkey, l_partkey, l_suppkey, l_linenumber)) AS h
+        FROM lineitem WHERE l_linenumber % 3 <> 0),
+      ranked AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY h) AS i FROM d),
+      want AS (SELECT floor(count(*) * 0.25) AS w FROM d WHERE label = 1)
+      SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, tax, label
+      FROM ranked, want WHERE label = 1 OR i <= w"""),
     "period_sample_rows": (period_sample_rows, DRAWN.format(
         seed=7, period="CASE WHEN l_shipdate >= TIMESTAMP '2000-01-01' THEN 'recent' ELSE 'older' END"
     ) + """,

@@ -59,6 +59,16 @@ def filled(spark, sf):
     )
 
 
+def cast_to_numbers(spark, sf):
+    """Text that is no number becomes null; columns take a prefix and lose it again."""
+    d = orders(spark, sf).select(
+        "o_orderkey", F.col("o_orderpriority").alias("whole"),
+        F.substring("o_orderpriority", 1, 1).alias("first"),
+    )
+    d = c.strip_prefix(c.prefix_columns(d, "x_"), "x_")
+    return c.cast_all(d, {"whole": "int", "first": "int"})
+
+
 def names(spark, sf):
     """Payer and payee of each line, as words with the serial number last."""
     o = orders(spark, sf).select("o_orderkey", "o_custkey")
@@ -126,6 +136,9 @@ QUERIES = {
              round(sum(CASE WHEN l_linenumber % 3 = 0 THEN 0 ELSE l_quantity END), 2) AS quantity,
              round(sum(CASE WHEN l_linenumber % 3 = 0 THEN -1 ELSE l_tax END), 2) AS tax
       FROM lineitem GROUP BY l_returnflag"""),
+    "cast_to_numbers": (cast_to_numbers, """
+      SELECT o_orderkey, TRY_CAST(o_orderpriority AS INT) AS whole,
+             TRY_CAST(substr(o_orderpriority, 1, 1) AS INT) AS first FROM orders"""),
     "fuzzy_name_match": (fuzzy_name_match, None),
     "name_match_levenshtein": (name_match_levenshtein, r"""
       WITH n AS (

@@ -108,6 +108,13 @@ def group_values(spark, sf):
     return d.select("o_orderkey", "lowest", "highest", *rounded(6, "mean"), "n")
 
 
+def group_median_nunique(spark, sf, spread=None):
+    """Median amount and number of priorities of the customer on each order."""
+    d = p.group_medians(orders(spark, sf), ["o_custkey"], {"half": "o_totalprice"}, spread=spread)
+    d = group_transform(d, ["o_custkey"], {}, "o_orderkey", distinct={"kinds": "o_orderpriority"})
+    return d.select("o_orderkey", "kinds", *rounded(6, "half"))
+
+
 LINES = """
       WITH d AS (SELECT *, CAST(l_returnflag = 'R' AS INT) AS label FROM lineitem)"""
 DESCRIBE_SQL = LINES + """,
@@ -132,8 +139,15 @@ BOX_SQL = LINES + """,
              round(quantile_cont(v, 0.5), 6) AS q50, round(quantile_cont(v, 0.75), 6) AS q75,
              round(max(v), 6) AS high
       FROM v GROUP BY label"""
+MEDIAN_SQL = """
+      SELECT o_orderkey, kinds, half FROM orders JOIN (
+        SELECT o_custkey, count(DISTINCT o_orderpriority) AS kinds,
+               round(median(o_totalprice), 6) AS half
+        FROM orders GROUP BY o_custkey) USING (o_custkey)"""
 
 QUERIES = {
+    "group_median_nunique": (group_median_nunique, MEDIAN_SQL),
+    "group_median_nunique_spread": (lambda sp, sf: group_median_nunique(sp, sf, True), MEDIAN_SQL),
     "describe_by_label": (describe_by_label, DESCRIBE_SQL),
     "describe_by_label_spread": (lambda sp, sf: describe_by_label(sp, sf, True), DESCRIBE_SQL),
     "null_audit": (null_audit, """

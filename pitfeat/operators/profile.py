@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pitfeat.limits import estimated_bytes, limit
+from pitfeat.limits import estimated_bytes, limit, not_null
 from pitfeat.operators.slices import plan_slices, running, sum_of
 
 
@@ -49,6 +49,19 @@ def exact_quantiles(
     return line.groupBy(*([] if whole else by)).agg(*out)
 
 
+def group_medians(
+    df: DataFrame, by: list[str], medians: dict[str, str], **how
+) -> DataFrame:
+    """Put exact medians of the group on every row; no group is gathered in one buffer.
+
+    A group without values and rows with a null key get nulls.
+    """
+    d, known = df, df.where(not_null(by))
+    for n, x in medians.items():
+        d = d.join(exact_quantiles(known, by, x, {n: 0.5}, **how), by, "left")
+    return d.select(*df.columns, *medians)
+
+
 def describe_by(
     df: DataFrame, columns: list[str], label: str, probs: dict[str, float] | None = None,
     slice_rows: int | None = None, spread: bool | None = None,

@@ -365,14 +365,19 @@ def slice_carry(d: DataFrame, by: list[str], folds: dict[str, Fold]) -> DataFram
 
 
 def group_transform(
-    df: DataFrame, by: list[str], aggs: dict[str, Column], salt: str, hot: bool | None = None
+    df: DataFrame, by: list[str], aggs: dict[str, Column], salt: str, hot: bool | None = None,
+    distinct: dict[str, str] | None = None,
 ) -> DataFrame:
     """Put unordered group aggregates on every row of the group.
 
     One window when groups are known to fit a task. Otherwise a map-side
     combined aggregate joined back, which adaptive execution splits on a skewed
-    key. Rows with a null key get nulls.
+    key. ``distinct`` names columns whose distinct values are counted, always the
+    second way, as no window offers it. Rows with a null key get nulls.
     """
+    if distinct:
+        aggs = aggs | {n: F.count_distinct(c) for n, c in distinct.items()}
+        hot = True
     if hot is None:
         known = place_of(df, by)
         if known:

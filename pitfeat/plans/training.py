@@ -30,6 +30,9 @@ def training_rows(
     return propagate_two_hop(joined, person, visitor, label)
 
 
-def balanced(df: DataFrame, label: str, required: list[str], ratio: float = 4, seed: int = 42):
+def balanced(
+    df: DataFrame, label: str, required: list[str], ratio: float = 4, seed: int = 42,
+    key: list[str] | None = None,
+) -> DataFrame:
     """Rows with the required columns, the other class cut to ``ratio`` per labelled row."""
-    return undersample(df.na.drop(subset=required), label, ratio, seed)
+    return undersample(df.na.drop(subset=required), label, ratio, seed, key)
