@@ -74,3 +74,14 @@ def test_time_split(spark):
     assert sorted((r.t, r.y, r.split) for r in got) == [
         (1, 0, "train"), (5, 0, "test"), (5, 1, "train"),
     ]
+
+
+def test_sample_of_many_copies_and_nulls(spark):
+    """Copies are written out in parts; null keys and empty input are defined."""
+    rows = spark.range(10_000).selectExpr("0 AS label", "CAST(NULL AS STRING) AS k")
+    one = spark.createDataFrame([(1, "a")] * 3, "label int, k string")
+    d = rows.unionByName(one)
+    got = sampling.undersample(d, "label", 2000.0, 1, ["k"]).groupBy("label").count().collect()
+    assert {r.label: r["count"] for r in got} == {0: 6000, 1: 3}
+    assert sampling.undersample(d.where("false"), "label", 2.0).count() == 0
+    assert sampling.undersample(d.where("label = 0"), "label", 2.0).count() == 0
