@@ -9,10 +9,9 @@ Counts: tasks count their own words, which are then summed. The HEAD most
 frequent words go to every task in one table; the others travel as (row, word,
 n) and meet their count in a join.
 
-Training: texts of a hashed share of the training texts, so that it grows with
-the corpus, are dealt to trainers of about TRAINER texts. A first trainer warms
-the model up, then all go on from it at once and their weights are averaged, in
-groups of FAN, weighted by tokens.
+Training: all training texts are dealt to trainers of about TRAINER texts. A
+first trainer warms the model up, then all go on from it at once and their
+weights are averaged, in groups of FAN, weighted by tokens.
 
 Defined cases: null and empty texts are the end token alone. Without a training
 text all counts are 0. Rows are numbered by their place in the input, so
@@ -40,8 +39,8 @@ from pitfeat.llm.gru import Gru
 HEAD = 1 << 18
 #: words the model tells apart, and buckets of the others
 KNOWN, BUCKETS = 1023, 16
-#: one training text in so many trains the network; texts of one trainer; weights averaged at once
-SHARE, TRAINER, FAN = 16, 1000, 16
+#: texts of one trainer; weights averaged at once
+TRAINER, FAN = 1000, 16
 
 
 def tokens(text: str) -> list[bytes]:
@@ -114,13 +113,11 @@ def lexicon(counts: DataFrame, texts: int, head: int = HEAD) -> Lexicon:
 
 # ---- training
 
-def train(texts: DataFrame, lex, share: int = SHARE, trainer: int = TRAINER) -> Gru:
-    """A model trained on a share of the texts; ``lex`` is a broadcast Lexicon."""
+def train(texts: DataFrame, lex, trainer: int = TRAINER) -> Gru:
+    """A model trained on all the texts; ``lex`` is a broadcast Lexicon."""
     start = Gru.start(lex.value.known_counts, lex.value.rare[:, 0])
-    part = texts.where(F.pmod(F.xxhash64("_text"), F.lit(share)) == 0)
-    n = part.count()
-    trainers = max(1, round(n / trainer))
-    dealt = part.select("_text", F.pmod(F.hash("_text"), F.lit(trainers)).alias("trainer"))
+    trainers = max(1, round(lex.value.texts / trainer))
+    dealt = texts.select("_text", F.pmod(F.hash("_text"), F.lit(trainers)).alias("trainer"))
     first = _average(_trained(dealt.where("trainer = 0"), start, lex, 3), 1)
     if first is None:
         return start

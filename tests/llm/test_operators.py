@@ -274,6 +274,29 @@ def test_lm_score(docs, empty, texts):
     assert lm_score.score(empty, training).count() == 0
 
 
+def trained_on(spark, monkeypatch, texts, trainer):
+    """The trained model, the start model, and per round of training its passes and the texts of each trainer."""
+    rounds, whole = [], lm_score._trained
+
+    def seen(dealt, model, lex, passes):
+        rounds.append((passes, Counter(r.trainer for r in dealt.select("trainer").collect())))
+        return whole(dealt, model, lex, passes)
+
+    monkeypatch.setattr(lm_score, "_trained", seen)
+    df = spark.createDataFrame([(t,) for t in texts], "_text string")
+    lex = lm_score.lexicon(lm_score.word_counts(df), len(texts))
+    start = lm_score.Gru.start(lex.known_counts, lex.rare[:, 0])
+    return lm_score.train(df, spark.sparkContext.broadcast(lex), trainer=trainer), start, rounds
+
+
+def test_lm_trains_on_all_texts(spark, monkeypatch):
+    _, _, rounds = trained_on(spark, monkeypatch, [prose(i, 20) for i in range(40)], 10)
+    assert sum(rounds[-1][1].values()) == 40
+    for i in range(3):  # one text is enough
+        model, start, _ = trained_on(spark, monkeypatch, [prose(i, 20)], 10)
+        assert not np.array_equal(model.packed(), start.packed())
+
+
 def test_gru_gradients():
     from pitfeat.llm import gru
 
