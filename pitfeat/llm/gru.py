@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 
-STATE = 24
+STATE = 32
 WIDTH = 32
 STEPS = 24
 #: texts side by side in training and in scoring; symbols of a piece in training

@@ -297,6 +297,15 @@ def test_lm_trains_on_all_texts(spark, monkeypatch):
         assert not np.array_equal(model.packed(), start.packed())
 
 
+def test_lm_model_size(spark, monkeypatch):
+    df = spark.createDataFrame([(" ".join(f"w{i}" for i in range(2000)),)], "_text string")
+    lex = lm_score.lexicon(lm_score.word_counts(df), 1)
+    assert lex.known == 1501 and len(lex.rare) == 32
+    model, _, rounds = trained_on(spark, monkeypatch, [prose(i, 20) for i in range(40)], 10)
+    assert model.inner.shape == (32, 96)
+    assert rounds[-1][0] == 2
+
+
 def test_gru_gradients():
     from pitfeat.llm import gru
 
