@@ -9,9 +9,10 @@ Counts: tasks count their own words, which are then summed. The HEAD most
 frequent words go to every task in one table; the others travel as (row, word,
 n) and meet their count in a join.
 
-Training: all training texts are dealt to trainers of about TRAINER texts. A
-first trainer warms the model up, then all go on from it at once and their
-weights are averaged, in groups of FAN, weighted by tokens.
+Training: all training texts are dealt to trainers of about TRAINER texts by a
+hash of row and text, so that copies spread evenly. A first trainer warms the
+model up, then all go on from it at once and their weights are averaged, in
+groups of FAN, weighted by tokens.
 
 Defined cases: null and empty texts are the end token alone. Without a training
 text all counts are 0. Rows are numbered by their place in the input, so
@@ -117,8 +118,12 @@ def train(texts: DataFrame, lex, trainer: int = TRAINER) -> Gru:
     """A model trained on all the texts; ``lex`` is a broadcast Lexicon."""
     start = Gru.start(lex.value.known_counts, lex.value.rare[:, 0])
     trainers = max(1, round(lex.value.texts / trainer))
-    dealt = texts.select("_text", F.pmod(F.hash("_text"), F.lit(trainers)).alias("trainer"))
+    place = F.xxhash64(F.monotonically_increasing_id(), "_text")
+    dealt = texts.select("_text", F.pmod(place, F.lit(trainers)).cast("int").alias("trainer"))
     first = _average(_trained(dealt.where("trainer = 0"), start, lex, 3), 1)
+    if first is None and trainers > 1:
+        some = dealt.agg(F.min("trainer")).first()[0]
+        first = _average(_trained(dealt.where(F.col("trainer") == some), start, lex, 3), 1)
     if first is None:
         return start
     model = start.unpack(first)

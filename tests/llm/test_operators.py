@@ -306,6 +306,16 @@ def test_lm_model_size(spark, monkeypatch):
     assert rounds[-1][0] == 2
 
 
+def test_lm_spreads_copies(spark, monkeypatch):
+    texts = [prose(0, 20)] * 200 + [""] * 100 + [prose(i, 20) for i in range(300)]
+    _, _, rounds = trained_on(spark, monkeypatch, texts, 100)
+    dealt = rounds[-1][1]
+    assert sum(dealt.values()) == 600 and len(dealt) == 6 and max(dealt.values()) < 150
+    for i in range(8):  # four trainers of one text each, so the first is often empty
+        model, start, _ = trained_on(spark, monkeypatch, [prose(4 * i + k, 20) for k in range(4)], 1)
+        assert not np.array_equal(model.packed(), start.packed())
+
+
 def test_gru_gradients():
     from pitfeat.llm import gru
 
