@@ -4,46 +4,42 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitfeat.llm.byteconv import LENGTH, ByteConv, windows
 from pitfeat.llm.common import whole
 
-#: documents per class, windows per document, and classes that training may see
+#: documents per class and windows per document that training may see
 DOCUMENTS = 1500
 WINDOWS = 4
-CLASSES = 500
 
 
 def share_of_class(rows: DataFrame, key: str, label: str, documents: int = DOCUMENTS) -> DataFrame:
-    """About ``documents`` rows of each class, chosen by a hash of the key.
+    """``documents`` rows of each class, all of a smaller one, chosen by a hash of row number and key.
 
-    Classes are counted first (few columns, combined before the shuffle), so one
-    more pass can pick from all classes at once. Classes beyond CLASSES are an
-    error rather than left out.
+    The row number spreads copies and null keys. Classes are counted first (few
+    columns, combined before the shuffle), so one more pass can pick from all
+    classes at once; it picks a few too many, which are ranked in their class.
     """
-    counts = rows.groupBy(label).agg(F.count("*").alias("_n")).limit(CLASSES + 1).collect()
-    if len(counts) > CLASSES:
-        raise ValueError(f"more than {CLASSES} classes")
-    if not counts:
-        return rows.where("false")
-    share = F.lit(0.0)
-    for r in sorted(counts, key=lambda r: str(r[0])):
-        share = F.when(F.col(label) == F.lit(r[0]), min(1.0, documents / r["_n"])).otherwise(share)
-    place = F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(1_000_000)) / 1e6
-    return rows.where(place < share)
+    counts = rows.groupBy(label).agg(F.count("*").alias("_n")).select(F.col(label).alias("_class"), "_n")
+    hashed = rows.withColumn("_place", F.xxhash64(F.monotonically_increasing_id(), F.col(key).cast("string")))
+    enough = documents + 5 * documents**0.5 + 10
+    near = hashed.join(F.broadcast(counts), F.col(label) == F.col("_class")).where(
+        F.pmod("_place", F.lit(1_000_000)) / 1e6 < F.lit(enough) / F.col("_n"))
+    rank = F.row_number().over(Window.partitionBy(label).orderBy("_place"))
+    return near.select(*rows.columns, rank.alias("_rank")).where(F.col("_rank") <= documents).drop("_rank")
 
 
 def class_counts(rows: DataFrame, label: str) -> dict:
-    return {r[0]: r[1] for r in rows.groupBy(label).count().limit(CLASSES).collect()}
+    return {r[0]: r[1] for r in rows.groupBy(label).count().collect()}
 
 
 def sampled_windows(rows: DataFrame, text: str, label: str, seed: int = 5) -> list[tuple[object, np.ndarray, np.ndarray]]:
     """(label, windows, bytes in each) of sampled rows, brought to the driver.
 
-    Of a longer text WINDOWS windows are drawn from all its windows; at most
-    DOCUMENTS * classes * WINDOWS * LENGTH bytes arrive, give or take the hash.
+    Of a longer text WINDOWS windows are drawn from all its windows, so at most
+    rows * WINDOWS * LENGTH bytes arrive.
     """
     kind = rows.schema[label].dataType.simpleString()
 
@@ -75,7 +71,8 @@ def fitted(sample, counts: dict, updates: int = 500) -> tuple[ByteConv | None, l
     if not names:
         return None, []
     net = ByteConv.start(len(names))
-    labels = np.array([names.index(label) for label, _, _ in sample])
+    place = {name: i for i, name in enumerate(names)}
+    labels = np.array([place[label] for label, _, _ in sample])
     net.fit([(v, s) for _, v, s in sample], labels, updates)
     seen = np.bincount(labels, minlength=len(names))
     true = np.array([max(1, counts.get(n, 1)) for n in names])

@@ -339,6 +339,20 @@ def test_gru_gradients():
         assert d[k] == pytest.approx((up - down) / 0.02, rel=0.05)
 
 
+def test_sample_is_bounded_by_rows(spark):
+    from pitfeat.llm.text_classes import class_counts, share_of_class
+
+    rows = [(None if i % 2 else i, f"t{i}", "en") for i in range(4000)]
+    rows += [(7, "same", "de")] * 1000 + [(-i, f"u{i}", "fr") for i in range(60)]
+    df = spark.createDataFrame(rows, "k long, t string, l string")
+    got = share_of_class(df, "k", "l", 100).collect()
+    assert Counter(r.l for r in got) == {"en": 100, "de": 100, "fr": 60}
+    assert 25 < sum(r.k is None for r in got) < 75
+    many = spark.createDataFrame([(i, "t", f"l{i % 600}") for i in range(1200)], "k long, t string, l string")
+    assert len({r.l for r in share_of_class(many, "k", "l", 1).collect()}) == 600
+    assert len(class_counts(many, "l")) == 600
+
+
 def test_language_and_quality(spark, empty):
     r = random.Random(2)
     en, de = "the and of that with this from have".split(), "der und das nicht mit eine von haben".split()
