@@ -9,7 +9,12 @@ nearest decided neighbours.
 Markup narrows the question down first. Blocks under menus, forms, page headers,
 footers, sidebars, adverts, notices and reader comments, told by tag, role or
 class, are bad. If the page marks an article or main part, only its blocks can
-be good, and inside it a lack of stop words makes no block bad.
+be good, and inside it a lack of stop words makes no block bad, nor do links a
+heading. A main element overrides bad names of the elements around it; an
+article does so where the page has no other paragraph in its main part, as
+teasers and comments are articles too. Stop words count only on pages where some
+block has many of them; on others, such as those in further languages, length
+decides.
 
 Defined cases: a null or empty page, and a page without a good block, give the
 empty text. Unclosed and misnested tags close with the tag that encloses them.
@@ -66,33 +71,38 @@ class Block:
     parts: list = field(default_factory=list)
     link_chars: int = 0
     bad: bool = False
+    eased: bool = False  # bad if an article overrides names around it
     inside: bool = False
     heading: bool = False
     text: str = ""
 
 
-def _marked_bad(tag: str, attributes: str, inside: bool) -> bool:
+def _mark(tag: str, attributes: str, inside: bool) -> str:
+    """How an element is marked as bad: sure, by a name only, or not at all (empty)."""
     if tag in _BAD_TAGS or (tag == "header" and not inside):
-        return True
+        return "sure"
+    found = ""
     if not attributes:
-        return False
+        return found
     for name, *values in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), "".join(values).lower()
         if name == "hidden" or (name == "aria-hidden" and value == "true"):
-            return True
+            return "sure"
         if name == "role" and value in _BAD_ROLES:
-            return True
+            return "sure"
         if name in ("class", "id") and tag not in ("html", "body", "article", "main"):
             names = set(_NAMES.findall(value))
             if names & _BAD_NAMES or (not inside and names & _HEADER_NAMES):
-                return True
-    return False
+                found = "name"
+    return found
 
 
 def blocks_of(html: str) -> tuple[list[Block], bool]:
     """Blocks with text in page order, and whether the page marks a main part."""
     out: list[Block] = []
-    stack: list[tuple[str, bool, bool]] = []  # tag, under something bad, inside the main part
+    # tag; under something surely bad, a bad name, one that no article overrides; inside the main part, an article
+    stack: list[tuple[str, bool, bool, bool, bool, bool]] = []
+    nothing = (False,) * 5
     block, links, marked = Block(), 0, False
     at, end = 0, len(html)
 
@@ -100,8 +110,8 @@ def blocks_of(html: str) -> tuple[list[Block], bool]:
         nonlocal block
         if block.parts:
             out.append(block)
-        bad, inside = stack[-1][1:] if stack else (False, False)
-        block = Block(bad=bad, inside=inside)
+        sure, named, eased, inside, _ = stack[-1][1:] if stack else nothing
+        block = Block(bad=sure or named, eased=sure or eased, inside=inside)
 
     def add(raw: str):
         if raw:
@@ -133,7 +143,7 @@ def blocks_of(html: str) -> tuple[list[Block], bool]:
             continue
         if tag in _VOID and tag != "hr":
             continue
-        if tag in _INLINE and not _marked_bad(tag, attributes, True) and not any(s[0] == tag for s in stack[-1:]):
+        if tag in _INLINE and not _mark(tag, attributes, True) and not any(s[0] == tag for s in stack[-1:]):
             continue
         if closing:
             places = [i for i, s in enumerate(stack) if s[0] == tag]
@@ -142,10 +152,15 @@ def blocks_of(html: str) -> tuple[list[Block], bool]:
         elif tag != "hr":
             if stack and stack[-1][0] == "p":
                 stack.pop()
-            bad, inside = stack[-1][1:] if stack else (False, False)
+            sure, named, eased, inside, article = stack[-1][1:] if stack else nothing
+            if tag == "main" and not inside:
+                named = eased = False
+            if tag == "article" and not article:
+                eased, article = False, True
             if tag in ("article", "main"):
                 inside = marked = True
-            stack.append((tag, bad or _marked_bad(tag, attributes, inside), inside))
+            mark = _mark(tag, attributes, inside)
+            stack.append((tag, sure or mark == "sure", named or mark == "name", eased or mark == "name", inside, article))
         links = 0
         close()
         block.heading = tag in ("h1", "h2", "h3", "h4", "h5", "h6") and not closing
@@ -155,21 +170,38 @@ def blocks_of(html: str) -> tuple[list[Block], bool]:
         b.text = " ".join(unescape("".join(b.parts)).split())
         if b.text:
             kept.append(b)
+    if not any(b.inside and not b.bad and not b.heading and len(b.text) >= SHORT_BELOW for b in kept):
+        for b in kept:
+            b.bad = b.eased
     return kept, marked
 
 
-def first_pass(b: Block, marked: bool) -> str:
-    """good, bad, near or short."""
+def _linked(b: Block) -> bool:
+    return b.link_chars > LINKS_MOST * max(1, sum(map(len, b.parts)))
+
+
+def _stops(text: str) -> float:
+    words = _WORD.findall(text.lower())
+    return sum(w in STOP_WORDS for w in words) / max(1, len(words))
+
+
+def in_known_language(blocks: list[Block]) -> bool:
+    """Whether some paragraph has as many stop words as text in a known language."""
+    return any(not b.bad and not b.heading and len(b.text) >= SHORT_BELOW and not _linked(b)
+               and _stops(b.text) >= STOPS_HIGH for b in blocks)
+
+
+def first_pass(b: Block, marked: bool, known: bool = True) -> str:
+    """good, bad, near or short; ``known`` tells whether stop words say something here."""
     if b.bad or (marked and not b.inside):
         return "bad"
     size = len(b.text)
-    if b.link_chars > LINKS_MOST * max(1, sum(map(len, b.parts))):
+    if _linked(b) and not (marked and b.heading):
         return "bad"
     if size < SHORT_BELOW or b.heading:
         return "short"
-    words = _WORD.findall(b.text.lower())
-    stops = sum(w in STOP_WORDS for w in words) / max(1, len(words))
-    if stops >= STOPS_HIGH:
+    stops = _stops(b.text)
+    if stops >= STOPS_HIGH or not known:
         return "good" if size >= LONG_FROM else "near"
     return "near" if stops >= STOPS_LOW or marked else "bad"
 
@@ -210,7 +242,8 @@ def second_pass(labels: list[str], headings: list[bool], marked: bool) -> list[b
 
 def main_text(html: str) -> str:
     blocks, marked = blocks_of(html)
-    labels = [first_pass(b, marked) for b in blocks]
+    known = marked or in_known_language(blocks)
+    labels = [first_pass(b, marked, known) for b in blocks]
     keep = second_pass(labels, [b.heading for b in blocks], marked)
     return " ".join(b.text for b, k in zip(blocks, keep) if k)
 

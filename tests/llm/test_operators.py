@@ -255,6 +255,30 @@ def test_html_text(spark):
         (1, "", 0), (2, "x", 1), (2, "x", 1)]
 
 
+def test_html_text_of_other_pages():
+    long = "This is the story of a man and of the sea that was all of his life and it is as long as it has to be. " * 3
+    foreign = ["Мы шли вдоль реки до старого моста, где рыбаки ждали рассвета. " * 6, "河流在石桥下面静静流过许多年," * 20,
+               "Nel mezzo del cammin di nostra vita mi ritrovai per una selva oscura. " * 6]
+    for text in foreign:
+        page = f"<nav><a href=x>Home</a></nav><div><p>{text}</p><p>{text}</p></div><div class=footer>{text}</div>"
+        assert html_text.main_text(page) == f"{text.strip()} {text.strip()}"
+    codes = "AX3 KD9 RT7 QW2 ZP5 LM8 VB4 NC6 HJ1 " * 4
+    comments = f"<div id=comments><article>{long}</article></div>"
+    want = long.strip()
+    cases = {
+        f"<p>{long}</p><p>{codes}</p>": want,  # stop words still tell junk on an English page
+        f"<div class='layout with-sidebar'><article><p>{long}</p></article><div class=sidebar>{long}</div></div>": want,
+        f"<main><h1>Title</h1><div class='comment-page'><article><p>{long}</p></article></div></main>": "Title " + want,
+        f"<div id=share-root><main><p>{long}</p>{comments}</main></div>": want,
+        f"<article><p>{long}</p></article>{comments}": want,
+        f"<div class=with-sidebar><article><p>{long}</p>{comments}</article></div>": want,
+        f"<article><h1><a href=x>Title</a></h1><p>{long}</p><p><a href=y>{long}</a></p></article>": "Title " + want,
+        f"<div class=with-sidebar hidden><article><p>{long}</p></article></div>": "",
+    }
+    for html, text in cases.items():
+        assert html_text.main_text(html) == text, html
+
+
 def test_lm_score(docs, empty, texts):
     training = id_bucket("doc_id", 10) != 0
     got = lm_score.score(docs, training, head=20).collect()
