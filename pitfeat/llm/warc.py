@@ -161,7 +161,7 @@ def _candidates(batches):
         for r in reversed(rows):
             if r["parsed"]:
                 to = r["rel"] + len(MAGIC) + r["head"] + r["length"] + len(END)
-                r["exit"] = to if to >= end else place[to]["exit"] if to in place and to > r["rel"] else None
+                r["exit"] = to if to >= end else place[to].get("exit") if to in place and to > r["rel"] else None
         return pa.RecordBatch.from_pylist([{k: r.get(k) for k in fields} for r in rows], schema)
 
     kinds = {"string": pa.string(), "long": pa.int64(), "int": pa.int32(), "boolean": pa.bool_()}

@@ -239,6 +239,23 @@ def test_warc_round_trip(spark, tmp_path):
     assert warc.read_archives(spark, folder).count() == 0
 
 
+def test_warc_trap_before_a_broken_header(spark, tmp_path):
+    trap = "WARC/1.0\r\nWARC-Type: response\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n"
+    broken = ["WARC/1.0\r\nno colon\r\n\r\nx", "WARC/1.0\r\n", "WARC/1.0\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n"]
+    pages = [(i, f"u{i}", f"{k}{trap}{b} tail") for i, (k, b) in enumerate((k, b) for k in ("", "head ") for b in broken)]
+    pages += [(10 + i, f"p{i}", f"page {i}") for i in range(10)]
+    folder = str(tmp_path / "w")
+    warc.write_archives(spark.createDataFrame(pages, "page_id long, url string, html string").coalesce(1), folder)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("200b", old):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            got = {int(r.id): bytes(r.payload).decode() for r in warc.read_archives(spark, folder).collect()}
+            assert got == {i: h for i, _, h in pages}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
 def test_html_text(spark):
     long = "This is the story of a man and of the sea that was all of his life and it is as long as it has to be. " * 3
     cases = {
