@@ -1,7 +1,7 @@
 """Exact BPE encoding by dynamic programming over prefixes, and decoding.
 
 For every prefix of a pre-token there is one token that its encoding ends with.
-Candidates are the tokens that are suffixes of the prefix; an automaton over the
+Candidates are the tokens that are suffixes of the prefix; an Aho-Corasick automaton over the
 vocabulary reports them in one pass. A candidate is the right one if it can
 stand beside the last token of the prefix before it, that is, if no merge ever
 joins the two across their border. The back-pointers give the ids.
