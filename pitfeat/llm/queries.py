@@ -9,14 +9,17 @@ from pitfeat.checkpoints import scratch_folder
 from pitfeat.llm import (
     bpe_codec,
     decontaminate,
+    filter_audit,
     html_text,
     language_id,
     lm_score,
+    minhash,
     ngram_join,
     quality_net,
     quality_rules,
     token_counts,
     warc,
+    whitening,
 )
 from pitfeat.llm.common import id_bucket
 
@@ -104,6 +107,21 @@ def op10_decontaminate(spark, sf_dir):
         (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op11_whitening(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    found = whitening.apply(vectors, whitening.fit(vectors))
+    # beyond 64 bits the contract's column has no value
+    return found.withColumn("deviation", F.expr("try_cast(deviation AS long)"))
+
+
+def op12_filter_audit(spark, sf_dir):
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_minhash(spark, sf_dir):
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 WORDS_SQL = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 QUALITY_SQL = rf"""
@@ -197,6 +215,47 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
   CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
   coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN covered USING (r) LEFT JOIN named USING (r)"""
+
+OP12_SQL = rf"""
+WITH docs AS (
+  SELECT d.doc_id, coalesce(d.source, '') AS part, coalesce(d.text, '') AS t, {WORDS_SQL} AS w,
+    min(d.doc_id) OVER (PARTITION BY coalesce(d.text, '')) AS first_id FROM documents d
+), marks AS (
+  SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id
+), judged AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic, list_filter(['A', 'B', 'C', 'D', 'E'], lambda f:
+    CASE f WHEN 'A' THEN len(w) < 200
+      WHEN 'B' THEN 100 * len(list_distinct(w)) < 50 * len(w)
+      WHEN 'C' THEN 100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 2 * length(t)
+      WHEN 'D' THEN regexp_matches(t, '[#$%&*|]')
+      ELSE coalesce(docs.doc_id > first_id, false) END) AS fails
+  FROM docs LEFT JOIN marks ON docs.doc_id = marks.doc_id
+), cells AS (
+  SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM judged GROUP BY part, fails
+), letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f
+), orders AS (
+  SELECT a.f || b.f || c.f || d.f || e.f AS filter_order FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5
+), steps AS (
+  SELECT filter_order, step, filter_order[step] AS f, string_split(filter_order[1:step - 1], '') AS earlier
+  FROM orders, (SELECT unnest(range(1, 6)) AS step)
+), taken AS (
+  SELECT part, filter_order, step, f,
+    sum(n) FILTER (NOT list_has_any(fails, list_append(earlier, f))) AS kept,
+    sum(n) FILTER (list_contains(fails, f) AND NOT list_has_any(fails, earlier)) AS removed,
+    sum(n) FILTER (list_contains(fails, f) AND list_has_any(fails, earlier)) AS redundant,
+    sum(n) FILTER (fails = [f]) AS unique_fails,
+    sum(good) FILTER (list_contains(fails, f) AND NOT list_has_any(fails, earlier)) AS good_lost,
+    sum(toxic) FILTER (list_contains(fails, f) AND NOT list_has_any(fails, earlier)) AS toxic_lost
+  FROM cells, steps GROUP BY part, filter_order, step, f
+)
+SELECT part, filter_order, CAST(step AS INT) AS step, CAST(coalesce(kept, 0) AS BIGINT) AS kept,
+  CAST(coalesce(removed, 0) AS BIGINT) AS removed, CAST(coalesce(redundant, 0) AS BIGINT) AS redundant,
+  CAST(coalesce(unique_fails, 0) AS BIGINT) AS unique_fails, CAST(coalesce(good_lost, 0) AS BIGINT) AS good_lost,
+  CAST(coalesce(toxic_lost, 0) AS BIGINT) AS toxic_lost,
+  CAST(sum(coalesce(removed, 0)) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
+FROM taken"""
+
 QUERIES = {
     "pipeline": (pipeline, None),
     "op1_quality_rules": (op1_quality_rules, OP1_SQL),
@@ -210,6 +269,9 @@ QUERIES = {
     "op8_quality_net": (op8_quality_net, None),
     "op9_bpe_codec": (op9_bpe_codec, None),
     "op10_decontaminate": (op10_decontaminate, OP10_SQL),
+    "op11_whitening": (op11_whitening, None),
+    "op12_filter_audit": (op12_filter_audit, OP12_SQL),
+    "op13_minhash": (op13_minhash, None),
 }
 
 
