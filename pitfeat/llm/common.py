@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -38,5 +39,34 @@ def bounded(df: DataFrame, rows: int) -> bool:
     return df.limit(rows + 1).count() <= rows
 
 
+def most_frequent(counted: DataFrame, count: str, most: int) -> DataFrame:
+    """Rows above the least count that leaves at most ``most`` of them; reads ``counted`` twice or thrice.
+
+    A histogram of powers of two, then one of the counts inside the power where the
+    limit falls, give that count, so no task and not the driver ever holds more rows
+    than are asked for. Rows at the count where the limit falls are all left out.
+    """
+    power = F.floor(F.log2(F.col(count).cast("double"))).cast("int")
+    powers = counted.groupBy(power.alias("p")).agg(F.count("*").alias("n")).orderBy(F.desc("p")).collect()
+    taken = 0
+    for row in powers:
+        if taken + row.n > most:
+            break
+        taken += row.n
+    else:
+        return counted
+    # of one power there are few counts where it is high and few rows share a task's count where it is low
+    inside = counted.where(power == row.p).groupBy(F.col(count).alias("c")).agg(F.count("*").alias("n"))
+    above = Window.orderBy(F.desc("c")).rowsBetween(Window.unboundedPreceding, 0)
+    inside = inside.withColumn("_up_to", F.sum("n").over(above)).where(F.col("_up_to") <= most - taken)
+    least = inside.agg(F.min("c")).first()[0]
+    return counted.where(F.col(count) >= least if least is not None else power > row.p)
+
+
+def to_table(df: DataFrame, order: list[tuple[str, str]]) -> pa.Table:
+    """A bounded frame on the driver as Arrow columns, sorted there."""
+    return df.toArrow().sort_by(order)
+
+
 def sized_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

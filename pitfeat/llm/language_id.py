@@ -11,17 +11,14 @@ the text is looked at for a prediction; other columns are not read.
 
 from __future__ import annotations
 
-import re
-
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pitfeat.llm.byteconv import ByteConv, softmax
-from pitfeat.llm.text_classes import DOCUMENTS, class_counts, fitted, sampled_windows, share_of_class
+from pitfeat.llm.text_classes import DOCUMENTS, class_counts, fitted, judged, sampled_windows, share_of_class
 
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
 
 
 def train(labelled: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang",
@@ -34,27 +31,25 @@ def train(labelled: DataFrame, key: str = "doc_id", text: str = "text", lang: st
 
 
 def identify(docs: DataFrame, model: tuple[ByteConv | None, list[str]], text: str = "text",
-             keep: list[str] | None = None) -> DataFrame:
-    """Columns to keep, lang_pred and score of every row; no shuffle."""
-    net, names = model
-    keep = docs.columns if keep is None else keep
-    shared = docs.sparkSession.sparkContext.broadcast((net, names))
-    fields = [f for f in docs.select(*keep).schema.fields]
+             keep: list[str] | None = None, least: float | None = None) -> DataFrame:
+    """Columns to keep, lang_pred and score of every row.
+
+    With ``least`` only rows of a known language with that score are given, the
+    others being left out in the task.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches):
+    def judge(texts):
         net, names = shared.value
-        for b in batches:
-            texts = b.column("_text_read").to_pylist()
-            found, score = [UNKNOWN] * len(texts), [0.0] * len(texts)
-            read = [i for i, t in enumerate(texts) if net is not None and t is not None and _LETTER.search(t)]
-            if read:
-                p = softmax(net.text_scores([texts[i].encode() for i in read]))
-                for i, row in zip(read, p):
-                    k = int(row.argmax())
-                    found[i], score[i] = names[k], float(row[k])
-            yield pa.RecordBatch.from_arrays(
-                [*[b.column(j) for j in range(len(fields))], pa.array(found, pa.string()), pa.array(score, pa.float64())],
-                [*[f.name for f in fields], "lang_pred", "score"])
-
-    schema = docs.select(*keep).schema.add("lang_pred", "string").add("score", "double")
-    return docs.select(*keep, F.col(text).alias("_text_read")).mapInArrow(run, schema)
+        found, score = [UNKNOWN] * len(texts), [0.0] * len(texts)
+        read = [i for i, t in enumerate(texts) if net is not None and t is not None and any(map(str.isalpha, t))]
+        if read:
+            p = softmax(net.text_scores([texts[i].encode() for i in read]))
+            for i, row in zip(read, p):
+                k = int(row.argmax())
+                found[i], score[i] = names[k], float(row[k])
+        stay = None if least is None else [f != UNKNOWN and s >= least for f, s in zip(found, score)]
+        return [pa.array(found, pa.string()), pa.array(score, pa.float64())], stay
+
+    keep = docs.columns if keep is None else keep
+    return judged(docs, keep, text, [("lang_pred", "string"), ("score", "double")], judge)

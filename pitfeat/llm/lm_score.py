@@ -5,9 +5,9 @@ text. The recurrent model knows the most frequent words one by one and the
 others by bucket; within a bucket a word has its share of the counts, smoothed
 like the base score, so a word never seen has a probability too.
 
-Counts: tasks count their own words, which are then summed. The HEAD most
-frequent words go to every task in one table; the others travel as (row, word,
-n) and meet their count in a join.
+Counts: tasks count their own words, which are then summed. The most frequent
+words, at most HEAD, go to every task in one table; the others travel as (row,
+word, n) and meet their count in a join.
 
 Training: all training texts are dealt to trainers of about TRAINER texts by a
 hash of row and text, so that copies spread evenly. A first trainer warms the
@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pitfeat.checkpoints import cut_lineage
-from pitfeat.llm.common import whole
+from pitfeat.llm.common import most_frequent, to_table, whole
 from pitfeat.llm.gru import Gru
 
 #: words in the table that every task holds; about 35 MB
@@ -105,7 +105,8 @@ class Lexicon:
 
 
 def lexicon(counts: DataFrame, texts: int, head: int = HEAD) -> Lexicon:
-    often = [(bytes(r.word), r.c) for r in counts.orderBy(F.desc("c"), "word").limit(head).collect()]
+    rows = to_table(most_frequent(counts, "c", head), [("c", "descending"), ("word", "ascending")])
+    often = list(zip(rows["word"].to_pylist(), rows["c"].to_pylist()))
     totals = counts.groupBy(_bucket(F.col("word")).alias("b")).agg(
         F.sum("c").alias("n"), F.count("*").alias("v")).collect()
     return Lexicon(often, texts, sum(r.n for r in totals), sum(r.v for r in totals),
@@ -127,8 +128,7 @@ def train(texts: DataFrame, lex, trainer: int = TRAINER) -> Gru:
     if first is None:
         return start
     model = start.unpack(first)
-    if trainers > 1:
-        model.unpack(_average(_trained(dealt, model, lex, 2), trainers))
+    model.unpack(_average(_trained(dealt, model, lex, 2), trainers))
     return model
 
 

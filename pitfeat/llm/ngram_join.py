@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pitfeat.checkpoints import cut_lineage
-from pitfeat.llm.common import sized_partitions
+from pitfeat.llm.common import most_frequent, sized_partitions, to_table
 from pitfeat.llm.components import connected
 
 N = 5
@@ -276,9 +276,9 @@ def _frequent(texts: DataFrame, share: int, most: int, least: int) -> tuple[np.n
 
     part = texts.where(F.pmod(F.xxhash64("_text"), F.lit(share)) == 0).select("_text")
     often = part.mapInArrow(run, "s long").groupBy("s").agg(F.count("*").alias("n")).where(F.col("n") >= least)
-    rows = often.orderBy(F.desc("n"), "s").limit(most).collect()
-    s = np.array([r.s for r in rows], np.int64).view(np.uint64)
-    rank = np.arange(len(rows), 0, -1)
+    rows = to_table(most_frequent(cut_lineage(often), "n", most), [("n", "descending"), ("s", "ascending")])
+    s = rows["s"].to_numpy().astype(np.int64).view(np.uint64)
+    rank = np.arange(len(s), 0, -1)
     order = np.argsort(s)
     return s[order], rank[order]
 

@@ -20,44 +20,41 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pitfeat.llm.byteconv import ByteConv, softmax
-from pitfeat.llm.common import whole
-from pitfeat.llm.text_classes import DOCUMENTS, class_counts, fitted, sampled_windows, share_of_class
+from pitfeat.llm.text_classes import DOCUMENTS, class_counts, fitted, judged, sampled_windows, share_of_class
 
 CUT = 0.3
 
 
 def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text",
           label: str = "quality", documents: int = 2 * DOCUMENTS) -> tuple[ByteConv | None, list]:
-    """Network and label values. Labels are sampled first: what is joined to the
-    documents is bounded by the sample."""
+    """Network and label values. Labels are sampled first, which bounds the side that is
+    broadcast, then the rows they meet: an id may be that of any number of rows."""
     marks = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull()).select(
         F.col(key).alias("_k"), F.col(label).cast("int").alias("_y"))
     counts = class_counts(marks.select("_y"), "_y")
+    return fitted(sampled_windows(labelled_rows(docs, marks, key, text, documents), "_t", "_y"), counts, updates=900)
+
+
+def labelled_rows(docs: DataFrame, marks: DataFrame, key: str, text: str, documents: int) -> DataFrame:
+    """At most ``documents`` rows of each label: _k, _t, _y."""
     picked = F.broadcast(share_of_class(marks, "_k", "_y", documents))
-    rows = docs.select(F.col(key).alias("_d"), F.col(text).alias("_t")).join(
-        picked, F.col("_d") == F.col("_k"))
-    return fitted(sampled_windows(rows, "_t", "_y"), counts, updates=900)
+    rows = docs.select(F.col(key).alias("_d"), F.col(text).alias("_t")).join(picked, F.col("_d") == F.col("_k"))
+    return share_of_class(rows.drop("_d"), "_k", "_y", documents)
 
 
 def score(docs: DataFrame, model: tuple[ByteConv | None, list], text: str = "text",
-          keep: list[str] | None = None) -> DataFrame:
-    """Columns to keep, score and predicted of every row; no shuffle."""
-    keep = docs.columns if keep is None else keep
+          keep: list[str] | None = None, only_good: bool = False) -> DataFrame:
+    """Columns to keep, score and predicted of every row; ``only_good`` leaves out the others in the task."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    fields = docs.select(*keep).schema.fields
 
-    def run(batches):
+    def judge(texts):
         net, values = shared.value
-        for b in batches:
-            texts = [t.encode() for t in b.column("_text_read").to_pylist()]
-            good = [0.5] * len(texts)
-            if net is not None and texts:
-                p = softmax(net.text_scores(texts))
-                good = p[:, values.index(1)].tolist() if 1 in values else [0.0] * len(texts)
-            yield pa.RecordBatch.from_arrays(
-                [*[b.column(j) for j in range(len(fields))], pa.array(good, pa.float64()),
-                 pa.array([int(g >= CUT) for g in good], pa.int32())],
-                [*[f.name for f in fields], "score", "predicted"])
-
-    schema = docs.select(*keep).schema.add("score", "double").add("predicted", "integer")
-    return docs.select(*keep, whole(text).alias("_text_read")).mapInArrow(run, schema)
+        good = [0.5] * len(texts)
+        if net is not None and texts:
+            p = softmax(net.text_scores([(t or "").encode() for t in texts]))
+            good = p[:, values.index(1)].tolist() if 1 in values else [0.0] * len(texts)
+        marks = [int(g >= CUT) for g in good]
+        return [pa.array(good, pa.float64()), pa.array(marks, pa.int32())], [m == 1 for m in marks] if only_good else None
+
+    keep = docs.columns if keep is None else keep
+    return judged(docs, keep, text, [("score", "double"), ("predicted", "integer")], judge)

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from pitfeat.llm.byteconv import LENGTH, ByteConv, windows
 from pitfeat.llm.common import whole
@@ -13,6 +16,8 @@ from pitfeat.llm.common import whole
 #: documents per class and windows per document that training may see
 DOCUMENTS = 1500
 WINDOWS = 4
+#: texts that a task judges at a time
+SLICE = 512
 
 
 def share_of_class(rows: DataFrame, key: str, label: str, documents: int = DOCUMENTS) -> DataFrame:
@@ -31,6 +36,32 @@ def share_of_class(rows: DataFrame, key: str, label: str, documents: int = DOCUM
     return near.select(*rows.columns, rank.alias("_rank")).where(F.col("_rank") <= documents).drop("_rank")
 
 
+def judged(docs: DataFrame, keep: list[str], text: str, added: list[tuple[str, str]],
+           judge: Callable[[list[str | None]], tuple[list[pa.Array], list[bool] | None]]) -> DataFrame:
+    """The kept columns and what ``judge`` adds for a list of texts; no shuffle.
+
+    ``judge`` may also say which rows stay. A text that is kept travels to Python
+    once, and is judged in slices of a batch, so one copy of a batch is held.
+    """
+    kept = docs.select(*keep)
+    place = keep.index(text) if text in keep else len(keep)
+    read = kept if place < len(keep) else docs.select(*keep, F.col(text).alias("_text_read"))
+    names = [*keep, *(n for n, _ in added)]
+
+    def run(batches):
+        for b in batches:
+            for at in range(0, b.num_rows, SLICE):
+                part = b.slice(at, SLICE)
+                arrays, stay = judge(part.column(place).to_pylist())
+                out = pa.RecordBatch.from_arrays([*part.columns[:len(keep)], *arrays], names)
+                yield out if stay is None else out.filter(pa.array(stay, pa.bool_()))
+
+    schema = StructType(list(kept.schema.fields))
+    for name, kind in added:
+        schema.add(name, kind)
+    return read.mapInArrow(run, schema)
+
+
 def class_counts(rows: DataFrame, label: str) -> dict:
     return {r[0]: r[1] for r in rows.groupBy(label).count().collect()}
 

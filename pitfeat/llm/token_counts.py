@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pitfeat.checkpoints import cut_lineage
-from pitfeat.llm.common import whole
+from pitfeat.llm.common import most_frequent, whole
 from pitfeat.llm.pretokens import splitter
 
 #: most pre-tokens in the table that every task holds; about 40 MB
@@ -77,8 +77,8 @@ def _head(texts: DataFrame, path: str) -> dict[str, int]:
 
     part = texts.where(F.pmod(F.xxhash64("_text"), F.lit(HEAD_SHARE)) == 0).select("_text")
     often = part.mapInArrow(run, "token string, n long").groupBy("token").agg(F.sum("n").alias("n"))
-    often = often.orderBy(F.desc("n"), "token").limit(HEAD).select("token")
-    return {r.token: r.pieces for r in _piece_table(often, path).collect()}
+    rows = _piece_table(most_frequent(cut_lineage(often), "n", HEAD).select("token"), path).toArrow()
+    return dict(zip(rows["token"].to_pylist(), rows["pieces"].to_pylist()))
 
 
 def token_counts(

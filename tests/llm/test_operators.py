@@ -394,6 +394,33 @@ def test_sample_is_bounded_by_rows(spark):
     assert len(class_counts(many, "l")) == 600
 
 
+def test_quality_sample_of_a_repeated_id(spark):
+    """Rows, not labels, bound the sample: one labelled id may be that of very many rows."""
+    df = spark.createDataFrame([(7, f"t{i}") for i in range(20_000)] + [(i, "x") for i in range(20, 50)], "doc_id long, text string")
+    marks = spark.createDataFrame([(7, 1)] + [(i, 0) for i in range(20, 50)], "_k long, _y int")
+    got = Counter(r._y for r in quality_net.labelled_rows(df, marks, "doc_id", "text", 10).collect())
+    assert got == {1: 10, 0: 10}
+
+
+def test_most_frequent(spark):
+    from pitfeat.llm.common import most_frequent
+
+    rows = [(f"w{i}", c) for i, c in enumerate([1] * 50 + [2] * 9 + [3] * 5 + [6, 7, 40, 1000])]
+    df = spark.createDataFrame(rows, "w string, c long")
+    for most, want in ((100, 68), (68, 68), (67, 18), (18, 18), (17, 9), (9, 9), (8, 4), (3, 3), (1, 1), (0, 0)):
+        got = sorted(r.c for r in most_frequent(df, "c", most).collect())
+        assert len(got) == want and got == sorted(c for _, c in rows)[68 - want:]
+    assert most_frequent(df.limit(0), "c", 5).count() == 0
+
+
+def test_letters(spark):
+    df = spark.createDataFrame([(1, "½ ② 12"), (2, "①²³"), (3, "ß"), (4, "漢")], "doc_id long, text string")
+    model = language_id.train(spark.createDataFrame([(1, "a b c", "en"), (2, "x y", "de")], "doc_id long, text string, lang string"))
+    got = {r.doc_id: r.lang_pred == "und" for r in language_id.identify(df, model).collect()}
+    assert got == {1: True, 2: True, 3: False, 4: False}
+    assert [r.doc_id for r in language_id.identify(df, model, least=0.0).orderBy("doc_id").collect()] == [3, 4]
+
+
 def test_language_and_quality(spark, empty):
     r = random.Random(2)
     en, de = "the and of that with this from have".split(), "der und das nicht mit eine von haben".split()

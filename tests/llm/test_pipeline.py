@@ -21,5 +21,18 @@ def test_stages(spark):
 
 def test_empty_table(spark):
     docs = c.table(spark, SF, "documents").limit(0)
-    for name, stage in c.STAGES[2:]:
+    for name, stage in c.STAGES:
         assert stage(spark, docs, SF).count() == 0
+
+
+def test_null_texts_and_repeated_rows(spark):
+    docs = c.table(spark, SF, "documents")
+    odd = spark.createDataFrame([(-1, None, None, None, None), (None, None, "en", "s", 0), (-2, "", "en", "s", 0)], docs.schema)
+    before = docs.unionByName(docs.limit(30)).unionByName(odd)
+    for name, stage in c.STAGES:
+        after = cut_lineage(stage(spark, before, SF))
+        assert after.count() <= before.count(), name
+        before = after
+    assert before.where("not exact").count() == 0
+    kept = [r.doc_id for r in before.select("doc_id").collect()]
+    assert len(kept) == len(set(kept)) and not {-1, -2, None} & set(kept)
