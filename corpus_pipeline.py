@@ -11,7 +11,6 @@ rejected for quality, with no known language every row is rejected as ``und``.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from pitfeat.checkpoints import cut_lineage
 from pitfeat.llm import bpe_codec, decontaminate, language_id, ngram_join, quality_net
@@ -25,16 +24,14 @@ CONFIDENCE = 0.3
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose probability of good quality reaches the cut."""
     labels = table(spark, sf_dir, "labels").where(id_bucket("doc_id", 5) != 0)
-    scored = quality_net.score(docs, quality_net.train(docs, labels))
-    return scored.where("predicted = 1").select(*docs.columns)
+    scored = quality_net.score(docs, quality_net.train(docs, labels), only_good=True)
+    return scored.select(*docs.columns)
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that was recognised."""
     model = language_id.train(docs.where(id_bucket("doc_id", 4) != 2))
-    named = language_id.identify(docs, model)
-    known = (F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= CONFIDENCE)
-    return named.where(known).select(*docs.columns)
+    return language_id.identify(docs, model, least=CONFIDENCE).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
