@@ -1,6 +1,7 @@
 """Run registered queries against their SQL in DuckDB: python -m catalogue.check SF_DIR [names]."""
 
 import math
+import os
 import sys
 import time
 
@@ -13,7 +14,7 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "pages benchmark labels conversations").split()
 
 
-def session(cores: int = 8) -> SparkSession:
+def session(cores: int = int(os.environ.get("CHECK_CPUS", "8"))) -> SparkSession:
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
         .config("spark.sql.shuffle.partitions", str(cores))

@@ -11,7 +11,8 @@ from pitfeat.operators.slices import run_placed
 from pitfeat.plans import clickstream as plan
 from pitfeat.sources.sinks import VersionedTable
 from pitfeat.checkpoints import shared_dir
-from pitfeat.streaming import incremental
+from pitfeat.sources.buckets import BucketedTable
+from pitfeat.streaming import incremental, open_sessions
 from pitfeat.streaming.sessions import run_to_table, stream_dedup, stream_sessions
 
 BY, T, TIE, GAP = ["user_id"], "ts", ["event_id"], 21_600
@@ -403,6 +404,48 @@ def incremental_sessions(spark, sf):
     return d.select("user_id", *us("session_start", "session_end"), "number_of_hits")
 
 
+LATE = "event_id % 10 = 3"
+
+
+def arrived(spark, sf):
+    """Events with a time of arrival: some arrive ten days after they happened."""
+    late = F.when(F.expr(LATE), F.col(T) + F.expr("INTERVAL 10 DAYS"))
+    return events(spark, sf).withColumn("arrived", F.coalesce(late, F.col(T)))
+
+
+def late_increment(spark, sf):
+    """Events, the session table of the first run, and the rows that arrived after its mark."""
+    e = arrived(spark, sf)
+    mark = incremental.stored_mark(e.where(F.col("arrived") < MARK), "arrived")
+    main = incremental.session_table(e.where(F.col("arrived") <= F.lit(mark)), BY, T, GAP)
+    return e, main, incremental.rows_after(e, "arrived", mark)
+
+
+def incremental_with_late_rows(spark, sf):
+    """Sessions after an increment with rows of any age, those of closed sessions included."""
+    _, main, delta = late_increment(spark, sf)
+    d = incremental.refresh_with_late_rows(main, delta, BY, T, GAP)
+    return d.select("user_id", *us("session_start", "session_end"), "number_of_hits")
+
+
+def late_rows_recomputed(spark, sf):
+    """Session features after that increment: computed again for reopened sessions only."""
+    e, main, delta = late_increment(spark, sf)
+    first = e.join(delta.select("event_id"), "event_id", "left_anti")
+    features = ["event_id", "session_start", "session_end", "number_of_hits", "hit_number"]
+
+    def stats(d):
+        d = run_placed(d, BY, T, lambda x: s.session_stats(s.sessionize(x, BY, T, GAP), BY, T, tie=TIE))
+        return d.select("user_id", T, *features)
+
+    merged = incremental.merge_sessions(main, incremental.session_table(delta, BY, T, GAP), BY, GAP)
+    again = incremental.rows_of_sessions(e, merged.where("reopened"), BY, T)
+    fresh = stats(again)
+    kept = stats(first).join(again.select("event_id"), "event_id", "left_anti")
+    return kept.unionByName(fresh).select(
+        "event_id", *us("session_start", "session_end"), "number_of_hits", "hit_number")
+
+
 def rows_after_mark(spark, sf):
     """High-water mark of the first slice and the rows beyond it."""
     e = events(spark, sf)
@@ -462,21 +505,44 @@ def fold_two_streams(spark, sf):
     return folded(spark, sf, 2)
 
 
+def fold_buckets(spark, sf):
+    """Counters folded in three batches into hash buckets, the last of them twice."""
+    table = BucketedTable(spark, f"{run_folder(spark, 'buckets')}/main", BY, buckets=16)
+    cuts = ["2000-01-01", "2024-01-10", "2024-01-20", "2100-01-01"]
+    parts = [events(spark, sf).where(F.col(T).between(*pair) & (F.col(T) < pair[1])) for pair in zip(cuts, cuts[1:])]
+    for batch, part in enumerate([*parts, parts[-1]]):
+        table.fold(part, fold_counters, "events", min(batch, len(parts) - 1))
+    return table.read()
+
+
+def fold_counters(stored, delta):
+    new = delta.groupBy("user_id").agg(F.count("*").alias("n"), F.count_if(is_type("click")).alias("n_clicks"))
+    both = new if stored is None else stored.unionByName(new)
+    return both.groupBy("user_id").agg(F.sum("n").alias("n"), F.sum("n_clicks").alias("n_clicks"))
+
+
+def all_stream_sessions(spark, sf):
+    """Sessions so far, open ones included, from files that land in three steps: the last has late rows."""
+    root = run_folder(spark, "stream-all-sessions")
+    e = events(spark, sf)
+    late = F.expr(LATE)
+    parts = [e.where(~late & (F.col(T) < MARK)), e.where(~late & (F.col(T) >= MARK)), e.where(late)]
+    other = open_sessions.stateful_session(spark)
+    for part in parts:
+        part.write.mode("append").parquet(f"{root}/in")
+        landed = incremental.read_stream(other, f"{root}/in", e.schema)
+        log = open_sessions.session_log(landed, BY, T, GAP, "60 days")
+        run_to_table(log, f"{root}/log", f"{root}/checkpoint")
+    found = open_sessions.sessions_so_far(spark.read.schema(log.schema).parquet(f"{root}/log"), BY)
+    return found.select("user_id", *us("session_start", "session_end"), "number_of_hits")
+
+
 def folded(spark, sf, times):
     root = run_folder(spark, "stream-fold")
     main = VersionedTable(spark, f"{root}/main")
 
-    def fold(stored, delta):
-        new = delta.groupBy("user_id").agg(
-            F.count("*").alias("n"), F.count_if(is_type("click")).alias("n_clicks")
-        )
-        both = new if stored is None else stored.unionByName(new)
-        return both.groupBy("user_id").agg(
-            F.sum("n").alias("n"), F.sum("n_clicks").alias("n_clicks")
-        )
-
     for i in range(times):
-        query = incremental.fold_stream(landed_stream(spark, sf), main, fold, f"{root}/checkpoint-{i}")
+        query = incremental.fold_stream(landed_stream(spark, sf), main, fold_counters, f"{root}/checkpoint-{i}")
         query.awaitTermination()
     return main.read()
 
@@ -572,6 +638,18 @@ QUERIES = {
     "incremental_sessions": (incremental_sessions, cte() + """
       SELECT user_id, epoch_us(session_start) AS session_start_us,
              epoch_us(session_end) AS session_end_us, number_of_hits FROM bounds"""),
+    "incremental_with_late_rows": (incremental_with_late_rows, cte() + """
+      SELECT user_id, epoch_us(session_start) AS session_start_us,
+             epoch_us(session_end) AS session_end_us, number_of_hits FROM bounds"""),
+    "late_rows_recomputed": (late_rows_recomputed, cte() + """
+      SELECT event_id, epoch_us(session_start) AS session_start_us,
+             epoch_us(session_end) AS session_end_us, number_of_hits, hit_number FROM s"""),
+    "stream_all_sessions": (all_stream_sessions, cte() + """
+      SELECT user_id, epoch_us(session_start) AS session_start_us,
+             epoch_us(session_end) AS session_end_us, number_of_hits FROM bounds"""),
+    "fold_buckets": (fold_buckets, """
+      SELECT user_id, count(*) AS n, count(*) FILTER (event_type = 'click') AS n_clicks
+      FROM events GROUP BY user_id"""),
     "rows_after_mark": (rows_after_mark, """
       SELECT event_type, count(*) AS n, min(event_id) AS first_event FROM events
       WHERE ts > (SELECT max(ts) FROM events WHERE ts < TIMESTAMP '2024-01-16 00:00:00')

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pitfeat.checkpoints import cut_lineage
 from pitfeat.limits import not_null
+from pitfeat.operators.components import connected
 
 
 def propagate_label(
@@ -35,36 +36,43 @@ def propagate_two_hop(
     label: str,
     name: str | None = None,
     rounds: int | None = 1,
-    max_rounds: int = 50,
 ) -> DataFrame:
     """Spread labels: bad rows taint their devices, those taint their persons.
 
     One round marks every row of a person seen on a tainted device. More rounds
-    start from the persons marked so far; ``rounds=None`` goes on until nothing
-    changes and raises if ``max_rounds`` do not suffice. Rounds work on the
-    distinct (person, device) pairs. Null persons and devices never match.
+    start from the persons marked so far; ``rounds=None`` marks all that any number
+    of rounds would reach, by components of the graph of persons and devices, so a
+    long chain costs the logarithm of its length. Rounds work on the distinct
+    (person, device) pairs. Null persons and devices never match.
     """
     pairs = df.where(not_null([person, device])).select(person, device).distinct()
     seeds = df.where(F.col(label) == 1)
     persons = seeds.where(not_null([person])).select(person).distinct()
     # a bad row taints its device even when its person is unknown
     devices = seeds.where(not_null([device])).select(device).distinct()
-    done = 0
-    if rounds is None or rounds > 1:
+    if rounds is None:
+        persons = _reached(cut_lineage(pairs), persons, devices, person, device)
+        return mark(df, persons, [person], label, name or label)
+    if rounds > 1:
         pairs = cut_lineage(pairs)
-    while rounds is None or done < rounds:
+    for done in range(rounds):
         if done:
             devices = pairs.join(persons, person, "left_semi").select(device).distinct()
         reached = pairs.join(devices, device, "left_semi").select(person)
         grown = reached.unionByName(persons).distinct()
-        done += 1
-        if rounds is None:
-            before = persons.count()
-            persons = cut_lineage(grown)
-            if persons.count() == before:
-                break
-            if done >= max_rounds:
-                raise RuntimeError(f"labels still spread after {max_rounds} rounds")
-        else:
-            persons = cut_lineage(grown) if done < rounds else grown
+        persons = cut_lineage(grown) if done + 1 < rounds else grown
     return mark(df, persons, [person], label, name or label)
+
+
+def _reached(
+    pairs: DataFrame, persons: DataFrame, devices: DataFrame, person: str, device: str
+) -> DataFrame:
+    """Persons connected with a bad person or device, and the bad persons themselves."""
+    p, d = (F.concat(F.lit(kind), F.col(c).cast("string")) for kind, c in (("p", person), ("d", device)))
+    found = connected(pairs.select(p.alias("p"), d.alias("d")), "p", "d")
+    roots = cut_lineage(found.select(F.col("node").alias("_node"), F.col("root").alias("_root")))
+    bad = persons.select(p.alias("_node")).unionByName(devices.select(d.alias("_node")))
+    tainted = roots.join(bad, "_node", "left_semi").select("_root").distinct()
+    nodes = roots.join(tainted, "_root", "left_semi").select("_node")
+    known = pairs.select(person).distinct().withColumn("_node", p)
+    return known.join(nodes, "_node", "left_semi").select(person).unionByName(persons).distinct()

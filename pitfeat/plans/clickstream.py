@@ -7,9 +7,11 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pitfeat.checkpoints import cut_lineage
+from pitfeat.limits import not_null
 from pitfeat.operators import history as h
 from pitfeat.operators import sessions as s
-from pitfeat.operators.reduce import latest_per_key
+from pitfeat.operators.profile import exact_quantiles
 from pitfeat.operators.slices import run_placed
 
 
@@ -98,12 +100,69 @@ def _features(df: DataFrame, c: Clicks) -> DataFrame:
     return s.after_intent_measures(d, c.time)
 
 
-def latest_features(df: DataFrame, c: Clicks) -> DataFrame:
-    """The newest feature row of each visitor."""
-    def chain(d):
-        return latest_per_key(_features(d, c), [c.visitor], c.time, c.tie)
+def latest_features(df: DataFrame, c: Clicks, slice_rows: int | None = None) -> DataFrame:
+    """The newest feature row of each visitor, equal to that of `click_features`.
 
-    return run_placed(df, [c.visitor], c.time, chain)
+    No running history is kept for rows that are thrown away. Kept rows are grouped
+    by session and moment, moments by session, sessions by visitor; all that a
+    visitor's newest row says about earlier rows is a total less the newest part.
+    Each step combines before its shuffle. Medians over earlier sessions count
+    values, weighed by the moments of a session, so nothing is gathered per visitor.
+    """
+    by, session = [c.visitor], [c.visitor, "session_n"]
+    kept = run_placed(df, by, c.time, lambda d: click_sessions(d, c), slice_rows)
+    # rows without a visitor or time have no newest row
+    kept = kept.where(not_null([c.visitor, c.time]))
+    flags = {n: F.max(F.when(x, 1).otherwise(0)) for n, x in c.flags.items()}
+    moments = kept.groupBy(*session, c.time).agg(
+        F.max_by(F.struct(*kept.columns), F.struct(*c.tie)).alias("_row"),
+        F.count_if(~c.anchor).alias("_other"),
+        F.max(F.when(c.intent, 1)).alias("_intent"),
+        F.max(F.when(c.success, 1)).alias("_success"),
+        *[x.alias(n) for n, x in flags.items()],
+    )
+    last = F.max_by(F.struct("_row", "_other"), c.time)
+    sessions = moments.groupBy(*session).agg(
+        last.alias("_last"),
+        F.count("*").alias("_moments"),
+        F.sum("_other").alias("_others"),
+        F.min(F.when(F.col("_intent") == 1, F.col(c.time))).alias("first_transaction_time"),
+        F.min(F.when(F.col("_success") == 1, F.col(c.time))).alias("transaction_success_time"),
+        *[F.max(n).alias(n) for n in c.flags],
+    )
+    sessions = sessions.select(
+        "*", F.col("_last._row.session_start").alias("_start"), F.col("_last._row.session_time").alias("_length"))
+    # two steps read the sessions: one row each, far fewer than events
+    sessions = cut_lineage(s.number_rows(sessions, by, "_start", [], "_n", slice_rows))
+    past = sessions.withColumn("_k", F.col("_n") - 1)
+    fields = ["_last", "_moments", "_others", "_k", "_length", "first_transaction_time",
+              "transaction_success_time", *c.flags]
+    weigh = lambda x: F.sum(F.col("_moments") * F.col(x))
+    visitors = past.groupBy(*by).agg(
+        F.max_by(F.struct(*fields), "_n").alias("_new"),
+        F.min("_start").alias("first_session_start"),
+        F.sum("_moments").alias("_m"), weigh("_k").alias("_mk"), weigh("_length").alias("_ml"),
+        F.sum("_others").alias("_o"), F.count_if(F.col("_others") > 0).alias("_os"),
+    )
+    new = lambda x: F.col(f"_new.{x}")
+    # others at the newest moment itself, and a session that has none before it, do not count
+    now = new("_last._other")
+    only_now = ((new("_others") > 0) & (new("_others") == now)).cast("long")
+    earlier = F.col("_m") - new("_moments")
+    d = visitors.select(
+        "_new._last._row.*", "first_session_start", new("_k").cast("long").alias("number_of_sessions"),
+        *[F.coalesce(F.try_divide(F.col(a) - new("_moments") * new(b), earlier), F.lit(0.0)).alias(n)
+          for n, a, b in (("mean_number_of_sessions", "_mk", "_k"), ("mean_session_time", "_ml", "_length"))],
+        *[new(x).alias(x) for x in ("first_transaction_time", "transaction_success_time", *c.flags)],
+        (F.col("_o") - now).alias("number_of_non_anchor_actions"),
+        (F.col("_os") - only_now).alias("number_of_non_anchor_sessions"),
+    )
+    size = past.groupBy(*by).agg(F.max("_n").alias("_top"))
+    older = past.join(size, by).where("_n < _top")
+    for n, x in (("median_number_of_sessions", "_k"), ("median_session_time", "_length")):
+        half = exact_quantiles(older, by, x, {n: 0.5}, slice_rows, weight="_moments")
+        d = d.join(half, by, "left").withColumn(n, F.coalesce(n, F.lit(0.0)))
+    return s.after_intent_measures(d, c.time)
 
 
 def hit_history(df: DataFrame, by: list[str], t: str) -> DataFrame:

@@ -14,7 +14,8 @@ class VersionedTable:
     A version is written beside the current one, so a table may be rewritten
     from itself. Readers use the newest complete version: Spark puts the
     success mark there only after all tasks have committed. Writing the same
-    version again is harmless.
+    version again is harmless. There is one writer at a time; a table with several,
+    or one of which little changes at a time, is a ``BucketedTable``.
     """
 
     def __init__(self, spark: SparkSession, path: str):

@@ -22,14 +22,39 @@ def test_two_hop(spark, rounds, want):
     assert [r.z for r in got if r.p is None] == [1]
 
 
-def test_fixpoint_is_bounded(spark):
-    chain = [(i, i // 2 if i % 2 else i // 2 - 1, int(i == 0)) for i in range(8)]
-    chain = [(f"p{i}", f"d{i}", int(i == 0)) for i in range(6)]
-    chain += [(f"p{i + 1}", f"d{i}", 0) for i in range(6)]
-    d = spark.createDataFrame(chain, "p string, d string, y int")
-    assert lab.propagate_two_hop(d, "p", "d", "y", rounds=None).where("y = 0").count() == 0
-    with pytest.raises(RuntimeError):
-        lab.propagate_two_hop(d, "p", "d", "y", rounds=None, max_rounds=2)
+def test_fixpoint_of_a_long_chain(spark, monkeypatch):
+    """1,000 devices in a row: the label reaches the end in the logarithm of the length."""
+    from pitfeat.operators import components
+
+    written, cut = [], components.cut_lineage
+    monkeypatch.setattr(components, "cut_lineage", lambda df: written.append(1) or cut(df))
+    chain = [(f"p{i}", f"d{i + k}", int(i == 0)) for i in range(1000) for k in (0, 1)]
+    other = [(f"q{i}", f"e{i // 3}", 0) for i in range(30)] + [(None, "e1", 0), ("q1", None, 0)]
+    d = spark.createDataFrame(chain + other, "p string, d string, y int")
+    got = lab.propagate_two_hop(d, "p", "d", "y", rounds=None)
+    assert {r.p for r in got.where("y = 1").collect()} == {p for p, _, _ in chain}
+    assert len(written) - 1 <= 12
+
+
+def test_connected_against_union_find(spark):
+    from pitfeat.operators.components import connected
+
+    g = np.random.default_rng(3)
+    links = [tuple(map(int, g.integers(0, 300, 2))) for _ in range(220)] + [(400, k) for k in range(401, 460)]
+    parent = list(range(500))
+
+    def find(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for a, b in links:
+        a, b = find(a), find(b)
+        parent[max(a, b)] = min(a, b)
+    want = {(i, find(i)) for pair in links if pair[0] != pair[1] for i in pair}
+    got = connected(spark.createDataFrame(links, "a long, b long"), "a", "b").collect()
+    assert {tuple(r) for r in got} == want and len(got) == len(want)
+    assert connected(spark.createDataFrame([], "a long, b long"), "a", "b").count() == 0
 
 
 def test_label_by_entity(spark):
