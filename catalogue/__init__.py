@@ -1,8 +1,8 @@
 """Every registered query: a binding of the operators to the fixture tables, and its SQL."""
 
-from catalogue import clicks, evaluation, joins, labels, models, profiles, transactions
+from catalogue import clicks, evaluation, joins, labels, models, profiles, storage, transactions
 
-MODULES = (clicks, transactions, joins, labels, profiles, evaluation, models)
+MODULES = (clicks, transactions, joins, labels, profiles, evaluation, models, storage)
 
 
 def queries():

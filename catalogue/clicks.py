@@ -1,5 +1,7 @@
 """Clickstream queries on ``events``: visitor = user, category = event type."""
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from catalogue.tables import events, parity, rounded, source, us
@@ -9,6 +11,7 @@ from pitfeat.operators.joins import union_sources
 from pitfeat.operators.reduce import latest_per_key
 from pitfeat.operators.slices import run_placed
 from pitfeat.plans import clickstream as plan
+from pitfeat.plans import training
 from pitfeat.sources.sinks import VersionedTable
 from pitfeat.checkpoints import shared_dir
 from pitfeat.sources.buckets import BucketedTable
@@ -342,6 +345,74 @@ def click_features_latest(spark, sf):
     return d.select(*CLICK_COLUMNS, *rounded(6, *CLICK_ROUNDED))
 
 
+def click_features_trailing(spark, sf):
+    """The same over histories that end with the event: the last seven days of it."""
+    d = events(spark, sf).withColumn("source", source())
+    d = plan.click_features(d, replace(clicks_of(spark), trailing_s=7 * 86_400))
+    return d.select(*CLICK_COLUMNS, *rounded(6, *CLICK_ROUNDED))
+
+
+def hits(spark, sf):
+    """Events as hits of analytics sessions, a session a day."""
+    k = F.get_json_object("props", "$.k").cast("int")
+    return events(spark, sf).select(
+        "event_id", "user_id", T, F.date_format(T, "yyyy-MM-dd").alias("session_id"), k.alias("page_views"),
+        (k % 7).alias("screen_views"), F.col("event_type").alias("brand"), (k * 10).alias("time_on_site"),
+        (F.col("event_id") % 5).alias("hit_number"), (F.col("event_id") % 4).alias("no_hits"))
+
+
+def hit_history(spark, sf):
+    d = plan.hit_history(hits(spark, sf), BY, T)
+    return d.select(
+        "event_id", "number_of_sessions", "number_of_page_views", "number_of_screen_views", "number_of_devices_used",
+        *rounded(6, "mean_number_of_sessions", "mean_session_time", "median_number_of_sessions",
+                 "median_session_time", "hit_occurence_wrt_total_hits"))
+
+
+HIT_SQL = """
+      WITH h AS (
+        SELECT event_id, user_id, ts, strftime(ts, '%Y-%m-%d') AS day, CAST(json_extract(props, '$.k') AS INT) AS k,
+               event_type, event_id % 5 AS hit_number, event_id % 4 AS no_hits FROM events),
+      z AS (
+        SELECT a.event_id, a.user_id, a.ts, a.k, a.hit_number, a.no_hits, count(DISTINCT b.day) AS n,
+               sum(b.k) AS pages, sum(b.k % 7) AS screens, count(DISTINCT b.event_type) AS brands
+        FROM h a LEFT JOIN h b ON b.user_id = a.user_id AND b.ts < a.ts GROUP BY ALL)
+      SELECT a.event_id, a.n AS number_of_sessions, CAST(a.pages AS BIGINT) AS number_of_page_views,
+             CAST(a.screens AS BIGINT) AS number_of_screen_views, a.brands AS number_of_devices_used,
+             round(avg(b.n), 6) AS mean_number_of_sessions, round(avg(b.k * 10), 6) AS mean_session_time,
+             round(median(b.n), 6) AS median_number_of_sessions, round(median(b.k * 10), 6) AS median_session_time,
+             round(a.hit_number / nullif(a.no_hits, 0), 6) AS hit_occurence_wrt_total_hits
+      FROM z a LEFT JOIN z b ON b.user_id = a.user_id AND b.ts < a.ts
+      GROUP BY a.event_id, a.n, a.pages, a.screens, a.brands, a.hit_number, a.no_hits"""
+
+
+def training_rows(spark, sf):
+    """Purchases with the last click of six hours before, and labels spread by person and device."""
+    e = events(spark, sf)
+    person = F.get_json_object("props", "$.k").cast("int") + 100 * (F.col("event_id") % 40)
+    bought = e.where(is_type("purchase")).select(
+        "event_id", "user_id", T, person.alias("person"), F.when(F.col("event_id") % 97 == 0, 1).otherwise(0).alias("label"))
+    clicks = e.select("user_id", F.col(T).alias("click_ts"), F.col("event_id").alias("click_id"), "event_type")
+    d = training.training_rows(bought, clicks, is_type("click"), "user_id", T, "click_ts", "person", "label",
+                               ["click_id"], 6 * 3600)
+    return d.select("event_id", "click_id", "person", "label")
+
+
+TRAINING_SQL = """
+      WITH p AS (
+        SELECT event_id, user_id, ts, CAST(json_extract(props, '$.k') AS INT) + 100 * (event_id % 40) AS person,
+               CAST(event_id % 97 = 0 AS INT) AS label
+        FROM events WHERE event_type = 'purchase'),
+      m AS (
+        SELECT p.*, CASE WHEN r.ts >= p.ts - INTERVAL 6 HOUR THEN r.event_id END AS click_id
+        FROM p ASOF LEFT JOIN (SELECT * FROM events WHERE event_type = 'click') r
+          ON r.user_id = p.user_id AND r.ts <= p.ts)
+      SELECT event_id, click_id, person, CAST(label = 1 OR person IN (
+               SELECT person FROM m WHERE label = 1 UNION
+               SELECT person FROM m WHERE user_id IN (SELECT user_id FROM m WHERE label = 1)) AS INT) AS label
+      FROM m"""
+
+
 CLICK_CTE = cte() + f""",
       tagged AS (
         SELECT *, CASE WHEN CAST(json_extract(props, '$.k') AS INT) % 2 = 0
@@ -395,6 +466,13 @@ CLICK_CTE = cte() + f""",
     """
 
 
+# the same with histories from seven days before the event's session, or the event, up to it
+TRAILING_CLICK_CTE = CLICK_CTE.replace(
+    "b.session_start < a.session_start",
+    "b.session_start BETWEEN a.session_start - INTERVAL 7 DAY AND a.session_start").replace(
+    "b.ts < a.ts", "b.ts BETWEEN a.ts - INTERVAL 7 DAY AND a.ts")
+
+
 def incremental_sessions(spark, sf):
     """Sessions after one increment, open sessions read again from their start."""
     e = events(spark, sf)
@@ -632,6 +710,9 @@ QUERIES = {
       SELECT user_id, event_id, epoch_us(ts) AS ts_us, event_type, value FROM events e
       WHERE ts = (SELECT max(ts) FROM events x WHERE x.user_id = e.user_id)"""),
     "click_features": (click_features, CLICK_CTE + "SELECT * EXCLUDE (ts) FROM features"),
+    "click_features_trailing": (click_features_trailing, TRAILING_CLICK_CTE + "SELECT * EXCLUDE (ts) FROM features"),
+    "hit_history": (hit_history, HIT_SQL),
+    "training_rows": (training_rows, TRAINING_SQL),
     "click_features_latest": (click_features_latest, CLICK_CTE + """
       SELECT * EXCLUDE (ts) FROM features f
       WHERE ts = (SELECT max(ts) FROM features g WHERE g.user_id = f.user_id)"""),

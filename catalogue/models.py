@@ -97,12 +97,18 @@ def training_set(spark, sf):
     return d.select("l_orderkey", "l_linenumber", "l_partkey", *NUMERIC, *CATEGORICAL, "label")
 
 
+TRAINED_ON = [*NUMERIC, *CATEGORICAL]
+
+
+def fitted_model(spark, sf):
+    """Trees fit on a balanced sample of the lines."""
+    d = training_set(spark, sf)
+    return model.fit(undersample(d, "label", 1.0, 42), NUMERIC, CATEGORICAL, "label", maxIter=3, maxDepth=3)
+
+
 def gbt_scores(spark, sf):
     """Fit on a balanced sample, score every line, decide at the base rate."""
-    d = training_set(spark, sf)
-    fitted = model.fit(undersample(d, "label", 1.0, 42), NUMERIC, CATEGORICAL, "label",
-                       maxIter=3, maxDepth=3)
-    out = model.score(d, fitted, [0.5])
+    out = model.score(training_set(spark, sf), fitted_model(spark, sf), [0.5])
     return out.select("l_orderkey", "l_linenumber", "l_partkey", "ml_probability", "payout_decision")
 
 

@@ -45,6 +45,18 @@ def assemble(base: DataFrame, on: list[str], parts: list[tuple[DataFrame, str]])
     return base
 
 
+def assemble_bucketed(
+    base: DataFrame, on: list[str], parts: list[tuple[DataFrame, str]]
+) -> DataFrame:
+    """`assemble` for tables stored in the same buckets of the row id, see `save_table`.
+
+    Each join is a merge of buckets that lie in order already, so the chain reads
+    every table once and moves no row. Without the hint a small part would be
+    broadcast instead, at a size that nobody has checked.
+    """
+    return assemble(base.hint("merge"), on, [(part.hint("merge"), how) for part, how in parts])
+
+
 def apply_lookup(
     df: DataFrame, lookup: DataFrame, column: str, name: str,
     key: str = "key", value: str = "value",

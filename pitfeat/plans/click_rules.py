@@ -110,6 +110,94 @@ KEPT_EVENTS = {
         pay_new_flow total_pay_clicked
         log_out clicked
     """,
+    "live_web": """
+        poc_flow pay_cta_clicked
+        poc_home_page pay_again_clicked
+        poc_home_page total_pay_clicked
+        poc_flow pay_cta_click
+        poc_landing_page see_all_offers_clicked
+        poc_home_page offer_clicked
+        poc_home_page refer_now_clicked
+        poc_home_page refer_and_earn_clicked
+        poc_landing_page cta_clicked
+        poc_home_page edit_clicked
+        transaction_success_page payment_success
+        transaction_success_page go_to_home_cta
+        transaction_success_page go_to_transactions_cta
+        conversion open_crf
+        conversion filled_crf
+        conversion submitted_crf
+        srp_card_clicked details_page
+        auto_suggestion select
+        poc_edit_flow total_pay_clicked
+        final_screen total_pay_clicked
+        pay_new_flow total_pay_clicked
+    """,
+    "live_app": """
+        poc_flow pay_cta_clicked
+        poc_home_page pay_again_clicked
+        poc_home_page total_pay_clicked
+        poc_flow pay_cta_click
+        poc_landing_page see_all_offers_clicked
+        poc_home_page offer_clicked
+        poc_home_page refer_now_clicked
+        poc_home_page refer_and_earn_clicked
+        poc_landing_page cta_clicked
+        poc_home_page edit_clicked
+        transaction_success_page payment_success
+        transaction_success_page go_to_home_cta
+        transaction_success_page refer_save_cta
+        transaction_success_page gift_cta
+        transaction_success_page coupon_copied
+        conversion open_crf
+        conversion filled_crf
+        conversion submitted_crf
+        details_page open
+        search search
+        poc_edit_flow total_pay_clicked
+        final_screen total_pay_clicked
+        pay_new_flow total_pay_clicked
+    """,
+    "sessions_web": """
+        poc_flow pay_cta_clicked
+        poc_home_page pay_again_clicked
+        poc_flow pay_cta_click
+        poc_landing_page see_all_offers_clicked
+        poc_home_page offer_clicked
+        poc_home_page refer_now_clicked
+        poc_home_page refer_and_earn_clicked
+        poc_landing_page cta_clicked
+        poc_home_page edit_clicked
+        transaction_success_page payment_success
+        transaction_success_page go_to_home_cta
+        transaction_success_page go_to_transactions_cta
+        conversion open_crf
+        conversion filled_crf
+        conversion submitted_crf
+        srp_card_clicked details_page
+        auto_suggestion select
+    """,
+    "sessions_app": """
+        poc_flow pay_cta_clicked
+        poc_home_page pay_again_clicked
+        poc_flow pay_cta_click
+        poc_landing_page see_all_offers_clicked
+        poc_home_page offer_clicked
+        poc_home_page refer_now_clicked
+        poc_home_page refer_and_earn_clicked
+        poc_landing_page cta_clicked
+        poc_home_page edit_clicked
+        transaction_success_page payment_success
+        transaction_success_page go_to_home_cta
+        transaction_success_page refer_save_cta
+        transaction_success_page gift_cta
+        transaction_success_page coupon_copied
+        conversion open_crf
+        conversion filled_crf
+        conversion submitted_crf
+        srp_card_clicked details_page
+        auto_suggestion select
+    """,
 }
 
 # Categories of a payment session, and actions that mark its steps.
@@ -129,6 +217,12 @@ def kept_pairs(job: str) -> list[tuple[str, str]]:
     return [tuple(line.split()) for line in lines if line.strip()]
 
 
+def all_rules(spark: SparkSession) -> DataFrame:
+    """One rules table for all jobs: job, category, action."""
+    rows = [(job, *pair) for job in KEPT_EVENTS for pair in kept_pairs(job)]
+    return spark.createDataFrame(rows, "job string, category string, action string")
+
+
 def rules_table(spark: SparkSession, job: str) -> DataFrame:
     return spark.createDataFrame(kept_pairs(job), "category string, action string")
 

@@ -29,6 +29,8 @@ class Clicks:
     rules: DataFrame | None = None
     rule_columns: list[str] = field(default_factory=list)
     gap_s: int = s.SESSION_GAP_S
+    #: length of a history that ends with the row itself; None for all strictly before it
+    trailing_s: int | None = None
 
 
 def click_sessions(df: DataFrame, c: Clicks) -> DataFrame:
@@ -72,6 +74,32 @@ def session_history(df: DataFrame, by: list[str], t: str, per: str = "event") ->
     return d.join(past, [*by, start], "left")
 
 
+def trailing_session_history(df: DataFrame, by: list[str], t: str, seconds: int) -> DataFrame:
+    """Sessions that began within ``seconds`` before this one's start, itself included.
+
+    Means and medians weigh a session by its number of distinct event times.
+    """
+    start = "session_start"
+    d = h.trailing_agg(df, by, start, seconds, {"number_of_sessions": h.distinct(start)})
+    alike = Window.partitionBy(*by, start, t).orderBy(start)
+    d = d.withColumn("_once", F.row_number().over(alike) == 1)
+    n, time = (F.when(F.col("_once"), F.col(c)) for c in ("number_of_sessions", "session_time"))
+    return h.trailing_agg(d, by, start, seconds, {
+        "mean_number_of_sessions": h.mean(n),
+        "median_number_of_sessions": h.median(n),
+        "mean_session_time": h.mean(time),
+        "median_session_time": h.median(time),
+    }).drop("_once")
+
+
+def trailing_non_anchor(df: DataFrame, by: list[str], t: str, anchor: Column, seconds: int) -> DataFrame:
+    """Events outside the anchor categories in [time - seconds, time], and their sessions."""
+    return h.trailing_agg(df, by, t, seconds, {
+        "number_of_non_anchor_actions": h.count(~anchor),
+        "number_of_non_anchor_sessions": h.distinct(F.when(~anchor, F.col("session_n"))),
+    })
+
+
 def non_anchor_history(df: DataFrame, by: list[str], t: str, anchor: Column) -> DataFrame:
     """Earlier events outside the anchor categories, and their sessions."""
     return h.prior_agg(
@@ -84,24 +112,31 @@ def non_anchor_history(df: DataFrame, by: list[str], t: str, anchor: Column) ->
 
 
 def click_features(df: DataFrame, c: Clicks) -> DataFrame:
-    """All session features of every kept event."""
+    """All session features of every kept event, over all history before it or a trailing part."""
     return run_placed(df, [c.visitor], c.time, lambda d: _features(d, c))
 
 
 def _features(df: DataFrame, c: Clicks) -> DataFrame:
     by, session = [c.visitor], [c.visitor, "session_n"]
-    d = session_history(click_sessions(df, c), by, c.time)
+    d = click_sessions(df, c)
+    if c.trailing_s is None:
+        d = session_history(d, by, c.time)
+    else:
+        d = trailing_session_history(d, by, c.time, c.trailing_s)
     zero = ["mean_number_of_sessions", "median_number_of_sessions",
             "mean_session_time", "median_session_time"]
     d = d.na.fill(0, zero)
     d = s.session_facts(d, session, c.time, c.intent, c.success, c.flags)
     d = s.first_session(d, by)
-    d = non_anchor_history(d, by, c.time, c.anchor)
+    if c.trailing_s is None:
+        d = non_anchor_history(d, by, c.time, c.anchor)
+    else:
+        d = trailing_non_anchor(d, by, c.time, c.anchor, c.trailing_s)
     return s.after_intent_measures(d, c.time)
 
 
 def latest_features(df: DataFrame, c: Clicks, slice_rows: int | None = None) -> DataFrame:
-    """The newest feature row of each visitor, equal to that of `click_features`.
+    """The newest feature row of each visitor, equal to that of `click_features` over all history.
 
     No running history is kept for rows that are thrown away. Kept rows are grouped
     by session and moment, moments by session, sessions by visitor; all that a
@@ -109,6 +144,8 @@ def latest_features(df: DataFrame, c: Clicks, slice_rows: int | None = None) ->
     Each step combines before its shuffle. Medians over earlier sessions count
     values, weighed by the moments of a session, so nothing is gathered per visitor.
     """
+    if c.trailing_s is not None:
+        raise ValueError("the newest row by totals needs the whole history")
     by, session = [c.visitor], [c.visitor, "session_n"]
     kept = run_placed(df, by, c.time, lambda d: click_sessions(d, c), slice_rows)
     # rows without a visitor or time have no newest row

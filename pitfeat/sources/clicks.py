@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pitfeat.functions.columns import dimension_value
 from pitfeat.operators.joins import union_sources
+from pitfeat.operators.reduce import dedup_ignoring
 
 COLUMNS = ["ga_id", "category", "action", "timestamp", "date", "traffic_sourcemedium", "order_id"]
 
@@ -44,14 +45,30 @@ def session_hits(df: DataFrame, dimension: int) -> DataFrame:
         F.col("`hits-eventInfo`.eventAction").alias("action"),
         start.alias("time_stamp"),
         start.alias("session_start"),
+        F.col("device.mobileDeviceMarketingName").alias("marketing_name"),
         F.col("device.mobileDeviceBranding").alias("brand"),
+        F.col("geoNetwork.region").alias("region"),
         F.col("geoNetwork.city").alias("city"),
+        F.col("geoNetwork.latitude").alias("lat"),
+        F.col("geoNetwork.longitude").alias("long"),
         F.col("totals.hits").alias("no_hits"),
         F.col("totals.screenviews").alias("screen_views"),
+        F.col("totals.uniqueScreenviews").alias("unique_screen_views"),
         F.col("totals.pageviews").alias("page_views"),
+        F.col("totals.bounces").alias("bounces"),
+        F.col("totals.timeOnScreen").alias("time_on_screen"),
         F.col("totals.timeOnSite").alias("time_on_site"),
+        F.col("trafficSource.source").alias("traffic_source"),
+        F.col("trafficSource.campaign").alias("traffic_campaign"),
         F.concat_ws("-", "trafficSource.source", "trafficSource.medium").alias(
             "traffic_source_medium"
         ),
+        F.col("`hits-referer`").alias("hits_referer"),
         F.col("`hits-hitNumber`").alias("hit_number"),
     )
+
+
+def distinct_hits(hits: DataFrame) -> DataFrame:
+    """One hit of those that differ in their number or session only: the first by number, then session."""
+    return dedup_ignoring(
+        hits, ["hit_number", "session_id", "session_start"], ["hit_number", "session_id", "session_start"])

@@ -104,9 +104,19 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
-def save_table(df: DataFrame, name: str, bucket_by: list[str] | None = None, buckets: int = 0) -> None:
-    """Replace a catalog table, bucketed by key when later joins use that key."""
+def save_table(
+    df: DataFrame, name: str, bucket_by: list[str] | None = None, buckets: int = 0, path: str | None = None
+) -> None:
+    """Replace a catalog table, bucketed by key when later joins use that key.
+
+    Rows are put by key before they are written, so a bucket is one file and is read
+    back in order. With a ``path`` the files lie there and outlive the table's name.
+    """
+    if bucket_by:
+        df = df.repartition(buckets, *bucket_by)
     writer = df.write.mode("overwrite").format("parquet")
+    if path:
+        writer = writer.option("path", path)
     if bucket_by:
         writer = writer.bucketBy(buckets, *bucket_by).sortBy(*bucket_by)
     writer.saveAsTable(name)

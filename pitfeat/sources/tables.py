@@ -85,10 +85,11 @@ def read_jdbc(
 
 
 def payload_rejects(df: DataFrame, column: str, schema: str, keep: list[str] | None = None) -> DataFrame:
-    """Rows whose payload cannot be parsed: kept columns and the payload.
+    """Rows whose payload does not fit the schema, as a whole: kept columns and the payload.
 
-    ``explode_payload`` gives no row for them; the two outputs and the null
-    payloads together account for every input row.
+    ``explode_payload`` gives no row for them, not even for elements that would fit;
+    a payload without the array, or with an empty one, has no row in either.
+    ``payload_elements`` takes and rejects element by element.
     """
     bad = F.from_json(
         column, _with_broken(schema), {"columnNameOfCorruptRecord": "_broken"})
@@ -114,7 +115,8 @@ def explode_payload(
     if twice:
         raise ValueError(f"several fields renamed to {sorted(twice)}")
     keep = keep or []
-    parsed = df.select(*keep, F.from_json(column, schema).alias("_payload"))
+    read = F.from_json(column, _with_broken(schema), {"columnNameOfCorruptRecord": "_broken"})
+    parsed = df.select(*keep, read.alias("_payload")).where(F.col("_payload._broken").isNull())
     rows = parsed.select(*keep, F.inline(F.col(f"_payload.{path}")))
     taken = (set(rows.columns) - set(renames)) & set(targets)
     if taken:

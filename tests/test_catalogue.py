@@ -1,5 +1,9 @@
 """The entry file's contract, and a spread of queries against their SQL."""
 
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 
 import catalogue
@@ -24,6 +28,14 @@ def test_contract(spark):
     assert entry.entry(spark).count() > 0
 
 
+def test_entry_without_corpus_packages():
+    """A package that only corpus operators need is missing: all other queries stay."""
+    code = ("import sys; sys.modules['ahocorasick'] = None; sys.modules['xxhash'] = None\n"
+            "import __spark_entry__ as e, catalogue\n"
+            "assert set(e.queries()) == set(catalogue.queries()), len(e.queries())")
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=Path(__file__).resolve().parents[1])
+
+
 @pytest.mark.parametrize("name", SOME)
 def test_query_equals_sql(spark, name):
     assert compare(spark, connect(SF), SF, name) is None

@@ -9,11 +9,21 @@ def test_rules():
     sizes = {job: len(rules.kept_pairs(job)) for job in rules.KEPT_EVENTS}
     assert sizes == {
         "research_web": 18, "research_app": 20, "deployed_web": 26, "deployed_app": 29,
+        # the live lists name one pair twice each: 22 and 24 lines
+        "live_web": 21, "live_app": 23, "sessions_web": 17, "sessions_app": 19,
     }
     for job in sizes:
         assert len(set(rules.kept_pairs(job))) == sizes[job]
 
 
+def test_one_rules_table(spark):
+    found = rules.all_rules(spark)
+    assert {r.job: r["count"] for r in found.groupBy("job").count().collect()} == {
+        job: len(rules.kept_pairs(job)) for job in rules.KEPT_EVENTS}
+    one = found.where("job = 'live_app'").drop("job")
+    assert one.exceptAll(rules.rules_table(spark, "live_app")).count() == 0
+
+
 def test_payment_sessions(spark):
     web = spark.createDataFrame(
         [
@@ -53,20 +63,30 @@ def test_nested_hits(spark):
     schema = (
         "`hits-customDimensions` array<struct<index:int,value:string>>, fullVisitorId string, "
         "visitId string, date date, `hits-eventInfo` struct<eventCategory:string,eventAction:string>, "
-        "visitStartTime long, device struct<mobileDeviceBranding:string>, "
-        "geoNetwork struct<city:string>, totals struct<hits:int,screenviews:int,pageviews:int,"
-        "timeOnSite:int>, trafficSource struct<source:string,medium:string>, `hits-hitNumber` int"
+        "visitStartTime long, device struct<mobileDeviceBranding:string,mobileDeviceMarketingName:string>, "
+        "geoNetwork struct<city:string,region:string,latitude:string,longitude:string>, "
+        "totals struct<hits:int,screenviews:int,pageviews:int,timeOnSite:int,uniqueScreenviews:int,bounces:int,"
+        "timeOnScreen:int>, trafficSource struct<source:string,medium:string,campaign:string>, "
+        "`hits-referer` string, `hits-hitNumber` int"
     )
 
     def hit(visitor, session, start, brand, hits, views, number):
-        return ([(1, visitor)], "f", session, None, ("c", "a"), start, (brand,), ("x",),
-                (hits, views, views, 10 * views), ("s", "m"), number)
+        return ([(1, visitor)], "f", session, None, ("c", "a"), start, (brand, "name"), ("x", "r", "1.5", "2.5"),
+                (hits, views, views, 10 * views, views, 0, 5), ("s", "m", "spring"), "/from", number)
 
     d = spark.createDataFrame(
         [hit("v", "1", 10, "p", 4, 2, 1), hit("v", "1", 20, "q", 0, 3, 2), hit("v", "2", 30, "p", 5, 1, 5)],
         schema,
     )
-    got = plan.hit_history(src.session_hits(d, 1), ["ga_id"], "time_stamp")
+    hits = src.session_hits(d, 1)
+    twice = d.unionByName(d.withColumn("hits-hitNumber", F.lit(9)))
+    kept = src.distinct_hits(src.session_hits(twice, 1))
+    assert sorted(r.hit_number for r in kept.collect()) == [1, 2, 5]
+    one = hits.orderBy("time_stamp").first()
+    assert (one.marketing_name, one.region, one.lat, one.long, one.bounces, one.unique_screen_views) == (
+        "name", "r", "1.5", "2.5", 0, 2)
+    assert (one.traffic_source, one.traffic_campaign, one.hits_referer, one.time_on_screen) == ("s", "spring", "/from", 5)
+    got = plan.hit_history(hits, ["ga_id"], "time_stamp")
     got = got.orderBy("time_stamp").collect()
     assert [r.number_of_sessions for r in got] == [0, 1, 1]
     assert [r.number_of_page_views for r in got] == [None, 2, 5]
