@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from catalogue.tables import lineitem, orders, rounded, table, us
 from pitfeat.operators import history as h
 from pitfeat.operators.reduce import distinct_counts, leads_per_entity, time_bounds
+from pitfeat.operators.sessions import number_rows
 from pitfeat.operators.slices import run_placed
 from pitfeat.plans import transactions as plan
 
@@ -89,6 +90,34 @@ def txn_last3(spark, sf):
     return d.select(ID, *rounded(2, "last_3_total"), *rounded(6, "last_3_mean", "last_3_median"))
 
 
+#: slices far below the table's size, so that one time stamp fills many of them
+ONE_TIME_ROWS = 500
+
+
+def one_time(spark, sf):
+    """Orders of which nine in ten have the same time."""
+    same = F.when(F.col("o_orderkey") % 10 != 0, F.lit("1998-01-01").cast("timestamp"))
+    return orders(spark, sf).withColumn(T, F.coalesce(same, F.col(T)))
+
+
+def txn_last3_one_time(spark, sf):
+    d = h.last_n(one_time(spark, sf), ["o_orderstatus"], T, [ID], 3, ["o_totalprice"], slice_rows=ONE_TIME_ROWS)
+    d = h.recent_stats(d, "o_totalprice", "last_3")
+    return d.select(ID, *rounded(2, "last_3_total"), *rounded(6, "last_3_mean", "last_3_median"))
+
+
+def hit_number_one_time(spark, sf):
+    d = number_rows(one_time(spark, sf), ["o_orderstatus"], T, [ID], "hit_number", ONE_TIME_ROWS)
+    d = h.gap_seconds(d, ["o_orderstatus"], T, [ID], "gap", ONE_TIME_ROWS)
+    return d.select(ID, "hit_number", "gap")
+
+
+ONE_TIME_SQL = """
+      WITH d AS (SELECT * REPLACE (CASE WHEN o_orderkey % 10 <> 0 THEN TIMESTAMP '1998-01-01' ELSE o_orderdate END
+                   AS o_orderdate) FROM orders),
+      n AS (SELECT *, row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_orderdate, o_orderkey) AS r FROM d)"""
+
+
 def txn_until_first_success(spark, sf):
     d = h.until_first(orders(spark, sf), BY, T, success())
     return d.select(ID, *us("cutoff_time"))
@@ -237,6 +266,16 @@ QUERIES = {
       GROUP BY a.o_orderkey, a.n, a.gap"""),
     "txn_gap_seconds": (txn_gap_seconds, f"WITH {GAP_SQL} SELECT o_orderkey, gap FROM gaps"),
     "txn_last3": (txn_last3, f"WITH {LAST3_SQL} SELECT * FROM last3"),
+    "txn_last3_one_time": (txn_last3_one_time, ONE_TIME_SQL + """
+      SELECT a.o_orderkey, round(sum(b.o_totalprice), 2) AS last_3_total,
+             round(avg(b.o_totalprice), 6) AS last_3_mean, round(median(b.o_totalprice), 6) AS last_3_median
+      FROM n a CROSS JOIN (SELECT unnest([1, 2, 3]) AS k)
+        LEFT JOIN n b ON b.o_orderstatus = a.o_orderstatus AND b.r = a.r - k AND b.o_orderdate < a.o_orderdate
+      GROUP BY a.o_orderkey"""),
+    "hit_number_one_time": (hit_number_one_time, ONE_TIME_SQL + """
+      SELECT a.o_orderkey, CAST(a.r AS INT) AS hit_number,
+             epoch_us(a.o_orderdate) // 1000000 - epoch_us(b.o_orderdate) // 1000000 AS gap
+      FROM n a LEFT JOIN n b ON b.o_orderstatus = a.o_orderstatus AND b.r = a.r - 1"""),
     "txn_until_first_success": (txn_until_first_success, f"""
       WITH {CUTOFF_SQL}
       SELECT o_orderkey, epoch_us(cutoff_time) AS cutoff_time_us

@@ -29,6 +29,7 @@ from pitfeat.operators.slices import (
     settled,
     slices_for,
     sum_of,
+    tied,
     timed,
 )
 
@@ -413,9 +414,9 @@ def last_n(
     d, keys, _ = placed(settled(df, by), by, t)
     d, o, _ = timed(d, by, t)
     d = d.withColumn("_item", F.when(F.col(t).isNotNull(), item))
-    slices = slices_for(d, by, o, slice_rows)
+    d, at, slices = tied(d, by, o, tie, slices_for(d, by, o, slice_rows), slice_rows)
     if slices is not None:
-        d = slices.assign(d, o)
+        d = slices.assign(d, at)
         keys = [*keys, "_slice"]
     w = Window.partitionBy(*keys).orderBy(o, *tie)
     d = d.withColumn("_back", F.collect_list("_item").over(w.rowsBetween(-n, -1)))
@@ -476,7 +477,8 @@ def gap_seconds(
         w = Window.partitionBy(*keys).orderBy(o, *tie)
         d = d.withColumn(name, F.when(ok, second - F.lag(second).over(w)))
         return d.drop(*helpers, *extra)
-    cut = slices.assign(d, o)
+    d, at, slices = tied(d, by, o, tie, slices, slice_rows)
+    cut = slices.assign(d, at)
     w = Window.partitionBy(*keys, "_slice").orderBy(o, *tie)
     ends = cut.where("_hot").groupBy(*by, "_slice").agg(F.max(t).alias("_end"))
     before = Window.partitionBy(*by).orderBy("_slice")

@@ -17,6 +17,7 @@ from pitfeat.operators.slices import (
     settled,
     slices_for,
     steps_of,
+    tied,
     timed,
 )
 
@@ -125,7 +126,9 @@ def number_rows(
         return d.withColumn(name, F.when(ok, F.row_number().over(w))).drop(
             *helpers, *extra
         )
-    d = slices.assign(d, o)
+    # cut points that serve the leading key columns may not know this key's ties
+    d, at, slices = tied(d, slices.by, o, tie, slices, slice_rows)
+    d = slices.assign(d, at)
     here = Window.partitionBy(*keys, "_slice").orderBy(o, *tie)
     sizes = d.where("_hot").groupBy(*by, "_slice").agg(F.count("*").alias("_n"))
     before = Window.partitionBy(*by).orderBy("_slice").rowsBetween(

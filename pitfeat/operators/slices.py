@@ -217,8 +217,10 @@ def largest_rows(df: DataFrame, by: list[str]) -> int:
 class Slices:
     """Cut points of the hot keys of one (key, order) pair."""
 
-    def __init__(self, table: DataFrame, by: list[str], width: int):
+    def __init__(self, table: DataFrame, by: list[str], width: int, heavy: bool = False):
         self.table, self.by, self.width = table, by, width
+        #: whether one value alone has as many rows as a slice should have
+        self.heavy = heavy
 
     def assign(self, df: DataFrame, order: str) -> DataFrame:
         """Add ``_hot``, ``_slice`` (increasing with the order column) and ``_salt``.
@@ -286,13 +288,32 @@ def plan_slices(
         sample.withColumn("_i", F.row_number().over(place))
         .where(F.col("_i") % min(SAMPLES_PER_SLICE, cut) == 0)
         .groupBy(*by)
-        .agg(F.sort_array(F.collect_set(order)).alias("_cuts"))
+        .agg(F.sort_array(F.collect_set(order)).alias("_cuts"), F.count("*").alias("_points"))
     )
-    cuts = found.collect()
-    if not cuts:
+    rows_ = found.collect()
+    if not rows_:
         return None
-    width = max(len(r["_cuts"]) for r in cuts)
-    return Slices(spark.createDataFrame(cuts, found.schema), by, width)
+    width = max(len(r["_cuts"]) for r in rows_)
+    heavy = any(r["_points"] > len(r["_cuts"]) for r in rows_)
+    return Slices(spark.createDataFrame(rows_, found.schema).drop("_points"), by, width, heavy)
+
+
+def tied(
+    df: DataFrame, by: list[str], order: str, tie: list[str], slices: Slices | None, rows: int | None = None
+) -> tuple[DataFrame, str, Slices | None]:
+    """Frame, order column and slices for an operator that goes by row, in order of (order, tie).
+
+    Rows of one time stamp are not peers to it. Where a time stamp alone has more rows
+    than a task should hold, the cuts are taken anew on time and tie columns together,
+    so that its rows are spread over slices like any others. Only rows that agree in
+    the tie columns as well stay together.
+    """
+    if slices is None or not slices.heavy or not tie:
+        return df, order, slices
+    both = F.when(F.col(order).isNotNull(), F.struct(order, *tie))
+    df = df.withColumn("_order_tie", both)
+    finer = plan_slices(df, by, "_order_tie", rows or limit(df.sparkSession, "slice.rows"))
+    return (df, order, slices) if finer is None else (df, "_order_tie", finer)
 
 
 def running(

@@ -149,6 +149,39 @@ def test_gap_seconds(spark, slice_rows):
         assert r.gap == (mine[at][0] - mine[at - 1][0] if at else None)
 
 
+@pytest.mark.parametrize("operator", ["last_n", "number", "gap"])
+def test_one_time_stamp_is_spread(spark, operator, monkeypatch):
+    """3,600 of 4,000 rows at one time: no slice holds more than twice its share."""
+    from pitfeat.operators import sessions, slices
+
+    data = [(i, 1, 50 if i % 10 else i % 97, 1.0 * i, 0, "a") for i in range(4000)]
+    d = frame(spark, data)
+    largest, assign = [], slices.Slices.assign
+
+    def seen(self, df, order):
+        out = assign(self, df, order)
+        largest.append(out.groupBy("k", "_slice").count().agg(F.max("count")).first()[0])
+        return out
+
+    monkeypatch.setattr(slices.Slices, "assign", seen)
+    got = {
+        "last_n": lambda: h.last_n(d, ["k"], "t", ["id"], 3, ["id"], "r", 40),
+        "number": lambda: sessions.number_rows(d, ["k"], "t", ["id"], "r", 40),
+        "gap": lambda: h.gap_seconds(d, ["k"], "t", ["id"], "r", 40),
+    }[operator]().collect()
+    assert max(largest) <= 2 * 40 + 40
+    order = sorted(data, key=lambda r: (r[2], r[0]))
+    place = {r[0]: i for i, r in enumerate(order)}
+    for r in got:
+        at = place[r.id]
+        want = {
+            "last_n": lambda: [q[0] for q in order[max(0, at - 3):at] if q[2] < r.s],
+            "number": lambda: at + 1,
+            "gap": lambda: r.s - order[at - 1][2] if at else None,
+        }[operator]()
+        assert ([q["id"] for q in r.r] if operator == "last_n" else r.r) == want
+
+
 def test_until_first_and_flag(spark):
     d = spark.createDataFrame(
         [(1, 10, "O"), (1, 20, "F"), (1, 30, "F"), (2, 10, "O"), (2, 20, "P")],
