@@ -9,23 +9,31 @@ from pitfeat.limits import estimated_bytes, limit, not_null
 from pitfeat.operators.slices import plan_slices, running, sum_of
 
 
+_MOMENTS = {"n": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
+
+
 def exact_quantiles(
     df: DataFrame, by: list[str], x: str, probs: dict[str, float],
     slice_rows: int | None = None, spread: bool | None = None, weight: str | None = None,
+    moments: bool = False,
 ) -> DataFrame:
     """Interpolated quantiles per group, exact, without gathering a group's values.
 
-    ``weight`` names a whole number of times that a row counts. Values are counted first, then a running count along the sorted values finds
+    ``weight`` names a whole number of times that a row counts; ``moments`` adds n,
+    mean, std, min and max from the same counts, without another reading, and a row
+    for groups without values. Values are counted first, then a running count along the sorted values finds
     the two around each position. Input of a few MB uses the built-in percentile,
     which gives the same numbers but holds all distinct values of a group.
     """
-    d = df.where(F.col(x).isNotNull()).withColumn("_x", F.col(x).cast("double"))
+    d = df if moments else df.where(F.col(x).isNotNull())
+    d = d.withColumn("_x", F.col(x).cast("double"))
     if spread is None:
         spread = estimated_bytes(df) > limit(df.sparkSession, "percentile.bytes")
     if not spread:
         return d.groupBy(*by).agg(
             *[F.percentile("_x", F.lit(p), F.col(weight) if weight else F.lit(1)).alias(n)
-              for n, p in probs.items()]
+              for n, p in probs.items()],
+            *([a("_x").alias(n) for n, a in _MOMENTS.items()] if moments else []),
         )
     whole = not by
     if whole:  # one group, cut like any other hot key
@@ -34,7 +42,10 @@ def exact_quantiles(
     cells = d.groupBy(*by, "_x").agg(times.alias("_n"))
     slices = plan_slices(cells, by, "_x", slice_rows)
     line = running(cells, by, "_x", {"_to": sum_of(F.col("_n"))}, slices, inclusive=True, unique=True)
-    sizes = cells.groupBy(*by).agg(F.sum("_n").alias("_size"))
+    some = F.when(F.col("_x").isNotNull(), F.col("_n"))
+    size = F.coalesce(F.sum(some), F.lit(0))
+    sizes = cells.groupBy(*by).agg(
+        size.alias("_size"), F.try_divide(F.sum(F.col("_x") * F.col("_n")), F.sum(some)).alias("_mean"))
     line = line.drop("_all").crossJoin(F.broadcast(sizes.drop("_all"))) if whole else line.join(sizes, by)
     out = []
     for n, p in probs.items():
@@ -48,6 +59,11 @@ def exact_quantiles(
         # as the built-in percentile weighs them, so that infinite values stay what they are
         between = F.max(high - at) * value(low) + F.max(at - low) * value(high)
         out.append(F.when(value(low) == value(high), value(low)).otherwise(between).alias(n))
+    if moments:
+        around, n = F.sum(F.pow(F.col("_x") - F.col("_mean"), 2) * F.col("_n")), F.max("_size")
+        std = F.when(n > 1, F.sqrt(around / (n - 1)))
+        out += [n.alias("n"), F.max("_mean").alias("mean"), std.alias("std"),
+                F.min("_x").alias("min"), F.max("_x").alias("max")]
     return line.groupBy(*([] if whole else by)).agg(*out)
 
 
@@ -72,17 +88,8 @@ def describe_by(
     probs = probs or {"q25": 0.25, "q50": 0.5, "q75": 0.75, "q90": 0.9}
     long = unpivot(df, [label], columns)
     by = [label, "column"]
-    stats = long.groupBy(*by).agg(
-        F.count("value").alias("n"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-    )
-    quantiles = exact_quantiles(long, by, "value", probs, slice_rows, spread)
-    return stats.join(quantiles, by, "left").select(
-        *by, "n", "mean", "std", "min", *probs, "max"
-    )
+    found = exact_quantiles(long, by, "value", probs, slice_rows, spread, moments=True)
+    return found.select(*by, "n", "mean", "std", "min", *probs, "max")
 
 
 def unpivot(df: DataFrame, keep: list[str], columns: list[str]) -> DataFrame:
