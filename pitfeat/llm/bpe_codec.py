@@ -1,7 +1,7 @@
 """Exact BPE encoding by dynamic programming over prefixes, and decoding.
 
 For every prefix of a pre-token there is one token that its encoding ends with.
-Candidates are the tokens that are suffixes of the prefix; an Aho-Corasick automaton over the
+Candidates are the tokens that are suffixes of the prefix; a suffix automaton of the
 vocabulary reports them in one pass. A candidate is the right one if it can
 stand beside the last token of the prefix before it, that is, if no merge ever
 joins the two across their border. The back-pointers give the ids.
@@ -21,14 +21,14 @@ import hashlib
 import struct
 from functools import lru_cache
 
-import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pitfeat.llm.common import whole
+from pitfeat.llm.common import handing_back, whole
 from pitfeat.llm.pretokens import splitter
+from pitfeat.llm.suffix_automaton import SuffixAutomaton
 
 #: pre-tokens and pairs that a worker remembers; beyond, it starts anew
 MEMORY = 400_000
@@ -59,12 +59,8 @@ class Codec:
             pair, made = (vocab[left], vocab[right]), vocab[left + right]
             self.rank[pair] = rank
             self.parts.setdefault(made, (rank, *pair))
-        self.automaton = ahocorasick.Automaton()
-        for t, i in vocab.items():
-            if t not in special and (len(t) == 1 or i in self.parts):
-                data = self.bytes_of[i]
-                self.automaton.add_word(data.decode("latin-1"), (i, len(data)))
-        self.automaton.make_automaton()
+        self.automaton = SuffixAutomaton(
+            (self.bytes_of[i], i) for t, i in vocab.items() if t not in special and (len(t) == 1 or i in self.parts))
         self._pairs: dict[tuple[int, int], bool] = {}
         self._whole: dict[int, bool] = {}
         self._pieces: dict[str, bytes] = {}
@@ -103,30 +99,30 @@ class Codec:
         if known is None:
             made = self.parts.get(token)
             known = made is None or (
-                self._best(self.bytes_of[token].decode("latin-1"), skip=token) is None)
+                self._best(self.bytes_of[token], skip=token) is None)
             self._whole[token] = known
         return known
 
-    def _best(self, data: str, skip: int | None = None) -> list[int] | None:
+    def _best(self, data: bytes, skip: int | None = None) -> list[int] | None:
         """Last token of each prefix; ``skip`` may not be the whole."""
         n = len(data)
         last = [-1] * (n + 1)
-        compatible = self.compatible
-        for end, (token, size) in self.automaton.iter(data):
-            at = end + 1
-            if last[at] >= 0:
-                continue
-            before = at - size
-            if before == 0:
-                if token != skip and self.stands_alone(token):
+        compatible, suffixes = self.compatible, self.automaton.suffixes
+        for at, state in self.automaton.ends(data):
+            for token, size in suffixes(state):
+                before = at - size
+                if before == 0:
+                    fits = token != skip and self.stands_alone(token)
+                else:
+                    fits = last[before] >= 0 and compatible(last[before], token)
+                if fits:
                     last[at] = token
-            elif last[before] >= 0 and compatible(last[before], token):
-                last[at] = token
+                    break
         return last if last[n] >= 0 else None
 
     def pretoken_ids(self, pretoken: str) -> list[int]:
         data = pretoken.encode()
-        last = self._best(data.decode("latin-1"))
+        last = self._best(data)
         ids, at = [], len(data)
         while at:
             token = last[at]
@@ -190,7 +186,7 @@ def encode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text
                 ["doc_id", "ids", "n_tokens", "exact"])
 
     return docs.select(F.col(doc_id).alias("doc_id"), whole(text).alias("_text")).mapInArrow(
-        run, f"doc_id {kind}, ids array<int>, n_tokens long, exact boolean")
+        handing_back(run), f"doc_id {kind}, ids array<int>, n_tokens long, exact boolean")
 
 
 def decode(rows: DataFrame, path: str, doc_id: str = "doc_id", ids: str = "ids") -> DataFrame:
@@ -230,4 +226,4 @@ def round_trip(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "
                 ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return docs.select(F.col(doc_id).alias("doc_id"), whole(text).alias("_text")).mapInArrow(
-        run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+        handing_back(run), f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")

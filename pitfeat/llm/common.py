@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+from collections.abc import Callable
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -68,5 +72,22 @@ def to_table(df: DataFrame, order: list[tuple[str, str]]) -> pa.Table:
     return df.toArrow().sort_by(order)
 
 
+def handing_back(run: Callable) -> Callable:
+    """A function of batches that hands freed memory back when its task ends.
+
+    Workers stay for later tasks and stages; what they have freed but keep counts
+    against the memory of the executor.
+    """
+    def whole_task(batches):
+        yield from run(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
+
+    return whole_task
+
+
 def sized_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

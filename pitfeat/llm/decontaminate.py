@@ -6,10 +6,11 @@ minimum: every shared span of ten words or more meets in a join on fingerprints.
 Items of fewer than ten words are one window; for each such length that occurs,
 documents also offer their grams of that length.
 
-Documents with a common fingerprint are looked at again: a shared gram fixes the
-diagonal (place in the document minus place in the item), along which the hit is
-extended word by word. A word is hit when it lies in ten equal words in a row,
-or in a whole short item.
+Documents with a common fingerprint are looked at again: each place of a shared
+fingerprint is extended to the windows of ten words that hold it, and these are
+held against the items' windows, which are known by a digest of their words. A
+word is hit when it lies in such a window, or in a whole short item. No pairs of
+texts and items are formed but those that the result names.
 
 Rows are keyed by the digest of their text, so copies are compared once, and a
 recomputed task gives the same keys.
@@ -75,22 +76,36 @@ def item_table(items: DataFrame, item_id: str, text: str) -> DataFrame:
     return named.where(F.size("_iw") > 0).distinct()
 
 
+def windows_of(bench: DataFrame) -> DataFrame:
+    """Distinct (window, item): digest of ten consecutive words, or of a whole shorter item."""
+    n, iw = F.least(F.lit(WINDOW), F.size("_iw")), F.col("_iw")
+    starts = F.sequence(F.lit(1), F.size(iw) - n + 1)
+    every = F.transform(starts, lambda s: _digest(F.slice(iw, s, n)))
+    return bench.select("item", F.explode(F.array_distinct(every)).alias("window"))
+
+
+def _digest(some: Column) -> Column:
+    return F.unhex(F.md5(F.array_join(some, " ")))
+
+
 def find_hits(
     docs: DataFrame, items: DataFrame,
     text: str = "text", item_id: str = "item_id", item_text: str = "text",
-) -> DataFrame:
-    """Every place where a window of an item occurs in a text.
+) -> tuple[DataFrame, DataFrame]:
+    """Every place where a window of an item occurs in a text, and the items of each window.
 
-    Returns key (digest of the text), item, start (first word), length.
+    The first has key (digest of the text), start (first word), length and window, the
+    second window and item. A passage that many texts and many items share makes a row
+    for each text and one for each item, not for each pair of them.
     """
     bench = item_table(items, item_id, item_text)
     size = F.size("_iw")
     short = sorted(r[0] for r in bench.where(size < WINDOW).select(size).distinct().collect())
 
-    item_fp = _item_fingerprints(bench, short)
+    item_fp = cut_lineage(_item_fingerprints(bench, short))
     probe = item_fp.select("fp").distinct()
-    if bounded(probe, BROADCAST_ROWS):
-        probe = F.broadcast(probe)
+    few = bounded(probe, BROADCAST_ROWS)
+    probe = F.broadcast(probe) if few else probe
     named = docs.where(F.col(text).isNotNull()).select(
         F.unhex(F.md5(F.col(text))).alias("key"), F.col(text).alias("_text"))
     split = named.select("key", words("_text").alias("_w"))
@@ -101,42 +116,51 @@ def find_hits(
     # read twice below, so written once; it holds suspects only, and each text once
     again = cut_lineage(named.join(suspects, "key", "left_semi").groupBy("key").agg(
         F.first("_text").alias("_text")))
-    return _extend(again.select("key", words("_text").alias("_w")), bench, short)
+    windows = cut_lineage(windows_of(bench))
+    found = _extend(again.select("key", words("_text").alias("_w")), item_fp, few, windows)
+    return cut_lineage(found), windows
 
 
 def _item_fingerprints(bench: DataFrame, short: list[int]) -> DataFrame:
+    """Distinct k, fp of all items."""
     iw, size = F.col("_iw"), F.size("_iw")
-    long_fp = fingerprints(bench.where(size >= WINDOW), iw, [], ["item", "_iw"])
+    long_fp = fingerprints(bench.where(size >= WINDOW), iw, [], ["item"]).select(F.lit(K).alias("k"), "fp")
     parts = [long_fp, *[
-        bench.where(size == k).select("item", "_iw", F.explode(grams(iw, k)).alias("fp"))
-        for k in short]]
-    return reduce(DataFrame.unionByName, parts)
-
-
-def _extend(suspects: DataFrame, bench: DataFrame, short: list[int]) -> DataFrame:
-    """Seeds on equal grams, one per diagonal, extended over the whole item."""
-    dw, iw = F.col("_w"), F.col("_iw")
-    hits = []
-    for k, part in [(K, bench.where(F.size("_iw") >= WINDOW)),
-                    *[(k, bench.where(F.size("_iw") == k)) for k in short]]:
-        seeds_i = part.select("item", F.posexplode(grams(iw, k)).alias("q", "g"))
-        seeds_d = suspects.select("key", F.posexplode(grams(dw, k)).alias("p", "g"))
-        if bounded(seeds_i, BROADCAST_ROWS):
-            seeds_i = F.broadcast(seeds_i)
-        on = seeds_d.join(seeds_i, "g").select("key", "item", (F.col("p") - F.col("q")).alias("diagonal"))
-        hits.append(on.distinct())
-    diagonals = reduce(DataFrame.unionByName, hits)
-    pairs = diagonals.join(bench, "item").join(suspects, "key")
-    length = F.least(F.lit(WINDOW), F.size(iw))
-    equal = F.transform(iw, lambda x, j: F.coalesce(
-        F.get(dw, F.col("diagonal") + j) == x, F.lit(False)))
-    run = pairs.select("key", "item", "diagonal", length.alias("length"), equal.alias("_eq"))
-    eq, n = F.col("_eq"), F.col("length")
-    starts = F.filter(
-        F.sequence(F.lit(0), F.size(eq) - n),
-        lambda q: F.forall(F.slice(eq, q + 1, n), lambda e: e))
-    placed = run.select("key", "item", "length", "diagonal", F.explode(starts).alias("q"))
-    return placed.select("key", "item", "length", (F.col("q") + F.col("diagonal")).alias("start")).distinct()
+        bench.where(size == k).select(F.lit(k).alias("k"), F.explode(grams(iw, k)).alias("fp")) for k in short]]
+    # a short item of K words has a length of its own, told from the grams of longer ones by ``whole``
+    whole = [F.lit(False), *[F.lit(True)] * len(short)]
+    return reduce(DataFrame.unionByName, [p.withColumn("whole", w) for p, w in zip(parts, whole)]).distinct()
+
+
+def _extend(suspects: DataFrame, item_fp: DataFrame, few: bool, windows: DataFrame) -> DataFrame:
+    """Windows around the places of shared fingerprints, held against the items' windows.
+
+    A window of ten words of an item holds the gram that was selected in it, so each
+    occurrence of that gram is extended to all windows that hold it, and no others.
+    """
+    dw = F.col("_w")
+    sizes = [(r.k, r.whole) for r in item_fp.select("k", "whole").distinct().collect()]
+    seeds = []
+    for k, whole in sorted(sizes):
+        fp = item_fp.where((F.col("k") == k) & (F.col("whole") == whole)).select("fp")
+        places = suspects.select("key", F.posexplode(grams(dw, k)).alias("p", "fp"))
+        met = places.join(F.broadcast(fp) if few else fp, "fp", "left_semi")
+        length, back = (k, 0) if whole else (WINDOW, W - 1)
+        seeds.append(met.select(
+            "key", F.explode(F.sequence(F.greatest(F.col("p") - back, F.lit(0)), F.col("p"))).alias("start"),
+            F.lit(length).alias("length")))
+    if not seeds:
+        return windows.select(
+            F.col("window").alias("key"), F.lit(0).alias("start"), F.lit(0).alias("length"), "window").limit(0)
+    starts = reduce(DataFrame.unionByName, seeds).distinct()
+    # the texts are bounded by the suspects; their starts meet them by key
+    own = starts.groupBy("key").agg(F.collect_list(F.struct("start", "length")).alias("_s"))
+    placed = suspects.join(own, "key").select("key", "_w", F.explode(F.filter(
+        "_s", lambda x: x["start"] + x["length"] <= F.size("_w"))).alias("_at"))
+    found = placed.select("key", "_at.start", "_at.length", _digest(
+        F.slice("_w", F.col("_at.start") + 1, F.col("_at.length"))).alias("window"))
+    return found.join(windows.select("window").distinct(), "window", "left_semi").select(
+        "key", "start", "length", "window")
 
 
 def contamination(
@@ -144,7 +168,7 @@ def contamination(
     item_id: str = "item_id", item_text: str = "text",
 ) -> DataFrame:
     """doc_id, n_words, n_hit, items (sorted ids) of every row of docs."""
-    found = find_hits(docs, items, text, item_id, item_text)
+    found, windows = find_hits(docs, items, text, item_id, item_text)
     places = found.groupBy("key", "start").agg(F.max("length").alias("length"))
     # words covered by windows: each reaches to its end or to where the next begins
     spans = places.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("start", "length"))).alias("_s"))
@@ -154,8 +178,9 @@ def contamination(
             (a["n"] + F.greatest(F.lit(0), s["start"] + s["length"] - F.greatest(a["end"], s["start"]))).alias("n"),
             F.greatest(a["end"], s["start"] + s["length"]).alias("end")),
         lambda a: a["n"])
+    named = found.select("key", "window").distinct().join(windows, "window")
     per_key = spans.select("key", covered.alias("_hit")).join(
-        found.groupBy("key").agg(F.array_sort(F.collect_set("item")).alias("_items")), "key")
+        named.groupBy("key").agg(F.array_sort(F.collect_set("item")).alias("_items")), "key")
     rows = docs.select(
         F.col(doc_id).alias("doc_id"), F.unhex(F.md5(F.col(text))).alias("key"),
         F.size(words(text)).cast("long").alias("n_words"))
@@ -169,6 +194,7 @@ def drop_contaminated(
     docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text",
 ) -> DataFrame:
     """Rows of docs whose text holds no window of an item; null texts stay."""
-    keys = find_hits(docs, items, text, item_id, item_text).select(F.col("key").alias("_key")).distinct()
+    found, _ = find_hits(docs, items, text, item_id, item_text)
+    keys = found.select(F.col("key").alias("_key")).distinct()
     marked = docs.withColumn("_key_of_text", F.unhex(F.md5(F.col(text))))
     return marked.join(keys, F.col("_key_of_text") == F.col("_key"), "left_anti").drop("_key_of_text")

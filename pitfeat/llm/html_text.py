@@ -16,6 +16,9 @@ teasers and comments are articles too. Stop words count only on pages where some
 block has many of them; on others, such as those in further languages, length
 decides.
 
+A name that a wrapper of the whole text may have too, such as "notice", counts only
+where the page has some good block without it.
+
 Defined cases: a null or empty page, and a page without a good block, give the
 empty text. Unclosed and misnested tags close with the tag that encloses them.
 Repeated rows each get a row; other columns are not read.
@@ -56,6 +59,9 @@ _BAD_NAMES = frozenset(
     gdpr notice alert popup modal overlay newsletter subscribe subscription signup login share sharing social
     sidebar widget related recommended recommendations menu nav navbar navigation breadcrumb breadcrumbs footer
     comment comments disqus replies respond discussion pagination pager toolbar""".split())
+#: names that a wrapper of the whole text may have as well
+_SOFT_NAMES = frozenset(
+    """notice alert banner share sharing social widget promo promotion signup login subscription related toolbar""".split())
 _HEADER_NAMES = frozenset("header masthead topbar".split())
 
 _TAG = re.compile(
@@ -71,6 +77,7 @@ class Block:
     parts: list = field(default_factory=list)
     link_chars: int = 0
     bad: bool = False
+    hard: bool = False  # bad even where names that a wrapper may have do not count
     eased: bool = False  # bad if an article overrides names around it
     inside: bool = False
     heading: bool = False
@@ -78,7 +85,7 @@ class Block:
 
 
 def _mark(tag: str, attributes: str, inside: bool) -> str:
-    """How an element is marked as bad: sure, by a name only, or not at all (empty)."""
+    """How an element is marked as bad: sure, by a name only, by a soft name only, or not at all (empty)."""
     if tag in _BAD_TAGS or (tag == "header" and not inside):
         return "sure"
     found = ""
@@ -93,16 +100,20 @@ def _mark(tag: str, attributes: str, inside: bool) -> str:
         if name in ("class", "id") and tag not in ("html", "body", "article", "main"):
             names = set(_NAMES.findall(value))
             if names & _BAD_NAMES or (not inside and names & _HEADER_NAMES):
-                found = "name"
+                soft = found != "name" and not names & (_BAD_NAMES | _HEADER_NAMES) - _SOFT_NAMES
+                found = "soft" if soft else "name"
     return found
 
 
 def blocks_of(html: str) -> tuple[list[Block], bool]:
     """Blocks with text in page order, and whether the page marks a main part."""
     out: list[Block] = []
-    # tag; under something surely bad, a bad name, one that no article overrides; inside the main part, an article
-    stack: list[tuple[str, bool, bool, bool, bool, bool]] = []
-    nothing = (False,) * 5
+    # tag; under something surely bad, a bad name, one that no article overrides, a name that is not soft;
+    # inside the main part, an article
+    stack: list[tuple[str, bool, bool, bool, bool, bool, bool]] = []
+    #: places of each open tag in the stack, so that a closing tag finds its own at once
+    places: dict[str, list[int]] = {}
+    nothing = (False,) * 6
     block, links, marked = Block(), 0, False
     at, end = 0, len(html)
 
@@ -110,8 +121,11 @@ def blocks_of(html: str) -> tuple[list[Block], bool]:
         nonlocal block
         if block.parts:
             out.append(block)
-        sure, named, eased, inside, _ = stack[-1][1:] if stack else nothing
-        block = Block(bad=sure or named, eased=sure or eased, inside=inside)
+        sure, named, eased, hard, inside, _ = stack[-1][1:] if stack else nothing
+        block = Block(bad=sure or named, hard=sure or hard, eased=sure or eased, inside=inside)
+
+    def pop():
+        places[stack.pop()[0]].pop()
 
     def add(raw: str):
         if raw:
@@ -146,21 +160,23 @@ def blocks_of(html: str) -> tuple[list[Block], bool]:
         if tag in _INLINE and not _mark(tag, attributes, True) and not any(s[0] == tag for s in stack[-1:]):
             continue
         if closing:
-            places = [i for i, s in enumerate(stack) if s[0] == tag]
-            if places:
-                del stack[places[-1]:]
+            if places.get(tag):
+                for _ in range(len(stack) - places[tag][-1]):
+                    pop()
         elif tag != "hr":
             if stack and stack[-1][0] == "p":
-                stack.pop()
-            sure, named, eased, inside, article = stack[-1][1:] if stack else nothing
+                pop()
+            sure, named, eased, hard, inside, article = stack[-1][1:] if stack else nothing
             if tag == "main" and not inside:
-                named = eased = False
+                named = eased = hard = False
             if tag == "article" and not article:
                 eased, article = False, True
             if tag in ("article", "main"):
                 inside = marked = True
             mark = _mark(tag, attributes, inside)
-            stack.append((tag, sure or mark == "sure", named or mark == "name", eased or mark == "name", inside, article))
+            name = mark in ("name", "soft")
+            places.setdefault(tag, []).append(len(stack))
+            stack.append((tag, sure or mark == "sure", named or name, eased or name, hard or mark == "name", inside, article))
         links = 0
         close()
         block.heading = tag in ("h1", "h2", "h3", "h4", "h5", "h6") and not closing
@@ -242,10 +258,19 @@ def second_pass(labels: list[str], headings: list[bool], marked: bool) -> list[b
 
 def main_text(html: str) -> str:
     blocks, marked = blocks_of(html)
+    keep = labelled(blocks, marked)
+    if not any(keep) and not marked:
+        for b in blocks:
+            b.bad = b.hard
+        keep = labelled(blocks, marked)
+    return " ".join(b.text for b, k in zip(blocks, keep) if k)
+
+
+def labelled(blocks: list[Block], marked: bool) -> list[bool]:
+    """Both passes: whether each block is kept."""
     known = marked or in_known_language(blocks)
     labels = [first_pass(b, marked, known) for b in blocks]
-    keep = second_pass(labels, [b.heading for b in blocks], marked)
-    return " ".join(b.text for b, k in zip(blocks, keep) if k)
+    return second_pass(labels, [b.heading for b in blocks], marked)
 
 
 def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:

@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pitfeat.checkpoints import cut_lineage
-from pitfeat.llm.common import most_frequent, sized_partitions, to_table
+from pitfeat.llm.common import handing_back, most_frequent, sized_partitions, to_table
 from pitfeat.llm.components import connected
 
 N = 5
@@ -306,7 +306,7 @@ def _sets(docs: DataFrame, frequent, kind: str) -> DataFrame:
                  pa.array(short, pa.int64()), pa.array(prefixes, pa.list_(pa.int64()))],
                 ["doc_id", "key", "n", "digest", "v", "prefix"])
 
-    return docs.mapInArrow(run, f"doc_id {kind}, key binary, n long, digest binary, v long, prefix array<long>")
+    return docs.mapInArrow(handing_back(run), f"doc_id {kind}, key binary, n long, digest binary, v long, prefix array<long>")
 
 
 def _blocks(sets: DataFrame, frequent: np.ndarray) -> DataFrame:
@@ -394,7 +394,9 @@ def _compare(rows: DataFrame, docs: DataFrame, by: list[str]) -> DataFrame:
             names = list(group)
             probes = [i for i, d in enumerate(names) if group[d][0]]
             ask = None if any(group[d][0] is None for d in names) else probes
-            found = spanning_links([group[d][1] for d in names], ask)
+            sets = [group[d][1] for d in names]
+            group.clear()
+            found = spanning_links(sets, ask)
             return [(names[i], names[j]) for i, j in found]
 
         at, group = None, {}
@@ -415,7 +417,7 @@ def _compare(rows: DataFrame, docs: DataFrame, by: list[str]) -> DataFrame:
             [pa.array([x for x, _ in out], pa.binary()), pa.array([y for _, y in out], pa.binary())], ["a", "b"])
 
     dealt = full.repartition(sized_partitions(rows), *by).sortWithinPartitions(*by)
-    return dealt.mapInArrow(run, "a binary, b binary")
+    return dealt.mapInArrow(handing_back(run), "a binary, b binary")
 
 
 def _across(members: DataFrame, roots: DataFrame, docs: DataFrame) -> DataFrame:

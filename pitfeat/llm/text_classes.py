@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from pitfeat.llm.byteconv import LENGTH, ByteConv, windows
-from pitfeat.llm.common import whole
+from pitfeat.llm.common import handing_back, whole
 
 #: documents per class and windows per document that training may see
 DOCUMENTS = 1500
@@ -59,7 +59,7 @@ def judged(docs: DataFrame, keep: list[str], text: str, added: list[tuple[str, s
     schema = StructType(list(kept.schema.fields))
     for name, kind in added:
         schema.add(name, kind)
-    return read.mapInArrow(run, schema)
+    return read.mapInArrow(handing_back(run), schema)
 
 
 def class_counts(rows: DataFrame, label: str) -> dict:

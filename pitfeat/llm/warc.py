@@ -57,7 +57,8 @@ def _line(name: str, value: Column) -> Column:
 
 
 def _urn(page_id: Column) -> Column:
-    return F.concat(F.lit("<urn:page:"), page_id.cast("string"), F.lit(">"))
+    """Ids may be any text, so they are percent-encoded; the reader decodes them."""
+    return F.concat(F.lit("<urn:page:"), F.url_encode(page_id.cast("string")), F.lit(">"))
 
 
 def records(
@@ -268,8 +269,9 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     plain = _pieces(spark, path).mapInArrow(bodies, out)
     small = bounded(keys, BROADCAST_ROWS)
     plain = plain.join(F.broadcast(keys) if small else keys, ["path", "split", "seq"], "left_anti")
-    return plain.select(*fields).unionByName(
+    found = plain.select(*fields).unionByName(
         _assembled(spark, path, kept.where(~whole_piece), odd, small).select(*fields))
+    return found.withColumns({c: F.try_url_decode(c) for c in ("id", "refers")})
 
 
 def _assembled(spark: SparkSession, path: str, cut: DataFrame, odd: DataFrame, small: bool) -> DataFrame:
@@ -316,15 +318,15 @@ def _assembled(spark: SparkSession, path: str, cut: DataFrame, odd: DataFrame, s
 def page_report(found: DataFrame, id_type) -> DataFrame:
     """page_id, payload_bytes, payload_digest, record_type, refers_to of records that were read.
 
-    A revisit takes the length from the response it names; its digest is the
-    header's, a response's is computed from the payload.
+    A revisit takes the length from the response of its digest, which may have no id to
+    be named by; its digest is the header's, a response's is computed from the payload.
     """
     full = found.where("type = 'response'").select(
         "id", F.octet_length("payload").cast("long").alias("payload_bytes"),
         base32_sha1(F.col("payload")).alias("payload_digest"))
     again = found.where("type = 'revisit'").select("id", "digest", "refers")
-    named = full.select(F.col("id").alias("refers"), F.col("payload_digest").alias("digest"), "payload_bytes").distinct()
-    revisits = again.join(named, ["refers", "digest"], "left").select(
+    named = full.groupBy(F.col("payload_digest").alias("digest")).agg(F.max("payload_bytes").alias("payload_bytes"))
+    revisits = again.join(named, "digest", "left").select(
         "id", "payload_bytes", F.col("digest").alias("payload_digest"), F.lit("revisit").alias("record_type"), "refers")
     rows = full.select("*", F.lit("response").alias("record_type"), F.lit(None).cast("string").alias("refers"))
     return rows.unionByName(revisits).select(

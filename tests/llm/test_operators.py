@@ -106,7 +106,8 @@ def test_bpe_round_trip(docs, empty, texts):
     for i, text in texts:
         ids = t.encode(text or "", add_special_tokens=False).ids
         assert got[i].ids_sha256 == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
-        assert got[i].decoded_sha256 == hashlib.sha256((text or "").encode()).hexdigest()
+        again = t.decode(ids, skip_special_tokens=False)
+        assert got[i].decoded_sha256 == hashlib.sha256(again.encode()).hexdigest() and again == (text or "")
     coded = bpe_codec.encode(docs, path)
     assert coded.where("not exact").count() == 0
     back = {r.doc_id: r.text for r in bpe_codec.decode(coded, path).collect()}
@@ -114,6 +115,20 @@ def test_bpe_round_trip(docs, empty, texts):
     assert bpe_codec.encode(empty, path).count() == 0
 
 
+def test_suffix_automaton():
+    from pitfeat.llm.suffix_automaton import SuffixAutomaton
+
+    r = random.Random(1)
+    for _ in range(200):
+        tokens = {bytes(r.choice(b"abc") for _ in range(r.randrange(1, 7))) for _ in range(r.randrange(1, 25))}
+        number = {t: i for i, t in enumerate(tokens)}
+        a = SuffixAutomaton(number.items())
+        text = bytes(r.choice(b"abcd") for _ in range(60))
+        for at, state in a.ends(text):
+            want = [(number[t], len(t)) for t in sorted(tokens, key=len, reverse=True) if text[:at].endswith(t)]
+            assert list(a.suffixes(state)) == want
+
+
 def test_bpe_on_random_strings():
     c, r = bpe_codec.codec(vocabulary()), random.Random(4)
     for _ in range(3000):
@@ -296,6 +311,47 @@ def test_html_text_of_other_pages():
         assert html_text.main_text(html) == text, html
 
 
+def test_html_text_of_wrappers_and_many_tags(spark):
+    import time
+
+    long = "This is the story of a man and of the sea that was all of his life and it is as long as it has to be. " * 3
+    page = f"<div class='shareholder-notice'><p>{long}</p><p>{long}</p></div><div id=comments><p>{long}</p></div>"
+    assert html_text.main_text(page) == f"{long.strip()} {long.strip()}"
+    both = f"<div class=notice><p>{long}</p></div><div><p>{long}</p></div>"
+    assert html_text.main_text(both) == long.strip()
+    assert html_text.main_text(f"<div class='comment notice'><p>{long}</p></div>") == ""
+    began = time.perf_counter()
+    html_text.main_text("<div>" * 64_000 + "</p>" * 64_000 + f"<p>{long}")
+    assert time.perf_counter() - began < 10  # a scan of the open tags for each would take minutes
+    huge = " ".join([long] * 3000)
+    assert html_text.main_text(f"<article><p>{huge}</p></article>") == " ".join(huge.split())
+    empty = spark.createDataFrame([], "page_id long, url string, html string, text string")
+    assert html_text.extract(empty).count() == 0
+
+
+def test_warc_null_and_text_ids(spark, tmp_path):
+    pages = [("a\nb", "same"), ("c d>", "same"), ("é%2F", "other"), (None, "none"), (None, "none"), ("z", "x" * 300_000)]
+    df = spark.createDataFrame([(i, "u", h) for i, h in pages], "page_id string, url string, html string")
+    folder = str(tmp_path / "w")
+    warc.write_archives(df, folder)
+    report = warc.page_report(warc.read_archives(spark, folder), df.schema["page_id"].dataType)
+    got = sorted(((r.page_id or "", r.payload_bytes, r.record_type, r.refers_to) for r in report.collect()))
+    assert got == [("", 4, "response", None), ("", 4, "revisit", None), ("a\nb", 4, "revisit", "c d>"),
+                   ("c d>", 4, "response", None), ("z", 300_000, "response", None), ("é%2F", 5, "response", None)]
+
+
+def test_shared_passages_make_no_pairs(spark):
+    phrase = " ".join(f"phrase{k}" for k in range(12))
+    docs = spark.createDataFrame([(i, prose(i, 30) + " " + phrase + " " + prose(900 + i, 30)) for i in range(60)],
+                                 "doc_id long, text string")
+    own = [" ".join(f"item{i}of{k}" for k in range(15)) for i in range(40)]
+    items = spark.createDataFrame([(str(i), f"{t} {phrase}") for i, t in enumerate(own)], "item_id string, text string")
+    found, windows = decontaminate.find_hits(docs, items)
+    assert found.count() == 60 * 3 and windows.count() <= 40 * 27
+    got = decontaminate.contamination(docs, items).collect()
+    assert {(r.n_hit, len(r["items"])) for r in got} == {(12, 40)} and len(got) == 60
+
+
 def test_lm_score(docs, empty, texts):
     training = id_bucket("doc_id", 10) != 0
     got = lm_score.score(docs, training, head=20).collect()
