@@ -8,10 +8,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitfeat.checkpoints import cut_lineage
-from pitfeat.limits import not_null
+from pitfeat.limits import is_small, limit, not_null, rows_per_key
 from pitfeat.operators import history as h
 from pitfeat.operators import sessions as s
 from pitfeat.operators.profile import exact_quantiles
+from pitfeat.operators.segments import sessions_in_ranges
 from pitfeat.operators.slices import run_placed
 
 
@@ -147,9 +148,16 @@ def latest_features(df: DataFrame, c: Clicks, slice_rows: int | None = None) ->
     if c.trailing_s is not None:
         raise ValueError("the newest row by totals needs the whole history")
     by, session = [c.visitor], [c.visitor, "session_n"]
-    kept = run_placed(df, by, c.time, lambda d: click_sessions(d, c), slice_rows)
-    # rows without a visitor or time have no newest row
-    kept = kept.where(not_null([c.visitor, c.time]))
+    ranges = _ranges(df, by, slice_rows)
+    if ranges is None:
+        kept = run_placed(df, by, c.time, lambda d: click_sessions(d, c))
+        # rows without a visitor or time have no newest row
+        kept = kept.where(not_null([c.visitor, c.time]))
+    else:
+        d = sessions_in_ranges(df, by, c.time, c.tie, c.gap_s, ranges)
+        touched = d.where(c.anchor).select(*session).distinct()
+        kept = d.join(touched, session, "left_semi")
+        kept = kept if c.rules is None else s.keep_events(kept, c.rules, c.rule_columns)
     flags = {n: F.max(F.when(x, 1).otherwise(0)) for n, x in c.flags.items()}
     moments = kept.groupBy(*session, c.time).agg(
         F.max_by(F.struct(*kept.columns), F.struct(*c.tie)).alias("_row"),
@@ -194,14 +202,30 @@ def latest_features(df: DataFrame, c: Clicks, slice_rows: int | None = None) ->
         (F.col("_o") - now).alias("number_of_non_anchor_actions"),
         (F.col("_os") - only_now).alias("number_of_non_anchor_sessions"),
     )
-    size = past.groupBy(*by).agg(F.max("_n").alias("_top"))
-    older = past.join(size, by).where("_n < _top")
-    for n, x in (("median_number_of_sessions", "_k"), ("median_session_time", "_length")):
-        half = exact_quantiles(older, by, x, {n: 0.5}, slice_rows, weight="_moments")
-        d = d.join(half, by, "left").withColumn(n, F.coalesce(n, F.lit(0.0)))
+    top = visitors.select(*by, (new("_k") + 1).alias("_top"))
+    older = past.join(top, by).where("_n < _top").select(
+        *by, "_moments", F.col("_k").cast("double").alias("median_number_of_sessions"),
+        F.col("_length").cast("double").alias("median_session_time"))
+    names = ["median_number_of_sessions", "median_session_time"]
+    long = older.unpivot([*by, "_moments"], names, "_name", "_value")
+    half = exact_quantiles(long, [*by, "_name"], "_value", {"_half": 0.5}, slice_rows, weight="_moments")
+    half = half.groupBy(*by).agg(*[F.max(F.when(F.col("_name") == n, F.col("_half"))).alias(n) for n in names])
+    d = d.join(half, by, "left").fillna(0.0, names)
     return s.after_intent_measures(d, c.time)
 
 
+def _ranges(df: DataFrame, by: list[str], slice_rows: int | None) -> int | None:
+    """How many ranges the rows need if some visitor has more than a task should hold; else None."""
+    spark = df.sparkSession
+    if slice_rows is None and is_small(df):
+        return None
+    rows = slice_rows or limit(spark, "slice.rows")
+    total, top = rows_per_key(df, by).agg(F.sum("_n"), F.max("_n")).first()
+    if not top or top <= rows:
+        return None
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // rows))
+
+
 def hit_history(df: DataFrame, by: list[str], t: str) -> DataFrame:
     """Earlier sessions, views and devices of a visitor, from analytics hits.
 

@@ -42,7 +42,7 @@ def test_query_equals_sql(spark, name):
 
 
 @pytest.mark.parametrize("name", [
-    "sessionize_events_6h", "txn_prior_counts", "txn_last3", "prior_distinct_accounts",
+    "click_features_latest", "sessionize_events_6h", "txn_prior_counts", "txn_last3", "prior_distinct_accounts",
     "asof_click_before_purchase", "pr_points",
 ])
 def test_query_equals_sql_in_slices(spark, name):
