@@ -9,8 +9,8 @@ nearest decided neighbours.
 Markup narrows the question down first. Blocks under menus, forms, page headers,
 footers, sidebars, adverts, notices and reader comments, told by tag, role or
 class, are bad. If the page marks an article or main part, only its blocks can
-be good, and inside it a lack of stop words makes no block bad, nor do links a
-heading. A main element overrides bad names of the elements around it; an
+be good; both passes label them, but inside it a lack of stop words makes no block
+bad, nor do links a heading, and an undecided block goes only between bad ones. A main element overrides bad names of the elements around it; an
 article does so where the page has no other paragraph in its main part, as
 teasers and comments are articles too. Stop words count only on pages where some
 block has many of them; on others, such as those in further languages, length
@@ -225,8 +225,8 @@ def first_pass(b: Block, marked: bool, known: bool = True) -> str:
 def second_pass(labels: list[str], headings: list[bool], marked: bool) -> list[bool]:
     """Whether each block is kept, once undecided ones have looked at their neighbours.
 
-    Inside a marked main part the blocks left out by the first pass are islands,
-    so an undecided block with no good neighbour is kept all the same.
+    In a marked main part, whose blocks alone are asked there, the mark speaks for an
+    undecided block: it goes only if its nearest decided neighbours on both sides are bad.
     """
     n = len(labels)
     before, after = [None] * n, [None] * n
@@ -244,7 +244,7 @@ def second_pass(labels: list[str], headings: list[bool], marked: bool) -> list[b
         if label in ("good", "bad"):
             kept.append(label == "good")
         elif marked:
-            kept.append(True)
+            kept.append(not before[i] == after[i] == "bad")
         elif label == "near":
             kept.append("good" in (before[i], after[i]) or before[i] is None and after[i] is None
                         or before[i] != after[i])
@@ -266,11 +266,25 @@ def main_text(html: str) -> str:
     return " ".join(b.text for b, k in zip(blocks, keep) if k)
 
 
-def labelled(blocks: list[Block], marked: bool) -> list[bool]:
-    """Both passes: whether each block is kept."""
+def passes(blocks: list[Block], marked: bool) -> tuple[list[str], list[bool]]:
+    """Both passes: the first one's label of each block, and whether it is kept.
+
+    What the markup leaves out is no neighbour in a marked main part: an advert between
+    two short paragraphs says nothing about them.
+    """
     known = marked or in_known_language(blocks)
-    labels = [first_pass(b, marked, known) for b in blocks]
-    return second_pass(labels, [b.heading for b in blocks], marked)
+    asked = [i for i, b in enumerate(blocks) if not marked or b.inside and not b.bad]
+    found = [first_pass(blocks[i], marked, known) for i in asked]
+    stay = second_pass(found, [blocks[i].heading for i in asked], marked)
+    labels, keep = ["bad"] * len(blocks), [False] * len(blocks)
+    for i, label, k in zip(asked, found, stay):
+        labels[i], keep[i] = label, k
+    return labels, keep
+
+
+def labelled(blocks: list[Block], marked: bool) -> list[bool]:
+    """Whether each block is kept."""
+    return passes(blocks, marked)[1]
 
 
 def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:

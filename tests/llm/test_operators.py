@@ -311,6 +311,24 @@ def test_html_text_of_other_pages():
         assert html_text.main_text(html) == text, html
 
 
+def test_html_passes_decide_without_an_article():
+    """Pages without a marked main part: length, stop words and links decide, short blocks inherit."""
+    long = "This is the story of a man and of the sea that was all of his life and it is as long as it has to be. " * 3
+    links = "".join(f"<li><a href=x>Link number {k}</a></li>" for k in range(8))
+    middle = "The man was at the sea and it was all that he had in his life of work."
+    page = (f"<div><ul>{links}</ul></div><div><h2>Title</h2><p>{long}</p><p>Short one.</p><p>{middle}</p><p>{long}</p></div>"
+            f"<div><p>Share it</p><ul>{links}</ul><p>Read this</p><ul>{links}</ul></div><p>© 2024</p>")
+    assert html_text.main_text(page) == f"Title {long.strip()} Short one. {middle} {long.strip()}"
+    labels, keep = html_text.passes(*html_text.blocks_of(page))
+    first = [k == (x == "good") for x, k in zip(labels, keep) if x in ("good", "bad")]
+    second = [k for x, k in zip(labels, keep) if x in ("near", "short")]
+    assert all(first) and len(first) == 2 + 24 and second.count(True) == 3 and second.count(False) == 3
+    # inside an article: a short block goes between link lists only, an advert is no neighbour
+    article = (f"<article><p>{long}</p><p>Note.</p><ul>{links}</ul><p>See also</p><ul>{links}</ul><p>After.</p>"
+               f"<div class=ad>Buy</div><p>Then.</p><div class=ad>Buy</div><p>End.</p></article>")
+    assert html_text.main_text(article) == f"{long.strip()} Note. After. Then. End."
+
+
 def test_html_text_of_wrappers_and_many_tags(spark):
     import time
 
