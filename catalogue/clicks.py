@@ -12,7 +12,6 @@ from pitfeat.operators.reduce import latest_per_key
 from pitfeat.operators.slices import run_placed
 from pitfeat.plans import clickstream as plan
 from pitfeat.plans import training
-from pitfeat.sources.sinks import VersionedTable
 from pitfeat.checkpoints import shared_dir
 from pitfeat.sources.buckets import BucketedTable
 from pitfeat.streaming import incremental, open_sessions
@@ -617,7 +616,7 @@ def all_stream_sessions(spark, sf):
 
 def folded(spark, sf, times):
     root = run_folder(spark, "stream-fold")
-    main = VersionedTable(spark, f"{root}/main")
+    main = BucketedTable(spark, f"{root}/main", BY, buckets=16)
 
     for i in range(times):
         query = incremental.fold_stream(landed_stream(spark, sf), main, fold_counters, f"{root}/checkpoint-{i}")

@@ -6,6 +6,7 @@ from catalogue.profiles import lines
 from catalogue.tables import lineitem, orders, rounded, table
 from pitfeat.functions import columns as c
 from pitfeat.operators import model, prep
+from pitfeat.operators.neighbours import impute_neighbours
 from pitfeat.operators.sampling import undersample
 
 NUMERIC = ["l_quantity", "l_extendedprice", "l_tax"]
@@ -31,6 +32,39 @@ def fitted_power(spark, sf):
     return prep.power_transform(d, lambdas).select("o_orderkey", *rounded(6, "o_totalprice"))
 
 
+def _likelihood(name, grid):
+    """The grid's point of largest likelihood; all amounts are positive."""
+    return f"""{name} AS (
+        SELECT arg_max(g, -n / 2 * ln(v) + (g - 1) * s) AS g FROM (
+          SELECT g, any_value(n) AS n, any_value(s) AS s,
+                 var_pop(CASE WHEN abs(g) < 1e-9 THEN ln(1 + x) ELSE (pow(1 + x, g) - 1) / g END) AS v
+          FROM d, j, ({grid}) GROUP BY g))"""
+
+
+def _around(name, step):
+    return f"SELECT round(g + i * {step}, 6) AS g FROM {name}, (SELECT unnest(generate_series(-10, 10)) AS i)"
+
+
+FITTED_SQL = f"""
+      WITH d AS (SELECT o_orderkey, o_totalprice AS x FROM orders),
+      j AS (SELECT count(*) AS n, sum(ln(1 + x)) AS s FROM d),
+      {_likelihood("a", "SELECT round(i * 0.2, 6) AS g FROM (SELECT unnest(generate_series(-15, 15)) AS i)")},
+      {_likelihood("b", _around("a", 0.02))},
+      {_likelihood("c", "SELECT round(g + i * 0.001, 6) AS g FROM b, (SELECT unnest(generate_series(-20, 20)) AS i)")},
+      y AS (SELECT o_orderkey, CASE WHEN abs(g) < 1e-9 THEN ln(1 + x) ELSE (pow(1 + x, g) - 1) / g END AS v FROM d, c)
+      SELECT o_orderkey, round((v - (SELECT avg(v) FROM y)) / (SELECT stddev_pop(v) FROM y), 6) AS o_totalprice FROM y"""
+
+
+def imputed_neighbours(spark, sf):
+    """Missing prices from the two nearest orders by number of lines, pieces and discount."""
+    n = lineitem(spark, sf).groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
+        F.count("*").alias("n"), F.sum("l_quantity").alias("pieces"), F.avg("l_discount").alias("discount"))
+    o = orders(spark, sf).select("o_orderkey", F.when(
+        F.col("o_orderkey") % 7 != 0, F.col("o_totalprice")).alias("price"))
+    d = impute_neighbours(o.join(n, "o_orderkey", "left"), "o_orderkey", ["price"], ["n", "pieces", "discount"])
+    return d.select("o_orderkey", *rounded(2, "price"))
+
+
 def standardised(spark, sf):
     d = prep.standardise(lineitem(spark, sf).select("l_orderkey", "l_quantity", "l_tax"),
                          ["l_quantity", "l_tax"])
@@ -122,7 +156,8 @@ QUERIES = {
                         ELSE -(pow(1 - q, 1.5) - 1) / 1.5 END, 6) AS mixed,
              round(-ln(1 + p), 6) AS negative
       FROM m"""),
-    "fitted_power": (fitted_power, None),
+    "fitted_power": (fitted_power, FITTED_SQL),
+    "imputed_neighbours": (imputed_neighbours, None),
     "standardised": (standardised, """
       WITH m AS (SELECT avg(l_quantity) AS mq, stddev_pop(l_quantity) AS sq,
                         avg(l_tax) AS mt, stddev_pop(l_tax) AS st FROM lineitem)

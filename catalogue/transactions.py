@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from catalogue.tables import lineitem, orders, rounded, table, us
 from pitfeat.operators import history as h
-from pitfeat.operators.reduce import distinct_counts, leads_per_entity, time_bounds
+from pitfeat.operators.reduce import distinct_counts, leads_per_entity, leads_through, time_bounds
 from pitfeat.operators.sessions import number_rows
 from pitfeat.operators.slices import run_placed
 from pitfeat.plans import transactions as plan
@@ -155,6 +155,16 @@ def pre_event_leads(spark, sf):
     return d.select(ID, "number_of_leads")
 
 
+def leads_by_chain(spark, sf):
+    """Leads over four tables: parts of lines, by order, customer (every third is unknown) and nation."""
+    known = table(spark, sf, "customer").where("c_custkey % 3 <> 0")
+    return leads_through(
+        lineitem(spark, sf),
+        [(orders(spark, sf), "l_orderkey", ID, "inner"), (known, "o_custkey", "c_custkey", "left"),
+         (table(spark, sf, "nation"), "c_nationkey", "n_nationkey", "left")],
+        "n_name", "l_partkey")
+
+
 def leads_per_customer(spark, sf):
     n = lineitem(spark, sf).select("l_orderkey", "l_partkey")
     o = orders(spark, sf).select(ID, *BY)
@@ -307,6 +317,12 @@ QUERIES = {
       FROM orders a LEFT JOIN (orders b JOIN lineitem ON l_orderkey = b.o_orderkey)
         ON b.o_custkey = a.o_custkey AND l_shipdate < a.o_orderdate
       GROUP BY a.o_orderkey"""),
+    "leads_by_chain": (leads_by_chain, """
+      SELECT n_name, count(DISTINCT l_partkey) AS number_of_leads
+      FROM lineitem JOIN orders ON o_orderkey = l_orderkey
+        LEFT JOIN (SELECT * FROM customer WHERE c_custkey % 3 <> 0) ON c_custkey = o_custkey
+        LEFT JOIN nation ON n_nationkey = c_nationkey
+      GROUP BY n_name"""),
     "leads_per_customer": (leads_per_customer, """
       SELECT o_custkey, count(DISTINCT l_partkey) AS number_of_leads
       FROM orders JOIN lineitem ON l_orderkey = o_orderkey

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 DEFAULTS = {
     # rows of one key that one task may hold before the key is cut into slices
@@ -20,8 +21,9 @@ DEFAULTS = {
     "spark.pitfeat.frame.rows": 4_096,
     # input up to which a group's distinct values may be held in one buffer
     "spark.pitfeat.percentile.bytes": 4 * 1024 * 1024,
-    # largest side that is broadcast by request
+    # largest side that is broadcast by request, in rows and in bytes of their values
     "spark.pitfeat.broadcast.rows": 1_000_000,
+    "spark.pitfeat.broadcast.bytes": 64 * 1024 * 1024,
 }
 
 
@@ -51,13 +53,29 @@ def largest_key(df: DataFrame, by: list[str]) -> int:
 
 
 def broadcast_checked(df: DataFrame) -> DataFrame:
-    """Ask for a broadcast only after counting that the rows are few.
+    """Ask for a broadcast only after measuring that the rows are few and short.
 
-    The count stops one row beyond the limit. A larger side is left to Catalyst,
+    Measuring stops one row beyond the limit. A larger side is left to Catalyst,
     which shuffles it.
     """
-    most = limit(df.sparkSession, "broadcast.rows")
-    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+    spark = df.sparkSession
+    most = limit(spark, "broadcast.rows")
+    size = F.coalesce(F.sum(_bytes(df)), F.lit(0))
+    rows, held = df.limit(most + 1).agg(F.count("*"), size).first()
+    return F.broadcast(df) if rows <= most and held <= limit(spark, "broadcast.bytes") else df
+
+
+def _bytes(df: DataFrame) -> Column:
+    """About the size of a row: texts by their length, nested values by that of their text."""
+    total = F.lit(0)
+    for f in df.schema.fields:
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            total = total + F.coalesce(F.octet_length(f.name), F.lit(0))
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            total = total + F.coalesce(F.octet_length(F.to_json(F.struct(f.name))), F.lit(0))
+        else:
+            total = total + 8
+    return total
 
 
 def not_null(cols: list[str]) -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import warnings
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,6 +12,10 @@ from pitfeat.functions.columns import yeo_johnson
 from pitfeat.operators.profile import exact_quantiles, unpivot
 
 
+#: grids that a power fit moves on by before it says that it found no top
+MOVES = 50
+
+
 def impute_constant(df: DataFrame, values: dict[str, object]) -> DataFrame:
     return df.na.fill(values)
 
@@ -94,9 +99,11 @@ def fit_power(df: DataFrame, columns: list[str], lo: float = -3.0, hi: float = 3
             if scores[top] > -math.inf and top in (0, len(scores) - 1):
                 edge.add(c)
         # a best point on the edge of a grid may not be the best: go on from there
-        if edge and moves < 50:
+        if edge and moves < MOVES:
             moves += 1
         else:
+            if edge:
+                warnings.warn(f"the likelihood of {sorted(edge)} still rises at the edge of its grid", stacklevel=2)
             steps.pop(0)
             reach = step
     return best

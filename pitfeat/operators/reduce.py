@@ -75,6 +75,19 @@ def leads_per_entity(
     return d.groupBy(entity).agg(F.count_distinct(lead_id).alias("number_of_leads"))
 
 
+def leads_through(
+    leads: DataFrame, steps: list[tuple[DataFrame, str, str, str]], entity: str, lead_id: str
+) -> DataFrame:
+    """Distinct leads per entity over a chain of tables: (table, key so far, its key, how).
+
+    After a left step leads that found nobody count for the entity null.
+    """
+    d = leads
+    for table, ours, theirs, how in steps:
+        d = d.join(table, F.col(ours) == F.col(theirs), how)
+    return d.groupBy(entity).agg(F.count_distinct(lead_id).alias("number_of_leads"))
+
+
 def top_k(df: DataFrame, k: int, order: list[Column]) -> DataFrame:
     """The k first rows of an order; Spark keeps k rows per task on the way."""
     return df.orderBy(*order).limit(k)

@@ -130,13 +130,20 @@ def run_placed(
     """
     slices = plan_slices(df.withColumn("_o", F.unix_micros(t)), by, "_o", slice_rows)
     if slices is None:
-        return unplace(chain(_place(df, by, t, None)))
+        return _chained(_place(df, by, t, None), chain)
     keys = F.broadcast(slices.table.select(*by))
     cold, hot = (
         df.join(keys, by, how).select(*df.columns) for how in ("left_anti", "left_semi")
     )
-    cold, hot = chain(_place(cold, by, t, None)), chain(_place(hot, by, t, slices))
-    return unplace(cold).unionByName(unplace(hot))
+    return _chained(_place(cold, by, t, None), chain).unionByName(_chained(_place(hot, by, t, slices), chain))
+
+
+def _chained(df: DataFrame, chain: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The chain on a placed frame; what was measured is forgotten, as nothing else derives from it."""
+    out = unplace(chain(df))
+    for c in df.columns:
+        _places.pop(c, None)
+    return out
 
 
 def settled(df: DataFrame, by: list[str]) -> DataFrame:

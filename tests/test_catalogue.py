@@ -18,12 +18,23 @@ SOME = [
 ]
 
 
+@pytest.fixture(autouse=True)
+def generated_code(spark):
+    """These queries run as they do in use, with generated code."""
+    held = {k: spark.conf.get(k) for k in ("spark.sql.codegen.wholeStage", "spark.sql.codegen.factoryMode")}
+    spark.conf.set("spark.sql.codegen.wholeStage", "true")
+    spark.conf.set("spark.sql.codegen.factoryMode", "FALLBACK")
+    yield
+    for k, v in held.items():
+        spark.conf.set(k, v)
+
+
 def test_contract(spark):
     queries, sql = entry.queries(), entry.oracle_sql()
     assert set(sql) <= set(queries)
     # corpus queries, where present, have tests of their own
     assert set(catalogue.queries()) - set(sql) == {
-        "fitted_power", "fuzzy_name_match", "gbt_scores",
+        "imputed_neighbours", "fuzzy_name_match", "gbt_scores",
     }
     assert entry.entry(spark).count() > 0
 

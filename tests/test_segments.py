@@ -45,7 +45,7 @@ def test_newest_row_with_hot_visitors(spark, monkeypatch):
         d = clicks.click_features_latest(spark, sf)
         assert store.executionsCount() - before <= 10
         plan = spark._jvm.PythonSQLUtils.explainString(d._jdf.queryExecution(), "simple")
-        assert plan.count("Exchange hashpartitioning") <= 6
+        assert plan.count("Exchange hashpartitioning") <= 4
         got = normal(d.columns, d.collect())
     finally:
         spark.conf.unset("spark.pitfeat.small.bytes")
