@@ -65,6 +65,29 @@ def imputed_neighbours(spark, sf):
     return d.select("o_orderkey", *rounded(2, "price"))
 
 
+def one_hot(spark, sf):
+    """Places by frequency among settled orders; a status that none of them has is unknown."""
+    o = orders(spark, sf).select("o_orderkey", "o_orderstatus", "o_orderpriority")
+    d = model.one_hot(o, ["o_orderstatus", "o_orderpriority"], o.where("o_orderstatus <> 'P'"))
+    text = lambda c: F.concat_ws("", F.transform(c, lambda x: x.cast("int").cast("string"))).alias(c)
+    return d.select("o_orderkey", text("o_orderstatus"), text("o_orderpriority"))
+
+
+def _hot_sql(column):
+    return f"""(
+        SELECT value, string_agg(CASE WHEN i = place THEN '1' ELSE '0' END, '' ORDER BY i) AS bits
+        FROM (SELECT {column} AS value, row_number() OVER (ORDER BY count(*) DESC, {column}) AS place
+              FROM orders WHERE o_orderstatus <> 'P' GROUP BY {column}),
+             (SELECT unnest(range(1, 1 + (SELECT count(DISTINCT {column}) FROM orders WHERE o_orderstatus <> 'P'))) AS i)
+        GROUP BY value)"""
+
+
+ONE_HOT_SQL = f"""
+      SELECT o_orderkey, coalesce(s.bits, '00') AS o_orderstatus, p.bits AS o_orderpriority
+      FROM orders LEFT JOIN {_hot_sql("o_orderstatus")} s ON s.value = o_orderstatus
+        LEFT JOIN {_hot_sql("o_orderpriority")} p ON p.value = o_orderpriority"""
+
+
 def standardised(spark, sf):
     d = prep.standardise(lineitem(spark, sf).select("l_orderkey", "l_quantity", "l_tax"),
                          ["l_quantity", "l_tax"])
@@ -158,6 +181,7 @@ QUERIES = {
       FROM m"""),
     "fitted_power": (fitted_power, FITTED_SQL),
     "imputed_neighbours": (imputed_neighbours, None),
+    "one_hot": (one_hot, ONE_HOT_SQL),
     "standardised": (standardised, """
       WITH m AS (SELECT avg(l_quantity) AS mq, stddev_pop(l_quantity) AS sq,
                         avg(l_tax) AS mt, stddev_pop(l_tax) AS st FROM lineitem)

@@ -216,6 +216,23 @@ def logged_runs(spark, sf):
     return d.select("event_id", "event_type", F.col("run").cast("int").alias("run"), *us("log_timestamp"))
 
 
+def snapshot_rows(spark, sf):
+    """Events up to the largest id of those seen before a day, each source by its own."""
+    e = events(spark, sf)
+    seen = e.where("ts < '2024-01-20' AND event_type = 'click'")
+    clicks = tables.up_to_largest(e.where("event_type = 'click'"), "event_id", seen)
+    views = tables.up_to_largest(e.where("event_type = 'view'"), "event_id", e.limit(0))
+    return clicks.unionByName(views).select("event_id", "event_type")
+
+
+def population(spark, sf):
+    """Settled or dear orders of some priorities, without the columns that a later step lacks."""
+    d = orders(spark, sf).drop("o_orderpriority_old", "o_orderdate")
+    d = d.where(((F.col("o_orderstatus") == "F") | (F.col("o_totalprice") > 300_000)) & ~F.col("o_orderpriority").isin(
+        "4-NOT SPECIFIED", "5-LOW")).na.drop(subset=["o_custkey"])
+    return d.drop("o_orderpriority")
+
+
 def recent_events(spark, sf):
     """The last ten days before a given day, and no rows from a table that is missing."""
     e = tables.since_days(events(spark, sf), "ts", "2024-01-25", 10)
@@ -248,6 +265,13 @@ QUERIES = {
              epoch_us(CASE event_type WHEN 'click' THEN TIMESTAMP '2024-02-01' ELSE TIMESTAMP '2024-02-02' END)
                AS log_timestamp_us
       FROM events WHERE event_type IN ('click', 'view')"""),
+    "snapshot_rows": (snapshot_rows, """
+      SELECT event_id, event_type FROM events WHERE event_type = 'click' AND event_id <= (
+        SELECT max(event_id) FROM events WHERE ts < TIMESTAMP '2024-01-20' AND event_type = 'click')"""),
+    "population": (population, """
+      SELECT * EXCLUDE (o_orderpriority, o_orderdate) FROM orders
+      WHERE (o_orderstatus = 'F' OR o_totalprice > 300000)
+        AND o_orderpriority NOT IN ('4-NOT SPECIFIED', '5-LOW') AND o_custkey IS NOT NULL"""),
     "recent_events": (recent_events, """
       SELECT event_id, epoch_us(ts) AS ts_us FROM events WHERE ts >= TIMESTAMP '2024-01-15'"""),
     "repartitioned_versions": (repartitioned_versions, """

@@ -34,6 +34,24 @@ def pipeline(
     return Pipeline(stages=stages)
 
 
+def one_hot(df: DataFrame, categorical: list[str], known: DataFrame | None = None) -> DataFrame:
+    """Each column as an array with a 1 at the place of its value, most frequent first.
+
+    Places come from ``known`` (by default the rows themselves); of equally frequent values
+    the smaller comes first. A null or a value that is not known has zeros only.
+    """
+    index = [f"_{c}_i" for c in categorical]
+    stages = Pipeline(stages=[
+        StringIndexer(inputCols=categorical, outputCols=index, handleInvalid="keep", stringOrderType="frequencyDesc"),
+        OneHotEncoder(inputCols=index, outputCols=[f"_{c}_o" for c in categorical], handleInvalid="keep"),
+    ]).fit(df if known is None else known)
+    d = stages.transform(df)
+    # the last place is that of unknown values
+    d = d.withColumns({f"_{c}_a": vector_to_array(f"_{c}_o") for c in categorical})
+    d = d.withColumns({c: F.slice(f"_{c}_a", F.lit(1), F.size(f"_{c}_a") - 1) for c in categorical})
+    return d.select(*df.columns)
+
+
 def fit(df: DataFrame, numeric, categorical, label, seed: int = 1, **trees) -> PipelineModel:
     return pipeline(numeric, categorical, label, seed, **trees).fit(df)
 

@@ -38,6 +38,15 @@ def since_days(df: DataFrame, date_col: str, today: str, days: int) -> DataFrame
     return df.where(F.col(date_col) >= F.date_sub(F.lit(today).cast("date"), days))
 
 
+def up_to_largest(df: DataFrame, column: str, seen: DataFrame) -> DataFrame:
+    """Rows whose key is at most the largest in ``seen``, its own table's keys at some moment.
+
+    The bound is one row, found by its own aggregate; without a row in ``seen`` there is none.
+    """
+    bound = seen.agg(F.max(column).alias("_bound"))
+    return df.join(F.broadcast(bound), F.col(column) <= F.col("_bound")).drop("_bound")
+
+
 def read_csv(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
     """CSV with a header, read by a declared schema: nothing is inferred."""
     return spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(path)
