@@ -107,17 +107,23 @@ class Codec:
         """Last token of each prefix; ``skip`` may not be the whole."""
         n = len(data)
         last = [-1] * (n + 1)
-        compatible, suffixes = self.compatible, self.automaton.suffixes
-        for at, state in self.automaton.ends(data):
-            for token, size in suffixes(state):
-                before = at - size
+        pairs, compatible = self._pairs.get, self.compatible
+        tokens, length, up = self.automaton.token, self.automaton.length, self.automaton.up
+        for at, state in enumerate(self.automaton.ends(data), 1):
+            # tokens that end here, longest first
+            while state:
+                token, before = tokens[state], at - length[state]
                 if before == 0:
                     fits = token != skip and self.stands_alone(token)
                 else:
-                    fits = last[before] >= 0 and compatible(last[before], token)
+                    left = last[before]
+                    fits = left >= 0 and pairs((left, token))
+                    if fits is None:
+                        fits = compatible(left, token)
                 if fits:
                     last[at] = token
                     break
+                state = up[state]
         return last if last[n] >= 0 else None
 
     def pretoken_ids(self, pretoken: str) -> list[int]:

@@ -61,22 +61,23 @@ class SuffixAutomaton:
             at = self.link[at]
         return made
 
-    def ends(self, text: bytes) -> Iterator[tuple[int, int]]:
-        """(place, state) for every prefix: the first state up the links that holds a token, or 0."""
-        edges, link, length, token, up = self.edges, self.link, self.length, self.token, self.up
-        state = matched = 0
-        for place, letter in enumerate(text, 1):
-            to = edges.get(state << 8 | letter)
+    def ends(self, text: bytes) -> list[int]:
+        """For every prefix the first state up the links that holds a token, or 0."""
+        edge, link, length, token, up = self.edges.get, self.link, self.length, self.token, self.up
+        state, matched, out = 0, 0, []
+        for letter in text:
+            to = edge(state << 8 | letter)
             while to is None and state:
                 state = link[state]
                 matched = length[state]
-                to = edges.get(state << 8 | letter)
+                to = edge(state << 8 | letter)
             if to is None:
-                yield place, 0
+                out.append(0)
                 continue
             state = to
             matched += 1
-            yield place, state if matched == length[state] and token[state] >= 0 else up[state]
+            out.append(state if matched == length[state] and token[state] >= 0 else up[state])
+        return out
 
     def suffixes(self, state: int) -> Iterator[tuple[int, int]]:
         """(token, length) of a state that `ends` gives and of all above it, longest first."""

@@ -124,7 +124,7 @@ def test_suffix_automaton():
         number = {t: i for i, t in enumerate(tokens)}
         a = SuffixAutomaton(number.items())
         text = bytes(r.choice(b"abcd") for _ in range(60))
-        for at, state in a.ends(text):
+        for at, state in enumerate(a.ends(text), 1):
             want = [(number[t], len(t)) for t in sorted(tokens, key=len, reverse=True) if text[:at].endswith(t)]
             assert list(a.suffixes(state)) == want
 
