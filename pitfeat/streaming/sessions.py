@@ -11,14 +11,14 @@ def stream_sessions(
 ) -> DataFrame:
     """Session windows per key, emitted when the watermark passes their end.
 
-    A session window closes after ``gap_s`` exact seconds without an event, where
-    the batch operator compares whole seconds and splits only above the gap. The
-    window is one second longer and times are cut to the second, so that both
-    find the same sessions. Rows later than the watermark are dropped.
+    The batch operator compares whole seconds and splits only above the gap. Spark
+    joins windows that overlap or merely touch, so times are cut to the second and
+    the window is one microsecond short of ``gap_s + 1`` seconds: a pause of ``gap_s``
+    joins, one of ``gap_s + 1`` splits. Rows later than the watermark are dropped.
     """
     second = F.date_trunc("second", F.col(t)).alias("_second")
     d = events.select("*", second).withWatermark("_second", watermark)
-    window = F.session_window("_second", f"{gap_s + 1} seconds")
+    window = F.session_window("_second", f"{gap_s} seconds 999999 microseconds")
     return (
         d.groupBy(*by, window)
         .agg(

@@ -67,6 +67,20 @@ def test_stream_sessions_equal_batch(spark, tmp_path):
     assert rows(got) == rows(inc.session_table(d.where("k <> 99"), ["k"], "t", GAP))
 
 
+def test_stream_sessions_at_the_gap(spark, tmp_path):
+    """A pause of the gap joins, one second more splits; a session closes when the watermark is a second past it."""
+    at = [(1, 0.9), (1, GAP + 1.2), (2, 0.9), (2, GAP + 0.1), (3, 0.0), (3, GAP + 2.0), (4, 5000.0), (5, 5001.0),
+          (9, 5000.0 + GAP + 1 + 10)]
+    d = spark.createDataFrame(at, "k long, s double").withColumn("t", F.timestamp_micros((F.col("s") * 1_000_000).cast("long")))
+    d = d.select("k", "t")
+    d.coalesce(1).write.parquet(str(tmp_path / "in"))
+    out = st.stream_sessions(inc.read_stream(spark, str(tmp_path / "in"), d.schema), ["k"], "t", GAP, "10 seconds")
+    st.run_to_table(out, str(tmp_path / "out"), str(tmp_path / "cp"))
+    got = spark.read.parquet(str(tmp_path / "out"))
+    # session 5 ends one second too late to be closed, 9 is the newest
+    assert rows(got) == rows(inc.session_table(d.where("k < 5"), ["k"], "t", GAP))
+
+
 def test_fold_is_idempotent(spark, tmp_path):
     table = VersionedTable(spark, str(tmp_path / "main"))
 
