@@ -67,3 +67,28 @@ def test_equal_points_nulls_and_no_rows(spark):
     assert got[0].x == 1.5 and got[0].y is None and got[5].x == 5.0  # ties go to the smallest keys; y has no value at all
     assert nb.impute_neighbours(d.limit(0), "id", ["x"], ["a"]).count() == 0
     assert nb.impute_neighbours(d.limit(1), "id", ["x"], ["a"]).first().x is None
+
+
+def test_lower_splits_by_all_points(spark):
+    """Upper splits from a part of the points, the lower ones level by level."""
+    rows = table(3000, 3)
+    at = np.array([r[1:4] for r in rows])
+    at = (at - at.mean(0)) / at.std(0)
+    points = spark.createDataFrame([(r[0], p.tolist(), r[4:]) for r, p in zip(rows, at)],
+                                   "_key long, _at array<double>, _values array<double>")
+    asking = points.where(F.exists("_values", lambda v: v.isNull()))
+    found = {r._key: r._near for r in nb.nearest(asking, points, 3, 2, 2, sample=300).collect()}
+    want = brute(rows, 2)
+    hits = sum(len({d.key for d in found[i][v]} & set(near)) for (i, v), near in want.items())
+    assert hits / sum(map(len, want.values())) >= 0.9
+
+
+def test_equal_points_are_searched_once(spark):
+    """However many rows lie on one point, the search holds it once, with the few keys that can be nearest."""
+    d = spark.range(20_000).select(
+        F.col("id").alias("_key"), F.array((F.col("id") % 2).cast("double")).alias("_at"),
+        F.array(F.when(F.col("id") % 5 != 0, F.col("id").cast("double")), F.lit(None).cast("double")).alias("_values"))
+    own = {r._at[0]: [[x.key for x in v] for v in r._own] for r in nb._places(d, 2, 3).collect()}
+    assert {at: [sorted(v) for v in o] for at, o in own.items()} == {0.0: [[2, 4, 6], []], 1.0: [[1, 3, 7], []]}
+    found = {r._key: [[x.key for x in v] for v in r._near] for r in nb.nearest(d, d, 1, 2, 2, leaf=2).collect()}
+    assert len(found) == 20_000 and found[2] == [[4, 6], []] and found[7] == [[1, 3], []] and found[19_998] == [[2, 4], []]
