@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from catalogue.profiles import lines
 from catalogue.tables import lineitem, orders, rounded, table
+from pitfeat.checkpoints import cut_lineage
 from pitfeat.functions import columns as c
 from pitfeat.operators import model, prep
 from pitfeat.operators.neighbours import impute_neighbours
@@ -157,15 +158,15 @@ def training_set(spark, sf):
 TRAINED_ON = [*NUMERIC, *CATEGORICAL]
 
 
-def fitted_model(spark, sf):
+def fitted_model(d):
     """Trees fit on a balanced sample of the lines."""
-    d = training_set(spark, sf)
     return model.fit(undersample(d, "label", 1.0, 42), NUMERIC, CATEGORICAL, "label", maxIter=3, maxDepth=3)
 
 
 def gbt_scores(spark, sf):
     """Fit on a balanced sample, score every line, decide at the base rate."""
-    out = model.score(training_set(spark, sf), fitted_model(spark, sf), [0.5])
+    d = cut_lineage(training_set(spark, sf))
+    out = model.score(d, fitted_model(d), [0.5])
     return out.select("l_orderkey", "l_linenumber", "l_partkey", "ml_probability", "payout_decision")
 
 

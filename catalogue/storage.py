@@ -4,8 +4,9 @@ from pyspark.sql import functions as F
 
 from catalogue.clicks import run_folder
 from catalogue.evaluation import REPORT, SCORED, scored
-from catalogue.models import TRAINED_ON, fitted_model
+from catalogue.models import TRAINED_ON, fitted_model, training_set
 from catalogue.tables import events, lineitem, orders, rounded, table, us
+from pitfeat.checkpoints import cut_lineage
 from pitfeat.operators import evaluate as ev
 from pitfeat.operators import joins as j
 from pitfeat.operators.model import score
@@ -125,7 +126,7 @@ def scored_stream(spark, sf):
     root = run_folder(spark, "scored-stream")
     o = orders(spark, sf).select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
     features = BucketedTable(spark, f"{root}/features", ["o_custkey"], buckets=8)
-    model = fitted_model(spark, sf)
+    model = fitted_model(cut_lineage(training_set(spark, sf)))
 
     def fold(stored, delta):
         new = delta.groupBy("o_custkey").agg(F.count("*").alias("n_orders"), F.max("o_orderdate").alias("newest"))

@@ -11,6 +11,7 @@ from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pitfeat.checkpoints import cut_lineage
 from pitfeat.operators.evaluate import GREEN, RED, band
 
 
@@ -53,13 +54,16 @@ def one_hot(df: DataFrame, categorical: list[str], known: DataFrame | None = Non
 
 
 def fit(df: DataFrame, numeric, categorical, label, seed: int = 1, **trees) -> PipelineModel:
-    return pipeline(numeric, categorical, label, seed, **trees).fit(df)
+    """Fit on rows that are computed once: the stages read them many times."""
+    rows = cut_lineage(df.select(*numeric, *categorical, label))
+    return pipeline(numeric, categorical, label, seed, **trees).fit(rows)
 
 
 def tune(
     df: DataFrame, numeric, categorical, label, grid: dict[str, list], seed: int = 1
 ) -> PipelineModel:
     """Best model of a parameter grid by area under the precision-recall curve."""
+    df = cut_lineage(df.select(*numeric, *categorical, label))
     stages = pipeline(numeric, categorical, label, seed)
     trees = stages.getStages()[-1]
     builder = ParamGridBuilder()
