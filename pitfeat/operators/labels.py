@@ -67,12 +67,14 @@ def propagate_two_hop(
 def _reached(
     pairs: DataFrame, persons: DataFrame, devices: DataFrame, person: str, device: str
 ) -> DataFrame:
-    """Persons connected with a bad person or device, and the bad persons themselves."""
-    p, d = (F.concat(F.lit(kind), F.col(c).cast("string")) for kind, c in (("p", person), ("d", device)))
-    found = connected(pairs.select(p.alias("p"), d.alias("d")), "p", "d")
-    roots = cut_lineage(found.select(F.col("node").alias("_node"), F.col("root").alias("_root")))
-    bad = persons.select(p.alias("_node")).unionByName(devices.select(d.alias("_node")))
-    tainted = roots.join(bad, "_node", "left_semi").select("_root").distinct()
-    nodes = roots.join(tainted, "_root", "left_semi").select("_node")
-    known = pairs.select(person).distinct().withColumn("_node", p)
-    return known.join(nodes, "_node", "left_semi").select(person).unionByName(persons).distinct()
+    """Persons connected with a bad person or device, and the bad persons themselves.
+
+    Persons of a device are linked with the smallest of them, so devices are no nodes.
+    """
+    first = pairs.groupBy(device).agg(F.min(person).alias("_first"))
+    found = connected(pairs.join(first, device).select(person, "_first"), person, "_first")
+    roots = cut_lineage(found.select(F.col("node").alias(person), F.col("root").alias("_root")))
+    bad = persons.unionByName(pairs.join(devices, device, "left_semi").select(person)).distinct()
+    bad = cut_lineage(bad)
+    tainted = roots.join(bad, person, "left_semi").select("_root").distinct()
+    return roots.join(tainted, "_root", "left_semi").select(person).unionByName(bad).distinct()

@@ -110,3 +110,14 @@ def test_sample_of_many_copies_and_nulls(spark):
     assert {r.label: r["count"] for r in got} == {0: 6000, 1: 3}
     assert sampling.undersample(d.where("false"), "label", 2.0).count() == 0
     assert sampling.undersample(d.where("label = 0"), "label", 2.0).count() == 0
+
+
+def test_fixpoint_links_persons_only(spark, monkeypatch):
+    """Devices are no nodes, and persons keep their type."""
+    asked, connected = [], lab.connected
+    monkeypatch.setattr(lab, "connected", lambda links, a, b: asked.append(links) or connected(links, a, b))
+    rows = [(i, 100 + i // 2 * 2 + k, int(i == 0)) for i in range(40) for k in (0, 1, 2)] + [(99, 7, 0), (None, 7, 1)]
+    got = lab.propagate_two_hop(spark.createDataFrame(rows, "p long, d long, y int"), "p", "d", "y", rounds=None)
+    assert {r.p for r in got.where("y = 1").collect()} == {*range(40), 99, None}
+    assert {t for _, t in asked[0].dtypes} == {"bigint"}
+    assert {x for r in asked[0].collect() for x in r} == {*range(40), 99}
