@@ -143,3 +143,13 @@ def test_logs_and_merged_schema(spark, tmp_path):
     with pytest.raises(ValueError):
         sinks.drop_staging(spark, ["main"], "stage_")
     sinks.drop_staging(spark, ["stage_a"], "stage_")
+
+
+@pytest.mark.parametrize("measure", ["blocks", "levenshtein"])
+def test_name_match_moves_no_row(spark, measure):
+    """Every row is judged where it lies; copies and nulls are kept."""
+    d = spark.createDataFrame([("ab cd", "xx cde"), ("ab cd", "xx cde"), ("abcd", "wxyz"), (None, "x"), ("", "x")], "a string, b string")
+    got = c.name_match(d, "a", "b", "same", measure=measure)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
+    assert sorted(r.same for r in got.collect()) == [False, False, False, True, True]
