@@ -146,3 +146,63 @@ def test_open_sessions_and_corrections(spark, tmp_path):
     closed = {x[:4] for x in read[3] if x[4]}
     assert closed >= {(1, 50, 150, 3), (1, 400, 400, 1), (2, 100, 100, 1), (2, 5000, 5000, 1)}
     assert {x[:4] for x in read[3] if not x[4]} == {(2, 9000, 9001, 2)}
+
+
+class Trips:
+    """State and timers of one key in memory; counts what would be trips to the executor."""
+
+    def __init__(self):
+        self.value, self.timers, self.made = None, set(), 0
+
+    def getValueState(self, name, schema):
+        return self
+
+    def get(self):
+        self.made += 1
+        return self.value
+
+    def update(self, value):
+        self.made += 1
+        self.value = value
+
+    def registerTimer(self, at):
+        self.made += 1
+        self.timers.add(at)
+
+
+class Mark:
+    def __init__(self, ms):
+        self.ms = ms
+
+    def getCurrentWatermarkInMs(self):
+        return self.ms
+
+    getExpiryTimeInMs = getCurrentWatermarkInMs
+
+
+def test_a_key_costs_few_trips_however_many_sessions(spark):
+    log, kept = so.SessionLog(["k"], "t", 10), Trips()
+    log.init(kept)
+
+    def come(at, mark):
+        return [(r.session_start.timestamp(), r.number_of_hits, r.status, r.revision) for r in log.handleInputRows(
+            (1,), iter([so.Row(k=1, t=so._time(a * 1_000_000)) for a in at]), Mark(mark))]
+
+    def pass_to(mark):
+        out, fired = [], sorted(t for t in kept.timers if t <= mark)
+        for t in fired:
+            out += [(r.session_start.timestamp(), r.status) for r in log.handleExpiredTimer((1,), Mark(mark), Mark(t))]
+            kept.timers.discard(t)
+        return out
+
+    assert len(come([100 * i for i in range(1, 501)], 0)) == 500
+    assert kept.made <= 3  # one read, one write, one timer
+    # a late row ends before all others, another joins the first session
+    assert come([20, 105], 0) == [(20, 1, "provisional", 1), (100, 2, "provisional", 1)]
+    assert pass_to(29_000) == []
+    assert pass_to(216_000) == [(20, "final"), (100, "final"), (200, "final")]
+    assert min(kept.timers) == 311_000
+    assert len(pass_to(60_000_000)) == 498 and not kept.timers
+    # a key whose sessions all ended starts again, with a timer of its own
+    assert come([70_000], 60_000_000)[0][:3] == (70_000, 1, "provisional")
+    assert kept.timers == {70_011_000} and pass_to(70_011_000) == [(70_000, "final")]
