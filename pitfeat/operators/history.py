@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitfeat.checkpoints import cut_lineage
-from pitfeat.limits import limit, not_null, rows_per_key
+from pitfeat.limits import broadcast_checked, limit, not_null, rows_per_key
 from pitfeat.operators.median import before_medians
 from pitfeat.operators.slices import (
     Slices,
@@ -192,13 +192,18 @@ def mark_long(
     if slices is None:
         size = F.count(F.lit(1)).over(Window.partitionBy(*keys))
         return d.withColumn("_long", not_null(by) & (size > frame_rows)), keys
-    long = rows_per_key(d, by).where(F.col("_n") > frame_rows)
-    d = d.join(long.select(*by, F.lit(True).alias("_long")), by, "left")
-    d = d.withColumn("_long", F.coalesce("_long", F.lit(False)))
+    d = join_long(d, by, frame_rows)
     d = d.withColumn("_scatter", F.when(F.col("_long"), F.xxhash64(o)))
     return d, [*keys, "_scatter"]
 
 
+def join_long(d: DataFrame, by: list[str], frame_rows: int) -> DataFrame:
+    """Add ``_long`` from the counts of the keys; rows stay where they are if long keys are few."""
+    long = rows_per_key(d, by).where(F.col("_n") > frame_rows).select(*by, F.lit(True).alias("_long"))
+    d = d.join(broadcast_checked(long), by, "left")
+    return d.withColumn("_long", F.coalesce("_long", F.lit(False)))
+
+
 def prior_agg_other(
     left: DataFrame,
     right: DataFrame,
@@ -252,8 +257,10 @@ def trailing_agg(
     names = [*df.columns, *aggs]
     if largest_rows(d, by) <= frame_rows:
         return _trailing_by_frame(d, by, keys, width, aggs).select(*names)
-    slices = slices_for(d, by, "_o", slice_rows)
-    d, _ = mark_long(d, by, keys, "_o", slices, frame_rows)
+    if place_of(df, by) is None:
+        d = join_long(d, by, frame_rows)
+    else:
+        d, _ = mark_long(d, by, keys, "_o", slices_for(d, by, "_o", slice_rows), frame_rows)
     d = cut_lineage(d)
     short = _trailing_by_frame(d.where("not _long"), by, keys, width, aggs).select(*names)
     long = _trailing_by_events(d.where("_long"), by, width, aggs, slice_rows)
@@ -287,10 +294,11 @@ def _trailing_by_frame(d, by, keys, width, aggs):
 
 
 def _trailing_by_events(d, by, width, aggs, slice_rows):
+    """Windows of long keys, found once for every moment of a key and joined to its rows."""
     rows = d.where(not_null([*by, "_o"]))
     enter, leave = F.col("_o") * 2, (F.col("_o") + width) * 2 + 1
-    probes = rows.select(*by, (F.col("_o") * 2 + 1).alias("_at")).distinct()
-    events, done, half, plain = None, {}, {}, {}
+    probes = cut_lineage(rows.select(*by, (F.col("_o") * 2 + 1).alias("_at")).distinct())
+    events, done, tables, plain = None, {}, [], {}
 
     def add(part):
         nonlocal events
@@ -303,44 +311,49 @@ def _trailing_by_events(d, by, width, aggs, slice_rows):
             plain[n] = a.kind
         elif a.kind == "distinct":
             # a value is present during runs of sightings at most `width` apart
-            cells = some.select(*by, x.alias("_v"), "_o").distinct()
+            cells = cut_lineage(some.select(*by, x.alias("_v"), "_o").distinct())
             pair = [*by, "_v"]
             seen = running(
                 cells, pair, "_o", {"_prev": max_of(F.col("_o"))},
                 plan_slices(cells, pair, "_o", slice_rows),
             )
             new = seen.where(F.col("_prev").isNull() | (F.col("_o") - F.col("_prev") > width))
-            ends = new.where("_prev is not null").select(*by, F.col("_prev").alias("_o"))
-            ends = ends.unionByName(
-                cells.groupBy(*pair).agg(F.max("_o").alias("_o")).select(*by, "_o")
+            # a run begins with a row and ends at the one before the next run
+            turns = F.array(
+                F.struct(enter.alias("at"), F.lit(1).alias("w")),
+                F.struct(((F.col("_prev") + width) * 2 + 1).alias("at"), F.lit(-1).alias("w")),
             )
-            one = F.lit(1)
-            add(new.select(*by, enter.alias("_at"), one.alias(f"_n_{n}")))
-            add(ends.select(*by, leave.alias("_at"), (-one).alias(f"_n_{n}")))
+            turns = new.select(*by, F.explode(turns).alias("_t")).where("_t.at is not null")
+            add(turns.select(*by, F.col("_t.at").alias("_at"), F.col("_t.w").alias(f"_n_{n}")))
+            ends = cells.groupBy(*pair).agg(F.max("_o").alias("_o"))
+            add(ends.select(*by, leave.alias("_at"), F.lit(-1).alias(f"_n_{n}")))
             done[n] = F.coalesce(f"_n_{n}", F.lit(0))
         elif a.kind == "median":
             facts = [
                 some.select(*by, at.alias("_at"), x.cast("double").alias("_x"), F.lit(w).alias("_w"))
                 for at, w in ((enter, 1), (leave, -1))
             ]
-            half[n] = before_medians(
-                facts[0].unionByName(facts[1]), probes, by, slice_rows
-            ).withColumnRenamed("_median", n)
+            half = before_medians(facts[0].unionByName(facts[1]), probes, by, slice_rows)
+            tables.append(half.withColumnRenamed("_median", n))
         else:
             raise ValueError(a.kind)
-    d = d.withColumn("_at", F.col("_o") * 2 + 1)
     if events is not None:
         sums = [c for c in events.columns if c not in (*by, "_at")]
-        line = probes.withColumn("_probe", F.lit(True)).unionByName(events, True)
+        # what happens at one moment is one row
+        line = probes.withColumn("_probe", F.lit(True)).unionByName(events, True).groupBy(*by, "_at")
+        line = cut_lineage(line.agg(F.max("_probe").alias("_probe"), *[F.sum(c).alias(c) for c in sums]))
         slices = plan_slices(line, by, "_at", slice_rows)
+        # a value that leaves at a probe's own moment is still there
         line = running(line, by, "_at", {c: sum_of(F.col(c)) for c in sums}, slices)
-        found = line.where("_probe").select(*by, "_at", *sums)
-        d = d.join(found, [*by, "_at"], "left")
-    for n, table in half.items():
-        d = d.join(table, [*by, "_at"], "left")
+        tables.append(line.where("_probe").select(*by, "_at", *sums))
     if plain:
-        d = d.join(_trailing_by_cells(rows, by, width, plain, slice_rows), [*by, "_o"], "left")
+        tables.append(_trailing_by_cells(rows, by, width, plain, slice_rows).select(
+            *by, (F.col("_o") * 2 + 1).alias("_at"), *plain))
         done |= {n: F.coalesce(n, F.lit(0)) for n, kind in plain.items() if kind == "count"}
+    found = probes
+    for table in tables:
+        found = found.join(table, [*by, "_at"], "left")
+    d = d.withColumn("_at", F.col("_o") * 2 + 1).join(found, [*by, "_at"], "left")
     return d.withColumns(done)
 
 
@@ -351,35 +364,33 @@ def _trailing_by_cells(rows, by, width, kinds, slice_rows):
     cell and the beginning of the next. Both are running aggregates, one of them
     from the end of the cell backwards. Nothing is ever subtracted, so a value
     that has left the window leaves no trace: no rounding, no NaN, no infinity.
+    Rows of one moment are combined first.
     """
     size = width + 1
     cell = F.col("_o") - F.pmod(F.col("_o"), F.lit(size))
-    values = [f"_x_{n}" for n in kinds]
-    probes = rows.select(*by, "_o").distinct().withColumn("_probe", F.lit(True))
-
-    def folded(side, events, asked, inclusive):
-        folds = {}
-        for n, kind in kinds.items():
-            x = F.col(f"_x_{n}")
-            if kind in ("count", "mean"):
-                folds[f"_n_{n}{side}"] = sum_of(F.when(x.isNotNull(), F.lit(1).cast("long")))
-            if kind != "count":
-                fold = {"lowest": min_of, "highest": max_of}.get(kind, sum_of)
-                folds[f"_s_{n}{side}"] = fold(x.cast("double") if kind == "mean" else x)
-        line = events.unionByName(asked, True)
+    parts, folds = {}, {}
+    for n, kind in kinds.items():
+        x = F.col(f"_x_{n}")
+        if kind in ("count", "mean"):
+            parts[f"_n_{n}"], folds[f"_n_{n}"] = F.count(x), sum_of
+        if kind != "count":
+            part, folds[f"_s_{n}"] = {"lowest": (F.min, min_of), "highest": (F.max, max_of)}.get(kind, (F.sum, sum_of))
+            parts[f"_s_{n}"] = part(x.cast("double") if kind == "mean" else x)
+    moments = cut_lineage(rows.groupBy(*by, "_o").agg(*[p.alias(c) for c, p in parts.items()]))
+
+    def folded(side, line, inclusive):
         key = [*by, "_cell"]
         slices = plan_slices(line, key, "_at", slice_rows)
-        line = running(line, key, "_at", folds, slices, inclusive=inclusive)
-        return line.where("_probe").select(*by, "_o", *folds)
+        over = {f"{c}{side}": fold(F.col(c)) for c, fold in folds.items()}
+        return running(line, key, "_at", over, slices, inclusive=inclusive)
 
-    here = folded(
-        "_b", rows.select(*by, cell.alias("_cell"), F.col("_o").alias("_at"), *values),
-        probes.select("*", cell.alias("_cell"), F.col("_o").alias("_at")), True)
+    here = folded("_b", moments.select("*", cell.alias("_cell"), F.col("_o").alias("_at")), True)
     # moved on by one cell, the rows before the window's start are those at or before the probe
-    there = folded(
-        "_a", rows.select(*by, (cell + size).alias("_cell"), (-F.col("_o") - size).alias("_at"), *values),
-        probes.select("*", cell.alias("_cell"), (-F.col("_o")).alias("_at")), False)
-    both = here.join(there, [*by, "_o"])
+    moved = moments.select(*by, (cell + size).alias("_cell"), (-F.col("_o") - size).alias("_at"), *parts)
+    asked = moments.select(*by, "_o", cell.alias("_cell"), (-F.col("_o")).alias("_at"), F.lit(True).alias("_probe"))
+    there = folded("_a", moved.unionByName(asked, True), False).where("_probe")
+    both = here.select(*by, "_o", *[f"{c}_b" for c in folds]).join(
+        there.select(*by, "_o", *[f"{c}_a" for c in folds]), [*by, "_o"])
     out = {}
     for n, kind in kinds.items():
         a, b = F.col(f"_s_{n}_a"), F.col(f"_s_{n}_b")

@@ -30,7 +30,9 @@ def before_medians(
     result has key, ``_at`` and ``_median``; probes without values are left out.
     """
     ok = not_null([*by, "_at"])
-    facts = facts.where(ok & F.col("_x").isNotNull())
+    # equal values that come or go at one moment are one fact
+    facts = facts.where(ok & F.col("_x").isNotNull()).groupBy(*by, "_at", "_x").agg(F.sum("_w").alias("_w"))
+    facts = cut_lineage(facts.where("_w <> 0"))
     probes = probes.where(ok)
     values = facts.select(*by, "_x").distinct()
     values = running(

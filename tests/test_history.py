@@ -212,3 +212,32 @@ def test_empty_input(spark):
     assert h.prior_agg(d, ["k"], "t", all_aggs()).columns == [*d.columns, *all_aggs()]
     assert h.prior_agg(d, ["k"], "t", all_aggs()).count() == 0
     assert pd.DataFrame(h.prior_agg(d, ["k"], "t", all_aggs()).collect()).empty
+
+
+def test_trailing_rows_of_one_moment_are_one_fact(spark, monkeypatch):
+    """Copies of a value at a moment are combined before anything runs over them."""
+    from statistics import median
+
+    from pitfeat.operators import median as medians
+
+    written, cut = [], medians.cut_lineage
+
+    def counted(df):
+        out = cut(df)
+        written.append(out.count())
+        return out
+
+    monkeypatch.setattr(medians, "cut_lineage", counted)
+    # 4,000 rows, 8 moments ten seconds apart, 5 values; twice the middle value at each
+    d = spark.range(4000).selectExpr(
+        "'a' AS k", "timestamp_seconds(id % 8 * 10) AS t", "cast(least(id div 8 % 6, 4) AS double) AS x", "id % 3 AS u")
+    aggs = {"n": h.count(), "total": h.total("x"), "half": h.median("x"), "users": h.distinct("u")}
+    got = h.trailing_agg(d, ["k"], "t", 20, aggs, frame_rows=10).distinct().collect()
+    rows = [(r.t, r.x, r.u) for r in d.collect()]
+    assert len({(r.t, r.x, r.u) for r in got}) == len(set(rows))
+    for r in got:
+        near = [v for v in rows if 0 <= (r.t - v[0]).total_seconds() <= 20]
+        assert (r.n, r.total, r.users) == (len(near), sum(v[1] for v in near), len({v[2] for v in near}))
+        assert r.half == median(v[1] for v in near)
+    # 16 moments of coming and going with 5 values; questions are two a moment at most
+    assert max(written) <= 80
