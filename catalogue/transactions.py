@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from catalogue.tables import lineitem, orders, rounded, table, us
 from pitfeat.operators import history as h
+from pitfeat.operators.joins import join_dealt
 from pitfeat.operators.reduce import distinct_counts, leads_per_entity, leads_through, time_bounds
 from pitfeat.operators.sessions import number_rows
 from pitfeat.operators.slices import run_placed
@@ -24,7 +25,7 @@ def line_facts(spark, sf):
     """Account and city of each line, with the entity and time of its order."""
     o = orders(spark, sf).select(ID, *BY, T)
     n = lineitem(spark, sf).select("l_orderkey", "l_suppkey")
-    return n.join(o, F.col("l_orderkey") == F.col(ID))
+    return join_dealt(n, o, "l_orderkey", ID)
 
 
 def order_places(spark, sf):

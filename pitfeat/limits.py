@@ -13,6 +13,8 @@ from pyspark.sql import types as T
 DEFAULTS = {
     # rows of one key that one task may hold before the key is cut into slices
     "spark.pitfeat.slice.rows": 4_000_000,
+    # rows that one task sorts where the number of rows is known
+    "spark.pitfeat.task.rows": 1_000_000,
     # most slices one plan may use; also bounds the hot-key table that is broadcast
     "spark.pitfeat.slice.max": 16_384,
     # inputs estimated below this are never measured: they fit one task whole
@@ -52,6 +54,17 @@ def largest_key(df: DataFrame, by: list[str]) -> int:
     return rows_per_key(df, by).agg(F.max("_n")).first()[0] or 0
 
 
+def dealt(df: DataFrame, by: list[str], rows: int | None) -> DataFrame:
+    """Rows placed by key; of a known number, in as many tasks as keep each of them small.
+
+    Left to itself, adaptive execution joins partitions up to a size as compressed, which
+    says little about the memory that sorting them takes, and never makes more of them than
+    the session's number of shuffle partitions.
+    """
+    tasks = -(-rows // limit(df.sparkSession, "task.rows")) if rows else 0
+    return df.repartition(tasks, *by) if tasks > 1 else df.repartition(*by)
+
+
 def broadcast_checked(df: DataFrame) -> DataFrame:
     """Ask for a broadcast only after measuring that the rows are few and short.
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitfeat.checkpoints import cut_lineage
-from pitfeat.limits import broadcast_checked, limit, not_null, rows_per_key
+from pitfeat.limits import broadcast_checked, dealt, limit, not_null, rows_per_key
 from pitfeat.operators.median import before_medians
 from pitfeat.operators.slices import (
     Slices,
@@ -94,7 +94,8 @@ def prior_agg(
     # a row with null time must not contribute
     seen = F.col(o).isNotNull()
     d = d.withColumns({f"_x_{n}": F.when(seen, a.x) for n, a in aggs.items()})
-    slices = slices_for(d, by, o, slice_rows)
+    seen: dict[str, int] = {}
+    slices = slices_for(d, by, o, slice_rows, seen)
     folds, done = {}, {}
     for n, a in aggs.items():
         x = F.col(f"_x_{n}")
@@ -122,7 +123,7 @@ def prior_agg(
     if distincts and slices is None:
         # both windows below need rows placed by key only: one shuffle, two sorts
         if place_of(df, by) is None:
-            d = d.repartition(*keys)
+            d = dealt(d, keys, seen.get("rows"))
         for n in distincts:
             first = Window.partitionBy(*keys, f"_x_{n}").orderBy(o)
             d = d.withColumn(

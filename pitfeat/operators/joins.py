@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pitfeat.limits import not_null
+from pitfeat.limits import dealt, limit, not_null
 
 
 @dataclass(frozen=True)
@@ -87,6 +87,18 @@ def anti_join(df: DataFrame, other: DataFrame, on: list[str]) -> DataFrame:
     return df.join(other.select(*on), on, "left_anti")
 
 
+def join_dealt(many: DataFrame, one: DataFrame, many_key: str, one_key: str) -> DataFrame:
+    """Inner join on a key that is never frequent, in tasks of a bounded number of rows.
+
+    ``many`` should be a table, as its rows are counted first.
+    """
+    on = F.col(many_key) == F.col(one_key)
+    rows = many.count()
+    if rows <= limit(many.sparkSession, "task.rows"):
+        return many.join(one, on)
+    return dealt(many, [many_key], rows).join(dealt(one, [one_key], rows), on)
+
+
 def union_sources(parts: dict[str, DataFrame], source: str = "source") -> DataFrame:
     """Stack sources by column name and tag each row with where it came from."""
     out = None

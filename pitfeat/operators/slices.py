@@ -200,7 +200,7 @@ def placed(df: DataFrame, by: list[str], order: str) -> tuple[DataFrame, list[st
 
 
 def slices_for(
-    df: DataFrame, by: list[str], order: str, rows: int | None = None
+    df: DataFrame, by: list[str], order: str, rows: int | None = None, seen: dict[str, int] | None = None
 ) -> Slices | None:
     """Cut points for an operator on (by, order), measured only if not known already.
 
@@ -212,7 +212,7 @@ def slices_for(
         return known[1].slices
     if known and rows is None and known[1].slices is None:
         return None
-    return plan_slices(df, by, order, rows)
+    return plan_slices(df, by, order, rows, seen)
 
 
 def largest_rows(df: DataFrame, by: list[str]) -> int:
@@ -263,10 +263,12 @@ def is_spread() -> Column:
 
 
 def plan_slices(
-    df: DataFrame, by: list[str], order: str, rows: int | None = None
+    df: DataFrame, by: list[str], order: str, rows: int | None = None, seen: dict[str, int] | None = None
 ) -> Slices | None:
     """Measure the keys of ``df`` and cut the hot ones; None when no key is hot.
 
+    If it measures, it puts the number of rows with a key into ``seen``.
+
     A key is hot above max(rows, total / slice.max) rows. So there are fewer hot
     keys than slice.max, and their cut points number at most twice that: the
     table collected here and broadcast later is bounded whatever the input size.
@@ -278,6 +280,8 @@ def plan_slices(
         rows = limit(spark, "slice.rows")
     sizes = rows_per_key(df, by)
     total, top = sizes.agg(F.sum("_n"), F.max("_n")).first()
+    if seen is not None:
+        seen["rows"] = total or 0
     if not top:
         return None
     cut = max(rows, total // limit(spark, "slice.max"))

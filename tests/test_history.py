@@ -241,3 +241,19 @@ def test_trailing_rows_of_one_moment_are_one_fact(spark, monkeypatch):
         assert r.half == median(v[1] for v in near)
     # 16 moments of coming and going with 5 values; questions are two a moment at most
     assert max(written) <= 80
+
+
+def test_tasks_hold_a_bounded_number_of_rows(spark):
+    """More rows than the tasks of the session should hold make more tasks, not larger ones."""
+    d = spark.range(1000).selectExpr("id % 90 AS k", "timestamp_seconds(id div 90) AS t", "id % 7 AS v")
+    aggs = {"n": h.distinct("v")}
+    want = sorted(h.prior_agg(d, ["k"], "t", aggs).collect())
+    spark.conf.set("spark.pitfeat.small.bytes", "1")
+    spark.conf.set("spark.pitfeat.task.rows", "100")
+    try:
+        got = h.prior_agg(d, ["k"], "t", aggs)
+        assert sorted(got.collect()) == want
+        assert got.rdd.getNumPartitions() == 10  # the session has 4 shuffle partitions
+    finally:
+        spark.conf.unset("spark.pitfeat.small.bytes")
+        spark.conf.unset("spark.pitfeat.task.rows")

@@ -128,3 +128,23 @@ def test_counters(spark):
     assert {x.k: (x.n, x.m) for x in merged} == {2: (21, 9), 3: (0, 9)}
     folded = fold_latest(main, delta, ["k"], "t", [], ["n"]).collect()
     assert {x.k: (x.t, x.n, x.m) for x in folded} == {1: (1, 10, 7), 2: (5, 21, 9), 3: (5, 0, 9)}
+
+
+def test_join_dealt_bounds_the_rows_of_a_task(spark):
+    from pitfeat.operators.joins import join_dealt
+
+    many = spark.range(1000).selectExpr("id", "nullif(id % 300, 7) AS k")
+    one = spark.range(250).selectExpr("id AS o", "id * 2 AS x")
+    want = sorted(many.join(one, many.k == one.o).collect())
+    assert sorted(join_dealt(many, one, "k", "o").collect()) == want
+    spark.conf.set("spark.pitfeat.task.rows", "100")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = join_dealt(many, one, "k", "o")
+        assert sorted(got.collect()) == want
+        assert got.rdd.getNumPartitions() == 10
+    finally:
+        for c in ("spark.pitfeat.task.rows", "spark.sql.autoBroadcastJoinThreshold",
+                  "spark.sql.adaptive.autoBroadcastJoinThreshold"):
+            spark.conf.unset(c)
