@@ -149,7 +149,7 @@ def prior_distinct_locations(spark, sf):
 def pre_event_leads(spark, sf):
     o = orders(spark, sf).select(ID, *BY, T)
     n = lineitem(spark, sf).select("l_orderkey", "l_partkey", "l_shipdate")
-    leads = n.join(o, F.col("l_orderkey") == F.col(ID)).select(*BY, "l_partkey", "l_shipdate")
+    leads = join_dealt(n, o, "l_orderkey", ID).select(*BY, "l_partkey", "l_shipdate")
     d = h.prior_agg_other(
         o, leads, BY, T, "l_shipdate", {"number_of_leads": h.distinct("l_partkey")}
     )
