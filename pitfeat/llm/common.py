@@ -80,14 +80,19 @@ def handing_back(run: Callable) -> Callable:
     """
     def whole_task(batches):
         yield from run(batches)
-        gc.collect()
-        pa.default_memory_pool().release_unused()
-        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-        if trim is not None:
-            trim(0)
+        hand_back()
 
     return whole_task
 
 
+def hand_back() -> None:
+    """Give memory that is free, but kept, to the machine."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def sized_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

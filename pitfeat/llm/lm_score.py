@@ -33,11 +33,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pitfeat.checkpoints import cut_lineage
-from pitfeat.llm.common import most_frequent, to_table, whole
+from pitfeat.llm.common import hand_back, handing_back, most_frequent, to_table, whole
 from pitfeat.llm.gru import Gru
 
 #: words in the table that every task holds; about 35 MB
 HEAD = 1 << 18
+#: words that a task holds while it counts; about 45 MB
+COUNTED = 1 << 18
 #: words the model tells apart, and buckets of the others
 KNOWN, BUCKETS = 1500, 32
 #: texts of one trainer; weights averaged at once
@@ -61,15 +63,26 @@ def _bucket(word: Column) -> Column:
 
 def word_counts(texts: DataFrame) -> DataFrame:
     """word (lower-case bytes) and c over all texts."""
-    def run(batches):
-        for b in batches:
-            found: Counter = Counter()
-            for t in b.column("_text"):
-                found.update(tokens(t.as_py()))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(found), pa.binary()), pa.array(list(found.values()), pa.int64())], ["word", "c"])
+    counted = texts.select("_text").mapInArrow(handing_back(_count_words), "word binary, c long")
+    return counted.groupBy("word").agg(F.sum("c").alias("c"))
+
+
+def _count_words(batches, most: int = COUNTED):
+    """Counts of batches of texts, let go whenever ``most`` words are held."""
+    found: Counter = Counter()
+    for b in batches:
+        for t in b.column("_text"):
+            found.update(tokens(t.as_py()))
+            if len(found) >= most:
+                yield _counted(found)
+                found = Counter()
+    if found:
+        yield _counted(found)
+
 
-    return texts.select("_text").mapInArrow(run, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
+def _counted(found: Counter) -> pa.RecordBatch:
+    words = pa.array(found.keys(), pa.binary(), size=len(found))
+    return pa.RecordBatch.from_arrays([words, pa.array(found.values(), pa.int64(), size=len(found))], ["word", "c"])
 
 
 class Lexicon:
@@ -142,7 +155,9 @@ def _trained(dealt: DataFrame, model: Gru, lex, passes: int) -> DataFrame:
         seen = 0
         for k in range(passes):
             seen += own.train(texts, rate=6e-3 / (1 + k), seed=k)
-        return pd.DataFrame({"trainer": [key[0]], "tokens": [float(seen)], "weights": [own.packed().tobytes()]})
+        done = pd.DataFrame({"trainer": [key[0]], "tokens": [float(seen)], "weights": [own.packed().tobytes()]})
+        hand_back()
+        return done
 
     return dealt.groupBy("trainer").applyInPandas(run, "trainer int, tokens double, weights binary")
 
@@ -188,7 +203,8 @@ def score(docs: DataFrame, training: Column, doc_id: str = "doc_id", text: str =
         ln10 = np.log(10)
         for b in batches:
             texts = b.column("_text")
-            n, known, base, tails, inside, symbols = [], [], [], [], [], []
+            n, known, base, inside, symbols = [], [], [], [], []
+            tail: tuple[list[int], list[bytes], list[int]] = ([0], [], [])
             for t in texts:
                 words = tokens(t.as_py())
                 s, at = words_of.symbols(words)
@@ -202,18 +218,21 @@ def score(docs: DataFrame, training: Column, doc_id: str = "doc_id", text: str =
                 share = words_of.log[at[rare & have]].sum() - words_of.rare_norm[s[rare] - words_of.known].sum()
                 inside.append(float(share))
                 symbols.append(s)
-                tails.append([{"word": w, "n": k} for w, k in Counter(
-                    words[i] for i in np.flatnonzero(~have).tolist()).items()])
+                rest = Counter(words[i] for i in np.flatnonzero(~have).tolist())
+                tail[1].extend(rest)
+                tail[2].extend(rest.values())
+                tail[0].append(len(tail[1]))
+            pairs = pa.StructArray.from_arrays([pa.array(tail[1], pa.binary()), pa.array(tail[2], pa.int32())], ["word", "n"])
             total = net.score(symbols) / ln10 + np.array(inside)
             yield pa.RecordBatch.from_arrays(
                 [b.column("row"), b.column("doc_id"), b.column("training"), pa.array(n, pa.int64()),
                  pa.array(known, pa.int64()), pa.array(base, pa.float64()), pa.array(total, pa.float64()),
-                 pa.array(tails, pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int32())])))],
+                 pa.ListArray.from_arrays(pa.array(tail[0], pa.int32()), pairs)],
                 ["row", "doc_id", "training", "n_tokens", "known", "base", "model", "tail"])
 
     numbered = rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", "training", "_text")
     read = cut_lineage(numbered.mapInArrow(
-        run, f"row long, doc_id {kind}, training boolean, n_tokens long, known long, base double, model double, "
+        handing_back(run), f"row long, doc_id {kind}, training boolean, n_tokens long, known long, base double, model double, "
              "tail array<struct<word:binary,n:int>>"))
     tail = read.select("row", F.explode("tail").alias("t")).select("row", "t.word", "t.n")
     met = tail.join(counts, "word", "left")

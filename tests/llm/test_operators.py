@@ -515,3 +515,21 @@ def test_language_and_quality(spark, empty):
     assert {x.lang_pred for x in language_id.identify(df, none, keep=["doc_id"]).collect()} == {"und"}
     assert language_id.identify(empty, model).count() == 0
     assert {x.score for x in quality_net.score(df, quality_net.train(df, labels.limit(0)), keep=["doc_id"]).collect()} == {0.5}
+
+
+def test_word_counts_are_let_go():
+    """A task never holds more words than its bound, and the sums stay whole."""
+    from collections import Counter
+
+    import pyarrow as pa
+
+    from pitfeat.llm import lm_score
+
+    texts = [f"w{i % 40} W{i % 9} x" for i in range(200)]
+    batches = [pa.RecordBatch.from_pydict({"_text": texts[i:i + 90]}) for i in range(0, 200, 90)]
+    got, sizes = Counter(), []
+    for b in lm_score._count_words(iter(batches), most=10):
+        sizes.append(b.num_rows)
+        got.update(dict(zip(b["word"].to_pylist(), b["c"].to_pylist())))
+    assert max(sizes) <= 12  # the bound and the words of one text more
+    assert got == Counter(w for t in texts for w in lm_score.tokens(t))
