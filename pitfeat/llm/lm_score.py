@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pitfeat.checkpoints import cut_lineage
-from pitfeat.llm.common import hand_back, handing_back, most_frequent, to_table, whole
+from pitfeat.llm.common import hand_back, handing_back, keep_freed, most_frequent, to_table, whole
 from pitfeat.llm.gru import Gru
 
 #: words in the table that every task holds; about 35 MB
@@ -150,6 +150,7 @@ def _trained(dealt: DataFrame, model: Gru, lex, passes: int) -> DataFrame:
     sent = dealt.sparkSession.sparkContext.broadcast(model)
 
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        keep_freed()
         texts = [lex.value.symbols(tokens(t))[0] for t in pdf["_text"]]
         own = _copy(sent.value)
         seen = 0
@@ -199,6 +200,7 @@ def score(docs: DataFrame, training: Column, doc_id: str = "doc_id", text: str =
     model = spark.sparkContext.broadcast(train(learned, lex))
 
     def run(batches):
+        keep_freed()
         words_of, net = lex.value, model.value
         ln10 = np.log(10)
         for b in batches:

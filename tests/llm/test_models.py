@@ -42,6 +42,62 @@ def test_gru_score_step_by_step(trained):
     assert net.score(texts) == pytest.approx([plain_score(net, t.tolist()) for t in texts], rel=2e-4)
 
 
+def plain_adam(net, grads, moments, rate, step):
+    for p, g, (m, v) in zip(net.parameters(), grads, moments):
+        m += 0.1 * (g - m)
+        v += 0.01 * (g * g - v)
+        p -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-6)
+
+
+def test_gru_training_repeats_plain_adam():
+    """A pass equals fresh gradients with Adam as written in its paper, number by number."""
+    r = np.random.default_rng(9)
+    start = np.arange(1, 2100)[::-1].astype(float), np.array([50.0, 3.0, 0.0])
+    fast, plain = gru.Gru.start(*start), gru.Gru.start(*start)
+    texts = [r.integers(1, 2102, n).astype(np.int32) for n in (0, 1, 23, 24, 25, 200, 700)]
+    assert fast.train(texts) == sum(len(t) + 1 for t in texts)
+    moments = [(np.zeros(p.shape), np.zeros(p.shape)) for p in plain.parameters()]
+    ((x, y, inside),) = gru.piece_groups(texts)
+    steps = -(-len(x) // gru.STEPS)
+    h = np.zeros((x.shape[1], gru.STATE), np.float32)
+    for step in range(1, steps + 1):
+        part = slice((step - 1) * gru.STEPS, step * gru.STEPS)
+        live = inside[part].any(0)
+        grads, h[live], _ = plain._gradients(x[part, live], y[part, live], inside[part, live], h[live])
+        plain_adam(plain, grads, moments, 6e-3 * (1 - 0.9 * step / steps), step)
+    for a, b in zip(fast.parameters(), plain.parameters()):
+        assert np.allclose(a, b, atol=2e-4)
+
+
+def test_gru_sums_of_rows_by_symbol():
+    r = np.random.default_rng(4)
+    keys = np.concatenate([np.zeros(300, int), np.full(16, 3), np.full(17, 5), np.full(15, 8), r.integers(10, 400, 500)])
+    keys = r.permutation(keys).astype(np.int16)
+    place = r.permutation(2 * len(keys))[:len(keys)]
+    parts = [r.normal(size=(2 * len(keys), 4)).astype(np.float32) for _ in range(3)]
+    for n in (len(keys), 1):
+        symbols, sums = gru._sums(keys[:n], parts, place[:n])
+        assert sorted(symbols) == sorted(set(keys[:n].tolist()))
+        for k, row in zip(symbols, sums):
+            assert np.allclose(row, np.concatenate([p[place[:n][keys[:n] == k]].sum(0) for p in parts]), atol=1e-4)
+
+
+def test_gru_training_writes_into_kept_gradients():
+    """Every step of a pass gets the same arrays for its gradients; before, each had new ones to fill."""
+    net, seen = gru.Gru.start(np.arange(1, 100)[::-1].astype(float), np.array([50.0])), []
+    whole, held = net._gradients, []
+
+    def kept(*args):
+        found = whole(*args)
+        seen.append([id(g) for g in found[0]])
+        held.append(found)  # so that no id is given twice
+        return found
+
+    net._gradients = kept
+    net.train([np.arange(1, 100, dtype=np.int32)] * 3)
+    assert len(seen) == 5 and all(s == seen[0] for s in seen)
+
+
 def test_lm_score_from_the_weights(spark, monkeypatch):
     r = random.Random(3)
     words = [f"w{i}" for i in range(60)]
